@@ -9,6 +9,8 @@ from __future__ import annotations
 import math
 
 import numpy as np
+import pandas as pd
+from pyspark.sql import functions as F
 
 _TINY = 1e-300
 _lgamma = np.vectorize(math.lgamma, otypes=[float])
@@ -147,9 +149,6 @@ def clopper_pearson(n: float, total: float, level: float = 0.95) -> tuple[float,
 
 def clopper_pearson_udf(level: float):
     """``clopper_pearson`` for columns, run on a table of counts."""
-    import pandas as pd
-    from pyspark.sql import functions as F
-
     @F.pandas_udf("lower double, upper double")
     def interval(n: pd.Series, total: pd.Series) -> pd.DataFrame:
         return pd.DataFrame([clopper_pearson(a, b, level) for a, b in zip(n, total)], columns=["lower", "upper"])
@@ -159,9 +158,6 @@ def clopper_pearson_udf(level: float):
 
 def tail_udf(kind: str):
     """p-value column from statistics: ``z``, ``t``, ``chisq`` or ``F`` with its degrees of freedom."""
-    import pandas as pd
-    from pyspark.sql import functions as F
-
     @F.pandas_udf("double")
     def tail(stat: pd.Series, df1: pd.Series, df2: pd.Series) -> pd.Series:
         if kind == "z":
@@ -176,9 +172,20 @@ def tail_udf(kind: str):
 
 
 def hypergeom_two_sided(a: float, b: float, c: float, d: float) -> float:
-    """Two-sided Fisher probability of a 2 x 2 table: all tables no likelier than the one seen."""
+    """Two-sided Fisher probability of a 2 x 2 table: all tables no likelier than the one seen.
+
+    Tables more than 40 standard deviations from the mean lie below the smallest
+    double, so only the range around the mean is summed.
+    """
     r1, c1, n = a + b, a + c, a + b + c + d
-    lo, hi = max(0, r1 + c1 - n), min(r1, c1)
+    if n == 0:
+        return math.nan
+    mean = r1 * c1 / n
+    sd = math.sqrt(max(mean * (1 - r1 / n) * (n - c1) / max(n - 1, 1), 0.0))
+    lo = max(0, r1 + c1 - n, math.floor(mean - 40 * sd - 40))
+    hi = min(r1, c1, math.ceil(mean + 40 * sd + 40))
+    if not lo <= a <= hi:
+        return 0.0
     x = np.arange(lo, hi + 1)
     logp = (_lgamma(r1 + 1) - _lgamma(x + 1) - _lgamma(r1 - x + 1)
             + _lgamma(n - r1 + 1) - _lgamma(c1 - x + 1) - _lgamma(n - r1 - c1 + x + 1)

@@ -76,12 +76,14 @@ def prefix_counts(counts: DataFrame, by: Sequence[str], value: str, n: str, buck
     """
     by = list(by)
     cuts = [i / buckets for i in range(1, buckets)]
-    facts = counts.groupBy(*by).agg(
-        F.percentile_approx(value, cuts, 1000).alias("__cuts"), F.sum(n).alias("total")
-    )
-    placed = keyed_join(counts, facts, by, "inner").withColumn(
-        "__b", F.expr(f"size(filter(__cuts, c -> c < {value}))")
-    ).drop("__cuts")
+    # cuts and total travel in one array: every use then asks for the same columns
+    # of ``counts``, so Spark computes and shuffles that table once
+    sketch = F.percentile_approx(F.col(value).cast("double"), cuts, 1000)
+    facts = counts.groupBy(*by).agg(F.concat(sketch, F.array(F.sum(n).cast("double"))).alias("__f"))
+    placed = keyed_join(counts, facts, by, "inner").withColumns({
+        "__b": F.expr(f"aggregate(slice(__f, 1, {buckets - 1}), 0, (k, c) -> k + int(c < {value}))"),
+        "total": F.element_at("__f", -1).cast("bigint"),
+    }).drop("__f")
     per_bucket = placed.groupBy(*by, "__b").agg(F.sum(n).alias("__bn"))
     over_buckets = W.partitionBy(*by).orderBy("__b").rowsBetween(W.unboundedPreceding, -1)
     offsets = per_bucket.withColumn("__off", F.coalesce(F.sum("__bn").over(over_buckets), F.lit(0))).drop("__bn")
