@@ -45,11 +45,15 @@ def local_session(cpus: str | int = 8, app: str = "cohortsmith") -> SparkSession
 def checkpointed(df):
     """Cut lineage through the cluster's checkpoint folder.
 
-    The folder named by ``spark.checkpoint.dir`` is used as it is. Only where
-    none is set, as in tests, is one made here.
+    The folder named by ``spark.checkpoint.dir`` is used as it is. Only in local
+    mode with none set, as in tests, is one made here.
     """
     sc = df.sparkSession.sparkContext
     if sc.getCheckpointDir() is None:
-        configured = sc.getConf().get("spark.checkpoint.dir", None)
-        sc.setCheckpointDir(configured or tempfile.mkdtemp(prefix="checkpoint-"))
+        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+        if not folder:
+            if not sc.master.startswith("local"):
+                raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+            folder = tempfile.mkdtemp(prefix="checkpoint-")
+        sc.setCheckpointDir(folder)
     return df.checkpoint(eager=True)
