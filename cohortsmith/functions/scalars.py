@@ -190,15 +190,16 @@ def qualified_param(*parts: Column | str) -> Column:
 
 # ---- text ----------------------------------------------------------------
 
+_POPULATION_WORDS = ("safety", "efficacy", "intent-to-treat", "itt", "completers", "all subjects")
 _QUALIFIER_WORDS = ("completers", "observed cases", "windowed", "locf", "oc", "male subjects", "female subjects")
 
 
 def normalise_title(title: Column | str, study_id: Column | str | None = None) -> Column:
-    """Title core for duplicate search: lower case, no study id, parentheses, qualifiers or punctuation."""
+    """Title core for duplicate search: lower case, no study id, population in parentheses, qualifiers or punctuation."""
     t = F.lower(_c(title))
     if study_id is not None:
-        t = F.replace(t, F.lower(_c(study_id)), F.lit(" "))
-    t = F.regexp_replace(t, r"\([^)]*\)", " ")
+        t = F.regexp_replace(t, F.concat(F.lit(r"(?<!\w)\Q"), F.lower(_c(study_id)), F.lit(r"\E(?!\w)")), F.lit(" "))
+    t = F.regexp_replace(t, r"\((?:[^)]*\bpopulation\b[^)]*|" + "|".join(_POPULATION_WORDS) + r")\)", " ")
     t = F.regexp_replace(t, r"\b(?:" + "|".join(re.escape(w) for w in _QUALIFIER_WORDS) + r")\b", " ")
     t = F.regexp_replace(t, r"[^a-z0-9+ ]", " ")
     return F.trim(F.regexp_replace(t, r" +", " "))
@@ -229,24 +230,22 @@ def parse_endpoint(df: DataFrame, text: str = "TEXT") -> DataFrame:
     t = F.col(text)
     resolved = ~(t.isNull() | (F.trim(t) == "") | t.rlike(r"(?i)\*\*\* *to be determined|to be determined from protocol"))
 
-    def pick(i: int) -> Column:
-        out = F.lit(None).cast("string")
-        for row in reversed(INSTRUMENTS):
-            out = F.when(t.rlike(row[0]), F.lit(row[i])).otherwise(out)
-        return out
-
+    found = F.coalesce(*[
+        F.when(t.rlike(words), F.struct(F.lit(name).alias("name"), F.lit(kind).alias("kind"), F.lit(domain).alias("domain")))
+        for words, name, kind, domain in INSTRUMENTS])
     spans = F.regexp_extract_all(t, F.lit(r"(?i)(weeks? \d+(?:(?:, *| and | & |, and )\d+)*)"), F.lit(1))
     weeks = F.flatten(F.transform(spans, lambda s: F.regexp_extract_all(s, F.lit(r"(\d+)"), F.lit(1))))
     points = F.array_distinct(F.transform(weeks, lambda w: F.concat(F.lit("Week "), w.cast("int").cast("string"))))
-    none = F.lit(None).cast("string")
-    return df.withColumns({
-        "RESOLVED": resolved,
-        "MEASURE": F.when(resolved, pick(1)).otherwise(none),
-        "MEASURE_TYPE": F.when(resolved, pick(2)).otherwise(none),
-        "DOMAIN_HINT": F.when(resolved, F.coalesce(pick(3), F.lit("other"))).otherwise(none),
-        "TIMEPOINTS": F.when(resolved, points).otherwise(F.array().cast("array<string>")),
-        "WINDOWED": resolved & t.rlike(r"(?i)from week \d+ to week \d+"),
-    })
+    # a one-element inline keeps later filters from copying the parsing below it
+    parsed = F.struct(
+        resolved.alias("RESOLVED"), F.when(resolved, found).alias("__found"),
+        F.when(resolved, points).otherwise(F.array().cast("array<string>")).alias("TIMEPOINTS"),
+        F.coalesce(resolved & t.rlike(r"(?i)from week \d+ to week \d+"), F.lit(False)).alias("WINDOWED"))
+    return df.select("*", F.inline(F.array(parsed))).withColumns({
+        "MEASURE": F.col("__found.name"),
+        "MEASURE_TYPE": F.col("__found.kind"),
+        "DOMAIN_HINT": F.when(F.col("RESOLVED"), F.coalesce("__found.domain", F.lit("other"))),
+    }).drop("__found")
 
 
 # Level codes and the level each stands for.

@@ -145,10 +145,11 @@ def efficacy(endpoints: DataFrame, estimands: DataFrame | None = None) -> DataFr
     else:
         joined = joined.withColumn("strategy", F.lit(None).cast("string"))
     joined = joined.withColumn("strategy", F.coalesce("strategy", F.lit("Treatment Policy"))).join(strategies, "strategy", "left")
+    # outer explode: a plain one would push a copy of the whole parsing below the joins as a filter
     points = F.col("TIMEPOINTS")
     whole = F.when(F.size(points) > 0, F.when(F.col("WINDOWED"), F.array_join(points, " to ")).otherwise(F.array_join(points, " & ")))
     times = F.when(F.col("per_time") & ~F.col("WINDOWED") & (F.size(points) > 1), points).otherwise(F.array(whole))
-    rows = joined.withColumn("timepoint", F.explode(times)).withColumns({
+    rows = joined.withColumn("__times", times).withColumn("timepoint", F.explode_outer("__times")).withColumns({
         "candidate_id": F.lower(F.concat_ws("-", F.lit("eff"), "endpoint_id", "role",
                                             F.when(F.col("per_time") & ~F.col("WINDOWED") & (F.size(points) > 1), F.regexp_replace("timepoint", " ", "")))),
         "title": F.concat_ws(" - ", F.col("MEASURE"), F.col("method"), F.col("timepoint")),
@@ -208,9 +209,9 @@ def expand_variants(cands: DataFrame, profiles: DataFrame, regions: Sequence[str
         fan.append(variant(f"locf-{s.lower()}", "LOCF", f"Sex={s}", None, "supportive", f"{s} subjects", has("needs_subgroup_by_sex")))
     for r in regions:
         fan.append(variant(f"locf-{r.lower()}", "LOCF", f"Region={r}", None, "supportive", f"{r} subjects", has("needs_subgroup_by_region")))
-    rows = flagged.withColumn("__v", F.explode(F.when(seed, F.array_compact(F.array(*fan))).otherwise(F.array(plain))))
+    rows = flagged.withColumn("__v", F.explode_outer(F.when(seed, F.array_compact(F.array(*fan))).otherwise(F.array(plain))))
     rows = rows.withColumn("__times", F.when(F.col("timepoint").contains(" & "), F.split("timepoint", " & ")).otherwise(F.array("timepoint")))
-    rows = rows.withColumn("__split", F.size("__times") > 1).withColumn("__t", F.explode("__times"))
+    rows = rows.withColumn("__split", F.size("__times") > 1).withColumn("__t", F.explode_outer("__times"))
     note = F.when(F.col("__v.token").isNotNull() | F.col("__split"), F.array(F.lit("variant assumed")))
     return rows.withColumns({
         "candidate_id": F.concat_ws("-", "candidate_id", "__v.token", F.when(F.col("__split"), F.lower(F.regexp_replace("__t", " ", "")))),
@@ -440,23 +441,22 @@ def reconcile(numbered: DataFrame) -> DataFrame:
         F.count_if(ok).alias("planned"), F.count_if(~ok).alias("flagged"))
 
 
-def assemble_specs(numbered: DataFrame, arms: DataFrame) -> DataFrame:
-    """One analysis recipe per planned output: set and record conditions, method rows and arm levels as JSON.
-
-    Levels are listed per study in arm order; a protocol has a handful of arms.
-    """
+def assemble_specs(numbered: DataFrame) -> DataFrame:
+    """One analysis recipe per planned output: set and record conditions and the method."""
     spark = numbered.sparkSession
     pops = _rule_table(spark, list(cat.POPULATIONS.items()), "population string, set_condition string")
     imps = _rule_table(spark, list(cat.IMPUTATION_FLAGS.items()), "imputation string, record_condition string")
-    level = F.struct("position", F.col("name").alias("value"), (F.col("position") == 0).alias("isReference"))
-    levels = arms.groupBy("study_id").agg(F.sort_array(F.collect_list(level)).alias("levels"))
     df = numbered.filter(F.col("status") == "planned").join(pops, "population", "left").join(imps, "imputation", "left")
-    df = keyed_join(df, levels, STUDY)
     return df.select(
         "study_id", "candidate_id", F.regexp_replace("final_id", "^[TLF]-", "").alias("table_id"), "set_condition",
         F.concat_ws(" AND ", F.when(F.col("category") == "efficacy", F.col("record_condition")),
                     F.when(F.col("timepoint").rlike(r"^Week \d+$"), F.concat(F.lit("AVISIT = '"), "timepoint", F.lit("'")))).alias("record_condition"),
-        F.col("method"), F.to_json(F.col("levels")).alias("levels"))
+        F.col("method"))
+
+
+def arm_levels(arms: DataFrame) -> DataFrame:
+    """Treatment levels of each study in order, the first being the reference; shared by all its recipes."""
+    return arms.select("study_id", F.col("position").alias("level_order"), F.col("name").alias("level"), (F.col("position") == 0).alias("is_reference"))
 
 
 def aggregate_needs(cands: DataFrame) -> DataFrame:

@@ -46,7 +46,7 @@ def kaplan_meier(df: DataFrame, by: Sequence[str] = ("ARM",), time: str = "AVAL"
     return out.withColumns({
         "se": F.col("survival") * F.sqrt("__v"),
         "lower": F.col("survival") / spread,
-        "upper": F.least(F.lit(1.0), F.col("survival") * spread),
+        "upper": F.when(F.col("__v").isNotNull(), F.least(F.lit(1.0), F.col("survival") * spread)),
     }).drop("__v")
 
 

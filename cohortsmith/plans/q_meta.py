@@ -333,7 +333,12 @@ def _(spark, sf):
     concat_ws(' AND ', CASE WHEN category = 'efficacy' THEN CASE imputation WHEN 'OC' THEN 'ANL02FL = ''Y''' ELSE 'ANL01FL = ''Y''' END END, 'AVISIT = ''' || timepoint || '''') AS record_condition, method
   FROM num WHERE status = 'planned'""", num=_NUMBERED))
 def _(spark, sf):
-    return p.assemble_specs(p.number_outputs(_cands(spark, sf)), meta(spark, sf, "m_arm")).drop("levels")
+    return p.assemble_specs(p.number_outputs(_cands(spark, sf)))
+
+
+@query("arm_levels", sql("m_arm", "SELECT study_id, position AS level_order, name AS level, position = 0 AS is_reference FROM m_arm"))
+def _(spark, sf):
+    return p.arm_levels(meta(spark, sf, "m_arm"))
 
 
 @query("aggregate_needs", sql("m_cand", """

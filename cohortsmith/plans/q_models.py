@@ -137,11 +137,9 @@ _KM = """SELECT *, CASE WHEN dead THEN 0.0 ELSE exp(ls) END AS survival, CASE WH
 
 @query("kaplan_meier", with_views("tte", """
   SELECT ARM, t, d, c, at_risk, r6(survival) AS survival, r6(survival * sqrt(vv)) AS se, r6(survival / exp(1.959963984540054 * sqrt(vv))) AS lower,
-    r6(least(1.0, survival * exp(1.959963984540054 * sqrt(vv)))) AS upper FROM km""", risk=_RISK, km=_KM))
+    CASE WHEN vv IS NOT NULL THEN r6(least(1.0, survival * exp(1.959963984540054 * sqrt(vv)))) END AS upper FROM km""", risk=_RISK, km=_KM))
 def _(spark, sf):
-    # a missing variance keeps the upper limit missing, not one
-    out = sv.kaplan_meier(v.tte(spark, sf))
-    return out
+    return sv.kaplan_meier(v.tte(spark, sf))
 
 
 @query("km_landmarks", with_views("tte", """

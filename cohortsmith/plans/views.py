@@ -10,6 +10,7 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ..operators.groups import keyed_join
 from ..operators.windows import Visit
 
 ARMS = {"Placebo": 0, "Low Dose": 54, "High Dose": 81}
@@ -56,7 +57,7 @@ def obs(spark, sf) -> DataFrame:
     adsl = subjects(spark, sf).select("USUBJID", "SITEID", "REGION", "ARM", "TRT01PN", "ITTFL", "SAFFL", "TRTSDT", "TRTEDT")
     from ..functions.scalars import study_day
 
-    return rec.join(adsl, "USUBJID").withColumn("ADY", study_day("ADT", "TRTSDT").cast("bigint"))
+    return keyed_join(rec, adsl, ["USUBJID"], "inner").withColumn("ADY", study_day("ADT", "TRTSDT").cast("bigint"))
 
 
 def ae(spark, sf) -> DataFrame:
@@ -69,7 +70,7 @@ def ae(spark, sf) -> DataFrame:
         F.date_add(start, (F.col("event_id") % 5).cast("int")).alias("AENDT"), F.col("event_id").alias("AESEQ"),
         (F.lit(1) + k % 3).alias("AESEVN"), F.when(k % 7 == 0, "Y").otherwise("N").alias("AESER"))
     adsl = subjects(spark, sf).select("USUBJID", "ARM", "ITTFL", "SAFFL", "TRTSDT", "TRTEDT")
-    return rec.join(adsl, "USUBJID")
+    return keyed_join(rec, adsl, ["USUBJID"], "inner")
 
 
 def dosing(spark, sf) -> DataFrame:
@@ -77,7 +78,7 @@ def dosing(spark, sf) -> DataFrame:
         F.col("l_orderkey").alias("o_orderkey"), F.col("l_quantity").alias("EXDOSE"), F.to_date("l_shipdate").alias("EXSTDT"),
         F.date_add(F.to_date("l_shipdate"), F.col("l_linenumber").cast("int")).alias("EXENDT"))
     o = table(spark, sf, "orders").select("o_orderkey", F.col("o_custkey").alias("USUBJID"))
-    return li.join(o, "o_orderkey").drop("o_orderkey")
+    return keyed_join(li, o, ["o_orderkey"], "inner").drop("o_orderkey")
 
 
 def disp(spark, sf) -> DataFrame:
