@@ -66,24 +66,28 @@ def extreme_rows(df: DataFrame, by: Sequence[str], order: Sequence[Column | str]
     )
 
 
-def prefix_counts(counts: DataFrame, by: Sequence[str], value: str, n: str, buckets: int = 256) -> DataFrame:
+def prefix_counts(counts: DataFrame, by: Sequence[str], value: str, n: str, step: int = 16) -> DataFrame:
     """Rows strictly below each distinct value and in total, as ``below`` and ``total``.
 
-    ``counts`` has one row per (by, value). Values are cut into about ``buckets``
+    ``counts`` has one row per (by, value). Values are cut into up to ``step`` squared
     ranges of like size from a mergeable quantile sketch; a running sum over the
     ranges gives each range its offset, and a second running sum stays inside one
     range. The sketch only balances the work, it does not touch the result.
     """
     by = list(by)
-    cuts = [i / buckets for i in range(1, buckets)]
+    m = step - 1
+    cuts = [i / step ** 2 for i in range(1, step ** 2)]
     # cuts and total travel in one array: every use then asks for the same columns
     # of ``counts``, so Spark computes and shuffles that table once
     sketch = F.percentile_approx(F.col(value).cast("double"), cuts, 1000)
-    facts = counts.groupBy(*by).agg(F.concat(sketch, F.array(F.sum(n).cast("double"))).alias("__f"))
-    placed = keyed_join(counts, facts, by, "inner").withColumns({
-        "__b": F.expr(f"aggregate(slice(__f, 1, {buckets - 1}), 0, (k, c) -> k + int(c < {value}))"),
+    facts = counts.groupBy(*by).agg(F.concat(sketch, F.array(F.sum(n).cast("double"))).alias("__f")).withColumn(
+        "__g", F.expr(f"transform(sequence({step}, {m * step}, {step}), i -> __f[i - 1])"))
+    # a value is placed among every ``step``-th cut first, then among the cuts in between
+    below = f"(k, c) -> k + int(c < {value})"
+    placed = keyed_join(counts, facts, by, "inner").withColumn("__c", F.expr(f"aggregate(__g, 0, {below})")).withColumns({
+        "__b": F.expr(f"__c * {step} + aggregate(slice(__f, __c * {step} + 1, {m}), 0, {below})"),
         "total": F.element_at("__f", -1).cast("bigint"),
-    }).drop("__f")
+    }).drop("__f", "__g", "__c")
     per_bucket = placed.groupBy(*by, "__b").agg(F.sum(n).alias("__bn"))
     over_buckets = W.partitionBy(*by).orderBy("__b").rowsBetween(W.unboundedPreceding, -1)
     offsets = per_bucket.withColumn("__off", F.coalesce(F.sum("__bn").over(over_buckets), F.lit(0))).drop("__bn")

@@ -283,10 +283,16 @@ def dedup_candidates(cands: DataFrame) -> tuple[DataFrame, DataFrame]:
     merges = marked.filter(F.col("candidate_id") != F.col("survivor_id")).select(
         "study_id", "survivor_id", F.col("candidate_id").alias("merged_id"), F.col("produced_by").alias("merged_from"))
     survivors = marked.filter(F.col("candidate_id") == F.col("survivor_id"))
-    for field in ("objective_ids", "endpoint_ids", "req_adam", "req_sdtm"):
-        values = keyed.select(*key, F.explode(field).alias("__x")).distinct().groupBy(*key).agg(
-            F.sort_array(F.collect_list("__x")).alias("__u"))
-        survivors = keyed_join(survivors, values, key).withColumn(field, F.coalesce("__u", F.array().cast("array<string>"))).drop("__u")
+    fields = ("objective_ids", "endpoint_ids", "req_adam", "req_sdtm")
+
+    def tagged(field: str) -> Column:
+        return F.transform(field, lambda x: F.struct(F.lit(field).alias("f"), x.alias("x")))
+
+    pairs = F.flatten(F.array(*[tagged(f) for f in fields]))
+    # only groups with losers need a union
+    shared = marked.filter("n_merged > 1").select(*key, F.inline(pairs)).distinct().groupBy(*key).agg(
+        *[F.sort_array(F.collect_list(F.when(F.col("f") == f, F.col("x")))).alias(f"__{f}") for f in fields])
+    survivors = keyed_join(survivors, shared, key).withColumns({f: F.coalesce(f"__{f}", f) for f in fields})
     survivors = survivors.withColumn("regulatory_rule", F.coalesce("regulatory_rule", "__rule"))
     return survivors.select(*CANDIDATE, "n_merged"), merges
 
