@@ -18,7 +18,7 @@ def model(spark):
     arms = spark.createDataFrame([("S", "Placebo", "Placebo Control Arm", 0), ("S", "Low", "Active", 1), ("S", "High", "Active", 2)], "study_id string, name string, type string, position int")
     studies = spark.createDataFrame([("S", "Phase II Trial", "A study")], "study_id string, phase string, title string")
     extra = spark.createDataFrame([("S", True, True)], "study_id string, needs_tte_safety_figure boolean, needs_subgroup_by_sex boolean")
-    return ends, objs, arms, p.profile_studies(studies, ends, arms, extra)
+    return ends, objs, arms, p.profile_studies(studies, ends, arms, extra).cache()
 
 
 def test_expected_outputs_of_a_pilot_like_study(spark):
@@ -27,22 +27,23 @@ def test_expected_outputs_of_a_pilot_like_study(spark):
     assert (row["control_type"], row["design"], row["blinding"], row["therapeutic_area"], row["multi_site"]) == ("placebo", "parallel", "double-blind", "CNS", True)
     eff, saf, sca, spe = p.efficacy(ends), p.safety(ends, prof), p.scaffolding(prof), p.special(prof)
     assert (eff.count(), saf.count(), sca.count(), spe.count()) == (10, 12, 6, 0)
-    full = p.expand_variants(eff.unionByName(saf).unionByName(sca), prof)
+    full = p.expand_variants(eff.unionByName(saf).unionByName(sca), prof).cache()
     assert full.select("candidate_id").distinct().count() == full.count() == 13 + 12 + 6
     survivors, merges = p.dedup_candidates(full)
+    survivors = survivors.cache()
     assert merges.count() == 0 and survivors.count() == 31
     inv = spark.createDataFrame([("S", x) for x in "AE CM DM DS EX LB QS VS".split()], "study_id string, domain string")
     extra = p.candidates(spark.createDataFrame([("S", "dev", "other", ["DV"], "rule"), ("S", "dad", "efficacy", ["QS"], None)],
                                                "study_id string, candidate_id string, category string, req_sdtm array<string>, regulatory_rule string").withColumn(
         "endpoint_ids", F.when(F.col("candidate_id") == "dad", F.array(F.lit("E9")))))
-    ready = p.feasibility(survivors.drop("n_merged").unionByName(extra), ends.filter("NOT RESOLVED"), inv)
+    ready = p.feasibility(survivors.drop("n_merged").unionByName(extra), ends.filter("NOT RESOLVED"), inv).cache()
     assert {r["candidate_id"]: r["status"] for r in ready.filter("status <> 'planned'").collect()} == {"dev": "blocked", "dad": "needs-clarification"}
     numbered = p.number_outputs(ready).cache()
     ids = {r["final_id"] for r in numbered.filter("status = 'planned'").collect()}
     assert len(ids) == 31 and "F-14-1" in ids and "T-14-3.13" in ids and "T-14-6.06" in ids and "T-14-7.04" in ids
     assert numbered.filter("status <> 'planned' AND final_id IS NOT NULL").count() == 0
-    planned = numbered.filter("status = 'planned'")
-    cov = p.coverage(ends, planned)
+    planned = numbered.filter("status = 'planned'").cache()
+    cov = p.coverage(ends, planned).cache()
     assert {r["coverage"]: r["count"] for r in cov.groupBy("coverage").count().collect()} == {"covered": 8, "clarification": 3}
     objective = {r["objective_id"]: r["coverage"] for r in p.objective_coverage(objs, cov, planned).collect()}
     assert objective == {"O1": "covered", "O2": "covered", "O3": "covered", "O4": "clarification", "O5": "clarification", "O6": "clarification"}
@@ -76,7 +77,7 @@ def test_graph(spark):
     assert edges == {("obj:O1", "end:E1", False), ("obj:O2", "end:E2", False), ("end:E1", "tlf:c1", False), ("obj:O2", "tlf:c2", False), ("reg:ICH-E3", "tlf:c2", False),
                      ("tlf:c1", "adam:ADY", False), ("tlf:c2", "adam:ADX", False), ("adam:ADX", "sdtm:AA", False), ("adam:ADY", "sdtm:BB", False),
                      ("tlf:c1", "sdtm:AA", True), ("tlf:c2", "sdtm:ZZ", True)}
-    nodes = g.build_nodes(objs, ends, tlfs, adam, uses)
+    nodes = g.build_nodes(objs, ends, tlfs, adam, uses).cache()
     assert {r["id"]: r["absent"] for r in nodes.filter("type = 'SDTM'").collect()} == {"sdtm:AA": False, "sdtm:BB": False, "sdtm:ZZ": True}
     root = spark.createDataFrame([("S", "adam:ADY")], "study_id string, id string")
     around = {(r["id"], r["direction"]) for r in g.lineage(g.build_edges(objs, ends, tlfs, adam, uses), root).collect()}
