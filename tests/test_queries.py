@@ -6,6 +6,15 @@ import __spark_entry__ as entry_module
 from check import compare, oracle_connection
 
 
+@pytest.fixture(scope="module", autouse=True)
+def few_partitions(spark):
+    """These inputs are tiny; fewer partitions make the module quicker."""
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "2")
+    yield
+    spark.conf.set("spark.sql.shuffle.partitions", old)
+
+
 @pytest.fixture(scope="module")
 def con(sf):
     return oracle_connection(sf)
