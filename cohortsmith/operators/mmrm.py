@@ -136,7 +136,7 @@ class _Reml:
     def fit(self, max_iter=200, tol=1e-10):
         theta = self.start()
         cur = self.evaluate(theta)
-        for _ in range(max_iter):
+        for _ in range(max_iter if cur is not None else 0):
             ll, score, info = cur[:3]
             delta, step = np.linalg.pinv(info, hermitian=True) @ score, 1.0
             while True:
@@ -208,8 +208,14 @@ def mmrm(df: DataFrame, y: str, visit: str, visits: Sequence, treat: str, levels
         if not patterns:
             return []
         model = _Reml(patterns, k, t)
-        theta, (ll, _, _, beta, cov, dcov) = model.fit()
-        a = model.theta_cov(theta)
+        try:
+            theta, fitted = model.fit()
+            a = model.theta_cov(theta) if fitted is not None else None
+        except np.linalg.LinAlgError:
+            fitted = None
+        if fitted is None:  # too little data for an unstructured covariance
+            return [dict(zip(_FIELDS, ("", "loglik", "REML") + (None,) * 7))]
+        ll, _, _, beta, cov, dcov = fitted
         rows = [("", "loglik", "REML", ll) + (None,) * 6]
         rows += [(str(visits[i]), "covariance", str(visits[j]), float(v)) + (None,) * 6
                  for (i, j), v in zip(model.pairs, theta)]
