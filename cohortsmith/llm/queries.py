@@ -6,12 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .cascade import op8_rule_cascade
 from .mixing import OP9_SQL, op9_curriculum_mix
 from .pieces import op10_piece_encoding
+from .preference import op6_preference_quality
 from .ring import op7_bounded_ring
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op6_preference_quality": op6_preference_quality,
     "op7_bounded_ring": op7_bounded_ring,
+    "op8_rule_cascade": op8_rule_cascade,
     "op9_curriculum_mix": op9_curriculum_mix,
     "op10_piece_encoding": op10_piece_encoding,
 }
