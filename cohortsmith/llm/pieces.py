@@ -3,17 +3,18 @@
 A text starts as a row of characters. An agenda holds every pair of neighbours whose join is a piece, best score first and leftmost first among
 equals; the best pair is joined and its new neighbours enter the agenda, until it is empty. Characters without a piece become their UTF-8 bytes.
 No piece of such a vocabulary holds a space mark after another character, so a text falls into independent chunks at its spaces (and at line
-ends, where no piece has one), and the ids of a chunk are kept in a bounded memory. Every Arrow batch is checked against the sentencepiece library
-and the task fails at the first difference.
+ends, where no piece has one), and the ids of a chunk are kept in a bounded memory. In every Arrow batch the sentencepiece library encodes all chunks that are
+new and the first text as a whole, and decodes the ids of all texts; the task fails at the first difference.
 
 Null and empty texts have no ids. Rows are independent, so repeated rows and ties need no rule.
 """
 
 from __future__ import annotations
 
-import heapq
 import re
 from collections.abc import Iterable, Iterator
+from heapq import heapify, heappop, heappush
+from itertools import chain
 
 import pyarrow as pa
 import sentencepiece
@@ -22,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .common import documents, sha256, to_table
 
 SPACE = "▁"
-MEMORY = 400_000
+MEMORY = 700_000
 
 
 class PieceCodec:
@@ -34,32 +35,33 @@ class PieceCodec:
         ids = range(lib.get_piece_size())
         plain = [i for i in ids if not (lib.is_control(i) or lib.is_unknown(i) or lib.is_byte(i) or lib.is_unused(i))]
         self.ids = {lib.id_to_piece(i): i for i in plain}
-        self.scores = {lib.id_to_piece(i): lib.get_score(i) for i in plain}
+        self.ranks = {lib.id_to_piece(i): -lib.get_score(i) for i in plain}
         self.byte_ids = {int(lib.id_to_piece(i)[3:5], 16): i for i in ids if lib.is_byte(i)}
         if len(self.byte_ids) != 256:
             raise ValueError("the vocabulary needs byte fallback")
         inner = {c for piece in self.ids if len(piece) > 1 for c in piece}
         if any(SPACE in piece.lstrip(SPACE) for piece in self.ids):
             raise ValueError("a piece holds a space mark after another character")
-        stop = "" if "\n" in inner else "\n"
+        self.stop = stop = "" if "\n" in inner else "\n"
         self.chunk = re.compile(f"{SPACE}*[^{SPACE}{stop}]+|{SPACE}+" + ("|\n" if stop else ""))
         self.parts = [bytes([int(lib.id_to_piece(i)[3:5], 16)]) if lib.is_byte(i) else b"" if lib.is_control(i) else lib.id_to_piece(i).replace(SPACE, " ").encode() for i in ids]
         self.prefix = SPACE if lib.encode("a", out_type=str)[0].startswith(SPACE) else ""  # some models put a space before every text
-        self.known: dict[str, tuple[str, int, list[int]]] = {}
+        self.known: dict[str, tuple[str, list[int], bytes]] = {}
 
     def merge(self, text: str) -> list[int]:
         """Ids of one chunk by the agenda."""
         symbols: list[str | None] = list(text)
-        n, scores = len(symbols), self.scores
+        n, ranks = len(symbols), self.ranks
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
         agenda = []
         for i in range(n - 1):
-            score = scores.get(symbols[i] + symbols[i + 1])
-            if score is not None:
-                agenda.append((-score, i, symbols[i] + symbols[i + 1]))
-        heapq.heapify(agenda)
+            piece = text[i : i + 2]
+            rank = ranks.get(piece)
+            if rank is not None:
+                agenda.append((rank, i, piece))
+        heapify(agenda)
         while agenda:
-            _, i, piece = heapq.heappop(agenda)
+            _, i, piece = heappop(agenda)
             j = after[i]
             if symbols[i] is None or j >= n or len(symbols[i]) + len(symbols[j]) != len(piece):
                 continue  # one of the two has been joined meanwhile
@@ -67,14 +69,14 @@ class PieceCodec:
             after[i] = k = after[j]
             if k < n:
                 before[k] = i
-                score = scores.get(piece + symbols[k])
-                if score is not None:
-                    heapq.heappush(agenda, (-score, i, piece + symbols[k]))
+                rank = ranks.get(piece + symbols[k])
+                if rank is not None:
+                    heappush(agenda, (rank, i, piece + symbols[k]))
             h = before[i]
             if h >= 0:
-                score = scores.get(symbols[h] + piece)
-                if score is not None:
-                    heapq.heappush(agenda, (-score, h, symbols[h] + piece))
+                rank = ranks.get(symbols[h] + piece)
+                if rank is not None:
+                    heappush(agenda, (rank, h, symbols[h] + piece))
         out, ids, byte_ids = [], self.ids, self.byte_ids
         for s in symbols:
             if s is not None:
@@ -85,25 +87,37 @@ class PieceCodec:
                     out.extend(byte_ids[b] for b in s.encode())
         return out
 
-    def _learn(self, chunk: str) -> tuple[str, int, list[int]]:
-        if len(self.known) >= MEMORY:
+    def learn(self, chunks: set[str]) -> None:
+        """Encode chunks not yet known by the agenda; all of them are checked against the library in one call."""
+        new = chunks.difference(self.known)
+        if len(self.known) + len(new) > MEMORY:
             self.known.clear()
-        ids = self.merge(chunk)
-        got = self.known[chunk] = (",".join(map(str, ids)), len(ids), ids)
-        return got
-
-    def chunks(self, text: str | None) -> list[tuple[str, int, list[int]]]:
-        """For each chunk: its ids as text, their number, and the ids."""
-        if not text:
-            return []
-        known, learn = self.known, self._learn
-        return [known.get(c) or learn(c) for c in self.chunk.findall(self.prefix + text.replace(" ", SPACE))]
+            new = chunks
+        new = list(new)
+        found = [self.merge(c) for c in new]
+        if self.stop:  # a line end keeps the chunk apart from the space put before every text
+            lead = self.library.encode(self.stop)
+            if [lead + ids for ids in found] != self.library.encode([self.stop + c for c in new], num_threads=1):
+                raise ValueError("ids differ from the library's")
+        parts = self.parts
+        self.known.update(zip(new, [(",".join(map(str, ids)), ids, b"".join([parts[i] for i in ids])) for ids in found]))
+
+    def batch(self, texts: list[str]) -> list[list[tuple[str, list[int], bytes]]]:
+        """For each text its chunks: their ids as text, the ids, and the bytes they decode to."""
+        split = [self.chunk.findall(self.prefix + t.replace(" ", SPACE)) if t else [] for t in texts]
+        self.learn(set(chain.from_iterable(split)))
+        known = self.known
+        return [[known[c] for c in row] for row in split]
 
     def encode(self, text: str | None) -> list[int]:
-        return [i for _, _, ids in self.chunks(text) for i in ids]
+        return list(chain.from_iterable([ids for _, ids, _ in self.batch([text or ""])[0]]))
 
     def decode(self, ids: list[int]) -> str:
-        text = b"".join([self.parts[i] for i in ids]).decode("utf-8", "replace")
+        return self.read([self.parts[i] for i in ids])
+
+    def read(self, parts: list[bytes]) -> str:
+        """The text of decoded parts, without the space put before it."""
+        text = b"".join(parts).decode("utf-8", "replace")
         return text[1:] if self.prefix and text[:1] == " " else text
 
 
@@ -117,7 +131,7 @@ def codec(path: str) -> PieceCodec:
     return _codecs[path]
 
 
-def _step(texts: list[str | None], limit: int = 4 << 20) -> Iterator[tuple[int, int]]:
+def _step(texts: list[str | None], limit: int = 1 << 20) -> Iterator[tuple[int, int]]:
     """Ranges of rows with a bounded number of characters, so that long texts do not pile up ids."""
     start = size = 0
     for i, t in enumerate(texts):
@@ -144,15 +158,18 @@ def encode_texts(docs: DataFrame, keep: list[str], model_path: str, *, text_col:
             texts = batch.column(batch.schema.names.index("_text_")).to_pylist()
             for a, b in _step(texts):
                 part = [t or "" for t in texts[a:b]]
-                coded = [c.chunks(t) for t in part]
-                lists = [[i for _, _, x in row for i in x] for row in coded]
-                if lists != c.library.encode(part, num_threads=1):
+                coded = c.batch(part)
+                lists = [list(chain.from_iterable([ids for _, ids, _ in row])) for row in coded]
+                whole = 1 if c.stop else len(part)  # texts checked as they are, beside all of their chunks
+                if lists[:whole] != c.library.encode(part[:whole], num_threads=1):
                     raise ValueError("ids differ from the library's")
                 decoded = c.library.decode(lists)
-                if any(c.decode(x) != d for x, d in zip(lists, decoded)):
+                if any(c.read([b for _, _, b in row]) != d for row, d in zip(coded, decoded)):
                     raise ValueError("decoded text differs from the library's")
                 out = {"n_tokens": [len(x) for x in lists], "ids_sha256": [sha256(",".join([s for s, _, _ in row]).encode()) for row in coded],
-                       "decoded_sha256": [sha256(d.encode()) for d in decoded], "ids": lists}
+                       "decoded_sha256": [sha256(d.encode()) for d in decoded]}
+                if ids:
+                    out["ids"] = lists
                 new = to_table(out, schema)
                 cols = [batch.column(i).slice(a, b - a) for i in range(len(keep))]
                 yield pa.RecordBatch.from_arrays([*cols, *[new.column(n).combine_chunks() for n in new.schema.names]], names=[*keep, *new.schema.names])
