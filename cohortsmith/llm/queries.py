@@ -11,8 +11,10 @@ from .mixing import OP9_SQL, op9_curriculum_mix
 from .pieces import op10_piece_encoding
 from .preference import op6_preference_quality
 from .ring import op7_bounded_ring
+from .toxicity import op3_string_kernel_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_string_kernel_toxicity": op3_string_kernel_toxicity,
     "op6_preference_quality": op6_preference_quality,
     "op7_bounded_ring": op7_bounded_ring,
     "op8_rule_cascade": op8_rule_cascade,
