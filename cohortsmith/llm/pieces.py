@@ -16,6 +16,7 @@ from collections.abc import Iterable, Iterator
 from heapq import heapify, heappop, heappush
 from itertools import chain
 
+import numpy as np
 import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame, SparkSession
@@ -46,8 +47,82 @@ class PieceCodec:
         self.chunk = re.compile(f"{SPACE}*[^{SPACE}{stop}]+|{SPACE}+" + ("|\n" if stop else ""))
         self.parts = [bytes([int(lib.id_to_piece(i)[3:5], 16)]) if lib.is_byte(i) else b"" if lib.is_control(i) else lib.id_to_piece(i).replace(SPACE, " ").encode() for i in ids]
         self.prefix = SPACE if lib.encode("a", out_type=str)[0].startswith(SPACE) else ""  # some models put a space before every text
+        self._number_pairs()
         self.known: dict[str, tuple[str, list[int], bytes]] = {}
 
+    def _number_pairs(self) -> None:
+        """Joins as sorted numbers (left * size + right) with their rank and piece, and the piece of each character."""
+        size = len(self.parts)
+        joins = []
+        for piece, at in self.ids.items():
+            for cut in range(1, len(piece)):
+                left, right = self.ids.get(piece[:cut]), self.ids.get(piece[cut:])
+                if left is not None and right is not None:
+                    joins.append((left * size + right, self.ranks[piece], at))
+        joins.sort()
+        self.join_keys = np.array([k for k, _, _ in joins] + [np.iinfo(np.int64).max], np.int64)
+        self.join_ranks = np.array([r for _, r, _ in joins] + [np.inf])
+        self.join_ids = np.array([i for _, _, i in joins] + [0], np.int64)
+        self.char_ids = np.full(0x110000, -1, np.int64)
+        for piece, at in self.ids.items():
+            if len(piece) == 1:
+                self.char_ids[ord(piece)] = at
+
+    def _ranks_of(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        key = np.where((left < 0) | (right < 0), -1, left * len(self.parts) + right)
+        at = np.searchsorted(self.join_keys, key)
+        hit = self.join_keys[at] == key
+        return np.where(hit, self.join_ranks[at], np.inf), self.join_ids[at]
+
+    def merge_rows(self, ids: np.ndarray) -> list[list[int]]:
+        """The agenda of many chunks at once: row by row the pieces of the characters, padded with -1; each step joins every row's best pair."""
+        n, width = ids.shape
+        out: list[list[int]] = [[] for _ in range(n)]
+        rows = np.arange(n)
+        place = np.arange(width)
+        rank, join = self._ranks_of(ids[:, :-1], ids[:, 1:])
+        while len(rows):
+            best = np.argmin(rank, axis=1)
+            each = np.arange(len(rows))
+            done = np.isinf(rank[each, best])
+            if done.any():
+                for r, row in zip(rows[done].tolist(), ids[done].tolist()):
+                    out[r] = row[: row.index(-1)] if row[-1] < 0 else row
+                live = ~done
+                rows, ids, rank, join, best = rows[live], ids[live], rank[live], join[live], best[live]
+                each = np.arange(len(rows))
+            if not len(rows):
+                break
+            ids[each, best] = join[each, best]
+            # close the gap: everything after the joined pair moves one place left
+            move = np.minimum(place + (place > best[:, None]), width - 1)
+            ids = np.take_along_axis(ids, move, 1)
+            ids[:, -1] = -1
+            move = np.minimum(place[: width - 1] + (place[: width - 1] > best[:, None]), width - 2)
+            rank, join = np.take_along_axis(rank, move, 1), np.take_along_axis(join, move, 1)
+            rank[:, -1] = np.inf
+            for at in (best - 1, best):  # the joined piece with its new neighbours
+                ok = (at >= 0) & (at < width - 1)
+                e, a = each[ok], at[ok]
+                rank[e, a], join[e, a] = self._ranks_of(ids[e, a], ids[e, a + 1])
+        return out
+
+    def merge_all(self, chunks: list[str], long: int = 48) -> list[list[int]]:
+        """Ids of many chunks; short ones of known characters side by side, the others one by one."""
+        out: list[list[int] | None] = [None] * len(chunks)
+        order = sorted((i for i, c in enumerate(chunks) if 1 < len(c) <= long), key=lambda i: len(chunks[i]))
+        for a in range(0, len(order), 8192):
+            part = order[a : a + 8192]
+            width = len(chunks[part[-1]])
+            flat = np.frombuffer("".join([chunks[i].ljust(width, "\0") for i in part]).encode("utf-32-le"), np.uint32).reshape(len(part), width)
+            ids = self.char_ids[flat]
+            inside = place_in(width, [len(chunks[i]) for i in part])
+            plain = ((ids >= 0) | ~inside).all(1)
+            ids[~inside] = -1
+            for i, got in zip([i for i, p in zip(part, plain.tolist()) if p], self.merge_rows(ids[plain])):
+                out[i] = got
+        return [self.merge(c) if got is None else got for c, got in zip(chunks, out)]
+
     def merge(self, text: str) -> list[int]:
         """Ids of one chunk by the agenda."""
         symbols: list[str | None] = list(text)
@@ -94,7 +169,7 @@ class PieceCodec:
             self.known.clear()
             new = chunks
         new = list(new)
-        found = [self.merge(c) for c in new]
+        found = self.merge_all(new)
         if self.stop:  # a line end keeps the chunk apart from the space put before every text
             lead = self.library.encode(self.stop)
             if [lead + ids for ids in found] != self.library.encode([self.stop + c for c in new], num_threads=1):
@@ -121,6 +196,10 @@ class PieceCodec:
         return text[1:] if self.prefix and text[:1] == " " else text
 
 
+def place_in(width: int, lengths: list[int]) -> np.ndarray:
+    return np.arange(width) < np.array(lengths)[:, None]
+
+
 _codecs: dict[str, PieceCodec] = {}
 
 
