@@ -8,12 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .cascade import op8_rule_cascade
 from .mixing import OP9_SQL, op9_curriculum_mix
+from .passages import OP1_SQL, op1_phrase_automata
 from .pieces import op10_piece_encoding
 from .preference import op6_preference_quality
 from .ring import op7_bounded_ring
 from .toxicity import op3_string_kernel_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_phrase_automata": op1_phrase_automata,
     "op3_string_kernel_toxicity": op3_string_kernel_toxicity,
     "op6_preference_quality": op6_preference_quality,
     "op7_bounded_ring": op7_bounded_ring,
@@ -21,4 +23,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_curriculum_mix": op9_curriculum_mix,
     "op10_piece_encoding": op10_piece_encoding,
 }
-ORACLE: dict[str, str] = {"op9_curriculum_mix": OP9_SQL}
+ORACLE: dict[str, str] = {"op1_phrase_automata": OP1_SQL, "op9_curriculum_mix": OP9_SQL}
