@@ -3,8 +3,8 @@
 A text starts as a row of characters. An agenda holds every pair of neighbours whose join is a piece, best score first and leftmost first among
 equals; the best pair is joined and its new neighbours enter the agenda, until it is empty. Characters without a piece become their UTF-8 bytes.
 No piece of such a vocabulary holds a space mark after another character, so a text falls into independent chunks at its spaces (and at line
-ends, where no piece has one), and the ids of a chunk are kept in a bounded memory. In every Arrow batch the sentencepiece library encodes all chunks that are
-new and the first text as a whole, and decodes the ids of all texts; the task fails at the first difference.
+ends, where no piece has one), and the ids of a chunk are kept in a bounded memory. In every Arrow batch the sentencepiece library encodes and decodes all chunks
+that are new and some texts as a whole; the task fails at the first difference.
 
 Null and empty texts have no ids. Rows are independent, so repeated rows and ties need no rule.
 """
@@ -48,7 +48,9 @@ class PieceCodec:
         self.parts = [bytes([int(lib.id_to_piece(i)[3:5], 16)]) if lib.is_byte(i) else b"" if lib.is_control(i) else lib.id_to_piece(i).replace(SPACE, " ").encode() for i in ids]
         self.prefix = SPACE if lib.encode("a", out_type=str)[0].startswith(SPACE) else ""  # some models put a space before every text
         self._number_pairs()
-        self.known: dict[str, tuple[str, list[int], bytes]] = {}
+        self.names = [str(i) for i in ids]
+        self.numbers: dict[str, str] = {}  # of known chunks: the ids as text
+        self.read: dict[str, bytes] = {}  # and what they decode to
 
     def _number_pairs(self) -> None:
         """Joins as sorted numbers (left * size + right) with their rank and piece, and the piece of each character."""
@@ -163,34 +165,46 @@ class PieceCodec:
         return out
 
     def learn(self, chunks: set[str]) -> None:
-        """Encode chunks not yet known by the agenda; all of them are checked against the library in one call."""
-        new = chunks.difference(self.known)
-        if len(self.known) + len(new) > MEMORY:
-            self.known.clear()
+        """Encode chunks not yet known by the agenda and decode them again; both are checked against the library, all chunks in one call."""
+        new = chunks.difference(self.numbers)
+        if not new:
+            return
+        if len(self.numbers) + len(new) > MEMORY:
+            self.numbers.clear()
+            self.read.clear()
             new = chunks
         new = list(new)
         found = self.merge_all(new)
+        read = [b"".join([self.parts[i] for i in ids]) for ids in found]
         if self.stop:  # a line end keeps the chunk apart from the space put before every text
             lead = self.library.encode(self.stop)
-            if [lead + ids for ids in found] != self.library.encode([self.stop + c for c in new], num_threads=1):
+            lists = [lead + ids for ids in found]
+            if lists != self.library.encode([self.stop + c for c in new], num_threads=1):
                 raise ValueError("ids differ from the library's")
-        parts = self.parts
-        self.known.update(zip(new, [(",".join(map(str, ids)), ids, b"".join([parts[i] for i in ids])) for ids in found]))
-
-    def batch(self, texts: list[str]) -> list[list[tuple[str, list[int], bytes]]]:
-        """For each text its chunks: their ids as text, the ids, and the bytes they decode to."""
-        split = [self.chunk.findall(self.prefix + t.replace(" ", SPACE)) if t else [] for t in texts]
-        self.learn(set(chain.from_iterable(split)))
-        known = self.known
-        return [[known[c] for c in row] for row in split]
+            if [self.stop + b.decode("utf-8", "replace") for b in read] != self.library.decode(lists):
+                raise ValueError("decoded text differs from the library's")
+        names = self.names
+        self.numbers.update(zip(new, [",".join([names[i] for i in ids]) for ids in found]))
+        self.read.update(zip(new, read))
+
+    def split(self, texts: list[str]) -> list[list[str]]:
+        """The chunks of each text, all of them learnt."""
+        found = [self.chunk.findall(self.prefix + t.replace(" ", SPACE)) if t else [] for t in texts]
+        self.learn(set(chain.from_iterable(found)))
+        return found
+
+    def decoded(self, chunks: list[str]) -> str:
+        """What the ids of learnt chunks decode to."""
+        return self.text_of(list(map(self.read.__getitem__, chunks)))
 
     def encode(self, text: str | None) -> list[int]:
-        return list(chain.from_iterable([ids for _, ids, _ in self.batch([text or ""])[0]]))
+        chunks = self.split([text or ""])[0]
+        return [int(i) for i in ",".join([self.numbers[c] for c in chunks]).split(",")] if chunks else []
 
     def decode(self, ids: list[int]) -> str:
-        return self.read([self.parts[i] for i in ids])
+        return self.text_of([self.parts[i] for i in ids])
 
-    def read(self, parts: list[bytes]) -> str:
+    def text_of(self, parts: list[bytes]) -> str:
         """The text of decoded parts, without the space put before it."""
         text = b"".join(parts).decode("utf-8", "replace")
         return text[1:] if self.prefix and text[:1] == " " else text
@@ -237,18 +251,17 @@ def encode_texts(docs: DataFrame, keep: list[str], model_path: str, *, text_col:
             texts = batch.column(batch.schema.names.index("_text_")).to_pylist()
             for a, b in _step(texts):
                 part = [t or "" for t in texts[a:b]]
-                coded = c.batch(part)
-                lists = [list(chain.from_iterable([ids for _, ids, _ in row])) for row in coded]
-                whole = 1 if c.stop else len(part)  # texts checked as they are, beside all of their chunks
-                if lists[:whole] != c.library.encode(part[:whole], num_threads=1):
-                    raise ValueError("ids differ from the library's")
-                decoded = c.library.decode(lists)
-                if any(c.read([b for _, _, b in row]) != d for row, d in zip(coded, decoded)):
-                    raise ValueError("decoded text differs from the library's")
-                out = {"n_tokens": [len(x) for x in lists], "ids_sha256": [sha256(",".join([s for s, _, _ in row]).encode()) for row in coded],
+                coded = c.split(part)
+                lists = [",".join(map(c.numbers.__getitem__, row)) for row in coded]
+                decoded = [c.decoded(row) for row in coded]
+                for k in range(1 if c.stop else len(part)):  # texts checked as they are, beside all of their chunks
+                    own = [int(i) for i in lists[k].split(",")] if coded[k] else []
+                    if own != c.library.encode(part[k]) or decoded[k] != c.library.decode(own):
+                        raise ValueError("a text's ids or their decoding differ from the library's")
+                out = {"n_tokens": [x.count(",") + 1 if row else 0 for x, row in zip(lists, coded)], "ids_sha256": [sha256(x.encode()) for x in lists],
                        "decoded_sha256": [sha256(d.encode()) for d in decoded]}
                 if ids:
-                    out["ids"] = lists
+                    out["ids"] = [[int(i) for i in x.split(",")] if row else [] for x, row in zip(lists, coded)]
                 new = to_table(out, schema)
                 cols = [batch.column(i).slice(a, b - a) for i in range(len(keep))]
                 yield pa.RecordBatch.from_arrays([*cols, *[new.column(n).combine_chunks() for n in new.schema.names]], names=[*keep, *new.schema.names])
