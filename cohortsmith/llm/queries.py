@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .cascade import op8_rule_cascade
 from .mixing import OP9_SQL, op9_curriculum_mix
+from .nearby import op4_chosen_path
 from .passages import OP1_SQL, op1_phrase_automata
 from .pieces import op10_piece_encoding
 from .preference import op6_preference_quality
@@ -17,6 +18,7 @@ from .toxicity import op3_string_kernel_toxicity
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_phrase_automata": op1_phrase_automata,
     "op3_string_kernel_toxicity": op3_string_kernel_toxicity,
+    "op4_chosen_path": op4_chosen_path,
     "op6_preference_quality": op6_preference_quality,
     "op7_bounded_ring": op7_bounded_ring,
     "op8_rule_cascade": op8_rule_cascade,
