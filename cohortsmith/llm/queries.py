@@ -13,12 +13,14 @@ from .passages import OP1_SQL, op1_phrase_automata
 from .pieces import op10_piece_encoding
 from .preference import op6_preference_quality
 from .ring import op7_bounded_ring
+from .suffixes import op5_prefix_doubling
 from .toxicity import op3_string_kernel_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_phrase_automata": op1_phrase_automata,
     "op3_string_kernel_toxicity": op3_string_kernel_toxicity,
     "op4_chosen_path": op4_chosen_path,
+    "op5_prefix_doubling": op5_prefix_doubling,
     "op6_preference_quality": op6_preference_quality,
     "op7_bounded_ring": op7_bounded_ring,
     "op8_rule_cascade": op8_rule_cascade,
