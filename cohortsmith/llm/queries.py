@@ -14,10 +14,12 @@ from .pieces import op10_piece_encoding
 from .preference import op6_preference_quality
 from .ring import op7_bounded_ring
 from .suffixes import op5_prefix_doubling
+from .topk import OP2_SQL, op2_sorted_list_topk
 from .toxicity import op3_string_kernel_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_phrase_automata": op1_phrase_automata,
+    "op2_sorted_list_topk": op2_sorted_list_topk,
     "op3_string_kernel_toxicity": op3_string_kernel_toxicity,
     "op4_chosen_path": op4_chosen_path,
     "op5_prefix_doubling": op5_prefix_doubling,
@@ -27,4 +29,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_curriculum_mix": op9_curriculum_mix,
     "op10_piece_encoding": op10_piece_encoding,
 }
-ORACLE: dict[str, str] = {"op1_phrase_automata": OP1_SQL, "op9_curriculum_mix": OP9_SQL}
+ORACLE: dict[str, str] = {"op1_phrase_automata": OP1_SQL, "op2_sorted_list_topk": OP2_SQL, "op9_curriculum_mix": OP9_SQL}
