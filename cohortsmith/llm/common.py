@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 #: A word is a run of characters other than the six ASCII blanks; Java's and RE2's regular expressions agree on it.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -50,6 +51,11 @@ def _arrow_schema(schema: str) -> pa.Schema:
     return pa.schema([(name, _ARROW[kind]) for name, kind in (part.split() for part in schema.split(","))])
 
 
+def schema_of(kept: DataFrame, ddl: str) -> StructType:
+    """The columns of ``kept`` followed by those of ``ddl``."""
+    return StructType([*kept.schema.fields, *StructType.fromDDL(ddl).fields])
+
+
 def to_batch(columns: dict, schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(columns[f.name], f.type) for f in schema], schema=schema)
 

@@ -3,14 +3,16 @@
 A document is its set of word shingles. From the root of each of several independent trees, every set follows a few of its minwise tokens: a node picks each of
 the positions of the minhash signature with a fixed small chance, drawn from the node's own path, and a set goes on to the child named by each picked
 position and its value there. Similar sets share values and so stay together down some path. Nodes of two steps or more that are small are compared
-exhaustively on the full sets; larger ones branch on, and what is still large at the depth limit is compared in pairs of blocks, so nothing is left out.
+exhaustively, first on signatures, which leaves out members far from all others, then on the full sets; larger ones branch on, and what is still large at the depth
+limit is compared in pairs of blocks, so nothing is left out.
 Inside a node the links become a spanning star for each connected part, so a node emits fewer rows than it has members, and connected parts over all
 nodes are found by large-star and small-star steps.
 
 Equal sets are one member of the trees (grouped by a 128-bit digest), so any number of exact copies costs one row per node. Nodes with the
 same members, as independent trees produce, are compared once.
 
-With 19 first branches on average, a pair at the threshold is missed with a chance below 1e-6.
+A first branch keeps a pair at the threshold together for two steps with a chance of 0.54; with 14 of them on average, all miss it with a chance of 2e-5, and a
+component is lost only if all of its joining pairs are. A pair at the threshold falls below the signatures' bar (a quarter less) with a chance below 1e-6.
 
 Nulls: a null or empty text, or one without words, has an empty set and is linked with nothing. A null id takes no part: its component is null and it is kept.
 Rows of one id are one document. No documents give no rows.
@@ -22,14 +24,14 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import checkpointed
-from .common import Rolling, documents, mix64, to_batch, to_table, word_hashes, _arrow_schema
+from .common import Rolling, _arrow_schema, documents, mix64, rows_of, to_batch, to_table, word_hashes
 
 SIGNATURE = 64
-TREES = 16
+TREES = 12
 _ROLLING = Rolling()
 _draw = np.random.default_rng(20240917)
 _MULTIPLIERS = _draw.integers(1, 1 << 63, SIGNATURE, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -53,11 +55,12 @@ def digest(tokens: np.ndarray) -> bytes:
 
 
 def signature(tokens: np.ndarray) -> np.ndarray:
+    """The upper halves of the least values, by position."""
     out = np.empty(SIGNATURE, np.uint64)
     for a in range(0, len(tokens), 1 << 14):  # bounded for very long texts
         part = (tokens[a : a + (1 << 14), None] * _MULTIPLIERS).min(0)
         out = part if a == 0 else np.minimum(out, part)
-    return out
+    return (out >> np.uint64(32)).astype(np.uint32)
 
 
 def picked(paths: np.ndarray, similarity: float) -> tuple[np.ndarray, np.ndarray]:
@@ -69,7 +72,7 @@ def picked(paths: np.ndarray, similarity: float) -> tuple[np.ndarray, np.ndarray
 def step(paths: np.ndarray, rows: np.ndarray, signatures: np.ndarray, similarity: float) -> tuple[np.ndarray, np.ndarray]:
     """Children of (path, row of signatures): their paths and rows."""
     at, place = picked(paths, similarity)
-    return mix64(paths[at] * np.uint64(0x9E3779B97F4A7C15) + mix64(signatures[rows[at], place] + _PLACES[place])), rows[at]
+    return mix64(paths[at] * np.uint64(0x9E3779B97F4A7C15) + mix64(signatures[rows[at], place].astype(np.uint64) + _PLACES[place])), rows[at]
 
 
 SETS = "doc_id long, n_shingles long, set_id binary, signature binary"
@@ -95,7 +98,7 @@ def first_paths(found: DataFrame, similarity: float, trees: int) -> DataFrame:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             ids = b.column(0).to_pylist()
-            signatures = np.frombuffer(b"".join(b.column(1).to_pylist()), np.uint64).reshape(-1, SIGNATURE)
+            signatures = np.frombuffer(b"".join(b.column(1).to_pylist()), np.uint32).reshape(-1, SIGNATURE)
             n = len(ids)
             for a in range(0, n, 1000):
                 m = min(1000, n - a)
@@ -104,7 +107,7 @@ def first_paths(found: DataFrame, similarity: float, trees: int) -> DataFrame:
                     paths, rows = step(paths, rows, signatures, similarity)
                 yield from to_table({"path": paths.view(np.int64), "set_id": [ids[r] for r in rows.tolist()]}, "path long, set_id binary").to_batches()
 
-    return found.where("set_id is not null").select("set_id", "signature").mapInArrow(run, "path long, set_id binary")
+    return found.select("set_id", "signature").mapInArrow(run, "path long, set_id binary")
 
 
 def next_paths(members: DataFrame, similarity: float) -> DataFrame:
@@ -113,7 +116,7 @@ def next_paths(members: DataFrame, similarity: float) -> DataFrame:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             ids = b.column(1).to_pylist()
-            signatures = np.frombuffer(b"".join(b.column(2).to_pylist()), np.uint64).reshape(-1, SIGNATURE)
+            signatures = np.frombuffer(b"".join(b.column(2).to_pylist()), np.uint32).reshape(-1, SIGNATURE)
             paths, rows = step(b.column(0).to_numpy().view(np.uint64), np.arange(len(ids)), signatures, similarity)
             yield from to_table({"path": paths.view(np.int64), "set_id": [ids[r] for r in rows.tolist()]}, "path long, set_id binary").to_batches()
 
@@ -161,16 +164,77 @@ def stars(names: list, linked: np.ndarray) -> list[tuple]:
     return out
 
 
-def compare_nodes(members: DataFrame, percent: int) -> DataFrame:
-    """Stars (a, b) of the links inside each node or pair of blocks; ``members``: path, i, j, doc_id and tokens."""
+def _each_node(table: pa.Table) -> Iterator[tuple[int, int]]:
+    """Row ranges of the nodes (or pairs of blocks) of a table sorted by path, i and j."""
+    keys = [table.column(c).to_numpy() for c in ("path", "i", "j")]
+    n = table.num_rows
+    if n:
+        new = np.concatenate(([True], np.any([k[1:] != k[:-1] for k in keys], axis=0)))
+        start = np.flatnonzero(new)
+        yield from zip(start.tolist(), np.append(start[1:], n).tolist())
+
+
+def _by_bucket(members: DataFrame, per_bucket: int) -> DataFrame:
+    """A column _bucket such that whole nodes meet, many small ones in each bucket."""
+    buckets = max(1, rows_of(members) // per_bucket)
+    return members.withColumn("_bucket", F.pmod(F.xxhash64("path", "i", "j"), F.lit(buckets)).cast("int"))
+
+
+_SORT = [("path", "ascending"), ("i", "ascending"), ("j", "ascending")]
+
+
+def plausible(members: DataFrame, percent: int, per_bucket: int = 8192) -> DataFrame:
+    """Members of each node that have another with a signature at most a quarter less alike than asked; ``members``: path, i, j, doc_id, signature."""
+    bar = 0.75 * percent / 100 * SIGNATURE
 
     def run(table: pa.Table) -> pa.Table:
-        ids = table.column("doc_id").to_pylist()
-        tokens = [np.frombuffer(t, np.uint64) for t in table.column("tokens").to_pylist()]
-        out = stars(ids, links(tokens, percent)) if len(ids) > 1 else []
+        table = table.sort_by(_SORT)
+        signatures = np.frombuffer(b"".join(table.column("signature").to_pylist()), np.uint32).reshape(-1, SIGNATURE)
+        keep = np.zeros(table.num_rows, bool)
+        for a, b in _each_node(table):
+            part = signatures[a:b]
+            if b - a == 2:
+                keep[a:b] = (part[0] == part[1]).sum() >= bar
+                continue
+            same = np.zeros((b - a, b - a), np.int16)
+            for place in range(SIGNATURE):
+                same += part[:, None, place] == part[None, :, place]
+            np.fill_diagonal(same, 0)
+            keep[a:b] = same.max(1) >= bar
+        return table.select(["path", "i", "j", "doc_id"]).filter(pa.array(keep))
+
+    return _by_bucket(members, per_bucket).groupBy("_bucket").applyInArrow(run, "path long, i int, j int, doc_id long")
+
+
+def compare_nodes(members: DataFrame, texts: DataFrame, percent: int, shingle: int, per_bucket: int = 2048) -> DataFrame:
+    """Stars (a, b) of the links inside each node or pair of blocks; ``members``: path, i, j, doc_id; ``texts``: doc_id, _text.
+
+    Sets travel as six bytes per shingle: a false agreement within a pair of sets of a thousand has a chance of 2e-9.
+    """
+    fields = _arrow_schema("path long, i int, j int, doc_id long, _bucket int, tokens binary")
+
+    def to_tokens(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            found = [shingle_set(t, shingle).view(np.uint8).reshape(-1, 8)[:, :6].tobytes() for t in b.column(5).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*b.columns[:5], pa.array(found, pa.binary())], schema=fields)
+
+    def tokens_of(data: bytes) -> np.ndarray:
+        wide = np.zeros((len(data) // 6, 8), np.uint8)
+        wide[:, :6] = np.frombuffer(data, np.uint8).reshape(-1, 6)
+        return wide.view(np.uint64).ravel()
+
+    def run(table: pa.Table) -> pa.Table:
+        table = table.sort_by(_SORT)
+        ids, data = table.column("doc_id").to_pylist(), table.column("tokens")
+        out: list[tuple] = []
+        for a, b in _each_node(table):
+            if b - a > 1:
+                out.extend(stars(ids[a:b], links([tokens_of(t) for t in data[a:b].to_pylist()], percent)))
         return to_table({"a": [a for a, _ in out], "b": [b for _, b in out]}, "a long, b long")
 
-    return members.select("path", "i", "j", "doc_id", "tokens").groupBy("path", "i", "j").applyInArrow(run, "a long, b long")
+    rows = _by_bucket(members, per_bucket).join(texts, "doc_id").select("path", "i", "j", "doc_id", "_bucket", "_text")
+    rows = rows.mapInArrow(to_tokens, "path long, i int, j int, doc_id long, _bucket int, tokens binary")
+    return rows.groupBy("_bucket").applyInArrow(run, "a long, b long")
 
 
 def connected(edges: DataFrame, rounds: int = 60) -> DataFrame:
@@ -207,53 +271,41 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     steps after which larger nodes are compared in blocks of that size.
     """
     similarity = percent / 100
-    found = sets(docs, id_col=id_col, text_col=text_col, shingle=shingle)
+    found = checkpointed(sets(docs, id_col=id_col, text_col=text_col, shingle=shingle))
     named = found.where("doc_id is not null and set_id is not null")
-    # all members of all nodes, equal sets counted once
-    members = checkpointed(first_paths(named, similarity, trees).distinct())
-    done = None
-    for level in range(2, depth + 1):
-        nodes = members.groupBy("path").agg(F.count("*").alias("n"), F.sum(F.xxhash64("set_id").cast("decimal(20)")).alias("print")).where("n > 1")
-        last = level == depth
-        ready = nodes if last else nodes.where(F.col("n") <= node)
-        part = members.join(ready, "path")
-        done = part if done is None else done.union(part)
-        if last:
-            break
-        large = members.join(nodes.where(F.col("n") > node).select("path"), "path", "left_semi")
+    distinct = named.groupBy("set_id").agg(F.min("doc_id").alias("doc_id"), F.first("signature").alias("signature"))
+
+    def with_size(paths: DataFrame) -> DataFrame:
+        """Members of nodes of two or more, with their number."""
+        return checkpointed(paths.withColumn("n", F.count("*").over(Window.partitionBy("path"))).where("n > 1"))
+
+    members = with_size(first_paths(distinct, similarity, trees))
+    done = members.where(F.col("n") <= node)
+    for level in range(3, depth + 2):
+        large = members.where(F.col("n") > node)
         if large.isEmpty():
             break
-        signatures = named.groupBy("set_id").agg(F.first("signature").alias("signature"))
-        members = checkpointed(next_paths(large.join(signatures, "set_id"), similarity).distinct())
-    # nodes of the same members once
-    kept = done.groupBy("n", "print").agg(F.min("path").alias("path"))
-    done = done.join(kept, ["n", "print", "path"], "left_semi")
-    owners = named.groupBy("set_id").agg(F.min("doc_id").alias("doc_id"))
-    done = checkpointed(done.join(owners, "set_id").select("path", "n", "doc_id"))
-    tokens = _tokens(docs, done.select("doc_id").distinct(), id_col=id_col, text_col=text_col, shingle=shingle)
+        if level > depth:  # compared in blocks
+            done = done.union(large)
+            break
+        members = with_size(next_paths(large.join(distinct.select("set_id", "signature"), "set_id"), similarity))
+        done = done.union(members.where(F.col("n") <= node))
     blocks = F.ceil(F.col("n") / node).cast("int")
-    spread = done.withColumn("_b", F.pmod(F.xxhash64("doc_id"), blocks).cast("int")).withColumn("_o", F.explode(F.sequence(F.lit(0), blocks - 1)))
-    spread = spread.select("path", "doc_id", F.least("_b", "_o").alias("i"), F.greatest("_b", "_o").alias("j"))
-    parts = connected(compare_nodes(spread.join(tokens, "doc_id"), percent))
-    classes = owners.join(parts, "doc_id", "left").select("set_id", F.coalesce("component_id", "doc_id").alias("_component"))
+    spread = done.join(distinct, "set_id").withColumn("_b", F.pmod(F.xxhash64("doc_id"), blocks).cast("int")).withColumn("_o", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    spread = checkpointed(spread.select("path", F.least("_b", "_o").alias("i"), F.greatest("_b", "_o").alias("j"), "doc_id", "signature"))
+    near = checkpointed(plausible(spread, percent))
+    # nodes of the same members once, as trees of like sets agree
+    prints = near.groupBy("path", "i", "j").agg(F.count("*").alias("n"), F.sum(F.xxhash64("doc_id").cast("decimal(20)")).alias("print"))
+    once = prints.groupBy("n", "print").agg(F.min(F.struct("path", "i", "j")).alias("k")).select("k.*")
+    near = checkpointed(near.join(once, ["path", "i", "j"], "left_semi"))
+    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("_text")).where("_text is not null and doc_id is not null")
+    parts = connected(compare_nodes(near, texts, percent, shingle))
+    classes = distinct.select("doc_id", "set_id").join(parts, "doc_id", "left").select("set_id", F.coalesce("component_id", "doc_id").alias("_component"))
     out = found.select("doc_id", "n_shingles", "set_id").join(classes, "set_id", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("_component", "doc_id"))
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"))
 
 
-def _tokens(docs: DataFrame, wanted: DataFrame, *, id_col: str, text_col: str, shingle: int) -> DataFrame:
-    """doc_id and the full set of the wanted documents."""
-    fields = _arrow_schema("doc_id long, tokens binary")
-
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            yield to_batch({"doc_id": b.column(0), "tokens": [shingle_set(t, shingle).tobytes() for t in b.column(1).to_pylist()]}, fields)
-
-    text = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("_text")).where("_text is not null")
-    # of several rows of an id any may stand for it; its sets are told apart by their digest elsewhere
-    return text.join(wanted, "doc_id").select("doc_id", "_text").mapInArrow(run, "doc_id long, tokens binary").where("length(tokens) > 0").dropDuplicates(["doc_id"])
-
-
 def op4_chosen_path(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents whose sets of three-word shingles are at least 85 % alike."""
     return near_duplicates(documents(spark, sf_dir), shingle=3, percent=85)
