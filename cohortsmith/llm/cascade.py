@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import documents, map_rows, rows_of, to_table
+from .common import documents, map_rows, rows_of, schema_of, to_table
 from .page import Page
 
 
@@ -70,7 +70,7 @@ def cascade(docs: DataFrame, keep: list[str], rules: list[Rule] = RULES, *, text
     schema = "n_words long, passed boolean, rejected_by string, n_tested int"
     counts = ["word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"] if base else []
     schema += "".join(f", {c} long" for c in counts)
-    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema.fields]
+    columns = schema_of(docs.select(*keep), schema)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -93,7 +93,7 @@ def cascade(docs: DataFrame, keep: list[str], rules: list[Rule] = RULES, *, text
             cols = [batch.column(i) for i in range(len(keep))]
             yield pa.RecordBatch.from_arrays([*cols, *[new.column(n).combine_chunks() for n in new.schema.names]], names=[*keep, *new.schema.names])
 
-    return docs.select(*keep, F.col(text_col).alias("_text_")).mapInArrow(run, ", ".join([*fields, schema]))
+    return docs.select(*keep, F.col(text_col).alias("_text_")).mapInArrow(run, columns)
 
 
 def op8_rule_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:

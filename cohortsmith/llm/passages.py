@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import Rolling, documents, minimizers, to_table, word_hashes, words
+from .common import documents, minimizers, Rolling, schema_of, to_table, word_hashes, words
 
 GRAM = 10  # words of an anchor
 PHRASE = 16  # words of an automaton's phrase
@@ -237,8 +237,8 @@ def remove_repeats(docs: DataFrame, keep: list[str], *, id_col: str = "doc_id",
     asked = owned.select(F.col("_block").alias("_to"), F.col("_own._first").alias("_owner"), F.col("_own._at").alias("_at"))
     asked = asked.withColumn("_block", F.pmod(F.xxhash64("_owner"), F.lit(blocks)).cast("int"))
     passages = by_block.cogroup(asked.groupBy("_block")).applyInArrow(lambda t, a: passages_of_block(t, a, window), PASSAGES)
-    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in rows.select(*keep).schema.fields]
-    return by_block.cogroup(passages.groupBy("_block")).applyInArrow(lambda t, p: cut_block(t, p, window, keep), ", ".join([*fields, CUT]))
+    columns = schema_of(rows.select(*keep), CUT)
+    return by_block.cogroup(passages.groupBy("_block")).applyInArrow(lambda t, p: cut_block(t, p, window, keep), columns)
 
 
 def op1_phrase_automata(spark: SparkSession, sf_dir: str) -> DataFrame:

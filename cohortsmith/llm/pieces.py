@@ -21,7 +21,7 @@ import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame, SparkSession
 
-from .common import documents, sha256, to_table
+from .common import documents, schema_of, sha256, to_table
 
 SPACE = "▁"
 MEMORY = 700_000
@@ -242,7 +242,6 @@ def encode_texts(docs: DataFrame, keep: list[str], model_path: str, *, text_col:
     Raises in the task if a batch's ids or decoded texts differ from the library's.
     """
     schema = "n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * ids
-    kept = docs.select(*keep).schema
     spec = docs.select(*keep, docs[text_col].alias("_text_"))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -266,8 +265,7 @@ def encode_texts(docs: DataFrame, keep: list[str], model_path: str, *, text_col:
                 cols = [batch.column(i).slice(a, b - a) for i in range(len(keep))]
                 yield pa.RecordBatch.from_arrays([*cols, *[new.column(n).combine_chunks() for n in new.schema.names]], names=[*keep, *new.schema.names])
 
-    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in kept.fields]
-    return spec.mapInArrow(run, ", ".join([*fields, schema]))
+    return spec.mapInArrow(run, schema_of(docs.select(*keep), schema))
 
 
 def op10_piece_encoding(spark: SparkSession, sf_dir: str, model_path: str | None = None) -> DataFrame:

@@ -122,7 +122,7 @@ def top_k(vectors: DataFrame, is_query: Column, *, k: int = 20, scale: float = 6
     keys = ["dim", "_chunk", "_block"]
     best = queries.groupBy(*keys).cogroup(candidates.groupBy(*keys)).applyInArrow(run, BEST)
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    return best.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    return best.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int"), "vec_id", "score")
 
 
 def op2_sorted_list_topk(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import documents, to_table
+from .common import documents, schema_of, to_table
 
 ORDER, DECAY, FLOOR, REACH = 3, 0.6, 0.5, 3
 _SENTENCE = re.compile(r"[.!?]+[\x20\x09-\x0D]+|\n+")
@@ -309,7 +309,7 @@ def train(docs: DataFrame, labels: DataFrame, use: Column, *, sample: int = 8_00
 
 def score(docs: DataFrame, keep: list[str], model: Model, *, text_col: str = "text") -> DataFrame:
     """``keep`` columns and the score of every text."""
-    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema.fields]
+    columns = schema_of(docs.select(*keep), "score double")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         near = landmarks_of(model.names)
@@ -321,7 +321,7 @@ def score(docs: DataFrame, keep: list[str], model: Model, *, text_col: str = "te
                 values = pa.array([model.score(rows) for rows in found], pa.float64())
                 yield pa.RecordBatch.from_arrays([*[b.column(i) for i in range(len(keep))], values], names=[*keep, "score"])
 
-    return docs.select(*keep, F.col(text_col).alias("_text_")).mapInArrow(run, ", ".join([*fields, "score double"]))
+    return docs.select(*keep, F.col(text_col).alias("_text_")).mapInArrow(run, columns)
 
 
 def op3_model(spark: SparkSession, sf_dir: str) -> Model:
