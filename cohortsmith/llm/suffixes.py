@@ -6,10 +6,10 @@ fingerprints of the prefixes, so the rank of a doubled prefix is the pair of ran
 rounds up to the threshold:
 
 1. ``GRAM`` bytes, at sampled positions only: of each string of ``length`` bytes the position of its least rank, which equal strings share wherever they
-   stand. A position carries the rank of its whole surroundings (all strings it was sampled for). Alone: it leaves with all of these strings. If all positions of a
-   rank have equal surroundings, the strings are settled at once: the first position keeps them.
-2. Half of ``length``, at every position that is left, and
-3. its pair with the rank at offset half of ``length``, both in one sort: equal pairs are equal strings, and the first position keeps its own.
+   stand. Positions alone with their rank leave with all strings they were sampled for.
+2. Every position left carries its surroundings, all strings it was sampled for; equal surroundings of a block are one row. Spark brings equal ranks together.
+3. There the strings within get the pair of ranks of their halves, at offset half of ``length``, and a sort of these pairs tells which are equal and which place
+   is first; if all surroundings of a rank are equal, no pairs are needed. Each block hears which stretches of its surroundings belong to an earlier place.
 
 Documents live in blocks of bounded size by a hash of their id; equal ranks are combined within a block before they travel, so a string that many documents share costs one row
 per block and round.
@@ -25,15 +25,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import _BYTE, Rolling, documents, minimizers, to_table
+from .common import _BYTE, documents, minimizers, Rolling, schema_of, to_table
 from .passages import ROW_SHIFT, in_blocks, ranges, runs
 
 GRAM = 24
 _ROLLING = Rolling()
 
-SAMPLED = "_block int, _rank long, _least long, _most long, _doc long, _at long, _n int"
-DENSE = "_block int, _rank long, _next long, _doc long, _at long, _n int"
-SETTLED = "_block int, _rank long, _next long, _doc long, _at long, _kind int"
+SAMPLED = "_block int, _rank long, _n int"
+AROUND = "_block int, _rank long, _around long, _doc long, _at long, _n int, _place int, _bytes binary"
+SETTLED = "_block int, _rank long, _around long, _from int, _to int, _doc long, _at long"
 
 
 def _rows(table: pa.Table) -> list[tuple[int, int, int, bytes]]:
@@ -64,41 +64,98 @@ class Text:
         whole = _ROLLING.spans(self.sums, self.first, self.last + self.length)
         return (whole + (self.place - self.first).astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F)).view(np.int64)
 
-    def pairs(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Ranks of the first and the last half of the strings at these places."""
-        half = self.length - self.length // 2
-        left = _ROLLING.spans(self.sums, at, at + half)
-        return left.view(np.int64), _ROLLING.spans(self.sums, at + self.length - half, at + self.length).view(np.int64)
 
+def _all(parts: list[np.ndarray]) -> np.ndarray:
+    return np.concatenate(parts) if parts else np.zeros(0, np.int64)
 
-def combined(a: np.ndarray, b: np.ndarray, doc: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, ...]:
-    """For each distinct (a, b): both, the first (doc, at) and the number of places."""
-    order = np.lexsort((at, doc, b, a))
-    a, b, doc, at = a[order], b[order], doc[order], at[order]
-    first = np.flatnonzero(np.concatenate(([True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])))) if len(a) else np.zeros(0, np.int64)
-    return a[first], b[first], doc[first], at[first], np.diff(np.append(first, len(a)))
 
+def _starts(*keys: np.ndarray) -> np.ndarray:
+    """Where a new key begins in sorted columns."""
+    n = len(keys[0])
+    return np.flatnonzero(np.concatenate(([True], np.any([k[1:] != k[:-1] for k in keys], axis=0)))) if n else np.zeros(0, np.int64)
 
-def _all(parts: list[np.ndarray]) -> np.ndarray:
-    return np.concatenate(parts) if parts else np.zeros(0, np.int64)
+
+def _block(table: pa.Table) -> int:
+    return table.column("_block")[0].as_py() if table.num_rows else 0
 
 
 def sampled_of_block(table: pa.Table, length: int) -> pa.Table:
-    """One row per sampled rank of a block: the range of its surroundings, its first place and the number of places."""
-    parts: list[list[np.ndarray]] = [[], [], [], []]
-    for _, i, base, data in _rows(table):
+    """The sampled ranks of a block and how often each occurs."""
+    ranks, n = np.unique(_all([Text(data, length).rank for _, _, _, data in _rows(table)]), return_counts=True)
+    return to_table({"_block": np.full(len(ranks), _block(table)), "_rank": ranks, "_n": n}, SAMPLED)
+
+
+def around_of_block(table: pa.Table, left: pa.Table, length: int) -> pa.Table:
+    """The distinct surroundings of the ranks that are left: first place (of the first string within), number of places, place of the sample, bytes."""
+    wanted = np.unique(left.column("_rank").to_numpy())
+    parts: list[list[np.ndarray]] = [[] for _ in range(7)]
+    texts = _rows(table) if len(wanted) else []
+    for k, (_, i, base, data) in enumerate(texts):
         t = Text(data, length)
-        if len(t.rank):
-            for part, x in zip(parts, (t.rank, t.around(), np.full(len(t.rank), i), t.place + base)):
+        hit = _find(wanted, t.rank) >= 0
+        if hit.any():
+            n = int(hit.sum())
+            for part, x in zip(parts, (t.rank[hit], t.around()[hit], np.full(n, i), t.first[hit] + base, (t.place - t.first)[hit], (t.last - t.first)[hit], np.full(n, k))):
                 part.append(x)
-    rank, around, doc, at = map(_all, parts)
-    order = np.lexsort((at, doc, rank))
-    rank, around, doc, at = rank[order], around[order], doc[order], at[order]
-    first = np.flatnonzero(np.concatenate(([True], rank[1:] != rank[:-1]))) if len(rank) else np.zeros(0, np.int64)
-    least, most = (np.minimum.reduceat(around, first), np.maximum.reduceat(around, first)) if len(rank) else (around, around)
-    block = table.column("_block")[0].as_py() if table.num_rows else 0
-    return to_table({"_block": np.full(len(first), block), "_rank": rank[first], "_least": least, "_most": most, "_doc": doc[first], "_at": at[first],
-                     "_n": np.diff(np.append(first, len(rank)))}, SAMPLED)
+    rank, around, doc, at, place, more, row = map(_all, parts)
+    order = np.lexsort((at, doc, around, rank))
+    first = _starts(rank[order], around[order])
+    n = np.diff(np.append(first, len(rank)))
+    pick = order[first]
+    low = (1 << ROW_SHIFT) - 1
+    data = [texts[r][3][(a & low) : (a & low) + m + length] for r, a, m in zip(row[pick].tolist(), at[pick].tolist(), more[pick].tolist())]
+    return to_table({"_block": np.full(len(pick), _block(table)), "_rank": rank[pick], "_around": around[pick], "_doc": doc[pick], "_at": at[pick], "_n": n, "_place": place[pick],
+                     "_bytes": data}, AROUND)
+
+
+def settle(table: pa.Table, length: int) -> pa.Table:
+    """For the surroundings of whole ranks: stretches of their strings (from, to) whose first place is another, with that place."""
+    rank, around, doc, at, n, block = (table.column(c).to_numpy() for c in ("_rank", "_around", "_doc", "_at", "_n", "_block"))
+    order = np.lexsort((at, doc, around, rank))
+    rank, around, doc, at, n, block = (x[order] for x in (rank, around, doc, at, n, block))
+    size = np.diff(np.append(_starts(rank), len(rank)))
+    first = _starts(rank)
+    one = np.repeat(np.minimum.reduceat(around, first) == np.maximum.reduceat(around, first), size) if len(rank) else np.zeros(0, bool)
+    data = table.column("_bytes").take(pa.array(order)).to_pylist() if len(order) else []
+    strings = np.array([len(d) - length + 1 for d in data], np.int64)
+    out: list[list[np.ndarray]] = [[] for _ in range(7)]
+
+    def put(k: np.ndarray, start: np.ndarray, end: np.ndarray, own_doc: np.ndarray, own_at: np.ndarray) -> None:
+        for part, x in zip(out, (block[k], rank[k], around[k], start, end, own_doc, own_at)):
+            part.append(x)
+
+    whole = np.flatnonzero(one)
+    if len(whole):  # all alike: sorted by place within the rank, so the first row of a rank owns all
+        own = np.repeat(first, size)[whole]
+        others = (own != whole) | (n[whole] > 1)
+        put(whole[others], np.zeros(others.sum(), np.int64), strings[whole[others]] - 1, doc[own[others]], at[own[others]])
+    rest = np.flatnonzero(~one)
+    if len(rest):
+        pairs = []
+        for k in rest.tolist():
+            sums = _ROLLING.prefix(_BYTE[np.frombuffer(data[k], np.uint8)])
+            pairs.append(halves(sums, np.arange(strings[k]), length))
+        a, b = np.concatenate([p[0] for p in pairs]), np.concatenate([p[1] for p in pairs])
+        row = np.repeat(rest, strings[rest])
+        within = ranges(np.zeros(len(rest), np.int64), strings[rest] - 1)
+        place = at[row] + within
+        by = np.lexsort((place, doc[row], b, a))
+        new = _starts(a[by], b[by])
+        count = np.diff(np.append(new, len(by)))
+        own = np.empty(len(by), np.int64)
+        own[by] = np.repeat(by[new], count)  # for each string the index of the first equal one
+        total = np.empty(len(by), np.int64)
+        total[by] = np.repeat(np.add.reduceat(n[row[by]], new), count)
+        other = (own != np.arange(len(by))) | (n[row] > 1)
+        live = np.flatnonzero(other & (total > 1))
+        if len(live):
+            shift = place[own[live]] - within[live]
+            cut = np.concatenate(([True], (np.diff(live) != 1) | (row[live[1:]] != row[live[:-1]]) | (doc[row[own[live[1:]]]] != doc[row[own[live[:-1]]]]) | (np.diff(shift) != 0)))
+            head = np.flatnonzero(cut)
+            tail = np.append(head[1:], len(live)) - 1
+            put(row[live[head]], within[live[head]], within[live[tail]], doc[row[own[live[head]]]], place[own[live[head]]])
+    names = [c.split()[0] for c in SETTLED.split(", ")]
+    return to_table(dict(zip(names, map(_all, out))), SETTLED)
 
 
 def _find(sorted_keys: np.ndarray, keys: np.ndarray) -> np.ndarray:
@@ -109,58 +166,41 @@ def _find(sorted_keys: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return np.where(sorted_keys[at] == keys, at, -1)
 
 
-def dense_of_block(table: pa.Table, unsettled: pa.Table, length: int) -> pa.Table:
-    """Pairs of ranks at all places whose sampled rank has several surroundings."""
-    wanted = np.unique(unsettled.column("_rank").to_numpy())
-    parts: list[list[np.ndarray]] = [[], [], [], []]
-    for _, i, base, data in _rows(table) if len(wanted) else []:
-        t = Text(data, length)
-        hit = _find(wanted, t.rank) >= 0
-        if hit.any():
-            at = ranges(t.first[hit], t.last[hit])
-            for part, x in zip(parts, (*t.pairs(at), np.full(len(at), i), at + base)):
-                part.append(x)
-    a, b, doc, at, n = combined(*map(_all, parts))
-    block = table.column("_block")[0].as_py() if table.num_rows else 0
-    return to_table({"_block": np.full(len(a), block), "_rank": a, "_next": b, "_doc": doc, "_at": at, "_n": n}, DENSE)
+def halves(sums: np.ndarray, at: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """Ranks of the first and the last half of the strings at these places."""
+    half = length - length // 2
+    left = _ROLLING.spans(sums, at, at + half)
+    return left.view(np.int64), _ROLLING.spans(sums, at + length - half, at + length).view(np.int64)
 
 
 CUT = "n_bytes long, n_removed long, n_spans long, kept binary, spans array<long>"
 
 
 def cut_block(table: pa.Table, settled: pa.Table, length: int, keep: list[str]) -> pa.Table:
-    """Remove from the documents of a block what settled ranks give to an earlier place."""
-    kind, rank, follow, doc, at = (settled.column(c).to_numpy() for c in ("_kind", "_rank", "_next", "_doc", "_at"))
-    order = np.lexsort((follow, rank))
-    kind, rank, follow, doc, at = kind[order], rank[order], follow[order], doc[order], at[order]
-    whole = kind == 1  # settled with all surroundings; the others by pairs
-    whole_rank, whole_doc, whole_at = rank[whole], doc[whole], at[whole]
-    pair_rank, pair_next, pair_doc, pair_at = rank[~whole], follow[~whole], doc[~whole], at[~whole]
-    # a pair is found by one number, its place among the distinct ranks joined with that among the distinct next ranks
-    ranks, nexts = np.unique(pair_rank), np.unique(pair_next)
-    pair_key = np.searchsorted(ranks, pair_rank) * max(len(nexts), 1) + np.searchsorted(nexts, pair_next)
-    in_order = np.argsort(pair_key)
-    pair_key, pair_doc, pair_at = pair_key[in_order], pair_doc[in_order], pair_at[in_order]
+    """Remove from the documents of a block the strings that belong to an earlier place."""
+    rank, around, start, end, doc, at = (settled.column(c).to_numpy() for c in ("_rank", "_around", "_from", "_to", "_doc", "_at"))
+    order = np.lexsort((start, around, rank))
+    rank, around, start, end, doc, at = (x[order].astype(np.int64) for x in (rank, around, start, end, doc, at))
+    head = _starts(rank, around)
+    tail = np.append(head[1:], len(rank)) - 1
+    # a key (rank, around) is found by one number
+    ranks, arounds = np.unique(rank), np.unique(around)
+    key = np.searchsorted(ranks, rank[head]) * max(len(arounds), 1) + np.searchsorted(arounds, around[head])
     texts = [t.encode() if t else b"" for t in table.column("_text").to_pylist()]
     gone = [None] * len(texts)
     for k, i, base, data in _rows(table) if len(rank) else []:
         t = Text(data, length)
+        x, y = _find(ranks, t.rank), _find(arounds, t.around())
+        found = np.where((x >= 0) & (y >= 0), _find(key, x * len(arounds) + y), -1)
+        mine = np.flatnonzero(found >= 0)
+        if not len(mine):
+            continue
+        part = ranges(head[found[mine]], tail[found[mine]])  # all stretches of each of the text's surroundings
+        first = np.repeat(t.first[mine], tail[found[mine]] - head[found[mine]] + 1)
+        later = (doc[part] != i) | (at[part] != first + start[part] + base)
         starts = np.zeros(len(data) + 1, np.int32)
-        hit = _find(whole_rank, t.rank)
-        later = (hit >= 0) & ((whole_doc[hit] != i) | (whole_at[hit] != t.place + base)) if len(whole_rank) else np.zeros(len(t.rank), bool)
-        np.add.at(starts, t.first[later], 1)  # strings first .. last cover first .. last + length - 1
-        np.add.at(starts, t.last[later] + length, -1)
-        rest = hit < 0
-        if len(pair_key) and rest.any():
-            place = ranges(t.first[rest], t.last[rest])
-            a, b = t.pairs(place)
-            x, y = _find(ranks, a), _find(nexts, b)
-            both = (x >= 0) & (y >= 0)
-            found = _find(pair_key, x[both] * len(nexts) + y[both])
-            place = place[both]
-            later = (found >= 0) & ((pair_doc[found] != i) | (pair_at[found] != place + base))
-            np.add.at(starts, place[later], 1)
-            np.add.at(starts, place[later] + length, -1)
+        np.add.at(starts, (first + start[part])[later], 1)  # strings from .. to cover from .. to + length - 1
+        np.add.at(starts, (first + end[part])[later] + length, -1)
         covered = np.cumsum(starts[:-1]) > 0
         if covered.any():
             gone[k] = covered
@@ -181,21 +221,15 @@ def remove_repeated_bytes(docs: DataFrame, keep: list[str], *, id_col: str = "do
     """``keep`` columns, n_bytes, n_removed, n_spans, kept (the bytes left) and spans (starts and ends of removed runs, in turn)."""
     if length < 2 * GRAM:
         raise ValueError(f"length must be at least {2 * GRAM}")
-    rows, _ = in_blocks(docs, keep, id_col=id_col, text_col=text_col, block_bytes=block_bytes)
+    rows, blocks = in_blocks(docs, keep, id_col=id_col, text_col=text_col, block_bytes=block_bytes)
     by_block = rows.groupBy("_block")
     sampled = by_block.applyInArrow(lambda t: sampled_of_block(t, length), SAMPLED)
-    same = Window.partitionBy("_rank")
-    sampled = sampled.withColumn("_total", F.sum("_n").over(same)).withColumn("_own", F.min(F.struct("_doc", "_at")).over(same))
-    sampled = sampled.withColumn("_one", F.min("_least").over(same) == F.max("_most").over(same)).where("_total > 1")
-    sampled = sampled.select("_block", "_rank", F.lit(0).cast("long").alias("_next"), "_own._doc", "_own._at", F.when(F.col("_one"), 1).otherwise(0).alias("_kind"), "_n",
-                             (F.col("_doc") == F.col("_own._doc")).alias("_here"))
-    dense = by_block.cogroup(sampled.where("_kind = 0").select("_block", "_rank").groupBy("_block")).applyInArrow(lambda t, u: dense_of_block(t, u, length), DENSE)
-    pair = Window.partitionBy("_rank", "_next")
-    dense = dense.withColumn("_total", F.sum("_n").over(pair)).withColumn("_own", F.min(F.struct("_doc", "_at")).over(pair))
-    dense = dense.where("_total > 1 and not (_n = 1 and _doc = _own._doc)").select("_block", "_rank", "_next", "_own._doc", "_own._at", F.lit(0).alias("_kind"))
-    whole = sampled.where("_kind = 1 and not (_n = 1 and _here)").select("_block", "_rank", "_next", "_doc", "_at", "_kind")
-    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in rows.select(*keep).schema.fields]
-    return by_block.cogroup(whole.union(dense).groupBy("_block")).applyInArrow(lambda t, s: cut_block(t, s, length, keep), ", ".join([*fields, CUT]))
+    left = sampled.withColumn("_total", F.sum("_n").over(Window.partitionBy("_rank"))).where("_total > 1").select("_block", "_rank")
+    around = by_block.cogroup(left.groupBy("_block")).applyInArrow(lambda t, r: around_of_block(t, r, length), AROUND)
+    # whole ranks meet, many in each bucket; the number of buckets follows the data
+    settled = around.withColumn("_bucket", F.pmod("_rank", F.lit(blocks)).cast("int")).groupBy("_bucket").applyInArrow(lambda t: settle(t, length), SETTLED)
+    columns = schema_of(rows.select(*keep), CUT)
+    return by_block.cogroup(settled.groupBy("_block")).applyInArrow(lambda t, s: cut_block(t, s, length, keep), columns)
 
 
 def op5_prefix_doubling(spark: SparkSession, sf_dir: str) -> DataFrame:
