@@ -48,6 +48,8 @@ def where_clause(clause: Mapping) -> Column:
     kind = node["logicalOperator"]
     if kind == "NOT":
         return ~parts[0]
+    if kind not in ("AND", "OR"):
+        raise ValueError(f"unknown logical operator {kind!r}")
     return reduce((lambda a, b: a & b) if kind == "AND" else (lambda a, b: a | b), parts)
 
 
@@ -106,8 +108,11 @@ def months_between_days(start: Column | str, end: Column | str) -> Column:
 
 
 def age_years(birth: Column | str, ref: Column | str) -> Column:
-    """Completed years."""
-    return F.floor(F.months_between(_c(ref), _c(birth)) / 12).cast("int")
+    """Completed years by the calendar: a birthday on 29 February is reached on 1 March of other years."""
+    b, r = _c(birth), _c(ref)
+    month, day = lambda c: F.month(c), lambda c: F.dayofmonth(c)
+    early = (month(r) < month(b)) | ((month(r) == month(b)) & (day(r) < day(b)))
+    return (F.year(r) - F.year(b) - early.cast("int")).cast("int")
 
 
 # ---- values --------------------------------------------------------------
@@ -166,9 +171,13 @@ def pchg(chg_: Column | str = "CHG", base: Column | str = "BASE") -> Column:
 
 
 def display_round(x: Column | str, digits: int = 0) -> Column:
-    """Round half away from zero on the binary value; a negative zero becomes zero."""
+    """Round half away from zero on the binary value; a negative zero becomes zero.
+
+    From 2^53 / 10^digits on a double has no such decimals, and the value stays as it is.
+    """
     x, scale = _c(x), float(10 ** digits)
-    return F.signum(x) * F.floor(F.abs(x) * scale + 0.5) / scale + F.lit(0.0)
+    rounded = F.signum(x) * F.floor(F.abs(x) * scale + 0.5) / scale + F.lit(0.0)
+    return F.when(F.abs(x) * scale >= float(2**53), x.cast("double")).otherwise(rounded)
 
 
 def fixed_text(x: Column | str, digits: int = 0) -> Column:

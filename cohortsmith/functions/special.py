@@ -39,11 +39,12 @@ def norm_quantile(p: float) -> float:
     return _invert(lambda x: 1.0 - float(norm_sf(x)), p, -40.0, 40.0)
 
 
-def _gamma_p_scalar(a: float, x: float) -> float:
+def _gamma_tails(a: float, x: float) -> tuple[float, float]:
+    """Lower and upper regularised incomplete gamma; the one that is small is summed directly."""
     if not (a > 0) or math.isnan(x):
-        return math.nan
+        return math.nan, math.nan
     if x <= 0:
-        return 0.0
+        return 0.0, 1.0
     front = math.exp(a * math.log(x) - x - math.lgamma(a))
     if x < a + 1:
         term = total = 1.0 / a
@@ -54,7 +55,8 @@ def _gamma_p_scalar(a: float, x: float) -> float:
             total += term
             if abs(term) < abs(total) * 1e-16:
                 break
-        return min(1.0, total * front)
+        lower = min(1.0, total * front)
+        return lower, 1.0 - lower
     b = x + 1 - a
     c, d = 1 / _TINY, 1 / b
     h = d
@@ -68,15 +70,17 @@ def _gamma_p_scalar(a: float, x: float) -> float:
         h *= delta
         if abs(delta - 1) < 1e-16:
             break
-    return 1.0 - front * h
+    upper = min(1.0, front * h)
+    return 1.0 - upper, upper
 
 
-gamma_p = np.vectorize(_gamma_p_scalar, otypes=[float])
+gamma_p = np.vectorize(lambda a, x: _gamma_tails(a, x)[0], otypes=[float])
+gamma_q = np.vectorize(lambda a, x: _gamma_tails(a, x)[1], otypes=[float])
 
 
 def chi2_sf(x, df):
     """Upper tail of chi-square."""
-    return 1.0 - gamma_p(np.asarray(df, float) / 2.0, np.asarray(x, float) / 2.0)
+    return gamma_q(np.asarray(df, float) / 2.0, np.asarray(x, float) / 2.0)
 
 
 def _beta_fraction(a: float, b: float, x: float) -> float:

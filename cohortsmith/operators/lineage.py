@@ -113,24 +113,25 @@ def build_edges(objectives: DataFrame, endpoints: DataFrame, tlfs: DataFrame, ad
     return reduce(DataFrame.unionByName, parts).distinct()
 
 
-def lineage(edges: DataFrame, roots: DataFrame, depth: int = 4) -> DataFrame:
+def lineage(edges: DataFrame, roots: DataFrame) -> DataFrame:
     """(study_id, root, id, direction): each root with its directed ancestors and descendants.
 
-    The graph has five tiers, so ``depth`` joins reach everything; the distinct after
-    each keeps the frontier to one row per root and node. Edges are materialised
-    once, as every join reads them.
+    Walks step by step until no new node is found, whatever the length of the paths; nodes already found are left out of
+    the next step, so a cycle ends too. Edges and each step are materialised once.
     """
     e = checkpointed(edges.select("study_id", "source", "target").distinct())
-    start = roots.select("study_id", F.col("id").alias("root"), F.col("id").alias("node")).distinct()
+    start = checkpointed(roots.select("study_id", F.col("id").alias("root"), F.col("id").alias("node")).distinct())
+    pair = ["study_id", "root", "node"]
 
     def walk(here: str, there: str, name: str) -> DataFrame:
-        frontier, found = start, []
+        frontier, found = start, start.limit(0)
         step = e.select("study_id", F.col(here).alias("node"), F.col(there).alias("__next"))
-        for _ in range(depth):
-            frontier = keyed_join(frontier, step, ["study_id", "node"], "inner").select(
-                "study_id", "root", F.col("__next").alias("node")).distinct()
-            found.append(frontier)
-        return reduce(DataFrame.unionByName, found).distinct().withColumn("direction", F.lit(name))
+        while True:
+            reached = keyed_join(frontier, step, ["study_id", "node"], "inner").select("study_id", "root", F.col("__next").alias("node")).distinct()
+            frontier = checkpointed(reached.join(found, pair, "left_anti"))
+            if frontier.isEmpty():
+                return found.withColumn("direction", F.lit(name))
+            found = found.unionByName(frontier)
 
     own = start.withColumn("direction", F.lit("self"))
     return own.unionByName(walk("source", "target", "descendant")).unionByName(walk("target", "source", "ancestor")).withColumnRenamed("node", "id")

@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions import special
-from .models import Design, dose_contrasts
+from .models import RowSpace, Design, dose_contrasts
 
 _FIELDS = ["visit", "kind", "term", "estimate", "se", "df", "statistic", "p", "lower", "upper"]
 _SCHEMA = ("array<struct<visit:string,kind:string,term:string,estimate:double,se:double,df:double,statistic:double,"
@@ -219,6 +219,7 @@ def mmrm(df: DataFrame, y: str, visit: str, visits: Sequence, treat: str, levels
         rows = [("", "loglik", "REML", ll) + (None,) * 6]
         rows += [(str(visits[i]), "covariance", str(visits[j]), float(v)) + (None,) * 6
                  for (i, j), v in zip(model.pairs, theta)]
+        space = RowSpace(cov)  # an absent arm, or one absent at a visit, is outside it
         for vi, v in enumerate(visits):
             base = {arm: grid(arm, model) for arm in levels}
             asked = [("lsmean", arm, base[arm]) for arm in levels]
@@ -226,6 +227,9 @@ def mmrm(df: DataFrame, y: str, visit: str, visits: Sequence, treat: str, levels
             for kind, name, x in asked:
                 l = np.zeros(t * (k + 1))
                 l[vi * (k + 1):(vi + 1) * (k + 1)] = x
+                if not space.holds(l):
+                    rows.append((str(v), kind, name) + (None,) * 7)
+                    continue
                 est, se = float(l @ beta), float(np.sqrt(max(l @ cov @ l, 0.0)))
                 dof = _satterthwaite(l, cov, dcov, a)
                 ok = se > 0 and np.isfinite(dof)

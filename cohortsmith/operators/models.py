@@ -71,8 +71,28 @@ def gram(df: DataFrame, design: Design, y: str, by: Sequence[str] = ()) -> DataF
     return named.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), means.alias("means"), cross.alias("cross"))
 
 
+class RowSpace:
+    """What a symmetric non-negative matrix of columns can tell apart."""
+
+    def __init__(self, m):
+        size = np.diag(m)
+        self.scale = np.sqrt(np.where(size > 0, size, 1.0))
+        corr = m / np.outer(self.scale, self.scale)
+        self.inverse = np.linalg.pinv(corr, rcond=1e-10, hermitian=True)
+        self.projection = self.inverse @ corr
+
+    def holds(self, l):
+        """Whether the combination ``l`` of the columns' effects can be estimated."""
+        v = np.asarray(l, float) / self.scale
+        return bool(np.abs(v @ self.projection - v).max(initial=0.0) <= 1e-6 * np.abs(v).max(initial=0.0))
+
+
 class _Fit:
-    """Least squares from one Gram row; collinear columns are absorbed by a pseudo-inverse."""
+    """Least squares from one Gram row; collinear columns are absorbed by a pseudo-inverse.
+
+    A combination of slopes outside the row space of the design (an absent arm or level, collinear columns) has no
+    estimate: it is NaN here and null in results.
+    """
 
     def __init__(self, n, means, cross, k):
         c = np.zeros((k, k))
@@ -80,9 +100,10 @@ class _Fit:
         c = (c + np.triu(c, 1).T) * n
         sxx, sxy, syy = c[:-1, :-1], c[:-1, -1], c[-1, -1]
         self.n, self.xbar, self.ybar = n, np.asarray(means[:-1], float), float(means[-1])
-        scale = np.sqrt(np.where(np.diag(sxx) > 0, np.diag(sxx), 1.0))
+        self.space = RowSpace(sxx)
+        scale = self.space.scale
         corr = sxx / np.outer(scale, scale)
-        self.inv = np.linalg.pinv(corr, rcond=1e-10, hermitian=True) / np.outer(scale, scale)
+        self.inv = self.space.inverse / np.outer(scale, scale)
         self.beta = self.inv @ sxy
         self.rank = 1 + (int(np.linalg.matrix_rank(corr, tol=1e-10, hermitian=True)) if k > 1 else 0)
         self.df = n - self.rank
@@ -93,11 +114,15 @@ class _Fit:
     def mean_at(self, x):
         """Prediction and standard error at covariate vector x."""
         d = np.asarray(x, float) - self.xbar
+        if not self.space.holds(d):
+            return np.nan, np.nan
         return self.ybar + d @ self.beta, float(np.sqrt(self.s2 * (1.0 / self.n + d @ self.inv @ d)))
 
     def combo(self, l):
         """Estimate and standard error of a combination of slopes."""
         l = np.asarray(l, float)
+        if not self.space.holds(l):
+            return np.nan, np.nan
         return float(l @ self.beta), float(np.sqrt(max(self.s2 * (l @ self.inv @ l), 0.0)))
 
     def term_f(self, idx):
@@ -162,7 +187,8 @@ def _solve_udf(design: Design, contrasts: Mapping[str, Sequence[float]], level:
 
     @F.pandas_udf(schema)
     def solve(n: pd.Series, means: pd.Series, cross: pd.Series) -> pd.Series:
-        return pd.Series([[dict(zip(fields, r)) for r in rows(a, b, c)] for a, b, c in zip(n, means, cross)])
+        known = lambda v: None if isinstance(v, float) and np.isnan(v) else v
+        return pd.Series([[dict(zip(fields, map(known, r))) for r in rows(a, b, c)] for a, b, c in zip(n, means, cross)])
 
     return solve
 
@@ -173,7 +199,8 @@ def linear_model(df: DataFrame, y: str, design: Design, contrasts: Mapping[str,
 
     Rows: coefficients, type III F per term, residual variance and rank, LS-means on
     an equally weighted reference grid, and contrasts with the given weights over
-    the treatment levels. No multiplicity adjustment.
+    the treatment levels. No multiplicity adjustment. What the data cannot estimate
+    (an absent arm, a collinear column) keeps its row with nulls.
     """
     stats = gram(df, design, y, by)
     solve = _solve_udf(design, dict(contrasts or {}), level)
@@ -209,12 +236,21 @@ def anova(df: DataFrame, y: str, treat: str, levels: Sequence[str], by: Sequence
     return linear_model(df, y, Design(treat, tuple(levels)), dose_contrasts(levels), by)
 
 
-def factor_levels(df: DataFrame, column: str, limit: int = 200) -> list[str]:
-    """Distinct levels of a model factor in text order; refuses more than a model can hold."""
-    found = [r[0] for r in df.select(column).where(F.col(column).isNotNull()).distinct().limit(limit + 1).collect()]
-    if len(found) > limit:
-        raise ValueError(f"{column} has more than {limit} levels; pool it before modelling")
-    return sorted(found)
+#: Columns of a linear model beyond which its cross-products no longer fit one aggregate row.
+MODEL_COLUMNS = 2_000
+
+
+def factor_levels(df: DataFrame, column: str) -> list[str]:
+    """Distinct levels of a model factor in text order.
+
+    Raises when the levels alone make a model of more than ``MODEL_COLUMNS`` columns; the number is found by an aggregate
+    before any level reaches the driver.
+    """
+    levels = df.select(column).where(F.col(column).isNotNull()).distinct()
+    n = levels.count()
+    if n > MODEL_COLUMNS:
+        raise ValueError(f"{column} has {n} levels, more than a model can hold; pool it before modelling")
+    return sorted(r[0] for r in levels.collect())
 
 
 # ---- contingency tables -------------------------------------------------------------

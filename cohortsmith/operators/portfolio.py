@@ -297,16 +297,12 @@ def dedup_candidates(cands: DataFrame) -> tuple[DataFrame, DataFrame]:
     return survivors.select(*CANDIDATE, "n_merged"), merges
 
 
-def row_numbers(df: DataFrame, by: Sequence[str], order: Sequence[Column], name: str, limit: int = 1_000_000) -> DataFrame:
+def row_numbers(df: DataFrame, by: Sequence[str], order: Sequence[Column], name: str) -> DataFrame:
     """``row_number`` per group in a total order, whatever the size of a group.
 
-    Groups up to ``limit`` rows use a window. If any is larger, rows are sorted over
-    the whole cluster, materialised once with their position, and numbered by the
-    offset of their sorted partition.
+    Rows are sorted over the whole cluster, materialised once with their position,
+    and numbered by the offset of their sorted partition.
     """
-    largest = df.groupBy(*by).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
-    if largest <= limit:
-        return df.withColumn(name, F.row_number().over(W.partitionBy(*by).orderBy(*order)))
     placed = checkpointed(df.orderBy(*by, *order).withColumn("__pos", F.monotonically_increasing_id()))
     placed = placed.withColumns({"__part": F.shiftright("__pos", 33), "__in": F.col("__pos").bitwiseAND(F.lit((1 << 33) - 1))})
     sizes = placed.groupBy("__part").agg(F.count(F.lit(1)).alias("__n"))

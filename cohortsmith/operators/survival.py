@@ -17,9 +17,6 @@ from ..functions import special
 from .groups import keyed_join, prefix_counts
 
 
-TIE_CHUNK = 100_000
-
-
 def risk_table(df: DataFrame, by: Sequence[str] = ("ARM",), time: str = "AVAL", cnsr: str = "CNSR") -> DataFrame:
     """Per group and distinct time: events d, censored c and number at risk."""
     table = df.filter(F.col(time).isNotNull()).groupBy(*by, F.col(time).alias("t")).agg(
@@ -139,6 +136,25 @@ def logrank(df: DataFrame, group: str, levels: Sequence[str], strata: Sequence[s
         *[F.col("exp")[i].alias(f"expected_{i}") for i in range(k)])
 
 
+@F.pandas_udf("total double, one double, two double")
+def efron_sums(risk: pd.Series, tied: pd.Series, d: pd.Series) -> pd.DataFrame:
+    """Sums over l < d of log m, 1/m and 1/m^2 with m = risk - l/d * tied, in slices of bounded size."""
+    rows = []
+    for r, e, n in zip(risk.to_numpy(float), tied.to_numpy(float), d.to_numpy(float)):
+        sums = np.zeros(3)
+        for a in range(0, int(n), 1 << 20):
+            m = r - np.arange(a, min(a + (1 << 20), int(n))) / n * e
+            sums += (np.log(m).sum(), (1 / m).sum(), (1 / m**2).sum())
+        rows.append(tuple(sums))
+    return pd.DataFrame(rows, columns=["total", "one", "two"])
+
+
+@F.pandas_udf("total double, one double, two double")
+def breslow_sums(risk: pd.Series, tied: pd.Series, d: pd.Series) -> pd.DataFrame:
+    """The same with every tied event seeing the whole risk set."""
+    return pd.DataFrame({"total": d * np.log(risk), "one": d / risk, "two": d / risk**2})
+
+
 def cox(df: DataFrame, covariates: dict[str, Column], time: str = "AVAL", cnsr: str = "CNSR", strata: Sequence[str] = (),
         ties: str = "efron", max_iter: int = 25, tol: float = 1e-9, level: float = 0.95) -> DataFrame:
     """Proportional hazards: log hazard ratio, SE, hazard ratio with limits and p per covariate.
@@ -157,7 +173,6 @@ def cox(df: DataFrame, covariates: dict[str, Column], time: str = "AVAL", cnsr:
     rows = rows.dropna(subset=["t", "e", *[f"x{i}" for i in range(k)]])
     head = rows.agg(*[F.avg(f"x{i}") for i in range(k)], F.sum("e").alias("events")).first()
     centre = [head[i] or 0.0 for i in range(k)]
-    many_ties = (head["events"] or 0) > TIE_CHUNK
     packed = rows.groupBy(*strata, "t", "e", *[f"x{i}" for i in range(k)]).agg(F.count(F.lit(1)).cast("double").alias("w"))
     packed = packed.select(*strata, "t", "e", "w", *[(F.col(f"x{i}") - centre[i]).alias(f"x{i}") for i in range(k)]).cache()
     later = W.partitionBy(*strata).orderBy(F.col("t").desc()).rowsBetween(W.unboundedPreceding, 0)
@@ -175,23 +190,22 @@ def cox(df: DataFrame, covariates: dict[str, Column], time: str = "AVAL", cnsr:
         aggs += [F.sum(c * F.col("e")).alias(f"e_{n}") for n, c in moment.items()]
         axis = packed.groupBy(*strata, "t").agg(*aggs)
         axis = axis.withColumns({f"r_{n}": F.sum(n).over(later) for n in moment}).filter(F.col("d") > 0)
-        # Efron: the l-th of d tied events sees the risk set less l/d of the tied ones
+        # Efron: the l-th of d tied events sees the risk set less l/d of the tied ones. Every term is a ratio of two
+        # functions linear in l/d, so its sum over l needs the sums of log m, 1/m and 1/m^2 of the denominator m only.
+        tie = efron_sums if ties == "efron" else breslow_sums
+        axis = axis.withColumn("__t", tie("r_s0", "e_s0", "d"))
+        total, one, two = F.col("__t.total"), F.col("__t.one"), F.col("__t.two")
         if ties == "efron":
-            axis = axis.withColumn("__c", F.explode(F.expr(f"sequence(0L, cast((d - 1) / {TIE_CHUNK} as bigint))")))
-            if many_ties:  # spread the terms of a heavily tied time over tasks
-                axis = axis.repartition("t", "__c")
-            lo, hi = f"__c * {TIE_CHUNK}L", f"least(cast(d as bigint), (__c + 1) * {TIE_CHUNK}L) - 1"
-            axis = axis.withColumn("f", F.explode(F.expr(f"transform(sequence({lo}, {hi}), l -> l / d)")))
-            mult = F.lit(1.0)
+            at = lambda n: F.col(f"e_{n}") / F.col("e_s0")
+            off = lambda n: F.col(f"r_{n}") - F.col("r_s0") * at(n)
         else:
-            axis, mult = axis.withColumn("f", F.lit(0.0)), F.col("d")
-        m = lambda n: F.col(f"r_{n}") - F.col("f") * F.col(f"e_{n}")
-        first = F.col("f") == 0
-        bar = [m(f"s1_{i}") / m("s0") for i in range(k)]
+            at, off = (lambda n: F.lit(0.0)), (lambda n: F.col(f"r_{n}"))
+        mean = lambda n: F.col("d") * at(n) + off(n) * one
+        both = lambda a, b: F.col("d") * at(a) * at(b) + (at(a) * off(b) + at(b) * off(a)) * one + off(a) * off(b) * two
         out = axis.agg(
-            (F.sum(F.when(first, F.col("deta")).otherwise(0.0)) - F.sum(mult * F.ln(m("s0")))).alias("ll"),
-            *[(F.sum(F.when(first, F.col(f"dx_{i}")).otherwise(0.0)) - F.sum(mult * bar[i])).alias(f"u{i}") for i in range(k)],
-            *[F.sum(mult * (m(f"s2_{i}_{j}") / m("s0") - bar[i] * bar[j])).alias(f"h{i}_{j}") for i, j in pairs],
+            (F.sum("deta") - F.sum(total)).alias("ll"),
+            *[(F.sum(f"dx_{i}") - F.sum(mean(f"s1_{i}"))).alias(f"u{i}") for i in range(k)],
+            *[F.sum(mean(f"s2_{i}_{j}") - both(f"s1_{i}", f"s1_{j}")).alias(f"h{i}_{j}") for i, j in pairs],
         ).first()
         u = np.array([out[f"u{i}"] or 0.0 for i in range(k)])
         h = np.zeros((k, k))

@@ -131,11 +131,11 @@ def locf_endpoint(df: DataFrame, endpoint: Visit, require_baseline: bool = True,
     """Add a carried-forward record at the endpoint visit where none was observed.
 
     ``df`` holds records with ANL01FL, AVISITN, AVAL and BASE. For each group without
-    an endpoint record, its last primary post-baseline record is copied with
-    DTYPE LOCF and CHG computed anew.
+    an endpoint record, its last primary post-baseline record before that visit is
+    copied with DTYPE LOCF and CHG computed anew; later visits are never carried back.
     """
     primary = df.filter(F.col("ANL01FL") == "Y")
-    post = primary.filter(F.col("AVISITN") > first_post)
+    post = primary.filter((F.col("AVISITN") > first_post) & (F.col("AVISITN") <= endpoint.number))
     if require_baseline:
         post = post.filter(F.col("BASE").isNotNull())
     # one aggregate finds both the last record and whether the endpoint was observed

@@ -78,7 +78,7 @@ def _(spark, sf):
     top = F.struct(F.lit(1).alias("level"), F.col("objective_id").alias("name"), F.struct("listItems").alias("sublist"))
     root = F.struct(F.struct(F.struct(F.collect_list(top).alias("listItems")).alias("contentsList")).alias("mainListOfContents"))
     docs = leaf.groupBy("study_id").agg(F.to_json(root).alias("doc"))
-    return rd.flatten_contents(docs, 3).select("study_id", "list", "depth", "output_id", "name")
+    return rd.flatten_contents(docs).select("study_id", "list", "depth", "output_id", "name")
 
 
 @query("variable_metadata", """

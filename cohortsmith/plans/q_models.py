@@ -13,12 +13,13 @@ _GROUPS = """SELECT PARAMCD, ARM, count(*) AS n, avg(BASE) AS xb, avg(CHG) AS yb
 _POOL = """SELECT PARAMCD, sum(n) AS n, sum(n * xb) / sum(n) AS x, sum(sxx) AS sxx, sum(sxy) AS sxy, sum(syy) AS syy, sum(sxy) / sum(sxx) AS b,
   (sum(syy) - sum(sxy) * sum(sxy) / sum(sxx)) / (sum(n) - count(*) - 1) AS s2, sum(n) - count(*) - 1 AS df, count(*) AS k FROM gr GROUP BY 1"""
 _PAIRS = "(VALUES ('Low Dose', 'Placebo'), ('High Dose', 'Placebo'), ('High Dose', 'Low Dose')) pr(hi, lo)"
+_ARMS = "(VALUES ('Placebo'), ('Low Dose'), ('High Dose')) arms(ARM)"
 _ANCOVA_ROWS = f"""
   SELECT PARAMCD, 'lsmean' AS kind, ARM AS term, r6(yb + p.b * (p.x - xb)) AS estimate, r6(sqrt(s2 * (1.0 / g.n + power(p.x - xb, 2) / p.sxx))) AS se,
-    CAST(df AS DOUBLE) AS df FROM gr g JOIN pool p USING (PARAMCD)
-  UNION ALL SELECT a.PARAMCD, 'contrast', hi || ' - ' || lo, r6((a.yb - p.b * a.xb) - (c.yb - p.b * c.xb)),
+    CAST(df AS DOUBLE) AS df FROM (SELECT * FROM pool, {_ARMS}) p LEFT JOIN gr g USING (PARAMCD, ARM) WHERE p.n > 1
+  UNION ALL SELECT p.PARAMCD, 'contrast', hi || ' - ' || lo, r6((a.yb - p.b * a.xb) - (c.yb - p.b * c.xb)),
     r6(sqrt(s2 * (1.0 / a.n + 1.0 / c.n + power(a.xb - c.xb, 2) / p.sxx))), CAST(df AS DOUBLE)
-  FROM {_PAIRS} JOIN gr a ON a.ARM = hi JOIN gr c ON c.ARM = lo AND c.PARAMCD = a.PARAMCD JOIN pool p ON p.PARAMCD = a.PARAMCD"""
+  FROM (SELECT * FROM pool, {_PAIRS}) p LEFT JOIN gr a ON a.ARM = hi AND a.PARAMCD = p.PARAMCD LEFT JOIN gr c ON c.ARM = lo AND c.PARAMCD = p.PARAMCD WHERE p.n > 1"""
 
 
 @query("flagship_change_from_baseline", with_views("endpoint", f"""
@@ -58,9 +59,10 @@ def _(spark, sf):
 
 
 @query("dose_response", with_views("endpoint", """
-  SELECT PARAMCD, r6(bd) AS estimate, r6(sqrt(s2 * sbb / det)) AS se, r6(bd / sqrt(s2 * sbb / det)) AS statistic, CAST(n - 3 AS DOUBLE) AS df
+  SELECT PARAMCD, r6(bd) AS estimate, r6(sqrt(s2 * sbb / det)) AS se, r6(bd / sqrt(s2 * sbb / det)) AS statistic, CAST(n - 1 - rank AS DOUBLE) AS df
   FROM (SELECT *, (syy - bd * sdy - bb * sby) / (n - 3) AS s2 FROM (SELECT *, (sdy * sbb - sby * sdb) / det AS bd, (sby * sdd - sdy * sdb) / det AS bb FROM (
-    SELECT *, sdd * sbb - sdb * sdb AS det FROM (SELECT PARAMCD, count(*) AS n, regr_sxx(CHG, TRT01PN) AS sdd, regr_sxx(CHG, BASE) AS sbb,
+    SELECT *, CASE WHEN sdd * sbb - sdb * sdb > 1e-10 * sdd * sbb THEN sdd * sbb - sdb * sdb END AS det,
+      CASE WHEN sdd * sbb - sdb * sdb > 1e-10 * sdd * sbb THEN 2 WHEN sdd > 0 OR sbb > 0 THEN 1 ELSE 0 END AS rank FROM (SELECT PARAMCD, count(*) AS n, regr_sxx(CHG, TRT01PN) AS sdd, regr_sxx(CHG, BASE) AS sbb,
       regr_sxy(BASE, TRT01PN) AS sdb, regr_sxy(CHG, TRT01PN) AS sdy, regr_sxy(CHG, BASE) AS sby, regr_syy(CHG, BASE) AS syy FROM endpoint GROUP BY 1))))"""))
 def _(spark, sf):
     return md.dose_response(endpoint(spark, sf), "CHG", "TRT01PN", by=["PARAMCD"]).select("PARAMCD", "estimate", "se", "statistic", "df")
@@ -82,7 +84,8 @@ _RESPONDERS = "SELECT *, CASE WHEN CHG < 0 THEN 'Y' ELSE 'N' END AS RESP FROM en
 
 
 @query("cmh_general", with_views("endpoint", """
-  SELECT PARAMCD, 'general' AS kind, r6(power(sum(a - r1 * c1 / n), 2) / sum(r1 * r2 * c1 * c2 / (n * n * (n - 1)))) AS statistic, 1.0::DOUBLE AS df FROM (
+  SELECT PARAMCD, 'general' AS kind, CASE WHEN sum(r1 * r2 * c1 * c2) > 0 THEN r6(power(sum(a - r1 * c1 / n), 2) / sum(r1 * r2 * c1 * c2 / (n * n * (n - 1)))) END AS statistic,
+    CASE WHEN sum(r1 * r2 * c1 * c2) > 0 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS df FROM (
     SELECT PARAMCD, REGION, count(*)::DOUBLE AS n, (count(*) FILTER (ARM = 'Placebo' AND RESP = 'Y'))::DOUBLE AS a, (count(*) FILTER (ARM = 'Placebo'))::DOUBLE AS r1,
       (count(*) FILTER (ARM <> 'Placebo'))::DOUBLE AS r2, (count(*) FILTER (RESP = 'Y'))::DOUBLE AS c1, (count(*) FILTER (RESP = 'N'))::DOUBLE AS c2
     FROM resp WHERE ARM IN ('Placebo', 'High Dose') GROUP BY 1, 2) WHERE n > 1 GROUP BY 1""", resp=_RESPONDERS))
@@ -91,7 +94,8 @@ def _(spark, sf):
 
 
 @query("cmh_row_mean_score", with_views("endpoint", """
-  SELECT PARAMCD, 'correlation' AS kind, r6(power(sum(sxy), 2) / sum(sxx * syy / (n - 1))) AS statistic, 1.0::DOUBLE AS df FROM (
+  SELECT PARAMCD, 'correlation' AS kind, CASE WHEN sum(sxx * syy) > 0 THEN r6(power(sum(sxy), 2) / sum(sxx * syy / (n - 1))) END AS statistic,
+    CASE WHEN sum(sxx * syy) > 0 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS df FROM (
     SELECT PARAMCD, REGION, count(*) AS n, regr_sxy(y, x) AS sxy, regr_sxx(y, x) AS sxx, regr_syy(y, x) AS syy FROM (
       SELECT PARAMCD, REGION, CASE ARM WHEN 'Placebo' THEN 1 WHEN 'Low Dose' THEN 2 ELSE 3 END AS x,
         CASE WHEN CHG < -20 THEN 1 WHEN CHG < 0 THEN 2 WHEN CHG < 20 THEN 3 ELSE 4 END AS y FROM endpoint) GROUP BY 1, 2 HAVING count(*) > 1) GROUP BY 1"""))

@@ -168,6 +168,18 @@ def _(spark, sf):
     return locf(spark, sf).select("USUBJID", "PARAMCD", "AVISITN", "AVAL", "BASE", "CHG", "ADY", "DTYPE")
 
 
+@query("locf_endpoint_before_the_last_visit", with_views("analysis", """
+  SELECT USUBJID, PARAMCD, AVISITN, AVAL, DTYPE FROM (
+    SELECT USUBJID, PARAMCD, AVISITN, AVAL, NULL AS DTYPE FROM analysis WHERE AVISITN = 14
+    UNION ALL SELECT USUBJID, PARAMCD, 14 AS AVISITN, AVAL, 'LOCF' AS DTYPE FROM (
+      SELECT *, row_number() OVER (PARTITION BY USUBJID, PARAMCD ORDER BY AVISITN DESC, ADY DESC, ASEQ DESC) AS k FROM analysis a
+      WHERE AVISITN > 0 AND AVISITN < 14 AND NOT EXISTS (SELECT 1 FROM analysis o WHERE o.USUBJID = a.USUBJID AND o.PARAMCD = a.PARAMCD AND o.AVISITN = 14)) WHERE k = 1)"""))
+def _(spark, sf):
+    """Endpoint on day 14 while day 28 exists: later values are not carried back, and no second primary record appears."""
+    out = w.locf_endpoint(analysis(spark, sf), VISITS[2], require_baseline=False)
+    return out.filter("AVISITN = 14").select("USUBJID", "PARAMCD", "AVISITN", "AVAL", "DTYPE")
+
+
 _GRID = """SELECT g.USUBJID, g.PARAMCD, t.AVISITN, a.AVAL FROM (SELECT DISTINCT USUBJID, PARAMCD FROM analysis) g
   CROSS JOIN (VALUES (CAST(0 AS BIGINT)), (7), (14), (21), (28)) t(AVISITN) LEFT JOIN analysis a USING (USUBJID, PARAMCD, AVISITN)"""
 

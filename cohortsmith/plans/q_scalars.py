@@ -75,11 +75,11 @@ def _(spark, sf):
   SELECT o_orderkey, CAST(date_diff('year', b, r) - CASE WHEN (month(r), day(r)) < (month(b), day(b)) THEN 1 ELSE 0 END
     AS BIGINT) AS AGE
   FROM (SELECT o_orderkey, CAST(o_orderdate AS DATE) - CAST(5000 + o_orderkey % 20000 AS INTEGER) AS b,
-          CAST(o_orderdate AS DATE) AS r FROM orders) WHERE day(b) < 28"""))
+          CAST(o_orderdate AS DATE) AS r FROM orders)"""))
 def _(spark, sf):
     df = table(spark, sf, "orders").select(
         "o_orderkey", F.date_sub(F.to_date("o_orderdate"), (F.lit(5000) + F.col("o_orderkey") % 20000).cast("int")).alias("b"),
-        F.to_date("o_orderdate").alias("r")).filter(F.dayofmonth("b") < 28)
+        F.to_date("o_orderdate").alias("r"))
     return df.select("o_orderkey", s.age_years("b", "r").alias("AGE"))
 
 
@@ -135,13 +135,14 @@ def _(spark, sf):
 
 
 @query("display_round", with_views("", """
-  SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, l_partkey, l_suppkey, x AS X, CAST(printf('%.2f', x) AS VARCHAR) AS T
+  SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, l_partkey, l_suppkey, x AS X, CAST(printf('%.2f', x) AS VARCHAR) AS T, CAST(l_orderkey AS DOUBLE) * 1e13 AS L
   FROM (SELECT *, sign(v) * floor(abs(v) * 100 + 0.5) / 100 + 0.0 AS x
         FROM (SELECT *, l_extendedprice * l_discount * CASE WHEN l_partkey % 2 = 0 THEN 1 ELSE -1 END AS v FROM lineitem))"""))
 def _(spark, sf):
     v = F.col("l_extendedprice") * F.col("l_discount") * F.when(F.col("l_partkey") % 2 == 0, 1).otherwise(-1)
     return table(spark, sf, "lineitem").select(
-        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", s.display_round(v, 2).alias("X"), s.fixed_text(v, 2).alias("T"))
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", s.display_round(v, 2).alias("X"), s.fixed_text(v, 2).alias("T"),
+        s.display_round(F.col("l_orderkey") * 1e13, 6).alias("L"))
 
 
 @query("treatment_columns", with_views("subjects", """

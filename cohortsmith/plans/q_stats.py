@@ -316,8 +316,8 @@ def _(spark, sf):
 @query("gate_sites", with_views("subjects", """
   SELECT coalesce(a.g, b.g) AS SITEGR1, coalesce(a.n, 0) AS n_stored, coalesce(b.n, 0) AS n_rule,
     CASE WHEN coalesce(a.n, 0) = coalesce(b.n, 0) THEN 'OK' ELSE 'FAILED' END AS status
-  FROM (SELECT CASE WHEN m >= 10 THEN SITEID ELSE '900' END AS g, count(*) AS n FROM subjects JOIN mins USING (SITEID) GROUP BY 1) a
-  FULL JOIN (SELECT CASE WHEN m >= 12 THEN SITEID ELSE '900' END AS g, count(*) AS n FROM subjects JOIN mins USING (SITEID) GROUP BY 1) b ON a.g = b.g""",
+  FROM (SELECT CASE WHEN coalesce(m, 0) >= 10 THEN SITEID ELSE '900' END AS g, count(*) AS n FROM subjects LEFT JOIN mins USING (SITEID) GROUP BY 1) a
+  FULL JOIN (SELECT CASE WHEN coalesce(m, 0) >= 12 THEN SITEID ELSE '900' END AS g, count(*) AS n FROM subjects LEFT JOIN mins USING (SITEID) GROUP BY 1) b ON a.g = b.g""",
   mins="""SELECT SITEID, least(count(*) FILTER (TRT01PN = 0), count(*) FILTER (TRT01PN = 54), count(*) FILTER (TRT01PN = 81)) AS m
           FROM subjects WHERE ITTFL = 'Y' GROUP BY 1"""))
 def _(spark, sf):

@@ -227,11 +227,10 @@ def flatten_usdm(docs: DataFrame, column: str = "doc") -> dict[str, DataFrame]:
     }
 
 
-def flatten_contents(docs: DataFrame, depth: int = 4, column: str = "doc") -> DataFrame:
-    """The nested lists of contents as rows (list, path, level, name, analysis_id, output_id).
+def flatten_contents(docs: DataFrame, column: str = "doc") -> DataFrame:
+    """The nested lists of contents as rows (list, path, depth, name, analysis_id, output_id).
 
-    Reads the main list and the other lists, each to ``depth`` levels, one explode per
-    level. Items deeper than that are reported by ``truncated`` on their parent.
+    Reads the main list and the other lists level by level, one explode each, until no item has a list of its own.
     """
     item = "struct<level:int,order:int,name:string,analysisId:string,outputId:string,sublist:string>"
     nest = f"struct<listItems:array<{item}>>"
@@ -243,15 +242,14 @@ def flatten_contents(docs: DataFrame, depth: int = 4, column: str = "doc") -> Da
         "study_id", F.coalesce("o.name", F.lit("other")).alias("list"), F.col("o.contentsList.listItems").alias("items"))
     level = main.unionByName(other).withColumn("trail", F.lit("listItems"))
     out = []
-    for d in range(depth):
+    depth = 0
+    while depth == 0 or not level.isEmpty():
+        depth += 1
         rows = level.select("study_id", "list", "trail", F.posexplode("items").alias("i", "x")).withColumn(
             "path", F.concat_ws("/", "trail", "i"))
-        sub = F.from_json("x.sublist", nest)["listItems"]
-        rows = rows.withColumn("sub", sub)
-        out.append(rows.select(
-            "study_id", "list", "path", F.lit(d + 1).alias("depth"), F.col("x.name").alias("name"),
-            F.col("x.analysisId").alias("analysis_id"), F.col("x.outputId").alias("output_id"),
-            (F.lit(d == depth - 1) & (F.coalesce(F.size("sub"), F.lit(0)) > 0)).alias("truncated")))
+        rows = rows.withColumn("sub", F.from_json("x.sublist", nest)["listItems"])
+        out.append(rows.select("study_id", "list", "path", F.lit(depth).alias("depth"), F.col("x.name").alias("name"),
+                               F.col("x.analysisId").alias("analysis_id"), F.col("x.outputId").alias("output_id")))
         level = rows.filter(F.size("sub") > 0).select(
             "study_id", "list", F.concat_ws("/", "path", F.lit("sublist/listItems")).alias("trail"), F.col("sub").alias("items"))
     return reduce(DataFrame.unionByName, out)

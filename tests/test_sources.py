@@ -54,6 +54,12 @@ def test_contents_to_a_depth(spark):
         {"name": "b", "outputId": "OUT1", "sublist": {"listItems": [{"name": "c", "outputId": "OUT2"}]}}]}}]}},
         "otherListsOfContents": [{"name": "extra", "contentsList": {"listItems": [{"name": "d", "outputId": "OUT3"}]}}]}
     docs = spark.createDataFrame([("S", json.dumps(tree))], "study_id string, doc string")
-    got = {(r["list"], r["name"], r["depth"]): (r["path"], r["truncated"]) for r in rd.flatten_contents(docs, 2).collect()}
-    assert got[("main", "b", 2)] == ("listItems/0/sublist/listItems/0", True) and ("extra", "d", 1) in got and len(got) == 3
-    assert rd.flatten_contents(docs, 3).filter("name = 'c'").first()["output_id"] == "OUT2"
+    got = {(r["list"], r["name"], r["depth"]): r["path"] for r in rd.flatten_contents(docs).collect()}
+    assert got[("main", "b", 2)] == "listItems/0/sublist/listItems/0" and ("extra", "d", 1) in got and len(got) == 4
+    assert rd.flatten_contents(docs).filter("name = 'c'").first()["output_id"] == "OUT2"
+    deep = {"name": "leaf", "outputId": "OUT9"}
+    for k in range(6):
+        deep = {"name": f"level {k}", "sublist": {"listItems": [deep]}}
+    docs = spark.createDataFrame([("S", json.dumps({"mainListOfContents": {"contentsList": {"listItems": [deep]}}}))], "study_id string, doc string")
+    leaf = rd.flatten_contents(docs).filter("name = 'leaf'").first()
+    assert leaf["depth"] == 7 and leaf["output_id"] == "OUT9"
