@@ -7,7 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .groups import exact_quantiles, keyed_join
+from .groups import exact_quantiles, keyed_join, quantiles_of_counts, value_counts
 
 ARD_COLUMNS = ["study_id", "analysis_id", "group1", "group1_level", "variable", "variable_level", "context",
                "stat_name", "stat", "stat_chr"]
@@ -34,13 +34,16 @@ def continuous_wide(df: DataFrame, by: Sequence[str], variables: Sequence[str],
     """N, mean, sd, min, max and exact quantiles per group and variable, one row each."""
     quantiles = QUANTILES if quantiles is None else quantiles
     long = df.select(*by, *[F.col(v).cast("double").alias(v) for v in variables]).unpivot(
-        list(by), list(variables), "variable", "value").filter(F.col("value").isNotNull())
+        list(by), list(variables), "variable", "value")
     key = [*by, "variable"]
-    moments = long.groupBy(*key).agg(
-        F.count("value").alias("N"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("sd"),
-        F.min("value").alias("min"), F.max("value").alias("max"),
-    )
-    return keyed_join(moments, exact_quantiles(long, key, "value", quantiles), key) if quantiles else moments
+    # everything comes from one materialised table of value counts
+    counts = value_counts(long, key, "value")
+    n, v = F.col("__n"), F.col("value")
+    moments = counts.groupBy(*key).agg(F.sum(n).alias("N"), (F.sum(n * v) / F.sum(n)).alias("mean"), F.min(v).alias("min"), F.max(v).alias("max"))
+    around = keyed_join(counts, moments.select(*key, "N", "mean"), key).groupBy(*key).agg(
+        F.sqrt(F.try_divide(F.sum(n * F.pow(v - F.col("mean"), 2)), F.max("N") - 1)).alias("sd"))
+    moments = keyed_join(moments, around, key).select(*key, "N", "mean", "sd", "min", "max")
+    return keyed_join(moments, quantiles_of_counts(counts, key, "value", quantiles), key) if quantiles else moments
 
 
 def ard_continuous(df: DataFrame, by: Sequence[str], variables: Sequence[str],
@@ -62,16 +65,23 @@ def population_n(adsl: DataFrame, flag: str, arm: str = "ARM", total: str | None
     )
 
 
+#: Level of values outside the declared list.
+UNDECLARED = "Other or missing"
+
+
 def ard_categorical(df: DataFrame, arm: str, variable: str, levels: Sequence[str], arms: Sequence[str],
                     denom: DataFrame) -> DataFrame:
     """Hits, N and percent per arm and level, with a zero row for each absent pair.
 
-    ``levels`` and ``arms`` are the declared level lists; ``denom`` holds N per arm.
+    ``levels`` and ``arms`` are the declared level lists; ``denom`` holds N per arm. Values
+    outside the list, nulls included, are counted in a row of their own where there are any.
     """
-    counts = df.groupBy(arm, F.col(variable).alias("level")).agg(F.count(F.lit(1)).alias("hits"))
+    declared = F.when(F.col(variable).cast("string").isin(*levels), F.col(variable).cast("string")).otherwise(F.lit(UNDECLARED))
+    counts = df.groupBy(arm, declared.alias("level")).agg(F.count(F.lit(1)).alias("hits"))
     spark = df.sparkSession
     grid = spark.createDataFrame([(a, l) for a in arms for l in levels], f"{arm} string, level string")
-    filled = grid.join(counts, [arm, "level"], "left").join(denom, arm, "left")
+    other = counts.filter((F.col("level") == UNDECLARED) & F.col(arm).isin(*arms)).select(arm, "level")
+    filled = grid.union(other).join(counts, [arm, "level"], "left").join(denom, arm, "left")
     hits, total = F.coalesce(F.col("hits"), F.lit(0)), F.col("N")
     return filled.select(
         arm, F.lit(variable).alias("variable"), "level", hits.alias("hits"), F.coalesce(total, F.lit(0)).alias("N"),

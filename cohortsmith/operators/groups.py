@@ -11,6 +11,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
+from ..session import checkpointed
+
 
 def keyed_join(df: DataFrame, table: DataFrame, by: Sequence[str], how: str = "left") -> DataFrame:
     """Join ``table`` on ``by`` (null matches null) so that a hot key can be split.
@@ -66,46 +68,50 @@ def extreme_rows(df: DataFrame, by: Sequence[str], order: Sequence[Column | str]
     )
 
 
-def prefix_counts(counts: DataFrame, by: Sequence[str], value: str, n: str, step: int = 16) -> DataFrame:
+def in_ranges(counts: DataFrame, by: Sequence[str], value: str) -> DataFrame:
+    """``counts`` (one row per ``by`` and value) cut into ranges of values, numbered by ``__part`` and materialised.
+
+    The cut is Spark's range partitioning over groups and values together, so its number of ranges follows the size of
+    the table and the session's partition settings, and a group of any size is many ranges.
+    """
+    return checkpointed(counts.repartitionByRange(*by, value).withColumn("__part", F.spark_partition_id()))
+
+
+def prefix_counts(ranged: DataFrame, by: Sequence[str], value: str, n: str) -> DataFrame:
     """Rows strictly below each distinct value and in total, as ``below`` and ``total``.
 
-    ``counts`` has one row per (by, value). Values are cut into up to ``step`` squared
-    ranges of like size from a mergeable quantile sketch; a running sum over the
-    ranges gives each range its offset, and a second running sum stays inside one
-    range. The sketch only balances the work, it does not touch the result.
+    ``ranged`` comes from ``in_ranges``. A running sum over a group's ranges gives each range its offset, and a second
+    running sum stays inside one range.
     """
     by = list(by)
-    m = step - 1
-    cuts = [i / step ** 2 for i in range(1, step ** 2)]
-    # cuts and total travel in one array: every use then asks for the same columns
-    # of ``counts``, so Spark computes and shuffles that table once
-    sketch = F.percentile_approx(F.col(value).cast("double"), cuts, 1000)
-    facts = counts.groupBy(*by).agg(F.concat(sketch, F.array(F.sum(n).cast("double"))).alias("__f")).withColumn(
-        "__g", F.expr(f"transform(sequence({step}, {m * step}, {step}), i -> __f[i - 1])"))
-    # a value is placed among every ``step``-th cut first, then among the cuts in between
-    below = f"(k, c) -> k + int(c < {value})"
-    placed = keyed_join(counts, facts, by, "inner").withColumn("__c", F.expr(f"aggregate(__g, 0, {below})")).withColumns({
-        "__b": F.expr(f"__c * {step} + aggregate(slice(__f, __c * {step} + 1, {m}), 0, {below})"),
-        "total": F.element_at("__f", -1).cast("bigint"),
-    }).drop("__f", "__g", "__c")
-    per_bucket = placed.groupBy(*by, "__b").agg(F.sum(n).alias("__bn"))
-    over_buckets = W.partitionBy(*by).orderBy("__b").rowsBetween(W.unboundedPreceding, -1)
-    offsets = per_bucket.withColumn("__off", F.coalesce(F.sum("__bn").over(over_buckets), F.lit(0))).drop("__bn")
-    inside = W.partitionBy(*by, "__b").orderBy(value).rowsBetween(W.unboundedPreceding, -1)
+    over_ranges, group = W.partitionBy(*by).orderBy("__part"), W.partitionBy(*by)
+    offsets = ranged.groupBy(*by, "__part").agg(F.sum(n).alias("__rn")).select(
+        *by, "__part", F.coalesce(F.sum("__rn").over(over_ranges.rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("__off"),
+        F.sum("__rn").over(group).alias("total"))
+    inside = W.partitionBy(*by, "__part").orderBy(value).rowsBetween(W.unboundedPreceding, -1)
     return (
-        keyed_join(placed, offsets, [*by, "__b"], "inner")
+        keyed_join(ranged, offsets, [*by, "__part"], "inner")
         .withColumn("below", F.col("__off") + F.coalesce(F.sum(n).over(inside), F.lit(0)))
-        .drop("__b", "__off")
+        .drop("__part", "__off")
     )
 
 
+def value_counts(df: DataFrame, by: Sequence[str], value: str) -> DataFrame:
+    """How often each value that is not null occurs per group (``__n``), cut into ranges."""
+    return in_ranges(df.filter(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count(F.lit(1)).alias("__n")), by, value)
+
+
 def exact_quantiles(df: DataFrame, by: Sequence[str], value: str, probs: dict[str, float]) -> DataFrame:
     """Exact linear-interpolation quantiles per group, one column per entry of ``probs``.
 
     Works on value counts, so a group of any size is spread over many tasks.
     """
+    return quantiles_of_counts(value_counts(df, by, value), by, value, probs)
+
+
+def quantiles_of_counts(counts: DataFrame, by: Sequence[str], value: str, probs: dict[str, float]) -> DataFrame:
+    """The same from the result of ``value_counts``."""
     by = list(by)
-    counts = df.filter(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count(F.lit(1)).alias("__n"))
     ranked = prefix_counts(counts, by, value, "__n")
     out = []
     for name, p in probs.items():

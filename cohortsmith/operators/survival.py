@@ -14,7 +14,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ..functions import special
-from .groups import keyed_join, prefix_counts
+from .groups import in_ranges, keyed_join, prefix_counts
 
 
 def risk_table(df: DataFrame, by: Sequence[str] = ("ARM",), time: str = "AVAL", cnsr: str = "CNSR") -> DataFrame:
@@ -136,23 +136,22 @@ def logrank(df: DataFrame, group: str, levels: Sequence[str], strata: Sequence[s
         *[F.col("exp")[i].alias(f"expected_{i}") for i in range(k)])
 
 
-@F.pandas_udf("total double, one double, two double")
-def efron_sums(risk: pd.Series, tied: pd.Series, d: pd.Series) -> pd.DataFrame:
-    """Sums over l < d of log m, 1/m and 1/m^2 with m = risk - l/d * tied, in slices of bounded size."""
-    rows = []
-    for r, e, n in zip(risk.to_numpy(float), tied.to_numpy(float), d.to_numpy(float)):
-        sums = np.zeros(3)
-        for a in range(0, int(n), 1 << 20):
-            m = r - np.arange(a, min(a + (1 << 20), int(n))) / n * e
-            sums += (np.log(m).sum(), (1 / m).sum(), (1 / m**2).sum())
-        rows.append(tuple(sums))
-    return pd.DataFrame(rows, columns=["total", "one", "two"])
-
+def tie_sums(efron: bool):
+    """Sums over the d tied events of log m, 1/m and 1/m^2, with m = risk - l/d * tied for l < d (Efron) or m = risk (Breslow)."""
+    @F.pandas_udf("total double, one double, two double")
+    def sums(risk: pd.Series, tied: pd.Series, d: pd.Series) -> pd.DataFrame:
+        if not efron:
+            return pd.DataFrame({"total": d * np.log(risk), "one": d / risk, "two": d / risk**2})
+        rows = []
+        for r, e, n in zip(risk.to_numpy(float), tied.to_numpy(float), d.to_numpy(float)):
+            total = np.zeros(3)
+            for a in range(0, int(n), 1 << 20):  # slices of bounded size
+                m = r - np.arange(a, min(a + (1 << 20), int(n))) / n * e
+                total += (np.log(m).sum(), (1 / m).sum(), (1 / m**2).sum())
+            rows.append(tuple(total))
+        return pd.DataFrame(rows, columns=["total", "one", "two"])
 
-@F.pandas_udf("total double, one double, two double")
-def breslow_sums(risk: pd.Series, tied: pd.Series, d: pd.Series) -> pd.DataFrame:
-    """The same with every tied event seeing the whole risk set."""
-    return pd.DataFrame({"total": d * np.log(risk), "one": d / risk, "two": d / risk**2})
+    return sums
 
 
 def cox(df: DataFrame, covariates: dict[str, Column], time: str = "AVAL", cnsr: str = "CNSR", strata: Sequence[str] = (),
@@ -176,6 +175,7 @@ def cox(df: DataFrame, covariates: dict[str, Column], time: str = "AVAL", cnsr:
     packed = rows.groupBy(*strata, "t", "e", *[f"x{i}" for i in range(k)]).agg(F.count(F.lit(1)).cast("double").alias("w"))
     packed = packed.select(*strata, "t", "e", "w", *[(F.col(f"x{i}") - centre[i]).alias(f"x{i}") for i in range(k)]).cache()
     later = W.partitionBy(*strata).orderBy(F.col("t").desc()).rowsBetween(W.unboundedPreceding, 0)
+    tied = tie_sums(ties == "efron")
 
     def step(beta):
         eta = F.lit(0.0)
@@ -192,8 +192,7 @@ def cox(df: DataFrame, covariates: dict[str, Column], time: str = "AVAL", cnsr:
         axis = axis.withColumns({f"r_{n}": F.sum(n).over(later) for n in moment}).filter(F.col("d") > 0)
         # Efron: the l-th of d tied events sees the risk set less l/d of the tied ones. Every term is a ratio of two
         # functions linear in l/d, so its sum over l needs the sums of log m, 1/m and 1/m^2 of the denominator m only.
-        tie = efron_sums if ties == "efron" else breslow_sums
-        axis = axis.withColumn("__t", tie("r_s0", "e_s0", "d"))
+        axis = axis.withColumn("__t", tied("r_s0", "e_s0", "d"))
         total, one, two = F.col("__t.total"), F.col("__t.one"), F.col("__t.two")
         if ties == "efron":
             at = lambda n: F.col(f"e_{n}") / F.col("e_s0")
@@ -253,7 +252,7 @@ def wilcoxon(df: DataFrame, group: str, levels: Sequence[str], value: str = "AVA
     keys = [*by, "__all"]
     counts = sub.withColumn("__all", F.lit(1)).groupBy(*keys, value).agg(
         F.count_if(F.col(group) == a).alias("na"), F.count(F.lit(1)).alias("m"))
-    ranked = prefix_counts(counts, keys, value, "m")
+    ranked = prefix_counts(in_ranges(counts, keys, value), keys, value, "m")
     mid = F.col("below") + (F.col("m") + 1) / 2.0
     m = F.col("m").cast("double")
     sums = ranked.groupBy(*by).agg(

@@ -14,7 +14,6 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from .groups import extreme_rows, keyed_join, order_key
-from .merge import without
 
 SUBJECT = ("USUBJID",)
 PARAM = ("USUBJID", "PARAMCD")
@@ -134,30 +133,25 @@ def locf_endpoint(df: DataFrame, endpoint: Visit, require_baseline: bool = True,
     an endpoint record, its last primary post-baseline record before that visit is
     copied with DTYPE LOCF and CHG computed anew; later visits are never carried back.
     """
-    primary = df.filter(F.col("ANL01FL") == "Y")
-    post = primary.filter((F.col("AVISITN") > first_post) & (F.col("AVISITN") <= endpoint.number))
+    primary = F.col("ANL01FL") == "Y"
+    source = primary & (F.col("AVISITN") > first_post) & (F.col("AVISITN") < endpoint.number)
     if require_baseline:
-        post = post.filter(F.col("BASE").isNotNull())
-    # one aggregate finds both the last record and whether the endpoint was observed
-    keep = [c for c in df.columns if c not in by]
-    last = post.groupBy(*by).agg(
-        F.max_by(F.struct(*keep), order_key(["AVISITN", "ADY", "ASEQ"])).alias("__row"),
-        F.max(F.col("AVISITN")).alias("__last"),
-    )
-    observed = primary.filter(F.col("AVISITN") == endpoint.number).select(*by)
-    candidates = last.filter(F.col("__last") != endpoint.number)
-    if require_baseline:
-        # a record at the endpoint without a baseline still counts as observed
-        candidates = without(candidates, observed, by)
-    carried = candidates.select(*by, *[F.col(f"__row.{c}").alias(c) for c in keep]).withColumns({
-        "AVISIT": F.lit(endpoint.label),
-        "AVISITN": F.lit(endpoint.number),
-        "ATARGDY": F.lit(endpoint.target),
-        "DTYPE": F.lit("LOCF"),
-        "ANL01FL": F.lit("Y"),
-        "CHG": F.col("AVAL") - F.col("BASE"),
-    })
-    return df.unionByName(carried, allowMissingColumns=True)
+        source = source & F.col("BASE").isNotNull()
+    # one aggregate finds the last source record and whether the endpoint was observed (with a baseline or not); the records then meet it once
+    key = order_key(["AVISITN", "ADY", "ASEQ"])
+    facts = df.groupBy(*by).agg(F.max(F.when(source, key)).alias("__last"), F.max(F.coalesce(primary & (F.col("AVISITN") == endpoint.number), F.lit(False))).alias("__seen"))
+    out = df if "DTYPE" in df.columns else df.withColumn("DTYPE", F.lit(None).cast("string"))
+    out = out if "CHG" in df.columns else out.withColumn("CHG", F.lit(None).cast("double"))
+    marked = keyed_join(out, facts.filter("__last IS NOT NULL AND NOT __seen").drop("__seen"), by)
+    changed = {"AVISIT": F.lit(endpoint.label), "AVISITN": F.lit(endpoint.number), "ATARGDY": F.lit(endpoint.target), "DTYPE": F.lit("LOCF"),
+               "ANL01FL": F.lit("Y"), "CHG": F.col("AVAL") - F.col("BASE")}
+    for name in changed:
+        if name not in out.columns:
+            out = out.withColumn(name, F.lit(None))
+    row = F.struct(*[F.col(c) for c in out.columns])
+    copy = F.struct(*[changed[c].cast(out.schema[c].dataType).alias(c) if c in changed else F.col(c) for c in out.columns])
+    carries = source & (key == F.col("__last"))
+    return marked.select(F.explode(F.when(carries, F.array(row, copy)).otherwise(F.array(row))).alias("__r")).select("__r.*")
 
 
 def _visit_grid(df: DataFrame, visits: DataFrame, by: Sequence[str], values: Sequence[str]) -> DataFrame:
@@ -223,14 +217,12 @@ def flag_first_occurrence(df: DataFrame, levels: dict[str, Sequence[str]] | None
     lead = F.col(order[0])
     key = order_key([lead.isNull(), *order])
     finest = list(dict.fromkeys(c for cols in levels.values() for c in cols))
-    base = df.filter(ok).groupBy(*finest).agg(F.min(key).alias("__first"))
-    out = df
-    for name, cols in levels.items():
-        marks = base if list(cols) == finest else base.groupBy(*cols).agg(F.min("__first").alias("__first"))
-        out = keyed_join(out, marks, cols).withColumn(
-            name, F.when(ok & (key == F.col("__first")), F.lit("Y"))
-        ).drop("__first")
-    return out
+    marks = df.filter(ok).groupBy(*finest).agg(F.min(key).alias("__first"))
+    # the first of every level is put on the finest table, which has one row per distinct key, and the records meet that table once
+    firsts = {name: "__first" if list(cols) == finest else f"__{name}" for name, cols in levels.items()}
+    marks = marks.withColumns({firsts[name]: F.min("__first").over(W.partitionBy(*cols)) for name, cols in levels.items() if firsts[name] != "__first"})
+    out = keyed_join(df, marks, finest)
+    return out.withColumns({name: F.when(ok & (key == F.col(c)), F.lit("Y")) for name, c in firsts.items()}).drop("__first", *firsts.values())
 
 
 def change_from_previous(df: DataFrame, by: Sequence[str] = PARAM) -> DataFrame:
