@@ -272,7 +272,7 @@ def completion_rate(df: DataFrame, adsl: DataFrame, visits: DataFrame, arm: str
     """Completed over expected questionnaires per arm and visit."""
     done = df.select(arm, "USUBJID", "AVISITN").distinct().groupBy(arm, "AVISITN").agg(F.count(F.lit(1)).alias("completed"))
     expected = adsl.groupBy(arm).agg(F.count(F.lit(1)).alias("expected"))
-    grid = expected.crossJoin(F.broadcast(visits.select("AVISITN")))
+    grid = expected.crossJoin(visits.select("AVISITN"))
     out = grid.join(done, [arm, "AVISITN"], "left").withColumn("completed", F.coalesce("completed", F.lit(0)))
     return out.withColumn("rate", F.try_divide(100.0 * F.col("completed"), F.col("expected")))
 

@@ -15,7 +15,7 @@ _TABLE = "term string, estimate double, se double, statistic double, p double"
 
 def glm(df: DataFrame, y: str, covariates: dict[str, Column], family: str = "binomial", offset: Column | None = None,
         max_iter: int = 25) -> DataFrame:
-    """Logistic ("binomial") or Poisson regression: coefficients, SE, z and p, intercept last."""
+    """Logistic ("binomial") or Poisson regression: coefficients, SE, z and p, intercept last; nulls if the fit does not converge."""
     from pyspark.ml.feature import VectorAssembler
     from pyspark.ml.regression import GeneralizedLinearRegression
 
@@ -30,6 +30,8 @@ def glm(df: DataFrame, y: str, covariates: dict[str, Column], family: str = "bin
     est = [*model.coefficients, model.intercept]
     rows = [(n, float(b), float(se), float(t), float(p)) for n, b, se, t, p in zip(
         [*names, "intercept"], est, s.coefficientStandardErrors, s.tValues, s.pValues)]
+    if s.numIterations >= max_iter:
+        rows = [(n, None, None, None, None) for n, *_ in rows]
     return df.sparkSession.createDataFrame(rows, _TABLE)
 
 
@@ -59,6 +61,9 @@ def _sum_over_batches(packed: DataFrame, size: int, batch: Callable[[pd.DataFram
 def _wald_table(spark, names, est, cov):
     rows = []
     for n, b, v in zip(names, est, np.diag(cov)):
+        if not np.isfinite(b):
+            rows.append((n, None, None, None, None))
+            continue
         se = float(np.sqrt(v)) if v > 0 else None
         z = float(b) / se if se else None
         rows.append((n, float(b), se, z, float(2 * special.norm_sf(abs(z))) if z is not None else None))
@@ -67,7 +72,7 @@ def _wald_table(spark, names, est, cov):
 
 def _newton(score: Callable[[np.ndarray], tuple[float, np.ndarray, np.ndarray]], start: np.ndarray, max_iter: int = 50,
             tol: float = 1e-10, max_step: float = 5.0) -> tuple[np.ndarray, np.ndarray]:
-    """Scoring with step halving; returns the estimate and its covariance."""
+    """Scoring with step halving; returns the estimate and its covariance, all NaN if ``max_iter`` steps were not enough."""
     x = start
     ll, u, info = score(x)
     for _ in range(max_iter):
@@ -81,8 +86,8 @@ def _newton(score: Callable[[np.ndarray], tuple[float, np.ndarray, np.ndarray]],
         gain, x = got[0] - ll, x + scale * delta
         ll, u, info = got
         if abs(gain) <= tol * (abs(ll) + 1.0):
-            break
-    return x, np.linalg.pinv(info, hermitian=True)
+            return x, np.linalg.pinv(info, hermitian=True)
+    return np.full_like(x, np.nan), np.full_like(info, np.nan)
 
 
 def _digamma_pair(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -100,11 +105,15 @@ def _digamma_pair(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return d, t
 
 
+#: Above this log size the negative binomial and the Poisson likelihood agree to double precision for the counts seen in practice.
 LOG_SIZE_MAX = 12.0
 
 
 def negbin(df: DataFrame, y: str, covariates: dict[str, Column], offset: Column | None = None) -> DataFrame:
-    """Negative binomial regression with log link: coefficients, intercept and log of the size parameter."""
+    """Negative binomial regression with log link: coefficients, intercept and log of the size parameter.
+
+    Without overdispersion the size has no finite estimate: its row is null and the others are the Poisson limit.
+    """
     names = [*covariates, "intercept", "log_size"]
     k = len(covariates) + 1
     packed = _packed(df, y, covariates, offset).cache()
@@ -143,6 +152,8 @@ def negbin(df: DataFrame, y: str, covariates: dict[str, Column], offset: Column
         start = np.zeros(k + 1)
         start[k - 1] = np.log(max(head["m"] or 1.0, 1e-8))
         est, cov = _newton(score, start)
+        if est[k] >= LOG_SIZE_MAX:
+            est[k] = np.nan
     finally:
         packed.unpersist()
     return _wald_table(df.sparkSession, names, est, cov)

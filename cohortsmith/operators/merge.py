@@ -79,10 +79,10 @@ def assign_window_table(df: DataFrame, windows: DataFrame, day: str = "ADY", pic
                         by: Sequence[str] = ("USUBJID", "PARAMCD"), tie: Sequence[str] = ("ASEQ",)) -> DataFrame:
     """Records in caller-given day windows, nearest to target per window; off-window records fall away.
 
-    ``windows`` is a handful of rows (AVISIT, AVISITN, LOWER, TARGET, UPPER), one per
-    visit of a protocol, so it is broadcast.
+    ``windows`` has AVISIT, AVISITN, LOWER, TARGET and UPPER, one row per visit of a
+    protocol; Spark broadcasts it when its measured size allows.
     """
-    hit = df.join(F.broadcast(windows), (F.col(day) >= F.col("LOWER")) & (F.col(day) <= F.col("UPPER")))
+    hit = df.join(windows, (F.col(day) >= F.col("LOWER")) & (F.col(day) <= F.col("UPPER")))
     if not pick:
         return hit
     near = [F.abs(F.col(day) - F.col("TARGET")), -F.col(day), *[F.col(t) for t in tie]]

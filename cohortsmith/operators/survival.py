@@ -162,7 +162,7 @@ def cox(df: DataFrame, covariates: dict[str, Column], time: str = "AVAL", cnsr:
     and covariates are counted together first. Each Newton step is one aggregate to
     sums per distinct time, running sums over that axis, and one aggregate to the
     score and information; only those last k + k*k numbers come to the driver, which
-    takes the next step. Ties after Efron or Breslow.
+    takes the next step. Ties after Efron or Breslow. Nulls if ``max_iter`` steps are not enough.
     """
     names = list(covariates)
     k = len(names)
@@ -212,7 +212,7 @@ def cox(df: DataFrame, covariates: dict[str, Column], time: str = "AVAL", cnsr:
             h[i, j] = h[j, i] = out[f"h{i}_{j}"] or 0.0
         return out["ll"] or 0.0, u, h
 
-    beta, last = np.zeros(k), -np.inf
+    beta, last, settled = np.zeros(k), -np.inf, False
     try:
         ll, u, h = step(beta)
         for _ in range(max_iter):
@@ -225,7 +225,8 @@ def cox(df: DataFrame, covariates: dict[str, Column], time: str = "AVAL", cnsr:
                     break
                 scale /= 2
             last, (ll, u, h), beta = ll, got, trial
-            if abs(ll - last) <= tol * (abs(ll) + 1e-12):
+            settled = abs(ll - last) <= tol * (abs(ll) + 1e-12)
+            if settled:
                 break
     finally:
         packed.unpersist()
@@ -233,6 +234,9 @@ def cox(df: DataFrame, covariates: dict[str, Column], time: str = "AVAL", cnsr:
     z = special.norm_quantile(0.5 + level / 2)
     out = []
     for i, n in enumerate(names):
+        if not settled:
+            out.append((n,) + (None,) * 6)
+            continue
         b, s = float(beta[i]), float(se[i])
         out.append((n, b, s, float(np.exp(b)), float(np.exp(b - z * s)), float(np.exp(b + z * s)),
                     float(2 * special.norm_sf(abs(b / s))) if s > 0 else None))

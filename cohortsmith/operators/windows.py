@@ -157,10 +157,10 @@ def locf_endpoint(df: DataFrame, endpoint: Visit, require_baseline: bool = True,
 def _visit_grid(df: DataFrame, visits: DataFrame, by: Sequence[str], values: Sequence[str]) -> DataFrame:
     """One row per group and scheduled visit, with the values of the observed record if any.
 
-    The schedule is a handful of rows, so it is broadcast onto the group list.
+    Spark puts the schedule next to the group list by its measured size.
     """
     groups = df.select(*by).distinct()
-    grid = groups.crossJoin(F.broadcast(visits))
+    grid = groups.crossJoin(visits)
     obs = df.select(*by, "AVISITN", *values, F.lit(True).alias("__seen"))
     return keyed_join(grid, obs, [*by, "AVISITN"])
 

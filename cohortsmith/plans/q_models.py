@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from ..functions import scalars as s
-from ..operators import ard, display as disp_, glm as g, mmrm as mm, models as md, survival as sv
+from ..operators import ard, derive as d, display as disp_, glm as g, mmrm as mm, models as md, survival as sv
 from . import views as v
 from .registry import query
 from .views import ARM_LEVELS, VISITS, analysis, endpoint, obs, subjects, table, with_views
@@ -105,6 +105,39 @@ def _(spark, sf):
     return md.cmh(df, "ARM", ARM_LEVELS, "CAT", ["1", "2", "3", "4"], ["REGION"], kind="correlation", by=["PARAMCD"]).drop("p")
 
 
+@query("cmh_row_means_two_arms", with_views("endpoint", """
+  SELECT PARAMCD, 'row_mean' AS kind, CASE WHEN sum(sxx * syy) > 0 THEN r6(power(sum(sxy), 2) / sum(sxx * syy / (n - 1))) END AS statistic,
+    CASE WHEN sum(sxx * syy) > 0 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS df FROM (
+    SELECT PARAMCD, REGION, count(*) AS n, regr_sxy(y, x) AS sxy, regr_sxx(y, x) AS sxx, regr_syy(y, x) AS syy FROM (
+      SELECT PARAMCD, REGION, CASE ARM WHEN 'Placebo' THEN 1 ELSE 0 END AS x,
+        CASE WHEN CHG < -20 THEN 1 WHEN CHG < 0 THEN 2 WHEN CHG < 20 THEN 3 ELSE 4 END AS y FROM endpoint WHERE ARM IN ('Placebo', 'High Dose')) GROUP BY 1, 2 HAVING count(*) > 1) GROUP BY 1"""))
+def _(spark, sf):
+    """Row-mean score test of an ordered response between two arms, over regions."""
+    c = F.col("CHG")
+    df = endpoint(spark, sf).withColumn("CAT", F.when(c < -20, "1").when(c < 0, "2").when(c < 20, "3").otherwise("4"))
+    return md.cmh(df, "ARM", ["Placebo", "High Dose"], "CAT", ["1", "2", "3", "4"], ["REGION"], kind="row_mean", by=["PARAMCD"]).drop("p")
+
+
+@query("ancova_site_baseline", with_views("endpoint", """
+  SELECT PARAMCD, term, r6(b) AS estimate, r6(sqrt(s2 * v)) AS se, CAST(df AS DOUBLE) AS df FROM (
+    SELECT PARAMCD, df, (syy - b1 * l1 - b2 * l2 - b3 * l3) / df AS s2, unnest([{term: 'ARM=Low Dose', b: b1, v: i11}, {term: 'ARM=High Dose', b: b2, v: i22}, {term: 'BASE', b: b3, v: i33}], recursive := true)
+    FROM (SELECT *, i11 * l1 + i12 * l2 + i13 * l3 AS b1, i12 * l1 + i22 * l2 + i23 * l3 AS b2, i13 * l1 + i23 * l2 + i33 * l3 AS b3 FROM (
+      SELECT *, (c * f - e * e) / det AS i11, (d * e - b * f) / det AS i12, (b * e - c * d) / det AS i13, (a * f - d * d) / det AS i22, (b * d - a * e) / det AS i23, (a * c - b * b) / det AS i33 FROM (
+        SELECT *, a * (c * f - e * e) - b * (b * f - e * d) + d * (b * e - c * d) AS det FROM (
+          SELECT PARAMCD, sum(lo * lo) AS a, sum(lo * hi) AS b, sum(hi * hi) AS c, sum(lo * ba) AS d, sum(hi * ba) AS e, sum(ba * ba) AS f,
+            sum(lo * y) AS l1, sum(hi * y) AS l2, sum(ba * y) AS l3, sum(y * y) AS syy, count(*) - count(DISTINCT SITEGR1) - 3 AS df FROM centred GROUP BY 1 HAVING count(*) >= 100)))))""",
+  pooled="""SELECT s.SITEID, CASE WHEN m >= 12 THEN s.SITEID ELSE '900' END AS SITEGR1 FROM (SELECT DISTINCT SITEID FROM subjects) s LEFT JOIN
+    (SELECT SITEID, least(count(*) FILTER (TRT01PN = 0), count(*) FILTER (TRT01PN = 54), count(*) FILTER (TRT01PN = 81)) AS m FROM subjects WHERE ITTFL = 'Y' GROUP BY 1) USING (SITEID)""",
+  centred="""SELECT PARAMCD, SITEGR1, lo - avg(lo) OVER w AS lo, hi - avg(hi) OVER w AS hi, BASE - avg(BASE) OVER w AS ba, CHG - avg(CHG) OVER w AS y FROM (
+    SELECT PARAMCD, SITEGR1, BASE, CHG, (ARM = 'Low Dose')::INT::DOUBLE AS lo, (ARM = 'High Dose')::INT::DOUBLE AS hi FROM endpoint JOIN pooled USING (SITEID)) WINDOW w AS (PARTITION BY PARAMCD, SITEGR1)"""))
+def _(spark, sf):
+    """Change on treatment, pooled site and baseline; the oracle centres within site, which absorbs the site factor. Parameters of 100 subjects or more."""
+    sites = d.pool_sites(subjects(spark, sf), list(v.ARMS.values()), threshold=12).select("USUBJID", "SITEGR1")
+    df = endpoint(spark, sf).join(sites, "USUBJID")
+    fit = md.ancova(df, "CHG", "ARM", ARM_LEVELS, {"SITEGR1": md.factor_levels(sites, "SITEGR1")}, by=["PARAMCD"])
+    return fit.filter("kind = 'coefficient' AND (term LIKE 'ARM=%' OR term = 'BASE') AND n >= 100").select("PARAMCD", "term", "estimate", "se", "df")
+
+
 @query("chi_square", with_views("endpoint", """
   SELECT PARAMCD, sum(n)::BIGINT AS total, r6(sum(n) * (sum(n * n / (r::DOUBLE * c)) - 1)) AS statistic,
     ((count(DISTINCT ARM) - 1) * (count(DISTINCT RESP) - 1)) AS df FROM (
