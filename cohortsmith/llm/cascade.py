@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import documents, map_rows, rows_of, schema_of, to_table
+from .common import documents, map_rows, rows_of, schema_of, to_table, with_text
 from .page import Page
 
 
@@ -71,11 +71,12 @@ def cascade(docs: DataFrame, keep: list[str], rules: list[Rule] = RULES, *, text
     counts = ["word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"] if base else []
     schema += "".join(f", {c} long" for c in counts)
     columns = schema_of(docs.select(*keep), schema)
+    rows, place = with_text(docs, keep, text_col)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = {c: [] for c in ("n_words", "passed", "rejected_by", "n_tested", *counts)}
-            for text in batch.column(len(keep)).to_pylist():
+            for text in batch.column(place).to_pylist():
                 page = Page(text)
                 tested, by = 0, None
                 for rule in order:
@@ -93,7 +94,7 @@ def cascade(docs: DataFrame, keep: list[str], rules: list[Rule] = RULES, *, text
             cols = [batch.column(i) for i in range(len(keep))]
             yield pa.RecordBatch.from_arrays([*cols, *[new.column(n).combine_chunks() for n in new.schema.names]], names=[*keep, *new.schema.names])
 
-    return docs.select(*keep, F.col(text_col).alias("_text_")).mapInArrow(run, columns)
+    return rows.mapInArrow(run, columns)
 
 
 def op8_rule_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:

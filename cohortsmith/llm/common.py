@@ -147,6 +147,21 @@ def minimizers(hashes: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray,
     return chosen[first], first, np.append(first[1:], runs) - 1
 
 
+def small_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Arrow batches of fewer rows than Spark's default of 10,000: whole texts travel in them, on both sides of the pipe."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(spark.conf.get(key)) > rows or int(spark.conf.get(key)) <= 0:
+        spark.conf.set(key, str(rows))
+
+
+def with_text(docs: DataFrame, keep: list[str], text_col: str) -> tuple[DataFrame, int]:
+    """``keep`` columns with the text among them or after them, and its place."""
+    small_batches(docs.sparkSession)
+    if text_col in keep:
+        return docs.select(*keep), keep.index(text_col)
+    return docs.select(*keep, F.col(text_col).alias("_text_")), len(keep)
+
+
 def rows_of(df: DataFrame) -> int:
     """Row count; for files it comes from their footers."""
     return df.select(F.lit(1)).count()

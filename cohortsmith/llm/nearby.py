@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import checkpointed
-from .common import Rolling, _arrow_schema, documents, mix64, rows_of, to_batch, to_table, word_hashes
+from .common import _arrow_schema, documents, mix64, Rolling, rows_of, small_batches, to_batch, to_table, word_hashes
 
 SIGNATURE = 64
 TREES = 12
@@ -88,6 +88,7 @@ def sets(docs: DataFrame, *, id_col: str, text_col: str, shingle: int) -> DataFr
             yield to_batch({"doc_id": b.column(0), "n_shingles": [len(s) for s in found], "set_id": [digest(s) if len(s) else None for s in found],
                             "signature": [signature(s).tobytes() if len(s) else None for s in found]}, fields)
 
+    small_batches(docs.sparkSession)
     return docs.select(F.col(id_col).cast("long"), F.col(text_col)).mapInArrow(run, SETS)
 
 

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import documents, minimizers, Rolling, schema_of, to_table, word_hashes, words
+from .common import documents, minimizers, Rolling, schema_of, small_batches, to_table, word_hashes, words
 
 GRAM = 10  # words of an anchor
 PHRASE = 16  # words of an automaton's phrase
@@ -36,12 +36,14 @@ _ROLLING = Rolling()
 
 
 def in_blocks(docs: DataFrame, keep: list[str], *, id_col: str, text_col: str, block_bytes: int) -> tuple[DataFrame, int]:
-    """``keep`` columns, _id, _text and _block, with blocks of about ``block_bytes`` of text by the id's hash; and the number of blocks."""
+    """``keep`` columns but the text, _id, _text and _block, with blocks of about ``block_bytes`` of text by the id's hash; and the number of blocks."""
     size = docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
     blocks = max(1, -(-size // block_bytes))
     place = F.coalesce(F.xxhash64(F.col(id_col).cast("long")), F.lit(0))
     place = F.when(F.col(id_col).isNull(), F.xxhash64(text_col)).otherwise(place)  # rows without id need not meet
-    return docs.select(*keep, F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("_text"), F.pmod(place, F.lit(blocks)).cast("int").alias("_block")), blocks
+    small_batches(docs.sparkSession)
+    rest = [c for c in keep if c != text_col]  # the text travels once
+    return docs.select(*rest, F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("_text"), F.pmod(place, F.lit(blocks)).cast("int").alias("_block")), blocks
 
 
 def block_rows(table: pa.Table) -> list[tuple[int, int, str]]:
@@ -204,7 +206,12 @@ class Shard:
         return gone
 
 
-def cut_block(table: pa.Table, passages: pa.Table, window: int, keep: list[str]) -> pa.Table:
+def kept_columns(table: pa.Table, keep: list[str], text_col: str, new: pa.Table) -> pa.Table:
+    """The columns asked for, the text among them, followed by new ones."""
+    return pa.Table.from_arrays([*[table.column("_text" if c == text_col else c) for c in keep], *new.columns], names=[*keep, *new.schema.names])
+
+
+def cut_block(table: pa.Table, passages: pa.Table, window: int, keep: list[str], text_col: str) -> pa.Table:
     """Stream the documents of a block through its automaton and drop what is covered."""
     shard = Shard(passages.column("_owner").to_pylist(), passages.column("_words").to_pylist(), window) if passages.num_rows else None
     n_words, n_removed, kept, spans = [], [], [], []
@@ -216,7 +223,7 @@ def cut_block(table: pa.Table, passages: pa.Table, window: int, keep: list[str])
         kept.append((b" ".join([x for x, g in zip(w, gone.tolist()) if not g]) if n_removed[-1] else b" ".join(w)).decode())
         spans.append([v for s, e in runs(np.flatnonzero(gone)) for v in (s, e + 1)])
     new = to_table({"n_words": n_words, "n_removed": n_removed, "kept_text": kept, "spans": spans}, CUT)
-    return pa.Table.from_arrays([*[table.column(c) for c in keep], *new.columns], names=[*keep, *new.schema.names])
+    return kept_columns(table, keep, text_col, new)
 
 
 CUT = "n_words long, n_removed long, kept_text string, spans array<long>"
@@ -237,8 +244,8 @@ def remove_repeats(docs: DataFrame, keep: list[str], *, id_col: str = "doc_id",
     asked = owned.select(F.col("_block").alias("_to"), F.col("_own._first").alias("_owner"), F.col("_own._at").alias("_at"))
     asked = asked.withColumn("_block", F.pmod(F.xxhash64("_owner"), F.lit(blocks)).cast("int"))
     passages = by_block.cogroup(asked.groupBy("_block")).applyInArrow(lambda t, a: passages_of_block(t, a, window), PASSAGES)
-    columns = schema_of(rows.select(*keep), CUT)
-    return by_block.cogroup(passages.groupBy("_block")).applyInArrow(lambda t, p: cut_block(t, p, window, keep), columns)
+    columns = schema_of(docs.select(*keep), CUT)
+    return by_block.cogroup(passages.groupBy("_block")).applyInArrow(lambda t, p: cut_block(t, p, window, keep, text_col), columns)
 
 
 def op1_phrase_automata(spark: SparkSession, sf_dir: str) -> DataFrame:

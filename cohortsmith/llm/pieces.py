@@ -21,10 +21,10 @@ import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame, SparkSession
 
-from .common import documents, schema_of, sha256, to_table
+from .common import documents, schema_of, sha256, to_table, with_text
 
 SPACE = "▁"
-MEMORY = 700_000
+MEMORY = 450_000
 
 
 class PieceCodec:
@@ -50,7 +50,7 @@ class PieceCodec:
         self._number_pairs()
         self.names = [str(i) for i in ids]
         self.numbers: dict[str, str] = {}  # of known chunks: the ids as text
-        self.read: dict[str, bytes] = {}  # and what they decode to
+        self.odd: dict[str, str] = {}  # and what they decode to, where that is not the chunk itself with plain spaces
 
     def _number_pairs(self) -> None:
         """Joins as sorted numbers (left * size + right) with their rank and piece, and the piece of each character."""
@@ -171,21 +171,21 @@ class PieceCodec:
             return
         if len(self.numbers) + len(new) > MEMORY:
             self.numbers.clear()
-            self.read.clear()
+            self.odd.clear()
             new = chunks
         new = list(new)
         found = self.merge_all(new)
-        read = [b"".join([self.parts[i] for i in ids]) for ids in found]
+        read = [b"".join([self.parts[i] for i in ids]).decode("utf-8", "replace") for ids in found]
         if self.stop:  # a line end keeps the chunk apart from the space put before every text
             lead = self.library.encode(self.stop)
             lists = [lead + ids for ids in found]
             if lists != self.library.encode([self.stop + c for c in new], num_threads=1):
                 raise ValueError("ids differ from the library's")
-            if [self.stop + b.decode("utf-8", "replace") for b in read] != self.library.decode(lists):
+            if [self.stop + r for r in read] != self.library.decode(lists):
                 raise ValueError("decoded text differs from the library's")
         names = self.names
         self.numbers.update(zip(new, [",".join([names[i] for i in ids]) for ids in found]))
-        self.read.update(zip(new, read))
+        self.odd.update((c, r) for c, r in zip(new, read) if r != c.replace(SPACE, " "))
 
     def split(self, texts: list[str]) -> list[list[str]]:
         """The chunks of each text, all of them learnt."""
@@ -195,18 +195,21 @@ class PieceCodec:
 
     def decoded(self, chunks: list[str]) -> str:
         """What the ids of learnt chunks decode to."""
-        return self.text_of(list(map(self.read.__getitem__, chunks)))
+        if self.odd:
+            text = "".join([self.odd.get(c) or c.replace(SPACE, " ") for c in chunks])
+        else:
+            text = "".join(chunks).replace(SPACE, " ")
+        return self.without_prefix(text)
 
     def encode(self, text: str | None) -> list[int]:
         chunks = self.split([text or ""])[0]
         return [int(i) for i in ",".join([self.numbers[c] for c in chunks]).split(",")] if chunks else []
 
     def decode(self, ids: list[int]) -> str:
-        return self.text_of([self.parts[i] for i in ids])
+        return self.without_prefix(b"".join([self.parts[i] for i in ids]).decode("utf-8", "replace"))
 
-    def text_of(self, parts: list[bytes]) -> str:
-        """The text of decoded parts, without the space put before it."""
-        text = b"".join(parts).decode("utf-8", "replace")
+    def without_prefix(self, text: str) -> str:
+        """A decoded text without the space put before it."""
         return text[1:] if self.prefix and text[:1] == " " else text
 
 
@@ -242,12 +245,12 @@ def encode_texts(docs: DataFrame, keep: list[str], model_path: str, *, text_col:
     Raises in the task if a batch's ids or decoded texts differ from the library's.
     """
     schema = "n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * ids
-    spec = docs.select(*keep, docs[text_col].alias("_text_"))
+    rows, place = with_text(docs, keep, text_col)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(model_path)
         for batch in batches:
-            texts = batch.column(batch.schema.names.index("_text_")).to_pylist()
+            texts = batch.column(place).to_pylist()
             for a, b in _step(texts):
                 part = [t or "" for t in texts[a:b]]
                 coded = c.split(part)
@@ -265,7 +268,7 @@ def encode_texts(docs: DataFrame, keep: list[str], model_path: str, *, text_col:
                 cols = [batch.column(i).slice(a, b - a) for i in range(len(keep))]
                 yield pa.RecordBatch.from_arrays([*cols, *[new.column(n).combine_chunks() for n in new.schema.names]], names=[*keep, *new.schema.names])
 
-    return spec.mapInArrow(run, schema_of(docs.select(*keep), schema))
+    return rows.mapInArrow(run, schema_of(docs.select(*keep), schema))
 
 
 def op10_piece_encoding(spark: SparkSession, sf_dir: str, model_path: str | None = None) -> DataFrame:

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import _BYTE, documents, minimizers, Rolling, schema_of, to_table
-from .passages import ROW_SHIFT, in_blocks, ranges, runs
+from .passages import ROW_SHIFT, in_blocks, kept_columns, ranges, runs
 
 GRAM = 24
 _ROLLING = Rolling()
@@ -176,7 +176,7 @@ def halves(sums: np.ndarray, at: np.ndarray, length: int) -> tuple[np.ndarray, n
 CUT = "n_bytes long, n_removed long, n_spans long, kept binary, spans array<long>"
 
 
-def cut_block(table: pa.Table, settled: pa.Table, length: int, keep: list[str]) -> pa.Table:
+def cut_block(table: pa.Table, settled: pa.Table, length: int, keep: list[str], text_col: str) -> pa.Table:
     """Remove from the documents of a block the strings that belong to an earlier place."""
     rank, around, start, end, doc, at = (settled.column(c).to_numpy() for c in ("_rank", "_around", "_from", "_to", "_doc", "_at"))
     order = np.lexsort((start, around, rank))
@@ -214,7 +214,7 @@ def cut_block(table: pa.Table, settled: pa.Table, length: int, keep: list[str])
         out["kept"].append(b"".join([data[a:b] for a, b in zip(edges[::2], edges[1::2])]) if cuts else data)
         out["spans"].append(edges[1:-1])
     new = to_table(out, CUT)
-    return pa.Table.from_arrays([*[table.column(c) for c in keep], *new.columns], names=[*keep, *new.schema.names])
+    return kept_columns(table, keep, text_col, new)
 
 
 def remove_repeated_bytes(docs: DataFrame, keep: list[str], *, id_col: str = "doc_id", text_col: str = "text", length: int = 100, block_bytes: int = 4 << 20) -> DataFrame:
@@ -228,8 +228,8 @@ def remove_repeated_bytes(docs: DataFrame, keep: list[str], *, id_col: str = "do
     around = by_block.cogroup(left.groupBy("_block")).applyInArrow(lambda t, r: around_of_block(t, r, length), AROUND)
     # whole ranks meet, many in each bucket; the number of buckets follows the data
     settled = around.withColumn("_bucket", F.pmod("_rank", F.lit(blocks)).cast("int")).groupBy("_bucket").applyInArrow(lambda t: settle(t, length), SETTLED)
-    columns = schema_of(rows.select(*keep), CUT)
-    return by_block.cogroup(settled.groupBy("_block")).applyInArrow(lambda t, s: cut_block(t, s, length, keep), columns)
+    columns = schema_of(docs.select(*keep), CUT)
+    return by_block.cogroup(settled.groupBy("_block")).applyInArrow(lambda t, s: cut_block(t, s, length, keep, text_col), columns)
 
 
 def op5_prefix_doubling(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import documents, schema_of, to_table
+from .common import documents, schema_of, to_table, with_text
 
 ORDER, DECAY, FLOOR, REACH = 3, 0.6, 0.5, 3
 _SENTENCE = re.compile(r"[.!?]+[\x20\x09-\x0D]+|\n+")
@@ -310,18 +310,19 @@ def train(docs: DataFrame, labels: DataFrame, use: Column, *, sample: int = 8_00
 def score(docs: DataFrame, keep: list[str], model: Model, *, text_col: str = "text") -> DataFrame:
     """``keep`` columns and the score of every text."""
     columns = schema_of(docs.select(*keep), "score double")
+    rows, place = with_text(docs, keep, text_col)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         near = landmarks_of(model.names)
         for whole in batches:
             for a in range(0, whole.num_rows, 1000):
                 b = whole.slice(a, 1000)
-                texts = b.column(len(keep)).to_pylist()
+                texts = b.column(place).to_pylist()
                 found = near.sentences(texts) if model.names else [[]] * len(texts)
                 values = pa.array([model.score(rows) for rows in found], pa.float64())
                 yield pa.RecordBatch.from_arrays([*[b.column(i) for i in range(len(keep))], values], names=[*keep, "score"])
 
-    return docs.select(*keep, F.col(text_col).alias("_text_")).mapInArrow(run, columns)
+    return rows.mapInArrow(run, columns)
 
 
 def op3_model(spark: SparkSession, sf_dir: str) -> Model:

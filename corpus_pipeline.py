@@ -19,14 +19,21 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def packed(docs: DataFrame) -> DataFrame:
-    """Rows as one column, with id and text beside it, so that no column name can clash with an operator's."""
-    return docs.select(F.struct(*docs.columns).alias("_doc"), F.col("doc_id").alias("_key"), F.col("text").alias("_body"))
+    """Id and text beside all other columns as one, so that no column name can clash with an operator's."""
+    rest = [c for c in docs.columns if c != "text"]
+    return docs.select(F.struct(*rest).alias("_rest"), F.col("doc_id").alias("_key"), F.col("text").alias("_body"))
+
+
+def unpacked(rows: DataFrame, names: list[str], **new) -> DataFrame:
+    """The columns as they were, with new values for some."""
+    new = {"text": F.col("_body"), **new}
+    return rows.select(*[new[c].alias(c) if c in new else F.col(f"_rest.`{c}`") for c in names])
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose score reaches the cut go on; the model is fitted as for the query."""
-    scored = preference.score(packed(docs), ["_doc"], preference.op6_model(spark, sf_dir), text_col="_body")
-    return scored.where(F.col("score") >= 0.3).select("_doc.*")
+    scored = preference.score(packed(docs), ["_rest", "_body"], preference.op6_model(spark, sf_dir), text_col="_body")
+    return unpacked(scored.where(F.col("score") >= 0.3), docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,9 +44,10 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def passages_once(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Passages of 50 words stay in their first document only; a cut text is its remaining words joined by a space."""
-    cut = passages.remove_repeats(packed(docs), ["_doc"], id_col="_key", text_col="_body")
-    new = {"text": F.col("kept_text"), "n_chars": F.length("kept_text").cast(docs.schema["n_chars"].dataType)}
-    return cut.select(*[F.when(F.col("n_removed") > 0, new[c]).otherwise(F.col(f"_doc.`{c}`")).alias(c) if c in new else F.col(f"_doc.`{c}`") for c in docs.columns])
+    cut = passages.remove_repeats(packed(docs), ["_rest", "_body"], id_col="_key", text_col="_body")
+    gone = F.col("n_removed") > 0
+    return unpacked(cut, docs.columns, text=F.when(gone, F.col("kept_text")).otherwise(F.col("_body")),
+                    n_chars=F.when(gone, F.length("kept_text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("_rest.n_chars")))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
