@@ -27,6 +27,13 @@ def _ends(spark, sf):
     return s.parse_endpoint(meta(spark, sf, "m_end"), "text")
 
 
+@query("read_domain", """
+  SELECT c_custkey AS C_CUSTKEY, nullif(c_name, '') AS C_NAME, CAST(c_nationkey AS BIGINT) AS C_NATIONKEY, c_acctbal AS C_ACCTBAL, nullif(c_mktsegment, '') AS C_MKTSEGMENT FROM customer""")
+def _(spark, sf):
+    """A domain from its Parquet file: upper-case names, empty text as null."""
+    return rd.read_domain(spark, sf, "CUSTOMER").withColumn("C_NATIONKEY", F.col("C_NATIONKEY").cast("bigint"))
+
+
 @query("parse_endpoint", sql("m_end", "SELECT endpoint_id, RESOLVED, MEASURE, MEASURE_TYPE, DOMAIN_HINT, POINTS, WINDOWED FROM parsed", parsed=_PARSED))
 def _(spark, sf):
     return _ends(spark, sf).select("endpoint_id", "RESOLVED", "MEASURE", "MEASURE_TYPE", "DOMAIN_HINT", F.array_join("TIMEPOINTS", ",").alias("POINTS"), "WINDOWED")

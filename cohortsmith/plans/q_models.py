@@ -139,12 +139,13 @@ def _(spark, sf):
 
 
 @query("chi_square", with_views("endpoint", """
-  SELECT PARAMCD, sum(n)::BIGINT AS total, r6(sum(n) * (sum(n * n / (r::DOUBLE * c)) - 1)) AS statistic,
+  SELECT *, CASE WHEN df = 2 THEN r6(exp(-statistic / 2)) END AS p FROM (SELECT PARAMCD, sum(n)::BIGINT AS total, r6(sum(n) * (sum(n * n / (r::DOUBLE * c)) - 1)) AS statistic,
     ((count(DISTINCT ARM) - 1) * (count(DISTINCT RESP) - 1)) AS df FROM (
     SELECT *, sum(n) OVER (PARTITION BY PARAMCD, ARM) AS r, sum(n) OVER (PARTITION BY PARAMCD, RESP) AS c
-    FROM (SELECT PARAMCD, ARM, RESP, count(*) AS n FROM resp GROUP BY 1, 2, 3)) GROUP BY 1""", resp=_RESPONDERS))
+    FROM (SELECT PARAMCD, ARM, RESP, count(*) AS n FROM resp GROUP BY 1, 2, 3)) GROUP BY 1)""", resp=_RESPONDERS))
 def _(spark, sf):
-    return md.chisq(_responders(spark, sf), "ARM", "RESP", ["PARAMCD"]).drop("p")
+    """With two degrees of freedom the tail is closed, so p is compared there."""
+    return md.chisq(_responders(spark, sf), "ARM", "RESP", ["PARAMCD"]).withColumn("p", F.when(F.col("df") == 2, F.col("p")))
 
 
 _LC = "(lgamma(({0}) + 1.0) - lgamma(({1}) + 1.0) - lgamma(({0}) - ({1}) + 1.0))"

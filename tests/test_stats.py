@@ -239,3 +239,47 @@ def test_zero_rows_for_absent_levels(spark):
     ev = spark.createDataFrame([("A", "P", "s", "t"), ("A", "P", "s", "t")], "USUBJID string, ARM string, AESOC string, AEDECOD string")
     tree = {(r["ARM"], r["depth"]): (r["subjects"], r["events"]) for r in ard.ard_hierarchical(ev, n, ["P", "H"]).collect()}
     assert tree == {("P", 0): (1, 2), ("P", 1): (1, 2), ("P", 2): (1, 2), ("H", 0): (0, 0), ("H", 1): (0, 0), ("H", 2): (0, 0)}
+
+
+def test_absent_arm_and_collinear_dose_are_not_estimable(spark):
+    rows = [("P", 0.0, b, 1.0 + 0.5 * b + (k % 3)) for k, b in enumerate([1.0, 2.0, 4.0, 5.0, 7.0])]
+    rows += [("L", 1.0, b, 2.0 + 0.5 * b + (k % 2)) for k, b in enumerate([1.5, 2.5, 3.0, 6.0])]
+    df = spark.createDataFrame(rows, "ARM string, DOSE double, BASE double, CHG double")
+    got = {(r["kind"], r["term"]): (r["estimate"], r["se"]) for r in md.ancova(df, "CHG", "ARM", ["P", "L", "H"]).collect()}
+    assert got[("lsmean", "H")] == got[("contrast", "H - P")] == got[("contrast", "H - L")] == got[("coefficient", "ARM=H")] == (None, None)
+    assert got[("contrast", "L - P")][1] > 0 and got[("lsmean", "P")][0] is not None
+    same = df.withColumn("COPY", F.col("DOSE") * 3)
+    slope = md.dose_response(same, "CHG", "DOSE", covariates=("COPY", "BASE")).first()
+    assert slope["estimate"] is None and slope["se"] is None
+    factor = md.ancova(df.withColumn("SITE", F.lit("A")), "CHG", "ARM", ["P", "L"], {"SITE": ["A", "B"]}).filter("kind = 'lsmean'").collect()
+    assert all(r["estimate"] is None for r in factor)  # the grid asks for a level that is not there
+
+
+def test_far_tails():
+    from cohortsmith.functions import special
+
+    assert float(special.chi2_sf(100, 1)) == pytest.approx(1.523970604832094e-23, rel=1e-10)
+    assert float(special.chi2_sf(60, 1)) == pytest.approx(9.485738e-15, rel=1e-5)
+    assert float(special.chi2_sf(900, 2)) == pytest.approx(math.exp(-450), rel=1e-10)
+
+
+def test_ranges_of_many_values_match_a_plain_sort(spark):
+    from pyspark.sql import Window
+
+    from cohortsmith.operators.groups import prefix_counts, value_counts
+
+    df = spark.range(0, 60_000, 1, 8).select((F.col("id") % 2).alias("g"), (F.xxhash64("id") % 25_000 / 7.0).alias("v"))
+    old = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "16")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        counts = value_counts(df, ["g"], "v")
+        sizes = [r["n"] for r in counts.groupBy("__part").agg(F.count("*").alias("n")).collect()]
+        assert len(sizes) == 16 and max(sizes) < 2 * sum(sizes) / 16
+        got = {(r["g"], r["v"]): (r["below"], r["total"]) for r in prefix_counts(counts, ["g"], "v", "__n").collect()}
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    plain = df.groupBy("g", "v").count().withColumn("b", F.sum("count").over(Window.partitionBy("g").orderBy("v")) - F.col("count"))
+    plain = plain.withColumn("t", F.sum("count").over(Window.partitionBy("g")))
+    assert got == {(r["g"], r["v"]): (r["b"], r["t"]) for r in plain.collect()}
