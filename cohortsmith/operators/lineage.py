@@ -96,7 +96,7 @@ def build_edges(objectives: DataFrame, endpoints: DataFrame, tlfs: DataFrame, ad
     p = lambda prefix, c: F.concat(F.lit(prefix), F.col(c))
     tlf = p("tlf:", "candidate_id")
     obj_keys, end_keys = objectives.select("study_id", "objective_id").distinct(), endpoints.select("study_id", "endpoint_id").distinct()
-    bridge = tlf_adam(tlfs, adam_uses, adam)
+    bridge = checkpointed(tlf_adam(tlfs, adam_uses, adam))  # three kinds of edge read it
     obj_end = keyed_join(endpoints, obj_keys, ["study_id", "objective_id"], "left_semi")
     end_tlf = keyed_join(tlfs.select("study_id", "candidate_id", F.explode("endpoint_ids").alias("endpoint_id")), end_keys, ["study_id", "endpoint_id"], "left_semi")
     obj_tlf = keyed_join(tlfs.filter(F.size("endpoint_ids") == 0).select("study_id", "candidate_id", F.explode("objective_ids").alias("objective_id")),

@@ -45,12 +45,14 @@ def _sources(column: str) -> Column:
 # ---- study profile -------------------------------------------------------------------
 
 
-def profile_studies(studies: DataFrame, endpoints: DataFrame, arms: DataFrame, overrides: DataFrame | None = None) -> DataFrame:
+def profile_studies(studies: DataFrame, endpoints: DataFrame, arms: DataFrame, overrides: DataFrame | None = None,
+                    objectives: DataFrame | None = None, inventory: DataFrame | None = None) -> DataFrame:
     """Flags per study from keyword rules over endpoint, title and arm text.
 
     ``studies`` has phase and title, ``endpoints`` has text and domain_hint, ``arms``
-    has name and type. Any text of a study may set a flag, so one aggregate per
-    table decides.
+    has name and type. Any text of a study may set a flag, objectives' text included
+    where given, so one aggregate per table decides. An ``inventory`` of raw domains
+    opens the gates of medical history (MH) and deviations (DV).
     """
     def any_match(column: str, words: str) -> Column:
         return F.coalesce(F.bool_or(F.col(column).rlike(words)), F.lit(False))
@@ -61,6 +63,8 @@ def profile_studies(studies: DataFrame, endpoints: DataFrame, arms: DataFrame, o
     text = endpoints.select("study_id", "text", "domain_hint").unionByName(
         arms.select("study_id", F.col("name").alias("text"), F.lit(None).cast("string").alias("domain_hint"))).unionByName(
         studies.select("study_id", F.col("title").alias("text"), F.lit(None).cast("string").alias("domain_hint")))
+    if objectives is not None:
+        text = text.unionByName(objectives.select("study_id", "text", F.lit(None).cast("string").alias("domain_hint")))
     by_text = text.groupBy("study_id").agg(
         *[any_match("text", w).alias(n) for n, w in {**words, **blind}.items()],
         F.coalesce(F.bool_or(F.col("domain_hint") == "pk"), F.lit(False)).alias("pk_hint"))
@@ -87,6 +91,11 @@ def profile_studies(studies: DataFrame, endpoints: DataFrame, arms: DataFrame, o
         F.lit(False).alias("needs_subgroup_by_region"),
         *[F.lit(False).alias(f) for f in ("medical_history_available", "deviations_tracked", "not_covered_by_safety",
                                           "reports_ae_discontinuation", "reports_deaths", "reports_ae_severity")])
+    if inventory is not None:
+        have = lambda d: F.bool_or(F.upper("domain") == d)
+        found = inventory.groupBy("study_id").agg(have("MH").alias("__mh"), have("DV").alias("__dv"))
+        out = out.join(found, "study_id", "left").withColumns({
+            "medical_history_available": F.coalesce("__mh", F.lit(False)), "deviations_tracked": F.coalesce("__dv", F.lit(False))}).drop("__mh", "__dv")
     if overrides is None:
         return out
     given = [c for c in overrides.columns if c != "study_id"]
@@ -279,7 +288,7 @@ def dedup_candidates(cands: DataFrame) -> tuple[DataFrame, DataFrame]:
     key = ["study_id", "__key"]
     best = keyed.groupBy(*key).agg(
         F.min_by("candidate_id", rank).alias("survivor_id"), F.count(F.lit(1)).alias("n_merged"), F.max("regulatory_rule").alias("__rule"))
-    marked = keyed_join(keyed, best, key)
+    marked = checkpointed(keyed_join(keyed, best, key))  # survivors, merges and unions read it
     merges = marked.filter(F.col("candidate_id") != F.col("survivor_id")).select(
         "study_id", "survivor_id", F.col("candidate_id").alias("merged_id"), F.col("produced_by").alias("merged_from"))
     survivors = marked.filter(F.col("candidate_id") == F.col("survivor_id"))

@@ -161,6 +161,15 @@ def _profiles(spark, sf):
     return p.profile_studies(meta(spark, sf, "m_study"), _ends(spark, sf), meta(spark, sf, "m_arm"))
 
 
+@query("profile_gates_from_inventory", sql("m_study m_inv", """
+  SELECT study_id, EXISTS (SELECT 1 FROM m_inv i WHERE i.study_id = s.study_id AND domain = 'MH') AS medical_history_available,
+    EXISTS (SELECT 1 FROM m_inv i WHERE i.study_id = s.study_id AND domain = 'DV') AS deviations_tracked FROM m_study s"""))
+def _(spark, sf):
+    """Gates that open by the raw domains a study holds."""
+    out = p.profile_studies(meta(spark, sf, "m_study"), _ends(spark, sf), meta(spark, sf, "m_arm"), objectives=meta(spark, sf, "m_obj"), inventory=meta(spark, sf, "m_inv"))
+    return out.select("study_id", "medical_history_available", "deviations_tracked")
+
+
 @query("profile_studies", sql("m_study m_end m_arm", "SELECT * FROM prof", prof=_PROFILE))
 def _(spark, sf):
     return _profiles(spark, sf).select("study_id", "phase", "arm_count", "control_type", "design", "blinding", "multi_site", "needs_subgroup_by_sex", "needs_pk", "needs_tte_safety_figure")

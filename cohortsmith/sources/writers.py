@@ -6,6 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from ..session import checkpointed
+
 # Spark types and the data type written for each in the row-array JSON format.
 _JSON_TYPES = {"string": "string", "int": "integer", "bigint": "integer", "double": "double", "float": "float",
                "boolean": "boolean", "date": "date", "timestamp": "datetime"}
@@ -44,6 +46,7 @@ def _dataset_ndjson(df: DataFrame) -> DataFrame:
 
 
 def write_ard(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """Write a statistics table as CSV and JSON under one folder."""
+    """Write a statistics table as CSV and JSON under one folder; the table is computed once."""
+    df = checkpointed(df)
     df.write.mode(mode).option("header", True).csv(f"{path}/csv")
     df.write.mode(mode).json(f"{path}/json")
