@@ -102,3 +102,22 @@ def op8_rule_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = cascade(documents(spark, sf_dir), ["doc_id"], base=True)
     failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", failed.alias("base_failed"), (~failed & F.col("passed")).alias("kept"))
+
+
+OP8_SQL = """
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w,
+             list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS lines FROM documents),
+windows AS (SELECT doc_id, w, unnest(range(1, len(w) - 6)) AS i FROM d),
+hashed AS (SELECT doc_id, i, md5(array_to_string(w[i:i + 7], ' ')) AS k FROM windows),
+twice AS (SELECT doc_id, i FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, k) AS n FROM hashed) WHERE n > 1),
+again AS (SELECT doc_id, count(*) AS n FROM (SELECT DISTINCT doc_id, unnest(range(i, i + 8)) AS j FROM twice) GROUP BY doc_id),
+counts AS (SELECT d.doc_id, len(w) AS n_words, length(regexp_replace(text, '[\\x20\\x09-\\x0D]', '', 'g')) AS word_chars, len(regexp_extract_all(text, '[#*$%&|<>]')) AS n_symbols,
+             len(lines) - len(list_distinct(lines)) AS n_dup_lines, coalesce(a.n, 0) AS n_repeat_words, len(lines) AS n_lines, len(list_distinct(w)) AS n_distinct,
+             len(regexp_extract_all(text, '[A-Z]')) AS upper, len(regexp_extract_all(text, '[a-z]')) AS lower, len(regexp_extract_all(text, '[!?]')) AS marks,
+             len(list_filter(range(2, len(w) + 1), lambda i: w[i] = w[i - 1])) AS adjacent FROM d LEFT JOIN again a ON a.doc_id = d.doc_id),
+judged AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
+             100 * n_symbols > 6 * word_chars OR (n_words >= 5 AND 2 * upper > upper + lower) OR (n_words >= 5 AND 2 * marks > n_words) OR (n_words >= 5 AND 5 * adjacent > n_words)
+             OR (n_lines >= 5 AND 2 * n_dup_lines > n_lines) OR (n_words >= 50 AND 10 * n_distinct < n_words) AS rejected FROM counts)
+SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars, CAST(n_symbols AS BIGINT) AS n_symbols, CAST(n_dup_lines AS BIGINT) AS n_dup_lines,
+  CAST(n_repeat_words AS BIGINT) AS n_repeat_words, base_failed, NOT base_failed AND NOT rejected AS kept FROM judged
+"""

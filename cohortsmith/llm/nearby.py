@@ -310,3 +310,16 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
 def op4_chosen_path(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents whose sets of three-word shingles are at least 85 % alike."""
     return near_duplicates(documents(spark, sf_dir), shingle=3, percent=85)
+
+
+OP4_SQL = """
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+sets AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= 3 THEN list_transform(range(1, len(w) - 1), lambda i: array_to_string(w[i:i + 2], ' ')) WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS t FROM d),
+size AS (SELECT doc_id, count(*) AS n FROM sets GROUP BY doc_id),
+pairs AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM sets a JOIN sets b ON a.t = b.t AND a.doc_id < b.doc_id GROUP BY 1, 2),
+links AS (SELECT x, y FROM pairs JOIN size p ON p.doc_id = x JOIN size q ON q.doc_id = y WHERE 100 * c >= 85 * (p.n + q.n - c)),
+edges AS (SELECT x AS a, y AS b FROM links UNION SELECT y, x FROM links),
+reach AS (SELECT doc_id, doc_id AS root FROM documents UNION SELECT e.b, r.root FROM reach r JOIN edges e ON e.a = r.doc_id)
+SELECT d.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, component_id, component_id = d.doc_id AS kept
+FROM d LEFT JOIN size USING (doc_id) JOIN (SELECT doc_id, min(root) AS component_id FROM reach GROUP BY doc_id) USING (doc_id)
+"""

@@ -6,14 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .cascade import op8_rule_cascade
+from .cascade import OP8_SQL, op8_rule_cascade
 from .mixing import OP9_SQL, op9_curriculum_mix
-from .nearby import op4_chosen_path
+from .nearby import OP4_SQL, op4_chosen_path
 from .passages import OP1_SQL, op1_phrase_automata
 from .pieces import op10_piece_encoding
 from .preference import op6_preference_quality
 from .ring import op7_bounded_ring
-from .suffixes import op5_prefix_doubling
+from .suffixes import OP5_SQL, op5_prefix_doubling
 from .topk import OP2_SQL, op2_sorted_list_topk
 from .toxicity import op3_string_kernel_toxicity
 
@@ -29,4 +29,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_curriculum_mix": op9_curriculum_mix,
     "op10_piece_encoding": op10_piece_encoding,
 }
-ORACLE: dict[str, str] = {"op1_phrase_automata": OP1_SQL, "op2_sorted_list_topk": OP2_SQL, "op9_curriculum_mix": OP9_SQL}
+ORACLE: dict[str, str] = {
+    "op1_phrase_automata": OP1_SQL,
+    "op2_sorted_list_topk": OP2_SQL,
+    "op4_chosen_path": OP4_SQL,
+    "op5_prefix_doubling": OP5_SQL,
+    "op8_rule_cascade": OP8_SQL,
+    "op9_curriculum_mix": OP9_SQL,
+}

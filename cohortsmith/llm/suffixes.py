@@ -236,3 +236,16 @@ def op5_prefix_doubling(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes of every document that are left when repeated strings of 100 bytes go."""
     cut = remove_repeated_bytes(documents(spark, sf_dir), ["doc_id"])
     return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+OP5_SQL = """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+bytes AS (SELECT doc_id, h, unnest(range(0, length(h) // 2)) AS i FROM d),
+strings AS (SELECT doc_id, i, CASE WHEN i <= length(h) // 2 - 100 THEN md5(substr(h, 2 * i + 1, 200)) END AS k, substr(h, 2 * i + 1, 2) AS b FROM bytes),
+later AS (SELECT doc_id, i, b, CASE WHEN k IS NULL THEN 0 ELSE (row_number() OVER (PARTITION BY k ORDER BY doc_id, i) > 1)::INT END AS z FROM strings),
+covered AS (SELECT doc_id, i, b, max(z) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN 99 PRECEDING AND CURRENT ROW) AS z FROM later),
+edges AS (SELECT *, z = 1 AND coalesce(lag(z) OVER (PARTITION BY doc_id ORDER BY i), 0) = 0 AS starts FROM covered),
+cut AS (SELECT doc_id, count(*) AS n, sum(z) AS r, count(*) FILTER (starts) AS s, coalesce(string_agg(b, '' ORDER BY i) FILTER (z = 0), '') AS kept FROM edges GROUP BY doc_id)
+SELECT d.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_bytes, CAST(coalesce(r, 0) AS BIGINT) AS n_removed, CAST(coalesce(s, 0) AS BIGINT) AS n_spans, sha256(unhex(coalesce(kept, ''))) AS kept_sha256
+FROM d LEFT JOIN cut USING (doc_id)
+"""
