@@ -1,11 +1,11 @@
 """Operator 3: toxicity by a subsequence string kernel, Nystroem landmarks and a linear support vector machine.
 
 Terms carry marks for their start and end, so that a landmark may be a whole term or the start of terms. The kernel of two strings sums, over all subsequences of ``ORDER`` characters they share, a decay to the power of the lengths they
-span in both, and is normalised to 1 for equal strings; an insult with inserted or dropped characters stays close to the insult itself. Landmarks are the terms that
+span in both, and is normalised to 1 for equal strings and squared (a product of kernels is one); an insult with inserted or dropped characters stays close to the insult itself. Landmarks are the terms that
 divide toxic from other labelled documents best, counted over all of these. A sentence is the largest kernel value of its terms with each landmark, mapped by
 the inverse root of the landmarks' kernel matrix; a squared-hinge SVM is fitted on labelled sentences (those of each labelled document
-that are closest to the landmarks, or an empty one, with the document's label). A document's score is a logistic function of the margins of its worst sentences, the worst three counting
-one by one, fitted on the same documents.
+that are closest to the landmarks, or an empty one, with the document's label). A document's score is a logistic function, fitted on the same documents, of the margins of its worst three
+sentences and of its nearness to each landmark, at most and in all, so that one sure term counts more than several doubtful ones.
 
 Two shortcuts belong to the feature, not to the data: a kernel value below ``FLOOR`` counts as 0, and a term is compared with a landmark only if it
 holds at least half of the landmark's letter pairs, in order, with at most two characters between.
@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from .common import documents, schema_of, to_table, with_text
 
-ORDER, DECAY, FLOOR, REACH = 3, 0.6, 0.5, 3
+ORDER, DECAY, FLOOR, REACH, POWER = 3, 0.8, 0.6, 3, 2
 _SENTENCE = re.compile(r"[.!?]+[\x20\x09-\x0D]+|\n+")
 START, END, WORST = "\x02", "\x03", 3
 _EDGE = "\x00\x01.,;:!?\"'()[]{}<>|*#$%&-_/\\~`^=+"
@@ -37,7 +37,7 @@ MEMORY = 500_000
 
 
 def terms(sentence: str) -> list[str]:
-    """Lower-cased words without marks of punctuation at their ends; runs of single characters are put together as one more term."""
+    """Lower-cased words without marks of punctuation at their ends; a word with other characters within is joined by its letters alone as one more term, as are runs of single characters."""
     out, run = [], []
     for w in sentence.lower().encode().split():
         t = w.decode().strip(_EDGE)
@@ -49,6 +49,10 @@ def terms(sentence: str) -> list[str]:
         run = []
         if t:
             out.append(START + t + END)
+            if not t.isalpha():
+                letters = "".join(filter(str.isalpha, t))
+                if len(letters) > 2:
+                    out.append(START + letters + END)
     if len(run) > 2:
         out.append(START + "".join(run) + END)
     return out
@@ -143,7 +147,7 @@ class Landmarks:
                     row = self.known[strings[v]]
                     if row is None:
                         row = self.known[strings[v]] = np.zeros(len(self.names))
-                    row[w] = min(z, 1.0)
+                    row[w] = min(z, 1.0) ** POWER
 
     def sentences(self, texts: list[str | None]) -> list[list[np.ndarray]]:
         """For each text, the values of those of its sentences that have a term near a landmark."""
@@ -181,7 +185,7 @@ class Model:
     names: tuple[str, ...]
     weights: np.ndarray  # on landmark values, the Nystroem map included
     bias: float
-    curve: np.ndarray  # on the worst margins and 1
+    curve: np.ndarray  # on the worst margins, the nearness to each landmark, and 1
 
     def margins(self, rows: list[np.ndarray]) -> np.ndarray:
         """Margins of the worst sentences, largest first; sentences without a near term have the bias."""
@@ -191,13 +195,22 @@ class Model:
     def score(self, rows: list[np.ndarray]) -> float:
         if not self.names:
             return 0.0
-        return float(1 / (1 + np.exp(-np.clip(np.append(self.margins(rows), 1.0) @ self.curve, -30, 30))))
+        x = np.concatenate([self.margins(rows), nearness(rows, len(self.names)), [1.0]])
+        return float(1 / (1 + np.exp(-np.clip(x @ self.curve, -30, 30))))
 
 
-def _svm(z: np.ndarray, y: np.ndarray, cost: float) -> tuple[np.ndarray, float]:
-    """Squared-hinge linear SVM by Newton steps, the two classes weighing the same."""
+def nearness(rows: list[np.ndarray], size: int, most: float = 4.0) -> np.ndarray:
+    """Of a document's sentences, the largest value with each landmark and their sum up to ``most``, as a share of it."""
+    if not rows:
+        return np.zeros(2 * size)
+    values = np.array(rows)
+    return np.concatenate([values.max(0), np.minimum(values.sum(0), most) / most])
+
+
+def _svm(z: np.ndarray, y: np.ndarray, share: np.ndarray, cost: float) -> tuple[np.ndarray, float]:
+    """Squared-hinge linear SVM by Newton steps, the two classes weighing the same; ``share`` weighs rows within a class."""
     x = np.hstack([z, np.ones((len(z), 1))])
-    c = np.where(y > 0, 0.5 / (y > 0).sum(), 0.5 / (y < 0).sum()) * cost
+    c = share * np.where(y > 0, 0.5 / share[y > 0].sum(), 0.5 / share[y < 0].sum()) * cost
     w = np.zeros(x.shape[1])
     keep = np.append(np.ones(z.shape[1]), 1e-6)
     for _ in range(100):
@@ -212,7 +225,7 @@ def _svm(z: np.ndarray, y: np.ndarray, cost: float) -> tuple[np.ndarray, float]:
     return w[:-1], float(w[-1])
 
 
-def _logistic(x: np.ndarray, toxic: np.ndarray, ridge: float = 1e-2, gain: float = 2.0) -> np.ndarray:
+def _logistic(x: np.ndarray, toxic: np.ndarray, ridge: float = 0.03, gain: float = 3.0) -> np.ndarray:
     """A toxic document weighs ``gain`` times as much as another: it is the rarer class and its labels miss some."""
     c = np.where(toxic > 0, gain, 1.0)
     x = np.hstack([x, np.ones((len(x), 1))])
@@ -226,20 +239,22 @@ def _logistic(x: np.ndarray, toxic: np.ndarray, ridge: float = 1e-2, gain: float
     return w
 
 
-def fit(names: tuple[str, ...], found: list[list[np.ndarray]], toxic: np.ndarray, *, cost: float = 1000.0) -> Model:
-    """From the landmark values of each labelled document's sentences."""
+def fit(names: tuple[str, ...], found: list[list[np.ndarray]], near: np.ndarray, toxic: np.ndarray, *, cost: float = 1e4) -> Model:
+    """From the landmark values of each labelled document's sentences and its nearness to the landmarks."""
     if not names or not toxic.any() or toxic.all():
-        return Model((), np.zeros(0), 0.0, np.zeros(WORST + 1))
+        return Model((), np.zeros(0), 0.0, np.zeros(0))
     left = [a for a in names for _ in names]
     matrix = kernel(left, list(names) * len(names)).reshape(len(names), -1)
     own = np.sqrt(np.diag(matrix))
-    matrix = matrix / own[:, None] / own[None, :]
+    matrix = (matrix / own[:, None] / own[None, :]) ** POWER
     value, vector = np.linalg.eigh(matrix)
     root = vector / np.sqrt(np.maximum(value, 1e-2)) @ vector.T
-    rows = [(r, y) for near, y in zip(found, toxic) for r in (near or [np.zeros(len(names))])]
-    w, bias = _svm(np.array([r for r, _ in rows]) @ root, np.array([1.0 if y else -1.0 for _, y in rows]), cost)
-    model = Model(names, root @ w, bias, np.zeros(WORST + 1))
-    return Model(names, model.weights, bias, _logistic(np.array([model.margins(rows) for rows in found]), toxic.astype(float)))
+    # every document weighs the same, whatever the number of its sentences
+    rows = [(r, y, 1 / max(len(own), 1)) for own, y in zip(found, toxic) for r in (own or [np.zeros(len(names))])]
+    w, bias = _svm(np.array([r for r, _, _ in rows]) @ root, np.array([1.0 if y else -1.0 for _, y, _ in rows]), np.array([s for _, _, s in rows]), cost)
+    model = Model(names, root @ w, bias, np.zeros(0))
+    x = np.hstack([np.array([model.margins(rows) for rows in found]), near])
+    return Model(names, model.weights, bias, _logistic(x, toxic.astype(float)))
 
 
 def _starts(text: str | None) -> set[str]:
@@ -299,12 +314,18 @@ def train(docs: DataFrame, labels: DataFrame, use: Column, *, sample: int = 8_00
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         near = landmarks_of(names)
         for b in batches:
-            # the sentences nearest to the landmarks, as many as a fit may look at
-            found = [sorted(rows, key=lambda r: -float(np.square(r).sum()))[: 2 * WORST] for rows in near.sentences(b.column(0).to_pylist())]
-            yield from to_table({"x": [[v for r in rows for v in r.tolist()] for rows in found], "y": b.column(1).to_pylist()}, "x array<double>, y int").to_batches()
+            every = near.sentences(b.column(0).to_pylist())
+            # the sentences nearest to the landmarks, as many as a fit may look at, and what all of them say together
+            found = [sorted(rows, key=lambda r: -float(np.square(r).sum()))[: 2 * WORST] for rows in every]
+            yield from to_table({"x": [[v for r in rows for v in r.tolist()] for rows in found], "near": [nearness(rows, len(names)).tolist() for rows in every],
+                                 "y": b.column(1).to_pylist()}, TRAIN).to_batches()
+
+    got = sorted((tuple(r["x"]), tuple(r["near"]), r["y"]) for r in texts.mapInArrow(run, TRAIN).collect()) if names else []
+    found = [list(np.array(x).reshape(-1, len(names))) for x, _, _ in got]
+    return fit(names, found, np.array([n for _, n, _ in got]).reshape(len(got), -1), np.array([y for _, _, y in got], int) > 0)
+
 
-    got = sorted((tuple(r["x"]), r["y"]) for r in texts.mapInArrow(run, "x array<double>, y int").collect()) if names else []
-    return fit(names, [list(np.array(x).reshape(-1, len(names))) for x, _ in got], np.array([y for _, y in got], int) > 0)
+TRAIN = "x array<double>, near array<double>, y int"
 
 
 def score(docs: DataFrame, keep: list[str], model: Model, *, text_col: str = "text") -> DataFrame:
