@@ -322,7 +322,7 @@ def train(docs: DataFrame, labels: DataFrame, use: Column, *, sample: int = 8_00
 
     got = sorted((tuple(r["x"]), tuple(r["near"]), r["y"]) for r in texts.mapInArrow(run, TRAIN).collect()) if names else []
     found = [list(np.array(x).reshape(-1, len(names))) for x, _, _ in got]
-    return fit(names, found, np.array([n for _, n, _ in got]).reshape(len(got), -1), np.array([y for _, _, y in got], int) > 0)
+    return fit(names, found, np.array([n for _, n, _ in got]).reshape(len(got), 2 * len(names)), np.array([y for _, _, y in got], int) > 0)
 
 
 TRAIN = "x array<double>, near array<double>, y int"

@@ -117,10 +117,11 @@ def test_topk_block_against_sorting(k):
 def test_string_kernel_tolerates_insertions():
     mark = lambda t: toxicity.START + t + toxicity.END
     near = toxicity.Landmarks([mark("scoundrel")])
-    near.learn([mark(t) for t in ("scoundrel", "sc.oun.drel", "scxoundrel", "table", "scoundrels")])
-    value = {t: near.known[mark(t)] for t in ("scoundrel", "sc.oun.drel", "scxoundrel", "table", "scoundrels")}
+    near.learn([mark(t) for t in ("scoundrel", "scxoundrel", "table", "scoundrels", "scounddrel")])
+    value = {t: near.known[mark(t)] for t in ("scoundrel", "scxoundrel", "table", "scoundrels", "scounddrel")}
     assert value["scoundrel"][0] == pytest.approx(1) and value["table"] is None
-    assert all(value[t] is not None and value[t][0] > 0.5 for t in ("sc.oun.drel", "scxoundrel", "scoundrels"))
+    assert all(value[t] is not None and value[t][0] > 0.5 for t in ("scxoundrel", "scoundrels", "scounddrel"))
+    assert mark("scoundrel") in toxicity.terms("You sc.oun-drel!") and mark("idiot") in toxicity.terms("an i d i o t here")
 
 
 def test_string_kernel_counts_subsequences():
