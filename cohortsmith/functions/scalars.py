@@ -227,6 +227,7 @@ INSTRUMENTS = [
     ("(?i)cmax|auc|pharmacokinetic", "PK parameters", "continuous", "pk"),
     ("(?i)\\btime to\\b", "Time to event", "event", "other"),
     ("(?i)\\bnumber of\\b", "Count", "count", "other"),
+    ("(?i)\\bordinal\\b|response categor", "Ordinal response", "ordinal", "other"),
     ("(?i)shift|frequency", "Category", "categorical", "other"),
 ]
 

@@ -396,7 +396,10 @@ def orphans(cands: DataFrame, objectives: DataFrame, endpoints: DataFrame) -> Da
 
 
 def completeness(objectives: DataFrame, endpoints: DataFrame, cands: DataFrame, profiles: DataFrame) -> DataFrame:
-    """The ten convention checks per study; one row per check that fires, with its recommendation and owner."""
+    """The ten convention checks per study; one row per check that fires, with its recommendation and owner.
+
+    A study speaks of safety through its endpoints or through the text of an objective.
+    """
     p = cands.filter(F.col("status") == "planned")
     any_ = lambda c: F.coalesce(F.bool_or(c), F.lit(False))
     t = F.lower("title")
@@ -411,8 +414,10 @@ def completeness(objectives: DataFrame, endpoints: DataFrame, cands: DataFrame,
         any_(F.col("DOMAIN_HINT").startswith("safety")).alias("safety"), any_(F.col("DOMAIN_HINT") == "safety-lab").alias("lab"),
         any_((F.col("level") == "Primary") & (F.col("MEASURE_TYPE") == "continuous") & F.col("DOMAIN_HINT").startswith("efficacy")).alias("primary_cont"),
         any_((F.col("level") == "Primary") & F.col("RESOLVED")).alias("primary"))
-    df = profiles.select("study_id", "multi_site", "needs_tte_safety_figure").join(model, "study_id", "left").join(plan, "study_id", "left")
+    aims = objectives.groupBy("study_id").agg(any_(F.col("text").rlike("(?i)safety|tolerab|adverse event")).alias("safety_aim"))
+    df = profiles.select("study_id", "multi_site", "needs_tte_safety_figure").join(model, "study_id", "left").join(plan, "study_id", "left").join(aims, "study_id", "left")
     df = df.fillna(False, [c for c, tp in df.dtypes if tp == "boolean"])
+    df = df.withColumn("safety", F.col("safety") | F.col("safety_aim"))
     c = F.col
     fires = {
         "C1": c("safety") & ~c("deaths"), "C2": c("safety") & ~c("disc"), "C3": c("primary_cont") & c("ancova") & ~c("oc"),

@@ -1,5 +1,6 @@
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from cohortsmith.functions import scalars as s
@@ -72,3 +73,22 @@ def test_endpoint_text(spark):
 def test_infer_domains(spark):
     df = spark.createDataFrame([("from DM and EX", ["DM", "EX", "DS"]), ("a DMX thing", ["DM", "DS"]), ("x", [])], "r string, s array<string>").coalesce(1)
     assert [r[0] for r in df.select(s.infer_domains("r", "s")).collect()] == [["DM", "EX"], ["DM", "DS"], ["*"]]
+
+
+def test_ordinal_endpoints_and_unknown_operators(spark):
+    df = spark.createDataFrame([("Ordinal scale of improvement at Week 8",), ("Shift from baseline",)], "TEXT string")
+    assert [r["MEASURE_TYPE"] for r in s.parse_endpoint(df).collect()] == ["ordinal", "categorical"]
+    leaf = {"condition": {"variable": "A", "comparator": "EQ", "value": ["1"]}}
+    with pytest.raises(ValueError):
+        s.where_clause({"compoundExpression": {"logicalOperator": "XOR", "whereClauses": [leaf, leaf]}})
+
+
+def test_age_on_leap_days(spark):
+    rows = [("2000-02-29", "2019-02-28", 18), ("2000-02-29", "2019-03-01", 19), ("2000-02-29", "2020-02-29", 20), ("2000-01-31", "2020-01-30", 19)]
+    df = spark.createDataFrame(rows, "b string, r string, want int").select(s.age_years(F.to_date("b"), F.to_date("r")).alias("got"), "want")
+    assert all(r["got"] == r["want"] for r in df.collect())
+
+
+def test_rounding_of_large_values(spark):
+    got = spark.sql("SELECT 1e13D AS a, 2e13D AS b, -3.25e15D AS c").select(*[s.display_round(x, 6).alias(x) for x in "abc"]).first()
+    assert tuple(got) == (1e13, 2e13, -3.25e15)
