@@ -30,7 +30,8 @@ MEMORY = 450_000
 class PieceCodec:
     """Encodes by the agenda and decodes, for one model file of merge type with byte fallback."""
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, memory: int = MEMORY) -> None:
+        self.memory = memory
         self.library = sentencepiece.SentencePieceProcessor(model_file=path)
         lib = self.library
         ids = range(lib.get_piece_size())
@@ -169,7 +170,7 @@ class PieceCodec:
         new = chunks.difference(self.numbers)
         if not new:
             return
-        if len(self.numbers) + len(new) > MEMORY:
+        if len(self.numbers) + len(new) > self.memory:
             self.numbers.clear()
             self.odd.clear()
             new = chunks
@@ -217,14 +218,14 @@ def place_in(width: int, lengths: list[int]) -> np.ndarray:
     return np.arange(width) < np.array(lengths)[:, None]
 
 
-_codecs: dict[str, PieceCodec] = {}
+_codecs: dict[tuple[str, int], PieceCodec] = {}
 
 
-def codec(path: str) -> PieceCodec:
-    """One codec per worker process and model."""
-    if path not in _codecs:
-        _codecs[path] = PieceCodec(path)
-    return _codecs[path]
+def codec(path: str, memory: int = MEMORY) -> PieceCodec:
+    """One codec per worker process, model and size of memory."""
+    if (path, memory) not in _codecs:
+        _codecs[path, memory] = PieceCodec(path, memory)
+    return _codecs[path, memory]
 
 
 def _step(texts: list[str | None], limit: int = 1 << 20) -> Iterator[tuple[int, int]]:
@@ -239,16 +240,16 @@ def _step(texts: list[str | None], limit: int = 1 << 20) -> Iterator[tuple[int,
         yield start, len(texts)
 
 
-def encode_texts(docs: DataFrame, keep: list[str], model_path: str, *, text_col: str = "text", ids: bool = False) -> DataFrame:
+def encode_texts(docs: DataFrame, keep: list[str], model_path: str, *, text_col: str = "text", ids: bool = False, memory: int = MEMORY) -> DataFrame:
     """``keep`` columns, n_tokens, ids_sha256 and decoded_sha256 of every row, and the ids themselves on request.
 
-    Raises in the task if a batch's ids or decoded texts differ from the library's.
+    ``memory``: chunks a worker keeps, about 300 bytes each. Raises in the task if a batch's ids or decoded texts differ from the library's.
     """
     schema = "n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * ids
     rows, place = with_text(docs, keep, text_col)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        c = codec(model_path)
+        c = codec(model_path, memory)
         for batch in batches:
             texts = batch.column(place).to_pylist()
             for a, b in _step(texts):

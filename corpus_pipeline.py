@@ -57,7 +57,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, source, number of tokens, their ids, and digests of the ids and of their decoding."""
-    return pieces.encode_texts(docs, ["doc_id", "source"], pieces.default_model(), ids=True)
+    return pieces.encode_texts(docs, ["doc_id", "source"], pieces.default_model(), ids=True, memory=150_000)
 
 
 STAGES = [("quality classifier", quality), ("MinHash near-dedup", near_duplicates), ("substring dedup", passages_once), ("mixing sources to target weights", mix),
