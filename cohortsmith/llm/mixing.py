@@ -46,8 +46,8 @@ def position(share: Column, drift: float) -> Column:
 
 
 def curriculum(docs: DataFrame, keep: list[str], *, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
-               weights: tuple[float, ...] = (5, 2, 1), max_epochs: int = 3, drift: float = 0.5, rows_per_bucket: int = 20_000) -> DataFrame:
-    """One row per document in order of training: ``keep`` columns, size, source_size, target, copies, taken and positions (one t per copy).
+               weights: tuple[float, ...] = (5, 2, 1), max_epochs: int = 3, drift: float = 0.5, rows_per_bucket: int = 20_000, ordered: bool = True) -> DataFrame:
+    """One row per document, in order of training if ``ordered``: ``keep`` columns, size, source_size, target, copies, taken and positions (one t per copy).
 
     ``rows_per_bucket`` sizes the buckets over which the running sum of a source is spread, so a source with a third of all rows
     is many windows.
@@ -69,7 +69,9 @@ def curriculum(docs: DataFrame, keep: list[str], *, id_col: str = "doc_id", text
     start = [F.col("_base") + F.col("_run") + c * F.col("source_size") for c in range(max_epochs)]
     row = row.withColumn("positions", F.array_compact(F.array(*[F.when(s < F.col("target"), position(s / F.col("target"), drift)) for s in start])))
     copies = F.size("positions").cast("long")
-    return row.orderBy(F.try_element_at("positions", F.lit(1)).asc_nulls_last()).select(
+    if ordered:
+        row = row.orderBy(F.try_element_at("positions", F.lit(1)).asc_nulls_last())
+    return row.select(
         "_row.*", F.col("_size").alias("size"), "source_size", "target", copies.alias("copies"), (copies * F.col("_size")).alias("taken"), "positions")
 
 
@@ -77,7 +79,7 @@ def trained(docs: DataFrame, **options) -> DataFrame:
     """The documents as they are trained: each row once per copy, in order of position."""
     plain = docs.select(F.struct(*docs.columns).alias("_doc"), *[F.col(options.get(k, v)).alias(f"_{v}") for k, v in (("id_col", "doc_id"), ("text_col", "text"), ("source_col", "source"))])
     options = {k: v for k, v in options.items() if k not in ("id_col", "text_col", "source_col")}
-    mixed = curriculum(plain, ["_doc"], id_col="_doc_id", text_col="_text", source_col="_source", **options)
+    mixed = curriculum(plain, ["_doc"], id_col="_doc_id", text_col="_text", source_col="_source", ordered=False, **options)
     return mixed.select("_doc", F.explode("positions").alias("_position")).orderBy("_position").select("_doc.*")
 
 

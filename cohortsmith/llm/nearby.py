@@ -241,7 +241,8 @@ def compare_nodes(members: DataFrame, texts: DataFrame, percent: int, shingle: i
 def connected(edges: DataFrame, rounds: int = 60) -> DataFrame:
     """(doc_id, component_id) of every end of ``edges`` (a, b): the smallest id that can be reached.
 
-    Large-star and small-star steps, each written to the checkpoint folder, until the edges no longer change.
+    Large-star and small-star steps, each pair written to the checkpoint folder, until only stars are left: every end has one
+    parent, and no parent has one itself.
     """
 
     def star(e: DataFrame, large: bool) -> DataFrame:
@@ -255,13 +256,11 @@ def connected(edges: DataFrame, rounds: int = 60) -> DataFrame:
         return near.where("a <> b").distinct()
 
     now = checkpointed(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
-    mark = None
     for _ in range(rounds):
         now = checkpointed(star(star(now, True), False))
-        new = now.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(20)"))).first()
-        if new == mark:
-            return now.groupBy(F.col("a").alias("doc_id")).agg(F.min("b").alias("component_id"))
-        mark = new
+        parents = now.groupBy("a").agg(F.count("*").alias("n"), F.min("b").alias("b"))
+        if parents.where("n > 1").isEmpty() and now.join(parents.select(F.col("a").alias("b")), "b", "left_semi").isEmpty():
+            return parents.select(F.col("a").alias("doc_id"), F.col("b").alias("component_id"))
     raise RuntimeError(f"components still change after {rounds} rounds")
 
 
@@ -298,7 +297,7 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     # nodes of the same members once, as trees of like sets agree
     prints = near.groupBy("path", "i", "j").agg(F.count("*").alias("n"), F.sum(F.xxhash64("doc_id").cast("decimal(20)")).alias("print"))
     once = prints.groupBy("n", "print").agg(F.min(F.struct("path", "i", "j")).alias("k")).select("k.*")
-    near = checkpointed(near.join(once, ["path", "i", "j"], "left_semi"))
+    near = near.join(once, ["path", "i", "j"], "left_semi")
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("_text")).where("_text is not null and doc_id is not null")
     parts = connected(compare_nodes(near, texts, percent, shingle))
     classes = distinct.select("doc_id", "set_id").join(parts, "doc_id", "left").select("set_id", F.coalesce("component_id", "doc_id").alias("_component"))
