@@ -2,17 +2,17 @@
 
 A document is its set of word shingles. From the root of each of several independent trees, every set follows a few of its minwise tokens: a node picks each of
 the positions of the minhash signature with a fixed small chance, drawn from the node's own path, and a set goes on to the child named by each picked
-position and its value there. Similar sets share values and so stay together down some path. Nodes of two steps or more that are small are compared
-exhaustively, first on signatures, which leaves out members far from all others, then on the full sets; larger ones branch on, and what is still large at the depth
-limit is compared in pairs of blocks, so nothing is left out.
+position and its value there. Similar sets share values and so stay together down some path. Nodes two steps below the roots are compared
+exhaustively, first on signatures, which leaves out members far from all others, then on the full sets; a large one in pairs of blocks. No node branches
+on, as every further step would lose pairs, so that the chance of missing a pair does not depend on the size of its nodes.
 Inside a node the links become a spanning star for each connected part, so a node emits fewer rows than it has members, and connected parts over all
 nodes are found by large-star and small-star steps.
 
 Equal sets are one member of the trees (grouped by a 128-bit digest), so any number of exact copies costs one row per node. Nodes with the
 same members, as independent trees produce, are compared once.
 
-A first branch keeps a pair at the threshold together for two steps with a chance of 0.54; with 14 of them on average, all miss it with a chance of 2e-5, and a
-component is lost only if all of its joining pairs are. A pair at the threshold falls below the signatures' bar (a quarter less) with a chance below 1e-6.
+A first branch keeps a pair at the threshold together for two steps with a chance of 0.54 (0.51 at 0.8); the trees have 17 of them (7 of the 16 roots pick no
+position), so all miss it with a chance of 2e-6 (6e-6 at 0.8), and a component is lost only if all of its joining pairs are. A pair at the threshold falls below the signatures' bar (a quarter less) with a chance below 1e-6.
 
 Nulls: a null or empty text, or one without words, has an empty set and is linked with nothing. A null id takes no part: its component is null and it is kept.
 Rows of one id are one document. No documents give no rows.
@@ -31,7 +31,7 @@ from ..session import checkpointed
 from .common import _arrow_schema, documents, mix64, Rolling, rows_of, small_batches, to_batch, to_table, word_hashes
 
 SIGNATURE = 64
-TREES = 12
+TREES = 16
 _ROLLING = Rolling()
 _draw = np.random.default_rng(20240917)
 _MULTIPLIERS = _draw.integers(1, 1 << 63, SIGNATURE, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -264,11 +264,11 @@ def connected(edges: DataFrame, rounds: int = 60) -> DataFrame:
     raise RuntimeError(f"components still change after {rounds} rounds")
 
 
-def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, percent: int = 80, trees: int = TREES, node: int = 800, depth: int = 8) -> DataFrame:
+def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, percent: int = 80, trees: int = TREES, node: int = 800, depth: int = 2) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_shingles, component_id and kept (the smallest id of each component).
 
-    ``percent``: a link needs 100 * intersection >= percent * union. ``node``: members up to which a node is compared in one task; ``depth``: branching
-    steps after which larger nodes are compared in blocks of that size.
+    ``percent``: a link needs 100 * intersection >= percent * union. ``node``: members up to which a node is compared in one task; ``depth``: steps below
+    the root after which larger nodes are compared in pairs of blocks of that size. A depth above 2 saves comparisons in large nodes and loses pairs in them.
     """
     similarity = percent / 100
     found = checkpointed(sets(docs, id_col=id_col, text_col=text_col, shingle=shingle))

@@ -171,6 +171,16 @@ def test_near_duplicates_of_a_large_group(spark, node):
     assert {r.component_id for r in got if r.doc_id < 12} == {0} and [r.component_id for r in got if r.doc_id == 50] == [50]
 
 
+def test_near_duplicates_of_pairs_in_large_nodes(spark):
+    """Pairs just above the threshold are found in nodes larger than a block, too."""
+    rows = []
+    for k in range(150):
+        text = prose(1000 + k, 200)
+        rows += [(2 * k, " ".join(text)), (2 * k + 1, " ".join(text[:187] + prose(5000 + k, 13)))]  # 185 of 211 shingles
+    got = by_id(nearby.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), shingle=3, percent=85, node=1))
+    assert [int(c) for c in got.component_id] == [i - i % 2 for i in range(300)]
+
+
 def test_components_of_a_long_path(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(64)] + [(200, 100), (100, 150)], "a long, b long")
     got = dict(nearby.connected(edges).collect())
