@@ -12,7 +12,7 @@ Equal sets are one member of the trees (grouped by a 128-bit digest), so any num
 same members, as independent trees produce, are compared once.
 
 A first branch keeps a pair at the threshold together for two steps with a chance of 0.54 (0.51 at 0.8); the trees have 17 of them (7 of the 16 roots pick no
-position), so all miss it with a chance of 2e-6 (6e-6 at 0.8), and a component is lost only if all of its joining pairs are. A pair at the threshold falls below the signatures' bar (a quarter less) with a chance below 1e-6.
+position), so all miss it with a chance of 2e-6 (6e-6 at 0.8), and a component is lost only if all of its joining pairs are. A pair at the threshold falls below the signatures' bar (two fifths less, the same in all trees) with a chance of 6e-11 at 0.85 and 5e-9 at 0.8.
 
 Nulls: a null or empty text, or one without words, has an empty set and is linked with nothing. A null id takes no part: its component is null and it is kept.
 Rows of one id are one document. No documents give no rows.
@@ -185,8 +185,8 @@ _SORT = [("path", "ascending"), ("i", "ascending"), ("j", "ascending")]
 
 
 def plausible(members: DataFrame, percent: int, per_bucket: int = 8192) -> DataFrame:
-    """Members of each node that have another with a signature at most a quarter less alike than asked; ``members``: path, i, j, doc_id, signature."""
-    bar = 0.75 * percent / 100 * SIGNATURE
+    """Members of each node that have another with a signature at most two fifths less alike than asked; ``members``: path, i, j, doc_id, signature."""
+    bar = 0.6 * percent / 100 * SIGNATURE
 
     def run(table: pa.Table) -> pa.Table:
         table = table.sort_by(_SORT)

@@ -181,6 +181,15 @@ def test_near_duplicates_of_pairs_in_large_nodes(spark):
     assert [int(c) for c in got.component_id] == [i - i % 2 for i in range(300)]
 
 
+def test_signature_bar_keeps_unlucky_pairs(spark):
+    """A pair at the threshold whose signatures agree in 38 of 64 places (below three quarters of 0.8) goes on to the full sets."""
+    one = np.arange(64, dtype=np.uint32)
+    other = np.where(one < 38, one, one + np.uint32(1000)).astype(np.uint32)
+    far = one + np.uint32(5000)
+    members = spark.createDataFrame([(1, 0, 0, k, bytearray(x.tobytes())) for k, x in enumerate((one, other, far))], "path long, i int, j int, doc_id long, signature binary")
+    assert {r.doc_id for r in nearby.plausible(members, 80).collect()} == {0, 1}
+
+
 def test_components_of_a_long_path(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(64)] + [(200, 100), (100, 150)], "a long, b long")
     got = dict(nearby.connected(edges).collect())
