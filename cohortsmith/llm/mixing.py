@@ -1,7 +1,8 @@
 """Operator 9: mix sources to target weights with a time-varying curriculum.
 
-Each source has a weight and a schedule over training time t in [0, 1]. Its demand for words up to t is the integral of the schedule,
-``D(t) = target * (t + drift * (t^2 - t))``. The words of its documents, laid end to end in a hashed order and repeated up to
+Each source has a weight and a schedule of its own over training time t in [0, 1]: it is asked for ``target * (1 + drift * (2 t - 1))`` words a unit of time, more and
+more if its drift is positive and less and less if negative. Sources take drifts in turn, as they take weights, so by default those of the largest weight grow and those of the
+least shrink. The demand for words up to t is the integral, ``D(t) = target * (t + drift * (t^2 - t))``, which ends at the target whatever the drift. The words of its documents, laid end to end in a hashed order and repeated up to
 ``max_epochs`` times, meet that demand: the copy that starts at word x is trained at the t where D(t) = x, and a range sort by t
 gives the order of training.
 
@@ -17,16 +18,19 @@ from pyspark.sql import functions as F
 from .common import WORD, documents, rows_of
 
 
-def targets(sized: DataFrame, weights: tuple[float, ...], max_epochs: int) -> DataFrame:
-    """Per source: size, weight and target in words, all sources together taking as many words as there are.
+def targets(sized: DataFrame, weights: tuple[float, ...], max_epochs: int, drifts: tuple[float, ...]) -> DataFrame:
+    """Per source: size, weight, drift and target in words, all sources together taking as many words as there are.
 
     A source whose share would exceed ``max_epochs`` times its size stops there and the rest share what is over. In order of size by
     weight the stopped sources come first, so prefix sums over the table of sources find where stopping ends.
     """
     by_source = sized.groupBy("_source").agg(F.sum("_size").alias("source_size"))
     rank = F.row_number().over(Window.orderBy(F.col("_source").asc_nulls_last())) - 1
-    weight = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), (rank % len(weights) + 1).cast("int"))
-    table = by_source.withColumn("_rank", rank).withColumn("weight", weight)
+
+    def in_turn(values: tuple[float, ...]) -> Column:
+        return F.element_at(F.array(*[F.lit(float(v)) for v in values]), (F.col("_rank") % len(values) + 1).cast("int"))
+
+    table = by_source.withColumn("_rank", rank).withColumn("weight", in_turn(weights)).withColumn("drift", in_turn(drifts))
     by_ratio = Window.orderBy(F.col("source_size") / F.col("weight"), "_rank")
     before, everything = by_ratio.rowsBetween(Window.unboundedPreceding, -1), Window.partitionBy()
     stopped = F.coalesce(F.sum("source_size").over(before), F.lit(0)) * max_epochs
@@ -35,23 +39,23 @@ def targets(sized: DataFrame, weights: tuple[float, ...], max_epochs: int) -> Da
     fits = F.col("source_size") * max_epochs / F.col("weight") >= F.col("_level")
     level = F.min(F.when(fits, F.struct(F.col("source_size") / F.col("weight"), F.col("_rank"), F.col("_level").alias("level")))).over(everything)["level"]
     table = table.withColumn("_share", level * F.col("weight")).withColumn("_most", (F.col("source_size") * max_epochs).cast("double"))
-    return table.select("_source", "source_size", "weight", F.least("_share", "_most").alias("target"))
+    return table.select("_source", "source_size", "weight", "drift", F.least("_share", "_most").alias("target"))
 
 
-def position(share: Column, drift: float) -> Column:
-    """The t with ``t + drift * (t^2 - t) = share``."""
-    if drift == 0:
-        return share
-    return (F.sqrt(F.lit((1 - drift) ** 2) + 4 * drift * share) - (1 - drift)) / (2 * drift)
+def position(share: Column, drift: Column) -> Column:
+    """The t with ``t + drift * (t^2 - t) = share``, for a drift above -1 and below 1."""
+    return 2 * share / (1 - drift + F.sqrt((1 - drift) * (1 - drift) + 4 * drift * share))
 
 
 def curriculum(docs: DataFrame, keep: list[str], *, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
-               weights: tuple[float, ...] = (5, 2, 1), max_epochs: int = 3, drift: float = 0.5, rows_per_bucket: int = 20_000, ordered: bool = True) -> DataFrame:
+               weights: tuple[float, ...] = (5, 2, 1), max_epochs: int = 3, drifts: tuple[float, ...] = (0.5, 0.0, -0.5), rows_per_bucket: int = 20_000, ordered: bool = True) -> DataFrame:
     """One row per document, in order of training if ``ordered``: ``keep`` columns, size, source_size, target, copies, taken and positions (one t per copy).
 
     ``rows_per_bucket`` sizes the buckets over which the running sum of a source is spread, so a source with a third of all rows
     is many windows.
     """
+    if not all(-1 < d < 1 for d in drifts):
+        raise ValueError("a drift must lie between -1 and 1")
     buckets = max(1, rows_of(docs) // rows_per_bucket)
     key = F.md5(F.coalesce(F.col(id_col).cast("string"), F.lit("")))
     row = docs.select(F.struct(*keep).alias("_row"), F.col(source_col).alias("_source"), key.alias("_key"), F.hash(F.col(text_col)).alias("_tie"),
@@ -60,14 +64,14 @@ def curriculum(docs: DataFrame, keep: list[str], *, id_col: str = "doc_id", text
     sums = row.groupBy("_source", "_bucket").agg(F.sum("_size").alias("_sum"))
     before = Window.partitionBy("_source").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     sums = sums.select("_source", "_bucket", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_base"))
-    sources = targets(row, weights, max_epochs)
+    sources = targets(row, weights, max_epochs, drifts)
     places = sums.alias("a").join(sources.alias("b"), F.col("a._source").eqNullSafe(F.col("b._source"))).select(
-        F.col("a._source").alias("_s"), F.col("_bucket").alias("_b"), "_base", "source_size", "target")
+        F.col("a._source").alias("_s"), F.col("_bucket").alias("_b"), "_base", "source_size", "drift", "target")
     within = Window.partitionBy("_source", "_bucket").orderBy("_key", "_size", "_tie").rowsBetween(Window.unboundedPreceding, -1)
     row = row.withColumn("_run", F.coalesce(F.sum("_size").over(within), F.lit(0)))
     row = row.join(places, F.col("_source").eqNullSafe(F.col("_s")) & (F.col("_bucket") == F.col("_b")))
     start = [F.col("_base") + F.col("_run") + c * F.col("source_size") for c in range(max_epochs)]
-    row = row.withColumn("positions", F.array_compact(F.array(*[F.when(s < F.col("target"), position(s / F.col("target"), drift)) for s in start])))
+    row = row.withColumn("positions", F.array_compact(F.array(*[F.when(s < F.col("target"), position(s / F.col("target"), F.col("drift"))) for s in start])))
     copies = F.size("positions").cast("long")
     if ordered:
         row = row.orderBy(F.try_element_at("positions", F.lit(1)).asc_nulls_last())
@@ -84,7 +88,7 @@ def trained(docs: DataFrame, **options) -> DataFrame:
 
 
 def op9_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The mix of all documents: words each document gives, and its source's target."""
+    """The mix of all documents: words each document gives, and its source's target; rows are in order of training."""
     return curriculum(documents(spark, sf_dir), ["doc_id"]).select("doc_id", "size", "source_size", "target", "taken")
 
 

@@ -257,6 +257,21 @@ def test_mixing_targets_and_positions(spark, odd, nothing):
     assert mixing.trained(clash(df)).columns == clash(df).columns
 
 
+def test_mixing_follows_each_source_s_schedule(spark):
+    """Early and late words of each source are in the proportions of its own schedule, in the positions and in the order of rows."""
+    df = spark.createDataFrame([(i, "w " * 10, "abc"[i % 3]) for i in range(3000)], "doc_id long, text string, source string")
+    drifts = {"a": 0.5, "b": 0.0, "c": -0.5}
+    got = mixing.curriculum(df, ["doc_id", "source"], weights=(1, 1, 1)).toPandas()
+    for s, d in drifts.items():
+        t = np.concatenate(got[got.source == s].positions.tolist())
+        assert len(t) == 1000 and [(t < x).mean() for x in (0.25, 0.5, 0.75)] == pytest.approx([x + d * (x * x - x) for x in (0.25, 0.5, 0.75)], abs=0.003)
+        assert (got.source[:1500] == s).sum() == pytest.approx(1000 * (0.5 - d / 4), abs=5)
+    order = mixing.trained(df, weights=(1, 1, 1)).toPandas().source
+    assert (order[:1500] == "a").sum() < 400 and (order[:1500] == "c").sum() > 600
+    with pytest.raises(ValueError):
+        mixing.curriculum(df, ["doc_id"], drifts=(1.0,))
+
+
 def test_pieces_against_the_library():
     c = pieces.codec(pieces.default_model())
     for text in ["", " ", "  a  b\tc\n\n é ﬁ \x00 x▁y", "\n", "a\nb ", "日本語 テスト 🙂", "▁▁", "a" * 300, "x" * 3000 + " y", "the then there, The THE"]:
