@@ -2,14 +2,14 @@
 
 Candidates live in blocks of bounded size. A block has one list per component, sorted by value; a query reads a list from its top where the query's component is positive and
 from its bottom where it is negative, all lists to the same depth. What has been read gives each candidate a lower bound (components not read count as the worst of
-their list) and an upper bound (as the value read last). Depth grows until few candidates besides the best k have an upper bound that reaches
+their list) and an upper bound (as the value read last); rows with the query's own id have neither. Depth grows until few candidates besides the best k have an upper bound that reaches
 the k-th best lower bound; outsiders cannot qualify then, and the scores of those that remain are resolved. All queries of a chunk read a
 block together, so bounds are products of matrices. The best k of every block are merged by rank.
 
 Queries meet every block once, in chunks: chunks times blocks tasks, each of bounded size, whose number follows the work asked for.
 
 Components become ``floor(scale * x)``. A vector that is null, empty, or holds a null, NaN or infinite component takes no part, and neither does a null id;
-vectors meet only those of their own length. Rows that carry the query's id are not its candidates; of several query rows of one id the least vector asks. Ties go to
+vectors meet only those of their own length. Equal rows are counted first and at most ``k`` of them go on, as no query can return more. Rows that carry the query's id are not its candidates; of several query rows of one id the least vector asks. Ties go to
 the smaller id. No vectors give no rows.
 """
 
@@ -70,12 +70,14 @@ def best_of_block(query_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, x: np.n
         raise ValueError("scores are too large to be exact")
     kind = np.float32 if most < 2**24 else np.float64  # both exact in their range
     q, x = q.astype(kind), x.astype(kind)
-    n, want = len(x), min(k + 1, len(x))  # one more, as a query may meet itself
+    n, want = len(x), min(k, len(x))
+    own = np.nonzero(query_ids[:, None] == ids[None, :])  # any number of rows may carry a query's id
     ordered = np.sort(x, axis=0)
     up, down = np.maximum(q, 0), np.minimum(q, 0)
     alive = None
     for share in DEPTHS:
         lower, upper = bounds(up, down, x, ordered, max(1, int(share * n)))
+        lower[own] = upper[own] = -np.inf
         least = np.partition(lower, n - want, axis=1)[:, n - want]
         alive = upper >= least[:, None]
         if alive.sum(1).max() <= max(8 * k, n // 50):  # outsiders cannot qualify any more
@@ -83,6 +85,7 @@ def best_of_block(query_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, x: np.n
     else:
         alive = None  # every list is read to its end: all scores are known
         scores = q @ x.T
+        scores[own] = -np.inf
     for row in range(len(q)):
         if alive is None:
             near = np.flatnonzero(scores[row] >= np.partition(scores[row], n - want)[n - want])
@@ -102,9 +105,10 @@ def top_k(vectors: DataFrame, is_query: Column, *, k: int = 20, scale: float = 6
     """query_id, rank (from 1), vec_id and score of the ``k`` best candidates of each query; ``is_query`` is a condition on the column vec_id."""
     n = rows_of(vectors)
     blocks, chunks = max(1, -(-n // block)), max(1, -(-n // (20 * chunk)))
-    all_rows = packed(vectors, id_col=id_col, vector_col=vector_col, scale=scale)
-    place = F.pmod(F.xxhash64("vec_id", "packed"), F.lit(blocks)).cast("int")
-    candidates = all_rows.withColumn("_block", place).withColumn("_chunk", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))))
+    all_rows = packed(vectors, id_col=id_col, vector_col=vector_col, scale=scale).groupBy("vec_id", "dim", "packed").agg(F.count("*").alias("_n"))
+    copies = all_rows.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.least("_n", F.lit(k)).cast("int")))).drop("_n")
+    place = F.pmod(F.xxhash64("vec_id", "packed", "_copy"), F.lit(blocks)).cast("int")
+    candidates = copies.select(*all_rows.drop("_n").columns, place.alias("_block")).withColumn("_chunk", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))))
     queries = all_rows.where(is_query).groupBy("vec_id", "dim").agg(F.min("packed").alias("packed"))
     queries = queries.withColumn("_chunk", F.pmod(F.xxhash64("vec_id"), F.lit(chunks)).cast("int")).withColumn("_block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
 

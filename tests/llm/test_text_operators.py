@@ -114,6 +114,37 @@ def test_topk_block_against_sorting(k):
     assert list(zip(got["query_id"], got["vec_id"], got["score"])) == want
 
 
+@pytest.mark.parametrize("copies", [3, 30, 600])
+def test_topk_block_with_repeated_query_rows(copies):
+    """Rows of a query's own id take no place from its candidates, however many there are."""
+    draw = np.random.default_rng(copies)
+    x = np.floor(draw.normal(size=(700, 12)) * 20)
+    x[:10] *= 2  # a query's best row is itself
+    ids = np.concatenate([np.arange(700), np.repeat(np.arange(10), copies)])
+    rows = np.concatenate([x, np.repeat(x[:10], copies, 0)])
+    got = topk.best_of_block(np.arange(10), x[:10], ids, rows, 20)
+    want = []
+    for q in range(10):
+        s = rows @ x[q]
+        want += [(q, int(ids[i]), int(s[i])) for i in sorted((i for i in range(len(rows)) if ids[i] != q), key=lambda i: (-s[i], ids[i]))[:20]]
+    assert list(zip(got["query_id"], got["vec_id"], got["score"])) == want
+
+
+@pytest.mark.parametrize("block", [8192, 100])
+def test_topk_with_a_repeated_query_id(spark, block):
+    """25 equal rows of a query's id and 300 of another one, by brute force; no block holds more than k equal rows."""
+    draw = np.random.default_rng(4)
+    x = draw.normal(size=(200, 8)).astype(np.float32)
+    rows = [(i, x[i].tolist()) for i in range(200)] + [(0, x[0].tolist())] * 25 + [(7, x[7].tolist())] * 300
+    got = topk.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<float>"), F.col("vec_id") % 20 == 0, block=block)
+    ids, y = np.array([i for i, _ in rows]), np.floor(64 * np.array([v for _, v in rows], np.float64))
+    want = []
+    for q in range(0, 200, 20):
+        s = y @ y[q]
+        want += [(q, n, int(ids[i]), int(s[i])) for n, i in enumerate(sorted((i for i in range(len(y)) if ids[i] != q), key=lambda i: (-s[i], ids[i]))[:20], 1)]
+    assert sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in got.collect()) == want
+
+
 def test_string_kernel_tolerates_insertions():
     mark = lambda t: toxicity.START + t + toxicity.END
     near = toxicity.Landmarks([mark("scoundrel")])
