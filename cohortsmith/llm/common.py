@@ -162,6 +162,12 @@ def with_text(docs: DataFrame, keep: list[str], text_col: str) -> tuple[DataFram
     return docs.select(*keep, F.col(text_col).alias("_text_")), len(keep)
 
 
+def besides(keep: list[str], schema: str) -> list[str]:
+    """``keep`` without names of the result's own columns: those win."""
+    own = {part.split()[0] for part in schema.split(", ")}
+    return [c for c in keep if c not in own]
+
+
 def rows_of(df: DataFrame) -> int:
     """Row count; for files it comes from their footers."""
     return df.select(F.lit(1)).count()

@@ -6,10 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .alignment import op11_shared_cuts
+from .bytepairs import op13_byte_pairs
 from .cascade import OP8_SQL, op8_rule_cascade
 from .mixing import OP9_SQL, op9_curriculum_mix
 from .nearby import OP4_SQL, op4_chosen_path
 from .passages import OP1_SQL, op1_phrase_automata
+from .periods import OP12_SQL, op12_period_runs
 from .pieces import op10_piece_encoding
 from .preference import op6_preference_quality
 from .ring import op7_bounded_ring
@@ -28,6 +31,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_rule_cascade": op8_rule_cascade,
     "op9_curriculum_mix": op9_curriculum_mix,
     "op10_piece_encoding": op10_piece_encoding,
+    "op11_shared_cuts": op11_shared_cuts,
+    "op12_period_runs": op12_period_runs,
+    "op13_byte_pairs": op13_byte_pairs,
 }
 ORACLE: dict[str, str] = {
     "op1_phrase_automata": OP1_SQL,
@@ -36,4 +42,5 @@ ORACLE: dict[str, str] = {
     "op5_prefix_doubling": OP5_SQL,
     "op8_rule_cascade": OP8_SQL,
     "op9_curriculum_mix": OP9_SQL,
+    "op12_period_runs": OP12_SQL,
 }
