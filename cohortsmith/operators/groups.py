@@ -96,6 +96,26 @@ def prefix_counts(ranged: DataFrame, by: Sequence[str], value: str, n: str) -> D
     )
 
 
+def running_sums(ranged: DataFrame, by: Sequence[str], value: str, sums: dict[str, Column], later: bool = False,
+                 strict: bool = False) -> DataFrame:
+    """Running sums along ``value`` within each group of a table from ``in_ranges``, however long the group.
+
+    Each range sums its own rows first; a running sum over the ranges of a group (as many rows as ranges) gives a range the sum
+    of those before it, and only a range's own rows meet in a task. ``later`` runs from the last value back; ``strict``
+    leaves out the row's own value. ``__part`` stays, so that scans can follow one another.
+    """
+    by = list(by)
+    order = F.col("__part").desc() if later else F.col("__part").asc()
+    over_ranges = W.partitionBy(*by).orderBy(order).rowsBetween(W.unboundedPreceding, -1)
+    per_range = ranged.groupBy(*by, "__part").agg(*[F.sum(c).alias(f"__r_{n}") for n, c in sums.items()])
+    offsets = per_range.select(*by, "__part", *[F.coalesce(F.sum(f"__r_{n}").over(over_ranges), F.lit(0)).alias(f"__o_{n}") for n in sums])
+    inside = W.partitionBy(*by, "__part").orderBy(F.col(value).desc() if later else F.col(value).asc()).rowsBetween(
+        W.unboundedPreceding, -1 if strict else 0)
+    joined = keyed_join(ranged.drop(*sums), offsets, [*by, "__part"], "inner")
+    return joined.withColumns({n: F.col(f"__o_{n}") + F.coalesce(F.sum(c).over(inside), F.lit(0)) for n, c in sums.items()}).drop(
+        *[f"__o_{n}" for n in sums])
+
+
 def value_counts(df: DataFrame, by: Sequence[str], value: str) -> DataFrame:
     """How often each value that is not null occurs per group (``__n``), cut into ranges."""
     return in_ranges(df.filter(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count(F.lit(1)).alias("__n")), by, value)

@@ -1,8 +1,9 @@
 """Survival estimates and tests from the table of distinct times.
 
 Records are first reduced to events and censorings per group and distinct time.
-Times are whole study days, so that table is bounded by the length of follow-up
-whatever the number of subjects, and windows and small solves work on it alone.
+That table may be as long as the input, as times need not be whole days: it is cut
+into ranges of time, and at-risk counts, survival and the sums of the models are
+scans over ranges (``running_sums``), so that no task holds a group or a stratum.
 """
 
 from __future__ import annotations
@@ -11,40 +12,46 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import special
-from .groups import in_ranges, keyed_join, prefix_counts
+from .groups import in_ranges, keyed_join, prefix_counts, running_sums
 
 
-def risk_table(df: DataFrame, by: Sequence[str] = ("ARM",), time: str = "AVAL", cnsr: str = "CNSR") -> DataFrame:
-    """Per group and distinct time: events d, censored c and number at risk."""
+def _risk_in_ranges(df: DataFrame, by: Sequence[str], time: str, cnsr: str) -> DataFrame:
     table = df.filter(F.col(time).isNotNull()).groupBy(*by, F.col(time).alias("t")).agg(
         F.count_if(F.col(cnsr) == 0).alias("d"), F.count_if(F.col(cnsr) != 0).alias("c"))
-    later = W.partitionBy(*by).orderBy(F.col("t").desc()).rowsBetween(W.unboundedPreceding, 0)
-    return table.withColumn("at_risk", F.sum(F.col("d") + F.col("c")).over(later))
+    return running_sums(in_ranges(table, by, "t"), by, "t", {"at_risk": F.col("d") + F.col("c")}, later=True)
+
+
+def risk_table(df: DataFrame, by: Sequence[str] = ("ARM",), time: str = "AVAL", cnsr: str = "CNSR") -> DataFrame:
+    """Per group and distinct time: events d, censored c and number at risk."""
+    return _risk_in_ranges(df, by, time, cnsr).drop("__part")
 
 
 def kaplan_meier(df: DataFrame, by: Sequence[str] = ("ARM",), time: str = "AVAL", cnsr: str = "CNSR",
                  level: float = 0.95) -> DataFrame:
-    """Risk table with survival, Greenwood standard error and log-transformed confidence limits."""
+    """Risk table with survival, Greenwood standard error and log-transformed confidence limits.
+
+    Survival is a running product, taken as a running sum of logs; a time at which all at risk have the event
+    takes it to zero for good.
+    """
     z = float(special.norm_quantile(0.5 + level / 2))
-    run = W.partitionBy(*by).orderBy("t").rowsBetween(W.unboundedPreceding, 0)
     d, n = F.col("d").cast("double"), F.col("at_risk").cast("double")
-    # a time at which all at risk have the event takes survival to zero for good
-    dead = F.max(F.when(d == n, 1).otherwise(0)).over(run) == 1
-    log_surv = F.sum(F.when(d < n, F.ln(1 - d / n)).otherwise(0.0)).over(run)
-    green = F.sum(F.when(d < n, d / (n * (n - d))).otherwise(0.0)).over(run)
-    out = risk_table(df, by, time, cnsr).withColumns({
-        "survival": F.when(dead, 0.0).otherwise(F.exp(log_surv)),
-        "__v": F.when(~dead, green),
+    out = running_sums(_risk_in_ranges(df, by, time, cnsr), by, "t", {
+        "__dead": F.when(d == n, 1).otherwise(0),
+        "__log": F.when(d < n, F.ln(1 - d / n)).otherwise(0.0),
+        "__v": F.when(d < n, d / (n * (n - d))).otherwise(0.0),
     })
-    spread = F.exp(z * F.sqrt("__v"))
+    alive = F.col("__dead") == 0
+    spread = F.exp(z * F.sqrt("__green"))
     return out.withColumns({
-        "se": F.col("survival") * F.sqrt("__v"),
+        "survival": F.when(alive, F.exp("__log")).otherwise(0.0), "__green": F.when(alive, F.col("__v")),
+    }).withColumns({
+        "se": F.col("survival") * F.sqrt("__green"),
         "lower": F.col("survival") / spread,
-        "upper": F.when(F.col("__v").isNotNull(), F.least(F.lit(1.0), F.col("survival") * spread)),
-    }).drop("__v")
+        "upper": F.when(F.col("__green").isNotNull(), F.least(F.lit(1.0), F.col("survival") * spread)),
+    }).drop("__part", "__dead", "__log", "__v", "__green")
 
 
 def km_summary(km: DataFrame, by: Sequence[str] = ("ARM",)) -> DataFrame:
@@ -91,15 +98,16 @@ def _event_times(df: DataFrame, group: str, levels: Sequence[str], strata: Seque
     """One row per stratum and event time with deaths and numbers at risk of every group, in level order.
 
     A group's last censoring may lie before an event of another, so the at-risk
-    counts come from one running sum over the common time axis.
+    counts come from one scan over the common time axis.
     """
     ev = lambda l: F.count_if((F.col(group) == l) & (F.col(cnsr) == 0))
     al = lambda l: F.count_if(F.col(group) == l)
-    axis = df.filter(F.col(group).isin(*levels) & F.col(time).isNotNull()).groupBy(*strata, F.col(time).alias("t")).agg(
+    axis = df.filter(F.col(group).isin(*levels) & F.col(time).isNotNull()).withColumn("__all", F.lit(1)).groupBy(
+        *strata, "__all", F.col(time).alias("t")).agg(
         *[ev(l).alias(f"d{i}") for i, l in enumerate(levels)], *[al(l).alias(f"m{i}") for i, l in enumerate(levels)])
-    later = W.partitionBy(*strata).orderBy(F.col("t").desc()).rowsBetween(W.unboundedPreceding, 0)
-    return axis.withColumns({f"n{i}": F.sum(f"m{i}").over(later) for i in range(len(levels))}).drop(
-        *[f"m{i}" for i in range(len(levels))])
+    keys = [*strata, "__all"]
+    return running_sums(in_ranges(axis, keys, "t"), keys, "t", {f"n{i}": F.col(f"m{i}") for i in range(len(levels))}, later=True).drop(
+        "__part", "__all", *[f"m{i}" for i in range(len(levels))])
 
 
 def logrank(df: DataFrame, group: str, levels: Sequence[str], strata: Sequence[str] = (), time: str = "AVAL",
@@ -136,20 +144,42 @@ def logrank(df: DataFrame, group: str, levels: Sequence[str], strata: Sequence[s
         *[F.col("exp")[i].alias(f"expected_{i}") for i in range(k)])
 
 
+#: So many of the smallest terms are added one by one; the others lie far enough from zero for the expansion below.
+_NEAR = 24
+
+
+def falling_sums(x: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sums of log u, 1/u and 1/u^2 over u = x, x - 1, ... (n terms, the last one 1 or more).
+
+    The integral between the half steps around the terms and two corrections (Euler and Maclaurin); sums of logs are
+    written without differences of large numbers.
+    """
+    x, n = np.asarray(x, float), np.asarray(n, float)
+    low = x - n + 1
+    log = one = two = np.zeros_like(x)
+    for k in range(_NEAR):
+        u = np.where(k < n, low + k, np.nan)
+        log, one, two = (a + np.nan_to_num(b) for a, b in zip((log, one, two), (np.log(u), 1 / u, 1 / u**2)))
+    r = np.maximum(n - _NEAR, 0.0)
+    p, q = np.where(r > 0, low + _NEAR - 0.5, 1.0), np.where(r > 0, x + 0.5, 1.0)
+    gap = np.log1p(r / p)
+    diff = lambda k: q ** -float(k) - p ** -float(k)
+    a, b = -1 / 24, 7 / 5760
+    return (log + r * np.log(p) + q * gap - r + a * diff(1) + 2 * b * diff(3),
+            one + gap - a * diff(2) - 6 * b * diff(4),
+            two + r / (p * q) - 2 * a * diff(3) - 24 * b * diff(5))
+
+
 def tie_sums(efron: bool):
     """Sums over the d tied events of log m, 1/m and 1/m^2, with m = risk - l/d * tied for l < d (Efron) or m = risk (Breslow)."""
     @F.pandas_udf("total double, one double, two double")
     def sums(risk: pd.Series, tied: pd.Series, d: pd.Series) -> pd.DataFrame:
+        r, n = risk.to_numpy(float), d.to_numpy(float)
         if not efron:
-            return pd.DataFrame({"total": d * np.log(risk), "one": d / risk, "two": d / risk**2})
-        rows = []
-        for r, e, n in zip(risk.to_numpy(float), tied.to_numpy(float), d.to_numpy(float)):
-            total = np.zeros(3)
-            for a in range(0, int(n), 1 << 20):  # slices of bounded size
-                m = r - np.arange(a, min(a + (1 << 20), int(n))) / n * e
-                total += (np.log(m).sum(), (1 / m).sum(), (1 / m**2).sum())
-            rows.append(tuple(total))
-        return pd.DataFrame(rows, columns=["total", "one", "two"])
+            return pd.DataFrame({"total": n * np.log(r), "one": n / r, "two": n / r**2})
+        step = tied.to_numpy(float) / n  # m falls by this from one event to the next
+        log, one, two = falling_sums(np.maximum(r / step, n), n)
+        return pd.DataFrame({"total": n * np.log(step) + log, "one": one / step, "two": two / step**2})
 
     return sums
 
@@ -159,8 +189,8 @@ def cox(df: DataFrame, covariates: dict[str, Column], time: str = "AVAL", cnsr:
     """Proportional hazards: log hazard ratio, SE, hazard ratio with limits and p per covariate.
 
     ``covariates`` maps a name to a numeric Column. Records with equal time, status
-    and covariates are counted together first. Each Newton step is one aggregate to
-    sums per distinct time, running sums over that axis, and one aggregate to the
+    and covariates are counted together first and cut into ranges of time once. Each Newton step
+    is one aggregate to sums per distinct time, a scan over the ranges, and one aggregate to the
     score and information; only those last k + k*k numbers come to the driver, which
     takes the next step. Ties after Efron or Breslow. Nulls if ``max_iter`` steps are not enough.
     """
@@ -173,8 +203,9 @@ def cox(df: DataFrame, covariates: dict[str, Column], time: str = "AVAL", cnsr:
     head = rows.agg(*[F.avg(f"x{i}") for i in range(k)], F.sum("e").alias("events")).first()
     centre = [head[i] or 0.0 for i in range(k)]
     packed = rows.groupBy(*strata, "t", "e", *[f"x{i}" for i in range(k)]).agg(F.count(F.lit(1)).cast("double").alias("w"))
-    packed = packed.select(*strata, "t", "e", "w", *[(F.col(f"x{i}") - centre[i]).alias(f"x{i}") for i in range(k)]).cache()
-    later = W.partitionBy(*strata).orderBy(F.col("t").desc()).rowsBetween(W.unboundedPreceding, 0)
+    packed = packed.select(*strata, F.lit(1).alias("__all"), "t", "e", "w", *[(F.col(f"x{i}") - centre[i]).alias(f"x{i}") for i in range(k)])
+    keys = [*strata, "__all"]
+    packed = in_ranges(packed, keys, "t")  # all rows of one time lie in one range
     tied = tie_sums(ties == "efron")
 
     def step(beta):
@@ -188,8 +219,8 @@ def cox(df: DataFrame, covariates: dict[str, Column], time: str = "AVAL", cnsr:
         aggs += [F.sum(F.col("w") * F.col("e") * F.col(f"x{i}")).alias(f"dx_{i}") for i in range(k)]
         aggs += [F.sum(c).alias(n) for n, c in moment.items()]
         aggs += [F.sum(c * F.col("e")).alias(f"e_{n}") for n, c in moment.items()]
-        axis = packed.groupBy(*strata, "t").agg(*aggs)
-        axis = axis.withColumns({f"r_{n}": F.sum(n).over(later) for n in moment}).filter(F.col("d") > 0)
+        axis = packed.groupBy(*keys, "__part", "t").agg(*aggs)
+        axis = running_sums(axis, keys, "t", {f"r_{n}": F.col(n) for n in moment}, later=True).filter(F.col("d") > 0)
         # Efron: the l-th of d tied events sees the risk set less l/d of the tied ones. Every term is a ratio of two
         # functions linear in l/d, so its sum over l needs the sums of log m, 1/m and 1/m^2 of the denominator m only.
         axis = axis.withColumn("__t", tied("r_s0", "e_s0", "d"))
@@ -213,23 +244,20 @@ def cox(df: DataFrame, covariates: dict[str, Column], time: str = "AVAL", cnsr:
         return out["ll"] or 0.0, u, h
 
     beta, last, settled = np.zeros(k), -np.inf, False
-    try:
-        ll, u, h = step(beta)
-        for _ in range(max_iter):
-            delta = np.linalg.pinv(h, hermitian=True) @ u
-            scale = 1.0
-            while True:  # halve a step that lowers the likelihood
-                trial = beta + scale * delta
-                got = step(trial)
-                if got[0] >= ll - 1e-9 or scale < 1e-4:
-                    break
-                scale /= 2
-            last, (ll, u, h), beta = ll, got, trial
-            settled = abs(ll - last) <= tol * (abs(ll) + 1e-12)
-            if settled:
+    ll, u, h = step(beta)
+    for _ in range(max_iter):
+        delta = np.linalg.pinv(h, hermitian=True) @ u
+        scale = 1.0
+        while True:  # halve a step that lowers the likelihood
+            trial = beta + scale * delta
+            got = step(trial)
+            if got[0] >= ll - 1e-9 * (abs(ll) + 1) or scale < 1e-4:
                 break
-    finally:
-        packed.unpersist()
+            scale /= 2
+        last, (ll, u, h), beta = ll, got, trial
+        settled = abs(ll - last) <= tol * (abs(ll) + 1e-12)
+        if settled:
+            break
     se = np.sqrt(np.diag(np.linalg.pinv(h, hermitian=True)))
     z = special.norm_quantile(0.5 + level / 2)
     out = []

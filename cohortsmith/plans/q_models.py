@@ -187,18 +187,21 @@ def _(spark, sf):
     return sv.km_landmarks(sv.kaplan_meier(v.tte(spark, sf)), [5, 10, 20])
 
 
-@query("km_summary", with_views("tte", """
-  SELECT ARM, sum(d + c)::BIGINT AS subjects, sum(d)::BIGINT AS events, sum(c)::BIGINT AS censored,
-    CAST(min(t) FILTER (d > 0 AND survival <= 0.5 + 1e-9) AS DOUBLE) AS median_first FROM km GROUP BY 1""", risk=_RISK, km=_KM))
+_MEDIAN = """SELECT *, r6(CASE WHEN flat IS NOT NULL THEN (lo + coalesce(hi, lo)) / 2.0 ELSE lo END) AS median FROM (
+  SELECT ARM, sum(d + c)::BIGINT AS subjects, sum(d)::BIGINT AS events, sum(c)::BIGINT AS censored, min(t) FILTER (d > 0 AND survival <= 0.5 + 1e-9) AS lo,
+    min(t) FILTER (d > 0 AND survival < 0.5 - 1e-9) AS hi, min(t) FILTER (d > 0 AND abs(survival - 0.5) <= 1e-9) AS flat,
+    min(t) FILTER (d > 0 AND survival / exp(1.959963984540054 * sqrt(vv)) <= 0.5 + 1e-9) AS median_lower,
+    min(t) FILTER (d > 0 AND least(1.0, survival * exp(1.959963984540054 * sqrt(vv))) <= 0.5 + 1e-9) AS median_upper FROM km GROUP BY 1)"""
+
+
+@query("km_summary", with_views("tte", "SELECT ARM, subjects, events, censored, median FROM med", risk=_RISK, km=_KM, med=_MEDIAN))
 def _(spark, sf):
-    km = sv.kaplan_meier(v.tte(spark, sf))
-    first = km.groupBy("ARM").agg(F.min(F.when((F.col("d") > 0) & (F.col("survival") <= 0.5 + 1e-9), F.col("t"))).cast("double").alias("median_first"))
-    return sv.km_summary(km).join(first, "ARM").select("ARM", "subjects", "events", "censored", "median_first")
+    return sv.km_summary(sv.kaplan_meier(v.tte(spark, sf))).select("ARM", "subjects", "events", "censored", "median")
 
 
-@query("km_median_with_limits")
+@query("km_median_with_limits", with_views("tte", "SELECT ARM, subjects, events, censored, median_lower, median_upper, median FROM med", risk=_RISK, km=_KM, med=_MEDIAN))
 def _(spark, sf):
-    """Median survival with its limits per arm; unit-tested."""
+    """Median survival with its limits per arm."""
     return sv.km_summary(sv.kaplan_meier(v.tte(spark, sf)))
 
 
@@ -220,13 +223,46 @@ def _(spark, sf):
     return sv.logrank(v.tte(spark, sf), "ARM", ["Placebo", "High Dose"]).drop("p")
 
 
-@query("logrank_three_arms_stratified")
+_THREE = """SELECT * FROM (SELECT REGION, t, d, d0, d1, d2, sum(m) OVER w AS n, sum(m0) OVER w AS n0, sum(m1) OVER w AS n1, sum(m2) OVER w AS n2 FROM (
+    SELECT REGION, AVAL AS t, (count(*) FILTER (CNSR = 0))::DOUBLE AS d, count(*)::DOUBLE AS m, (count(*) FILTER (ARM = 'Placebo'))::DOUBLE AS m0, (count(*) FILTER (ARM = 'Low Dose'))::DOUBLE AS m1,
+      (count(*) FILTER (ARM = 'High Dose'))::DOUBLE AS m2, (count(*) FILTER (ARM = 'Placebo' AND CNSR = 0))::DOUBLE AS d0, (count(*) FILTER (ARM = 'Low Dose' AND CNSR = 0))::DOUBLE AS d1,
+      (count(*) FILTER (ARM = 'High Dose' AND CNSR = 0))::DOUBLE AS d2 FROM tte JOIN (SELECT USUBJID, REGION FROM subjects) USING (USUBJID) GROUP BY 1, 2)
+  WINDOW w AS (PARTITION BY REGION ORDER BY t DESC)) WHERE d > 0"""
+
+
+@query("logrank_three_arms_stratified", with_views("tte", """
+  SELECT r6(x) AS statistic, 2.0::DOUBLE AS df, r6(exp(-x / 2)) AS p, o0 AS observed_0, o1 AS observed_1, o2 AS observed_2, r6(e0) AS expected_0, r6(e1) AS expected_1, r6(e2) AS expected_2
+  FROM (SELECT *, ((o0 - e0) * (o0 - e0) * v11 - 2 * (o0 - e0) * (o1 - e1) * v01 + (o1 - e1) * (o1 - e1) * v00) / (v00 * v11 - v01 * v01) AS x FROM (
+    SELECT sum(d0) AS o0, sum(d1) AS o1, sum(d2) AS o2, sum(d * n0 / n) AS e0, sum(d * n1 / n) AS e1, sum(d * n2 / n) AS e2, sum(h * n0 / n * (1 - n0 / n)) AS v00,
+      sum(h * n1 / n * (1 - n1 / n)) AS v11, -sum(h * n0 / n * n1 / n) AS v01 FROM (SELECT *, CASE WHEN n > 1 THEN d * (n - d) / (n - 1) ELSE 0 END AS h FROM three)))""", three=_THREE))
 def _(spark, sf):
-    """All arms, stratified by region, with p; unit-tested."""
+    """All arms, stratified by region, with p (two degrees of freedom: a closed tail)."""
     tte = v.tte(spark, sf).join(subjects(spark, sf).select("USUBJID", "REGION"), "USUBJID")
     return sv.logrank(tte, "ARM", ARM_LEVELS, ["REGION"])
 
 
+def _newton_sql(steps: int = 9) -> dict[str, str]:
+    """Newton's steps for one coefficient as a chain of views; every tied event sees the risk set less its share of the tied ones."""
+    views = {"pair_axis": """SELECT t, d, d1, sum(m) OVER w AS n, sum(m1) OVER w AS n1 FROM (SELECT AVAL AS t, (count(*) FILTER (CNSR = 0))::DOUBLE AS d, count(*)::DOUBLE AS m,
+        (count(*) FILTER (ARM = 'High Dose'))::DOUBLE AS m1, (count(*) FILTER (ARM = 'High Dose' AND CNSR = 0))::DOUBLE AS d1 FROM tte WHERE ARM IN ('Placebo', 'High Dose') GROUP BY 1)
+      WINDOW w AS (ORDER BY t DESC)""",
+             "terms": "SELECT d1 / d AS share, n1 - l / d * d1 AS a, n - n1 - l / d * (d - d1) AS b FROM (SELECT *, unnest(range(0, d::BIGINT)) AS l FROM pair_axis WHERE d > 0)",
+             "step0": "SELECT 0.0::DOUBLE AS beta, 0.0::DOUBLE AS info"}
+    for k in range(1, steps + 1):
+        views[f"step{k}"] = f"""SELECT any_value(beta) + sum(share - p) / sum(p * (1 - p)) AS beta, sum(p * (1 - p)) AS info
+          FROM (SELECT share, beta, a * exp(beta) / (a * exp(beta) + b) AS p FROM terms CROSS JOIN step{k - 1})"""
+    return views
+
+
+@query("cox_two_arms", with_views("tte", """
+  SELECT 'High Dose' AS term, r6(beta) AS estimate, r6(1 / sqrt(info)) AS se, r6(exp(beta)) AS hazard_ratio, r6(exp(beta - 1.959963984540054 / sqrt(info))) AS lower,
+    r6(exp(beta + 1.959963984540054 / sqrt(info))) AS upper FROM step9""", **_newton_sql()))
+def _(spark, sf):
+    """Hazard ratio of two arms, Efron ties; the oracle takes the same steps in SQL, one tied event at a time."""
+    tte = v.tte(spark, sf).filter("ARM IN ('Placebo', 'High Dose')")
+    return sv.cox(tte, {"High Dose": F.when(F.col("ARM") == "High Dose", 1.0).otherwise(0.0)}).drop("p")
+
+
 @query("cox_hazard_ratio")
 def _(spark, sf):
     """Arm and a continuous covariate, Efron ties; unit-tested against direct maximisation."""

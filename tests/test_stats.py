@@ -142,6 +142,79 @@ def test_cox_published(remission):
     assert breslow["estimate"] == pytest.approx(1.5092, abs=1e-4)
 
 
+def plain_survival(rows):
+    """(t, c) rows of one arm: at risk, survival and Greenwood's sum per distinct time."""
+    t = np.array([r[0] for r in rows])
+    e = np.array([r[1] for r in rows]) == 0
+    times, place = np.unique(t, return_inverse=True)
+    d, m = np.bincount(place, e, len(times)), np.bincount(place, minlength=len(times))
+    n = np.cumsum(m[::-1])[::-1]
+    return times, n, np.cumprod(1 - d / n), np.cumsum(d / np.maximum(n * (n - d), 1e-300))
+
+
+def test_survival_on_a_long_fractional_axis(spark):
+    """A million distinct times in one arm: equal to a plain version, and no range holds the arm."""
+    n = 1_000_000
+    df = spark.range(n).select(F.lit("A").alias("ARM"), (F.pmod(F.col("id") * 7919, F.lit(n)) + 0.25).alias("AVAL"), F.when(F.col("id") % 3 == 0, 1).otherwise(0).alias("CNSR"))
+    km = sv.kaplan_meier(df).toPandas().sort_values("t")
+    i = np.arange(n)
+    times, at_risk, s, v = plain_survival(np.column_stack((i * 7919 % n + 0.25, np.where(i % 3 == 0, 1, 0))))
+    assert (km.t.to_numpy() == times).all() and (km.at_risk.to_numpy() == at_risk).all()
+    assert np.allclose(km.survival, s, rtol=1e-9) and np.allclose(km.se[:-1], s[:-1] * np.sqrt(v[:-1]), rtol=1e-8)
+    ranges = sv._risk_in_ranges(df, ["ARM"], "AVAL", "CNSR").groupBy("__part").count().toPandas()["count"]
+    assert ranges.sum() == n and ranges.max() < n / 2
+
+
+def test_models_on_fractional_times(spark):
+    """Log-rank and Cox with ties, strata and empty strata against plain sums over events."""
+    rng = np.random.default_rng(3)
+    n = 600
+    arm, stratum, x = rng.integers(0, 3, n), rng.integers(0, 2, n), rng.normal(size=n).round(1)
+    t, c = (rng.exponential(10 / (1 + arm), n)).round(1) + 0.05, (rng.random(n) < 0.3).astype(int)
+    df = spark.createDataFrame([(f"a{a}", int(s), float(v), float(u), int(k)) for a, s, v, u, k in zip(arm, stratum, x, t, c)], "ARM string, S int, X double, AVAL double, CNSR int")
+    u, var = np.zeros(3), np.zeros((3, 3))
+    for s in (0, 1):
+        for time in np.unique(t[(stratum == s) & (c == 0)]):
+            risk = (stratum == s) & (t >= time)
+            dead = risk & (t == time) & (c == 0)
+            share, d, m = np.bincount(arm[risk], minlength=3) / risk.sum(), dead.sum(), risk.sum()
+            u += np.bincount(arm[dead], minlength=3) - d * share
+            if m > 1:
+                var += d * (m - d) / (m - 1) * (np.diag(share) - np.outer(share, share))
+    want = u[:2] @ np.linalg.solve(var[:2, :2], u[:2])
+    got = sv.logrank(df, "ARM", ["a0", "a1", "a2"], ["S"]).first()
+    assert got["statistic"] == pytest.approx(want, rel=1e-9) and got["df"] == 2 and got["p"] == pytest.approx(math.exp(-want / 2), rel=1e-6)
+    z = np.column_stack([(arm == 1).astype(float), (arm == 2).astype(float), x])
+
+    def score(beta):
+        g, h = np.zeros(3), np.zeros((3, 3))
+        for s in (0, 1):
+            for time in np.unique(t[(stratum == s) & (c == 0)]):
+                risk, dead = (stratum == s) & (t >= time), (stratum == s) & (t == time) & (c == 0)
+                d = dead.sum()
+                for l in range(d):
+                    w = np.exp(z @ beta) * (risk - l / d * dead)
+                    mean = w @ z / w.sum()
+                    g += z[dead].mean(0) - mean
+                    h += (z * w[:, None]).T @ z / w.sum() - np.outer(mean, mean)
+        return g, h
+
+    beta = np.zeros(3)
+    for _ in range(8):
+        g, h = score(beta)
+        beta = beta + np.linalg.solve(h, g)
+    se = np.sqrt(np.diag(np.linalg.inv(score(beta)[1])))
+    fit = sv.cox(df, {"a1": F.when(F.col("ARM") == "a1", 1.0).otherwise(0.0), "a2": F.when(F.col("ARM") == "a2", 1.0).otherwise(0.0), "x": F.col("X")}, strata=["S"]).collect()
+    assert [r["estimate"] for r in fit] == pytest.approx(beta.tolist(), rel=1e-6) and [r["se"] for r in fit] == pytest.approx(se.tolist(), rel=1e-6)
+
+
+@pytest.mark.parametrize("x, n", [(1.0, 1), (5.5, 5), (30.0, 30), (1000.25, 1000), (1e9 + 0.5, 40), (1e6, 7), (250_000.0, 249_990)])
+def test_closed_tie_sums(x, n):
+    u = np.array([x - k for k in range(n)])
+    got = [float(s[0]) for s in sv.falling_sums(np.array([x]), np.array([n]))]
+    assert got == pytest.approx([math.fsum(np.log(u)), math.fsum(1 / u), math.fsum(1 / u**2)], rel=1e-11)
+
+
 def test_all_censored(spark):
     df = spark.createDataFrame([("A", 3, 1), ("A", 5, 1), ("B", 4, 1)], "ARM string, AVAL int, CNSR int")
     assert {r["survival"] for r in sv.kaplan_meier(df).collect()} == {1.0}
