@@ -7,7 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .groups import extreme_rows, keyed_join, order_key
+from .groups import extreme_rows, in_ranges, keyed_join, order_key, prefix_counts
 
 
 def _flag_rows(df: DataFrame, by: Sequence[str]) -> DataFrame:
@@ -125,7 +125,9 @@ def flag_overlap(df: DataFrame, start: str = "ASTDT", end: str = "AENDT", ref_st
 
 def merge_joined(df: DataFrame, add: DataFrame, by: Sequence[str], cond: str | Column, order: Sequence[Column | str],
                  mode: str, new_vars: dict[str, str], row_key: Sequence[str]) -> DataFrame:
-    """First or last record of ``add`` per row of ``df`` under a condition over both sides.
+    """First or last record of ``add`` per row of ``df`` under any condition over both sides, tried on all pairs of a key.
+
+    For a range of one column of ``add`` use ``merge_in_range``, whose work does not grow with the size of a key.
 
     ``row_key`` identifies a row of ``df``. Names used in ``cond`` must be unique
     over both tables. Matches are reduced by partial aggregation before any group
@@ -137,6 +139,73 @@ def merge_joined(df: DataFrame, add: DataFrame, by: Sequence[str], cond: str | C
     return keyed_join(df, renamed, row_key)
 
 
+def _positions(points: DataFrame, by: Sequence[str], count: str) -> DataFrame:
+    """``below`` of each point (``by``, ``__x``): how many counted points of its key lie below it, and ``total``."""
+    return prefix_counts(in_ranges(points, by, "__x"), by, "__x", count)
+
+
+def _tree_nodes(first: Column, end: Column) -> Column:
+    """The aligned blocks of 1, 2, 4, ... places that make up [first, end), as (level, node): at most two of each size."""
+    levels = F.sequence(F.lit(0), F.greatest(F.floor(F.log2(F.greatest(end - first, F.lit(1)).cast("double"))), F.lit(0)).cast("int"))
+
+    def of_level(level: Column) -> Column:
+        size = F.pow(F.lit(2.0), level).cast("long")
+        lo, hi = F.floor((first + size - 1) / size).cast("long"), F.floor(end / size).cast("long")
+        node = lambda ok, at: F.when((lo < hi) & ok, F.struct(level.cast("int").alias("level"), at.alias("node")))
+        return F.array(node(F.pmod(lo, F.lit(2)) == 1, lo), node(F.pmod(hi, F.lit(2)) == 1, hi - 1))
+
+    return F.filter(F.flatten(F.transform(levels, of_level)), lambda x: x.isNotNull())
+
+
+def merge_in_range(df: DataFrame, add: DataFrame, by: Sequence[str], value: str, low: str | None, high: str | None,
+                   order: Sequence[str], mode: str, new_vars: dict[str, str], row_key: Sequence[str],
+                   closed: tuple[bool, bool] = (True, True)) -> DataFrame:
+    """``merge_joined`` for the condition ``low <= value <= high``: the first or last record by ``order`` whose ``value`` lies in the row's range.
+
+    ``low`` and ``high`` are columns of ``df`` (None: no bound; a null in a bound: no record), ``value`` and ``order`` are
+    columns of ``add``, and ``closed`` says which bounds count themselves. ``row_key`` identifies a row of ``df``.
+
+    The distinct values of a key are numbered along with the bounds by one scan over ranges. Blocks of 1, 2, 4, ... neighbouring
+    values keep their first or last record, and a row's range is a union of at most two blocks of each size: so a row meets
+    about 2 log2(values) candidates, however many records its key and its range hold, and the blocks are at most twice the values.
+    """
+    by, row_key, keep = list(by), list(row_key), list(dict.fromkeys([*new_vars.values(), *order]))
+    keep = [c for c in keep if c not in by]
+    leaves = extreme_rows(
+        add.filter(F.col(value).isNotNull()).select(*by, F.col(value).alias("__x"), *keep), [*by, "__x"], order, mode, keep=keep)
+    bounds = [b for b in (low, high) if b is not None]
+    rows = df.select(*row_key, *[b for b in by if b not in row_key], *[F.col(b).alias(f"__b{i}") for i, b in enumerate(bounds)])
+    points = leaves.select(*by, "__x", F.lit(1).alias("__leaf"))
+    for i in range(len(bounds)):
+        points = points.unionByName(rows.filter(F.col(f"__b{i}").isNotNull()).select(*by, F.col(f"__b{i}").alias("__x"), F.lit(0).alias("__leaf")))
+    places = _positions(points.groupBy(*by, "__x").agg(F.max("__leaf").alias("__leaf")), by, "__leaf")
+    leaf_places = places.filter(F.col("__leaf") == 1).select(*by, "__x", F.col("below").alias("__at"))
+    row = F.struct(*keep)
+    numbered = keyed_join(leaves, leaf_places, [*by, "__x"], "inner").select(*by, "__at", row.alias("__row"), order_key(order).alias("__o"))
+    pick = F.min_by if mode == "first" else F.max_by
+    best = F.min if mode == "first" else F.max
+    sizes = leaf_places.groupBy(*by).agg((F.max("__at") + 1).alias("__total"))
+    levels = F.sequence(F.lit(0), F.floor(F.log2(F.col("__total").cast("double"))).cast("int"))
+    blocks = keyed_join(numbered, sizes, by, "inner").withColumn("__level", F.explode(levels)).withColumn(
+        "__node", F.floor(F.col("__at") / F.pow(F.lit(2.0), F.col("__level"))).cast("long"))
+    blocks = blocks.groupBy(*by, "__level", "__node").agg(pick("__row", "__o").alias("__row"), best("__o").alias("__o"))
+    ranged = rows
+    for i, b in enumerate(bounds):
+        ranged = keyed_join(ranged, places.select(*by, F.col("__x").alias(f"__b{i}"), F.col("below").alias(f"__n{i}"), F.col("__leaf").alias(f"__l{i}")),
+                            [*by, f"__b{i}"], "inner")
+    if high is None:
+        ranged = keyed_join(ranged, sizes, by, "inner")
+    lo_at, hi_at = 0, len(bounds) - 1
+    first = F.lit(0) if low is None else F.col(f"__n{lo_at}") + (F.lit(0) if closed[0] else F.col(f"__l{lo_at}"))
+    end = F.col("__total") if high is None else F.col(f"__n{hi_at}") + (F.col(f"__l{hi_at}") if closed[1] else F.lit(0))
+    probes = ranged.filter(first < end).select(*row_key, *[b for b in by if b not in row_key], F.explode(_tree_nodes(first, end)).alias("__t")).select(
+        *row_key, *[b for b in by if b not in row_key], F.col("__t.level").alias("__level"), F.col("__t.node").alias("__node"))
+    met = keyed_join(probes, blocks, [*by, "__level", "__node"], "inner")
+    picked = met.groupBy(*row_key, *[b for b in by if b not in row_key]).agg(pick("__row", "__o").alias("__row"))
+    values = picked.select(*row_key, *[(F.col(src) if src in by else F.col(f"__row.{src}")).alias(new) for new, src in new_vars.items()])
+    return keyed_join(df, values, row_key)
+
+
 def merge_as_of_by_bucket(df: DataFrame, add: DataFrame, by: Sequence[str], day: str, add_day: str,
                           lookback: int, tie: Sequence[str], new_vars: dict[str, str],
                           row_key: Sequence[str]) -> DataFrame:

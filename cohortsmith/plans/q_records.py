@@ -121,8 +121,30 @@ def _(spark, sf):
 def _(spark, sf):
     add = obs(spark, sf).filter("PARAMCD = 'click'").select("USUBJID", "ADT", "ASEQ", "AVAL")
     adsl = subjects(spark, sf).select("USUBJID", "TRTSDT", "TRTEDT")
-    return m.merge_joined(adsl, add, ["USUBJID"], "ADT > TRTSDT AND ADT < TRTEDT", ["ADT", "ASEQ"], "first",
-                          {"FIRSTVAL": "AVAL", "FIRSTDT": "ADT"}, ["USUBJID"]).drop("TRTSDT", "TRTEDT")
+    return m.merge_in_range(adsl, add, ["USUBJID"], "ADT", "TRTSDT", "TRTEDT", ["ADT", "ASEQ"], "first",
+                            {"FIRSTVAL": "AVAL", "FIRSTDT": "ADT"}, ["USUBJID"], closed=(False, False)).drop("TRTSDT", "TRTEDT")
+
+
+@query("merge_joined_any_condition", with_views("obs subjects", """
+  SELECT s.USUBJID, first(o.AVAL ORDER BY o.ADT, o.ASEQ) AS FIRSTVAL FROM subjects s
+  LEFT JOIN obs o ON o.USUBJID = s.USUBJID AND o.PARAMCD = 'click' AND (o.ADT > s.TRTSDT OR o.AVAL > s.TRT01PN) GROUP BY s.USUBJID"""))
+def _(spark, sf):
+    """A condition that is no range of one column."""
+    add = obs(spark, sf).filter("PARAMCD = 'click'").select("USUBJID", "ADT", "ASEQ", "AVAL")
+    adsl = subjects(spark, sf).select("USUBJID", "TRTSDT", "TRT01PN")
+    return m.merge_joined(adsl, add, ["USUBJID"], "ADT > TRTSDT OR AVAL > TRT01PN", ["ADT", "ASEQ"], "first", {"FIRSTVAL": "AVAL"}, ["USUBJID"]).select("USUBJID", "FIRSTVAL")
+
+
+@query("merge_highest_in_window", with_views("obs", """
+  SELECT s.ASEQ AS SEQ, max(o.AVAL) AS PEAK, last(o.ASEQ ORDER BY o.AVAL, o.ASEQ) AS PEAKSEQ FROM obs s LEFT JOIN obs o ON o.PARAMCD = 'view'
+    AND o.REGION = s.REGION AND o.ADT BETWEEN s.ADT - 2 AND s.ADT AND o.AVAL IS NOT NULL WHERE s.PARAMCD = 'purchase' GROUP BY s.ASEQ"""))
+def _(spark, sf):
+    """The highest value of a whole region in the three days up to a record: few keys, each with a large part of both sides."""
+    df = obs(spark, sf)
+    left = df.filter("PARAMCD = 'purchase'").select("REGION", F.col("ASEQ").alias("SEQ"), F.col("ADT").alias("TO"), F.date_sub("ADT", 2).alias("FROM"))
+    add = df.filter("PARAMCD = 'view'").select("REGION", "ADT", "ASEQ", "AVAL")
+    return m.merge_in_range(left, add, ["REGION"], "ADT", "FROM", "TO", ["AVAL", "ASEQ"], "last", {"PEAK": "AVAL", "PEAKSEQ": "ASEQ"}, ["SEQ"]).select(
+        "SEQ", "PEAK", "PEAKSEQ")
 
 
 # ---- visits, flags, carry-forward --------------------------------------------

@@ -128,6 +128,49 @@ def test_bucketed_as_of_equals_brute_force(spark):
         assert got[i] == (max(fit)[2] if fit else None)
 
 
+@pytest.mark.parametrize("bounds, closed, mode", [(("lo", "hi"), (True, True), "first"), (("lo", "hi"), (False, False), "last"), ((None, "hi"), (True, False), "last"),
+                                                  (("lo", None), (False, True), "first"), ((None, None), (True, True), "last")])
+def test_range_merge_equals_brute_force(spark, bounds, closed, mode):
+    rng = random.Random(7)
+    pick = lambda: rng.choice([None, *[x / 4 for x in range(-4, 44)]])
+    left = [(i, rng.choice(["a", "b", "c", None]), pick(), pick()) for i in range(150)]
+    add = [(i, rng.choice(["a", "b", None]), pick(), rng.randrange(9)) for i in range(120)]
+    out = m.merge_in_range(spark.createDataFrame(left, "i int, k string, lo double, hi double"), spark.createDataFrame(add, "s int, k string, x double, o int"),
+                           ["k"], "x", *bounds, ["o", "s"], mode, {"S": "s", "O": "o", "K": "k"}, ["i"], closed)
+    got = {r["i"]: (r["S"], r["O"], r["K"]) for r in out.collect()}
+    assert len(got) == 150
+    for i, k, lo, hi in left:
+        above = lambda x: bounds[0] is None or (lo is not None and (x > lo or (closed[0] and x == lo)))
+        below = lambda x: bounds[1] is None or (hi is not None and (x < hi or (closed[1] and x == hi)))
+        fit = sorted((o, s) for s, k2, x, o in add if k2 == k and x is not None and above(x) and below(x))
+        best = (fit[0] if mode == "first" else fit[-1]) if fit else None
+        assert got[i] == ((best[1], best[0], k) if best else (None, None, None))
+
+
+def test_range_merge_of_a_hot_key(spark):
+    """One key with 100,000 rows on both sides and wide ranges: a row meets at most two blocks of each size, not all records."""
+    import numpy as np
+
+    n = 100_000
+    add = spark.range(n).select(F.lit("hot").alias("k"), (F.pmod(F.col("id") * 7919, F.lit(n)) / 8).alias("x"), F.pmod(F.col("id") * 104_729, F.lit(n)).alias("v"))
+    left = spark.range(n).select("id", F.lit("hot").alias("k"), (F.pmod(F.col("id") * 31, F.lit(n)) / 8 - 5000).alias("lo"), (F.pmod(F.col("id") * 31, F.lit(n)) / 8).alias("hi"))
+    got = m.merge_in_range(left, add, ["k"], "x", "lo", "hi", ["v"], "last", {"V": "v"}, ["id"]).toPandas().set_index("id").V
+    i = np.arange(n)
+    by_place = np.empty(n, np.int64)
+    by_place[i * 7919 % n] = i * 104_729 % n
+    table = [by_place]
+    while 2 ** len(table) <= n:  # highest of runs of 1, 2, 4, ... values
+        half = 2 ** (len(table) - 1)
+        table.append(np.maximum(table[-1][:-half], table[-1][half:]))
+    hi = i * 31 % n
+    lo = np.maximum(hi - 40_000, 0)
+    level = np.floor(np.log2(hi - lo + 1)).astype(int)
+    want = [max(table[k][a], table[k][b - 2**k + 1]) for k, a, b in zip(level, lo, hi)]
+    assert got.loc[i].astype(int).tolist() == want
+    sizes = left.select(F.size(m._tree_nodes(F.greatest(F.col("lo") * 8, F.lit(0)).cast("long"), (F.col("hi") * 8 + 1).cast("long"))).alias("n")).agg(F.max("n"), F.avg("n")).first()
+    assert sizes[0] <= 32 and sizes[1] < 20
+
+
 def test_exact_quantiles_any_group(spark):
     import numpy as np
 
