@@ -304,6 +304,80 @@ def test_mmrm_equals_direct_likelihood(spark):
     assert 20 < c["df"] < 60 and 0 < c["p"] < 1
 
 
+def dense_kenward_roger(x, y, blocks, sigma, l):
+    """Estimate, corrected standard error and degrees of freedom of l'beta by whole matrices (rows of x in blocks of one subject's visits)."""
+    t = len(sigma)
+    pairs = [(i, j) for i in range(t) for j in range(i, t)]
+    n = len(y)
+    v, ds = np.zeros((n, n)), [np.zeros((n, n)) for _ in pairs]
+    for rows, seen in blocks:
+        v[np.ix_(rows, rows)] = sigma[np.ix_(seen, seen)]
+        for q, (i, j) in enumerate(pairs):
+            d = np.zeros((t, t))
+            d[i, j] = d[j, i] = 1
+            ds[q][np.ix_(rows, rows)] = d[np.ix_(seen, seen)]
+    w = np.linalg.inv(v)
+    phi = np.linalg.inv(x.T @ w @ x)
+    first = [-x.T @ w @ d @ w @ x for d in ds]
+    second = [[x.T @ w @ a @ w @ b @ w @ x for b in ds] for a in ds]
+    p = len(pairs)
+    info = np.array([[np.trace(w @ ds[q] @ w @ ds[r]) - np.trace(2 * phi @ second[q][r] - phi @ first[q] @ phi @ first[r]) for r in range(p)] for q in range(p)])
+    wt = 2 * np.linalg.inv(info)
+    lam = phi @ sum(wt[q, r] * (second[q][r] - first[q] @ phi @ first[r]) for q in range(p) for r in range(p)) @ phi
+    theta = np.outer(l, l) / (l @ phi @ l)
+    a = sum(wt[q, r] * np.trace(theta @ phi @ first[q] @ phi @ theta @ phi @ first[r] @ phi) for q in range(p) for r in range(p))
+    e, rho = 1 / (1 - a), (1 - a / 2) / (1 - 2 * a)  # one row: the two sums of the paper are equal, its g is -1
+    m = 4 + 3 / (rho - 1)
+    assert m / (e * (m - 2)) == pytest.approx(1)
+    return l @ phi @ x.T @ w @ y, math.sqrt(l @ (phi + 2 * lam) @ l), m
+
+
+@pytest.mark.parametrize("complete, changing", [(True, False), (False, False), (False, True)])
+def test_mmrm_kenward_roger_and_changing_covariates(spark, complete, changing):
+    """Small samples, where the correction matters: equal to the published formulas on whole matrices."""
+    rng = np.random.default_rng(5)
+    chol = np.array([[1.0, 0], [0.6, 0.9]])
+    rows = []
+    for i in range(24):
+        base, z = float(rng.normal(50, 5)), rng.normal(3, 1, 2)
+        y = 0.2 * (base - 50) + np.array([1, 2]) * (i % 2) + 0.7 * z + chol @ rng.normal(size=2)
+        rows += [(i, ARMS[i % 2], base, v, float(z[v]), float(y[v])) for v in ([0, 1] if complete or i % 3 else [i % 2])]
+    df = spark.createDataFrame(rows, "USUBJID int, ARM string, BASE double, V int, Z double, CHG double")
+    by_visit = ["Z"] if changing else []
+    fit = mmrm.mmrm(df, "CHG", "V", [0, 1], "ARM", ARMS[:2], by_visit=by_visit, method="kenward-roger").collect()
+    got = {(r["visit"], r["kind"], r["term"]): r for r in fit}
+    sigma = np.array([[got[str(min(i, j)), "covariance", str(max(i, j))]["estimate"] for j in (0, 1)] for i in (0, 1)])
+    k = 3 + len(by_visit)
+    mean_b, mean_z = np.mean([r[2] for r in rows]), np.mean([r[4] for r in rows])
+    x = np.zeros((len(rows), 2 * k))
+    for n, (i, arm, base, v, z, _) in enumerate(rows):
+        x[n, v * k:v * k + k] = [1, arm == "L", base - mean_b, z - mean_z][:k]
+    y = np.array([r[5] for r in rows])
+    blocks = [([n for n, r in enumerate(rows) if r[0] == i], [r[3] for r in rows if r[0] == i]) for i in range(24)]
+    if changing:  # the likelihood is at its maximum
+        def reml(s):
+            v = np.zeros((len(rows),) * 2)
+            for at, seen in blocks:
+                v[np.ix_(at, at)] = s[np.ix_(seen, seen)]
+            w = np.linalg.inv(v)
+            a = x.T @ w @ x
+            r = y - x @ np.linalg.solve(a, x.T @ w @ y)
+            return -0.5 * (np.linalg.slogdet(v)[1] + np.linalg.slogdet(a)[1] + r @ w @ r)
+        for d in ([[1e-3, 0], [0, 0]], [[0, 1e-3], [1e-3, 0]], [[0, 0], [0, 1e-3]]):
+            assert max(reml(sigma + np.array(d)), reml(sigma - np.array(d))) <= reml(sigma) + 1e-7
+    for v in (0, 1):
+        for kind, term, at in (("contrast", "L - P", [0, 1, 0, 0]), ("lsmean", "L", [1, 1, 0, 0])):
+            l = np.zeros(2 * k)
+            l[v * k:v * k + k] = at[:k]
+            est, se, m = dense_kenward_roger(x, y, blocks, sigma, l)
+            r = got[str(v), kind, term]
+            assert (r["estimate"], r["se"], r["df"]) == (pytest.approx(est, rel=1e-6), pytest.approx(se, rel=1e-6), pytest.approx(m, rel=1e-6))
+    plain = {(r["visit"], r["kind"], r["term"]): r for r in mmrm.mmrm(df, "CHG", "V", [0, 1], "ARM", ARMS[:2], by_visit=by_visit).collect()}
+    assert plain["1", "contrast", "L - P"]["se"] <= got["1", "contrast", "L - P"]["se"] + 1e-12
+    with pytest.raises(ValueError):
+        mmrm.mmrm(df, "CHG", "V", [0, 1], "ARM", ARMS[:2], method="other")
+
+
 def test_zero_rows_for_absent_levels(spark):
     adsl = spark.createDataFrame([("A", "P", "x"), ("B", "P", "x"), ("C", "H", "y")], "USUBJID string, ARM string, G string")
     n = adsl.groupBy("ARM").agg(F.count(F.lit(1)).alias("N"))
