@@ -113,34 +113,52 @@ def build_edges(objectives: DataFrame, endpoints: DataFrame, tlfs: DataFrame, ad
     return reduce(DataFrame.unionByName, parts).distinct()
 
 
-def lineage(edges: DataFrame, roots: DataFrame) -> DataFrame:
-    """(study_id, root, id, direction): each root with its directed ancestors and descendants.
+#: Hops taken in one plan before the first look at what is left: the tiers of a trace graph lie no further apart.
+_HOPS = 4
+
+
+def _hop(frontier: DataFrame, step: DataFrame) -> DataFrame:
+    """(study_id, root, direction, node) one step on."""
+    reached = keyed_join(frontier, step, ["study_id", "direction", "node"], "inner")
+    return reached.select("study_id", "root", "direction", F.col("__next").alias("node")).distinct()
 
-    Walks step by step until no new node is found, whatever the length of the paths; nodes already found are left out of
-    the next step, so a cycle ends too. Edges and each step are materialised once.
+
+def _reach(edges: DataFrame, roots: DataFrame, directions: Sequence[str]) -> DataFrame:
+    """(study_id, root, direction, node) for all nodes on directed paths from the roots, all directions in one walk.
+
+    A few hops make one plan. If the walk is not at its end then, paths are doubled: every round joins the nodes found with all
+    paths of up to 2, 4, 8, ... edges, so the rounds grow with the logarithm of the longest path; a cycle brings nothing new and ends.
     """
-    e = checkpointed(edges.select("study_id", "source", "target").distinct())
-    start = checkpointed(roots.select("study_id", F.col("id").alias("root"), F.col("id").alias("node")).distinct())
-    pair = ["study_id", "root", "node"]
+    ends = {"descendant": ("source", "target"), "ancestor": ("target", "source")}
+    e = edges.select("study_id", "source", "target").distinct()
+    step = checkpointed(reduce(DataFrame.unionByName, [
+        e.select("study_id", F.lit(d).alias("direction"), F.col(ends[d][0]).alias("node"), F.col(ends[d][1]).alias("__next")) for d in directions]))
+    start = roots.select("study_id", F.col("id").alias("root"), F.col("id").alias("node")).distinct().withColumn(
+        "direction", F.explode(F.array(*[F.lit(d) for d in directions])))
+    levels = [start]
+    for _ in range(_HOPS):
+        levels.append(_hop(levels[-1], step))
+    found = checkpointed(reduce(DataFrame.unionByName, levels[1:]).distinct())
+    key, jump = ["study_id", "root", "direction", "node"], step
+    while True:
+        new = checkpointed(_hop(found, jump).join(found, key, "left_anti"))
+        if new.isEmpty():
+            return found
+        found = found.unionByName(new)
+        longer = _hop(jump.withColumnRenamed("node", "root").withColumnRenamed("__next", "node"), jump)
+        jump = checkpointed(jump.unionByName(longer.select("study_id", "direction", F.col("root").alias("node"), F.col("node").alias("__next"))).distinct())
 
-    def walk(here: str, there: str, name: str) -> DataFrame:
-        frontier, found = start, start.limit(0)
-        step = e.select("study_id", F.col(here).alias("node"), F.col(there).alias("__next"))
-        while True:
-            reached = keyed_join(frontier, step, ["study_id", "node"], "inner").select("study_id", "root", F.col("__next").alias("node")).distinct()
-            frontier = checkpointed(reached.join(found, pair, "left_anti"))
-            if frontier.isEmpty():
-                return found.withColumn("direction", F.lit(name))
-            found = found.unionByName(frontier)
 
-    own = start.withColumn("direction", F.lit("self"))
-    return own.unionByName(walk("source", "target", "descendant")).unionByName(walk("target", "source", "ancestor")).withColumnRenamed("node", "id")
+def lineage(edges: DataFrame, roots: DataFrame) -> DataFrame:
+    """(study_id, root, id, direction): each root with its directed ancestors and descendants."""
+    own = roots.select("study_id", F.col("id").alias("root"), "id", F.lit("self").alias("direction")).distinct()
+    return own.unionByName(_reach(edges, roots, ["descendant", "ancestor"]).withColumnRenamed("node", "id"))
 
 
 def impact(edges: DataFrame, roots: DataFrame) -> DataFrame:
-    """Outputs that depend on the given domains or data sets."""
-    up = lineage(edges, roots).filter((F.col("direction") == "ancestor") & F.col("id").startswith("tlf:"))
-    return up.select("study_id", "root", F.col("id").alias("output")).distinct()
+    """Outputs that depend on the given domains or data sets; only ancestors are walked."""
+    up = _reach(edges, roots, ["ancestor"]).filter(F.col("node").startswith("tlf:"))
+    return up.select("study_id", "root", F.col("node").alias("output")).distinct()
 
 
 def build_issues(objectives: DataFrame, endpoints: DataFrame, tlfs: DataFrame, nodes: DataFrame, info: DataFrame | None = None) -> DataFrame:
@@ -163,13 +181,12 @@ def build_issues(objectives: DataFrame, endpoints: DataFrame, tlfs: DataFrame, n
     lost_end = keyed_join(endpoints.filter("RESOLVED"), used_end, ["study_id", "endpoint_id"], "left_anti")
     say = lambda *parts: F.concat(*[F.lit(x) if isinstance(x, str) else x for x in parts])
     parts = [
-        issue(blocked, "blocked", p("tlf:", "candidate_id"), F.coalesce("status_reason", say(name, " is blocked."))),
-        issue(asked, "clarification", p("tlf:", "candidate_id"), F.coalesce("status_reason", say(name, " needs clarification."))),
-        issue(endpoints.filter("NOT RESOLVED"), "clarification", p("end:", "endpoint_id"), say("Endpoint ", F.col("endpoint_id"), " is unresolved.")),
-        issue(gone, "blocked", F.col("id"), say("Domain ", F.col("domain"), " is absent from the inventory",
-                                                F.when(F.col("n") > 0, say("; blocks ", F.col("n").cast("string"), " output(s).")).otherwise("."))),
-        issue(lost_obj, "gap", p("obj:", "objective_id"), say("Objective ", F.col("objective_id"), " has no downstream output.")),
-        issue(lost_end, "gap", p("end:", "endpoint_id"), say("Endpoint ", F.col("endpoint_id"), " has no downstream output.")),
+        issue(blocked, "blocked", p("tlf:", "candidate_id"), F.coalesce("status_reason", say("Cannot be produced: ", name))),
+        issue(asked, "clarification", p("tlf:", "candidate_id"), F.coalesce("status_reason", say("Open question: ", name))),
+        issue(endpoints.filter("NOT RESOLVED"), "clarification", p("end:", "endpoint_id"), say("No measure could be read from endpoint ", F.col("endpoint_id"))),
+        issue(gone, "blocked", F.col("id"), say("No data for ", F.col("domain"), F.when(F.col("n") > 0, say(" (outputs asking for it: ", F.col("n").cast("string"), ")")).otherwise(""))),
+        issue(lost_obj, "gap", p("obj:", "objective_id"), say("Nothing planned for objective ", F.col("objective_id"))),
+        issue(lost_end, "gap", p("end:", "endpoint_id"), say("Nothing planned for endpoint ", F.col("endpoint_id"))),
     ]
     if info is not None:
         parts.append(issue(info, "info", F.lit(None).cast("string"), F.col("message")))
@@ -177,11 +194,13 @@ def build_issues(objectives: DataFrame, endpoints: DataFrame, tlfs: DataFrame, n
 
 
 def issue_relations(tlfs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """(study_id, node_id, related): the outputs each absent domain blocks, in long form."""
+    """(study_id, node_id, related), in long form: the outputs each absent domain blocks, and the absent domains each blocked output lacks."""
     gone = nodes.filter((F.col("type") == "SDTM") & F.col("absent")).select("study_id", "id", F.col("label").alias("domain"))
     declared = tlfs.select("study_id", "candidate_id", F.explode("req_sdtm").alias("domain")).withColumn("domain", F.upper("domain")).distinct()
-    return keyed_join(declared, gone, ["study_id", "domain"], "inner").select(
-        "study_id", F.col("id").alias("node_id"), F.concat(F.lit("tlf:"), "candidate_id").alias("related"))
+    met = keyed_join(declared, gone, ["study_id", "domain"], "inner").select("study_id", "candidate_id", F.concat(F.lit("tlf:"), "candidate_id").alias("output"), "id")
+    blocked = keyed_join(met, tlfs.filter(F.col("status") == "blocked").select("study_id", "candidate_id").distinct(), ["study_id", "candidate_id"], "left_semi")
+    return met.select("study_id", F.col("id").alias("node_id"), F.col("output").alias("related")).unionByName(
+        blocked.select("study_id", F.col("output").alias("node_id"), F.col("id").alias("related")))
 
 
 def graph_counts(nodes: DataFrame) -> DataFrame:

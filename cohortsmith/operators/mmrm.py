@@ -157,7 +157,7 @@ class _Reml:
         d = np.where(d > 0, d, max(d.max(), 1.0))
         return np.array([d[i] if i == j else 0.0 for i, j in self.pairs])
 
-    def fit(self, max_iter=200, tol=1e-10):
+    def fit(self, max_iter=200, tol=1e-15):
         theta = self.start()
         cur = self.evaluate(theta)
         for _ in range(max_iter if cur is not None else 0):

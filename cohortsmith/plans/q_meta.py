@@ -445,15 +445,15 @@ def _(spark, sf):
     return g.impact(g.build_edges(*parts), parts[3].select("study_id", F.lit("sdtm:DM").alias("id")).distinct())
 
 
-_ISSUES = f"""SELECT study_id, 'blocked' AS severity, 'tlf:' || candidate_id AS node_id, title || ' is blocked.' AS message FROM m_cand WHERE status = 'blocked'
-  UNION ALL SELECT study_id, 'clarification', 'tlf:' || candidate_id, title || ' needs clarification.' FROM m_cand WHERE status = 'needs-clarification'
-  UNION ALL SELECT study_id, 'clarification', 'end:' || endpoint_id, 'Endpoint ' || endpoint_id || ' is unresolved.' FROM parsed WHERE NOT RESOLVED
-  UNION ALL SELECT s.study_id, 'blocked', 'sdtm:' || s.domain, 'Domain ' || s.domain || ' is absent from the inventory' || CASE WHEN n > 0 THEN '; blocks ' || n || ' output(s).' ELSE '.' END
+_ISSUES = f"""SELECT study_id, 'blocked' AS severity, 'tlf:' || candidate_id AS node_id, 'Cannot be produced: ' || title AS message FROM m_cand WHERE status = 'blocked'
+  UNION ALL SELECT study_id, 'clarification', 'tlf:' || candidate_id, 'Open question: ' || title FROM m_cand WHERE status = 'needs-clarification'
+  UNION ALL SELECT study_id, 'clarification', 'end:' || endpoint_id, 'No measure could be read from endpoint ' || endpoint_id FROM parsed WHERE NOT RESOLVED
+  UNION ALL SELECT s.study_id, 'blocked', 'sdtm:' || s.domain, 'No data for ' || s.domain || CASE WHEN n > 0 THEN ' (outputs asking for it: ' || n || ')' ELSE '' END
     FROM sdtm s LEFT JOIN (SELECT study_id, domain, count(*) AS n FROM (SELECT study_id, unnest(string_split(raw, ',')) AS domain FROM m_cand WHERE raw <> '') GROUP BY 1, 2) d ON d.study_id = s.study_id AND d.domain = s.domain WHERE absent
-  UNION ALL SELECT study_id, 'gap', 'obj:' || objective_id, 'Objective ' || objective_id || ' has no downstream output.' FROM m_obj o
+  UNION ALL SELECT study_id, 'gap', 'obj:' || objective_id, 'Nothing planned for objective ' || objective_id FROM m_obj o
     WHERE NOT EXISTS (SELECT 1 FROM m_cand c WHERE c.study_id = o.study_id AND c.objectives = o.objective_id)
       AND NOT EXISTS (SELECT 1 FROM m_end e JOIN ({_USES}) u ON u.study_id = e.study_id AND u.e = e.endpoint_id WHERE e.study_id = o.study_id AND e.objective_id = o.objective_id)
-  UNION ALL SELECT study_id, 'gap', 'end:' || endpoint_id, 'Endpoint ' || endpoint_id || ' has no downstream output.' FROM parsed p WHERE RESOLVED
+  UNION ALL SELECT study_id, 'gap', 'end:' || endpoint_id, 'Nothing planned for endpoint ' || endpoint_id FROM parsed p WHERE RESOLVED
     AND NOT EXISTS (SELECT 1 FROM ({_USES}) u WHERE u.study_id = p.study_id AND u.e = p.endpoint_id)"""
 
 
@@ -463,8 +463,9 @@ def _(spark, sf):
     return g.build_issues(parts[0], parts[1], parts[2], g.build_nodes(*parts))
 
 
-@query("absent_domain_outputs", sql(_GV, """SELECT DISTINCT c.study_id, 'sdtm:' || s.domain AS node_id, 'tlf:' || candidate_id AS related FROM m_cand c JOIN sdtm s ON s.study_id = c.study_id AND absent
-  AND list_contains(string_split(raw, ','), s.domain)""", **_G))
+@query("absent_domain_outputs", sql(_GV, """SELECT DISTINCT study_id, node_id, related FROM (
+    SELECT study_id, 'sdtm:' || domain AS node_id, 'tlf:' || candidate_id AS related FROM lacking UNION ALL SELECT study_id, 'tlf:' || candidate_id, 'sdtm:' || domain FROM lacking WHERE status = 'blocked')""",
+  **dict(_G, lacking="SELECT c.study_id, c.candidate_id, c.status, s.domain FROM m_cand c JOIN sdtm s ON s.study_id = c.study_id AND absent AND list_contains(string_split(raw, ','), s.domain)")))
 def _(spark, sf):
     parts = _graph(spark, sf)
     return g.issue_relations(parts[2], g.build_nodes(*parts))

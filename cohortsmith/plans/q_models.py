@@ -340,6 +340,28 @@ def _(spark, sf):
     return mm.mmrm(df, "CHG", "AVISITN", [v_.number for v_ in VISITS[1:]], "ARM", ARM_LEVELS, by=["PARAMCD"])
 
 
+@query("mmrm_complete_visits", with_views("analysis", """
+  SELECT m.method, v.PARAMCD, CAST(v.AVISITN AS VARCHAR) AS visit, hi || ' - ' || lo AS term, r6((a.yb - v.b * a.xb) - (c.yb - v.b * c.xb)) AS estimate,
+    r6(sqrt(s2 * (1.0 / a.n + 1.0 / c.n + power(a.xb - c.xb, 2) / v.sxx))) AS se, CAST(df AS DOUBLE) AS df
+  FROM pool v CROSS JOIN """ + _PAIRS + """ CROSS JOIN (VALUES ('satterthwaite'), ('kenward-roger')) m(method)
+  JOIN gr a ON a.ARM = hi AND a.PARAMCD = v.PARAMCD AND a.AVISITN = v.AVISITN JOIN gr c ON c.ARM = lo AND c.PARAMCD = v.PARAMCD AND c.AVISITN = v.AVISITN""",
+  two="SELECT * FROM analysis WHERE AVISITN IN (7, 14) AND BASE IS NOT NULL AND CHG IS NOT NULL",
+  complete="SELECT t.* FROM two t JOIN (SELECT USUBJID, PARAMCD FROM two GROUP BY 1, 2 HAVING count(*) = 2) USING (USUBJID, PARAMCD)",
+  big="SELECT f.* FROM complete f JOIN (SELECT PARAMCD FROM complete GROUP BY 1 HAVING count(*) >= 40 AND count(DISTINCT ARM) = 3) USING (PARAMCD)",
+  gr="SELECT PARAMCD, AVISITN, ARM, count(*) AS n, avg(BASE) AS xb, avg(CHG) AS yb, regr_sxx(CHG, BASE) AS sxx, regr_sxy(CHG, BASE) AS sxy, regr_syy(CHG, BASE) AS syy FROM big GROUP BY 1, 2, 3",
+  pool="""SELECT PARAMCD, AVISITN, sum(sxx) AS sxx, sum(sxy) / sum(sxx) AS b, (sum(syy) - sum(sxy) * sum(sxy) / sum(sxx)) / (sum(n) - count(*) - 1) AS s2,
+    sum(n) - count(*) - 1 AS df FROM gr GROUP BY 1, 2"""))
+def _(spark, sf):
+    """Subjects seen at both of two visits: there the likelihood has a closed solution, an analysis of covariance per visit, and both methods agree with it."""
+    df = analysis(spark, sf).filter("AVISITN IN (7, 14) AND BASE IS NOT NULL AND CHG IS NOT NULL")
+    both = df.groupBy("USUBJID", "PARAMCD").count().filter("count = 2").drop("count")
+    df = df.join(both, ["USUBJID", "PARAMCD"])
+    large = df.groupBy("PARAMCD").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("ARM").alias("arms")).filter("n >= 40 AND arms = 3")
+    df = df.join(large.select("PARAMCD"), "PARAMCD")
+    fits = [mm.mmrm(df, "CHG", "AVISITN", [7, 14], "ARM", ARM_LEVELS, by=["PARAMCD"], method=m).withColumn("method", F.lit(m)) for m in ("satterthwaite", "kenward-roger")]
+    return fits[0].unionByName(fits[1]).filter("kind = 'contrast'").select("method", "PARAMCD", "visit", "term", "estimate", "se", F.round("df", 3).alias("df"))
+
+
 @query("display_with_model")
 def _(spark, sf):
     """Endpoint display: descriptive cells and model cells of one parameter side by side."""

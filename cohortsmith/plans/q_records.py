@@ -1,9 +1,13 @@
 """Merges, analysis visits, flags and derived rows over the clinical views."""
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from ..functions import scalars as s
 from ..operators import derive as d, merge as m, windows as w
+from ..session import shared_folder
+from ..sources import readers as rd, writers as wr
 from . import views as v
 from .registry import query
 from .views import ENDPOINT, VISITS, ae, analysis, dosing, disp, locf, obs, subjects, table, with_views
@@ -477,3 +481,40 @@ def _(spark, sf):
     # distinct first, so a hot subject is reduced before it is counted
     return obs(spark, sf).filter("ADY > 0").select("USUBJID", "PARAMCD").distinct().groupBy("USUBJID").agg(
         F.count(F.lit(1)).alias("n_params"))
+
+
+# ---- sources and sinks ---------------------------------------------------------
+
+_WRITTEN = """SELECT event_id AS SEQ, user_id AS USUBJID, CAST(CAST(ts AS DATE) AS VARCHAR) AS ASTDT, value AS AVAL, event_type || ' [' || props || '] "' || chr(92) || '"' AS TXT, user_id % 2 = 0 AS EVEN,
+  CASE WHEN event_id % 3 > 0 THEN event_type END AS GRP FROM events"""
+
+
+def _to_write(spark, sf):
+    """Records with brackets, quotes and backslashes in their texts, and with nulls."""
+    e = table(spark, sf, "events")
+    text = F.concat("event_type", F.lit(" ["), "props", F.lit('] "\\"'))
+    return e.select(F.col("event_id").alias("SEQ"), F.col("user_id").alias("USUBJID"), F.col("ts").cast("date").alias("ASTDT"), F.col("value").alias("AVAL"), text.alias("TXT"),
+                    (F.col("user_id") % 2 == 0).alias("EVEN"), F.when(F.col("event_id") % 3 > 0, F.col("event_type")).alias("GRP"))
+
+
+def _new_folder(spark):
+    return f"{shared_folder(spark)}/written-{uuid.uuid4().hex}"
+
+
+@query("read_dataset_json", _WRITTEN)
+def _(spark, sf):
+    """One JSON document, written and read back by ranges of bytes."""
+    path = _new_folder(spark)
+    wr.write_adam(_to_write(spark, sf), path, "dataset-json")
+    return rd.read_dataset_json(spark, path).withColumn("ASTDT", F.col("ASTDT").cast("string"))
+
+
+@query("write_adam", "SELECT * FROM (" + _WRITTEN + ") CROSS JOIN (VALUES ('ndjson'), ('parquet')) f(fmt)")
+def _(spark, sf):
+    """Records written in the newline form and as Parquet, and read back."""
+    df, out = _to_write(spark, sf), []
+    for fmt, read in (("ndjson", rd.read_dataset_ndjson), ("parquet", lambda session, path: session.read.parquet(path))):
+        path = _new_folder(spark)
+        wr.write_adam(df, path, fmt)
+        out.append(read(spark, path).withColumn("fmt", F.lit(fmt)))
+    return out[0].unionByName(out[1]).withColumn("ASTDT", F.col("ASTDT").cast("string"))

@@ -1,11 +1,15 @@
 """Summary statistics, displays and gates over the clinical views."""
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from ..functions import scalars as s
 from ..operators import ard, derive as d, display as disp_, quality as q, windows as w
+from ..session import shared_folder
+from ..sources import writers as wr
 from . import views as v
-from .registry import query
+from .registry import ORACLE, query
 from .views import ARM_LEVELS, ENDPOINT, VISITS, ae, analysis, disp, dosing, endpoint, locf, obs, subjects, table, with_views
 
 _DESC = """count({x}) AS N, avg({x}) AS mean, stddev_samp({x}) AS sd, quantile_cont({x}, 0.25) AS p25, median({x}) AS median,
@@ -59,6 +63,16 @@ def _(spark, sf):
     return ard.ard_categorical(adsl, "ARM", "SEG", _SEGS, ARM_LEVELS, ard.population_n(adsl, "ITTFL"))
 
 
+@query("write_ard", ORACLE["ard_categorical"])
+def _(spark, sf):
+    """Statistics written as CSV and JSON and read back from JSON."""
+    adsl = subjects(spark, sf).filter("ITTFL = 'Y'")
+    df = ard.ard_categorical(adsl, "ARM", "SEG", _SEGS, ARM_LEVELS, ard.population_n(adsl, "ITTFL"))
+    path = f"{shared_folder(spark)}/written-{uuid.uuid4().hex}"
+    wr.write_ard(df, path)
+    return spark.read.schema(df.schema).json(f"{path}/json")
+
+
 _HIER = """
   SELECT g.a AS ARM, g.AESOC, g.AEDECOD, CAST(g.depth AS BIGINT) AS depth, coalesce(c.s, 0) AS subjects, coalesce(c.e, 0) AS events, n.N,
     r6(100.0 * coalesce(c.s, 0) / n.N) AS pct

@@ -43,18 +43,24 @@ def local_session(cpus: str | int = 8, app: str = "cohortsmith") -> SparkSession
     return tune(spark)
 
 
-def checkpointed(df):
-    """Cut lineage through the cluster's checkpoint folder.
+def shared_folder(spark: SparkSession) -> str:
+    """The checkpoint folder that all executors share.
 
     The folder named by ``spark.checkpoint.dir`` is used as it is. Only in local
     mode with none set, as in tests, is one made here.
     """
-    sc = df.sparkSession.sparkContext
+    sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+        folder = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
         if not folder:
             if not sc.master.startswith("local"):
                 raise ValueError("set spark.checkpoint.dir to a folder all executors share")
             folder = tempfile.mkdtemp(prefix="checkpoint-")
         sc.setCheckpointDir(folder)
+    return sc.getCheckpointDir()
+
+
+def checkpointed(df):
+    """Cut lineage through the cluster's checkpoint folder."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F, types as T
+
+from ..operators.groups import running_sums
 
 FORMATS = ("json", "parquet", "csv")
 
@@ -49,20 +52,50 @@ def read_domain(spark: SparkSession, folder: str, name: str, formats: Sequence[s
 
 
 def _json_columns(spark: SparkSession, path: str) -> list[tuple[str, str, str]]:
-    """Name, type and label of each column, from the head of the document."""
-    schema = "columns array<struct<name:string,dataType:string,label:string>>"
-    head = spark.read.schema(schema).json(path, multiLine=True).select("columns").first()
-    return [(c["name"], JSON_TYPES.get(c["dataType"], "string"), c["label"] or "") for c in head["columns"]]
+    """Name, type and label of each column: from the text before the rows, or from the whole document where they come first."""
+    head = spark.read.text(path, lineSep='"rows"').limit(1).collect()
+    try:
+        columns = json.loads((head[0]["value"].rstrip().rstrip(",") if head else "") + "}")["columns"]
+    except (ValueError, KeyError):
+        schema = "columns array<struct<name:string,dataType:string,label:string>>"
+        columns = [c.asDict() for c in spark.read.schema(schema).json(path, multiLine=True).select("columns").first()["columns"]]
+    return [(c["name"], JSON_TYPES.get(c.get("dataType"), "string"), c.get("label") or "") for c in columns]
 
 
-def read_dataset_json(spark: SparkSession, path: str) -> DataFrame:
-    """A Dataset-JSON document (column metadata plus an array of row arrays) as a typed table.
+#: A row at the end of a piece: an array of plain values that follows another one or opens an array of arrays.
+_ROW = r'(?s)(?:^\s*,|\[)\s*\[((?:[^\[\]{}"]++|"(?:[^"\\]++|\\.)*+")*+)$'
+
 
-    The format is one JSON document, which one task has to parse; for large domains
-    use its newline form (``read_dataset_ndjson``) or Parquet.
+def _json_rows(spark: SparkSession, path: str) -> DataFrame:
+    """The row arrays of a document as text (``r``), read by as many tasks as the file has byte ranges.
+
+    The text is cut at every closing bracket, which Spark does on ranges of bytes. A bracket closes an array if the quotes before
+    it pair up: each range counts its quotes, the ranges' counts are summed in order, and a running sum within a range does the rest. Pieces that end
+    inside a text are joined with those after them, across ranges too; only such pieces meet again in a shuffle of their own.
     """
+    meta = F.col("_metadata")
+    pieces = spark.read.text(path, lineSep="]").select(
+        meta.file_path.alias("__file"), meta.file_block_start.alias("__part"), F.monotonically_increasing_id().alias("__seq"), "value")
+    quotes = F.length(F.regexp_replace(F.regexp_replace("value", r"(?s)\\.", ""), r'[^"]+', ""))
+    counted = pieces.withColumn("__q", quotes.cast("long"))
+    by_range = counted.groupBy("__file", "__part").agg(F.sum("__q").alias("__n"))
+    earlier = W.partitionBy("__file").orderBy("__part").rowsBetween(W.unboundedPreceding, -1)
+    offsets = by_range.select("__file", "__part", F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__o"))
+    inside = W.partitionBy("__file", "__part").orderBy("__seq")
+    after = F.pmod(F.col("__o") + F.sum("__q").over(inside), F.lit(2))
+    state = counted.join(offsets, ["__file", "__part"]).withColumn("__to", after).withColumn("__from", F.pmod(F.col("__to") + F.col("__q"), F.lit(2)))
+    whole = state.filter("__from = 0 AND __to = 0").select("value")
+    cut = state.filter("__from = 1 OR __to = 1").select("__file", "__part", "__seq", "value", (F.col("__from") == 0).cast("int").alias("__start"))
+    runs = running_sums(cut, ["__file"], "__seq", {"__run": F.col("__start")})
+    joined = runs.groupBy("__file", "__run").agg(F.array_sort(F.collect_list(F.struct("__part", "__seq", "value"))).alias("__p"))
+    joined = joined.select(F.array_join(F.transform("__p", lambda x: x["value"]), "]").alias("value"))
+    return whole.unionByName(joined).filter(F.col("value").rlike(_ROW)).select(F.regexp_extract("value", _ROW, 1).alias("r"))
+
+
+def read_dataset_json(spark: SparkSession, path: str) -> DataFrame:
+    """A Dataset-JSON document (column metadata plus an array of row arrays) as a typed table; a large document is read by many tasks."""
     cols = _json_columns(spark, path)
-    rows = spark.read.schema("rows array<array<string>>").json(path, multiLine=True).select(F.explode("rows").alias("r"))
+    rows = _json_rows(spark, path).select(F.from_json(F.concat(F.lit("["), "r", F.lit("]")), "array<string>").alias("r"))
     return rows.select(*[
         F.try_element_at("r", F.lit(i + 1)).try_cast(t).alias(n, metadata={"label": label})
         for i, (n, t, label) in enumerate(cols)])

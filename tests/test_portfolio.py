@@ -84,3 +84,18 @@ def test_graph(spark):
     assert around == {("adam:ADY", "self"), ("sdtm:BB", "descendant"), ("tlf:c1", "ancestor"), ("end:E1", "ancestor"), ("obj:O1", "ancestor")}
     issues = {(r["severity"], r["node_id"]) for r in g.build_issues(objs, ends, tlfs, nodes).collect()}
     assert issues == {("blocked", "tlf:c2"), ("clarification", "end:E2"), ("blocked", "sdtm:ZZ")}
+    related = {(r["node_id"], r["related"]) for r in g.issue_relations(tlfs, nodes).collect()}
+    assert related == {("sdtm:ZZ", "tlf:c2"), ("tlf:c2", "sdtm:ZZ")}
+
+
+def test_lineage_of_a_long_chain_and_a_cycle(spark):
+    """A chain of 200 edges takes a logarithm of rounds; a cycle reaches all of its nodes, the root too, and ends."""
+    chain = [("S", f"n{i}", f"n{i + 1}") for i in range(200)] + [("T", f"c{i}", f"c{(i + 1) % 7}") for i in range(7)]
+    edges = spark.createDataFrame(chain, "study_id string, source string, target string")
+    roots = spark.createDataFrame([("S", "n0"), ("S", "n150"), ("T", "c3"), ("S", "alone")], "study_id string, id string")
+    got = {}
+    for r in g.lineage(edges, roots).collect():
+        got.setdefault((r["root"], r["direction"]), set()).add(r["id"])
+    assert got["n0", "descendant"] == {f"n{i}" for i in range(1, 201)} and ("n0", "ancestor") not in got
+    assert got["n150", "ancestor"] == {f"n{i}" for i in range(150)} and len(got["n150", "descendant"]) == 50
+    assert got["c3", "descendant"] == got["c3", "ancestor"] == {f"c{i}" for i in range(7)} and got["alone", "self"] == {"alone"}

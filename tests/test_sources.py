@@ -27,10 +27,44 @@ def test_round_trips(spark, tmp_path):
     back = rd.read_dataset_ndjson(spark, str(tmp_path / "x.ndjson"))
     assert dict(back.dtypes) == dict(df.dtypes) and sorted(map(str, back.collect())) == sorted(map(str, df.collect()))
     assert back.schema["T"].metadata["label"] == "Text"
+    wr.write_adam(df, str(tmp_path / "x.dsjson"), "dataset-json")
+    again = rd.read_dataset_json(spark, str(tmp_path / "x.dsjson"))
+    assert again.schema == back.schema and sorted(map(str, again.collect())) == sorted(map(str, df.collect()))
     wr.write_ard(df, str(tmp_path / "ard"))
     assert spark.read.json(str(tmp_path / "ard" / "json")).count() == 2
 
 
+def test_one_document_in_many_ranges(spark, tmp_path):
+    """Rows with brackets, quotes and backslashes inside texts, read by several tasks; ranges end anywhere, within texts too."""
+    odd = ["plain", "a ] b", '"quoted" ], [', "back\\\\slash\\\\", "\\\\]", "]]]] [[", "{ brace } : [", "é 日本 \n new ] line", "", None, '],["x",1', "tail\\\""]
+    rows = [[f"S{i}", odd[i % len(odd)] if i % 5 else "] " * 300, i if i % 7 else None, i / 4] for i in range(3000)]
+    doc = {"datasetJSONVersion": "1.1.0", "note": "a [ b ] \"c", "columns": [{"name": n, "dataType": t, "label": f"Label [{n}]"} for n, t in
+           (("usubjid", "string"), ("txt", "string"), ("num", "integer"), ("val", "double"))], "records": 3000, "rows": rows, "after": {"rows": "x"}}
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "40000")
+        for k, text in enumerate((json.dumps(doc), json.dumps(doc, indent=1, ensure_ascii=False), json.dumps({"rows": rows, "columns": doc["columns"]}))):
+            (tmp_path / f"d{k}.json").write_text(text)
+            df = rd.read_dataset_json(spark, str(tmp_path / f"d{k}.json"))
+            assert sorted(map(str, df.collect())) == sorted(map(str, spark.createDataFrame([tuple(r) for r in rows], df.schema).collect()))
+            assert df.schema["txt"].metadata["label"] == "Label [txt]"
+        assert spark.read.text(str(tmp_path / "d0.json"), lineSep="]").rdd.getNumPartitions() > 4
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    (tmp_path / "none.json").write_text(json.dumps(doc | {"rows": []}))
+    assert rd.read_dataset_json(spark, str(tmp_path / "none.json")).count() == 0
+
+
+def test_a_failing_task_leaves_no_part_files(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    bad = spark.range(1000).repartition(4).select(F.when(F.col("id") == 777, F.raise_error("no")).otherwise(F.col("id").cast("string")).alias("x"))
+    for fmt in ("parquet", "ndjson", "dataset-json"):
+        with pytest.raises(Exception):
+            wr.write_adam(bad, str(tmp_path / fmt), fmt)
+        assert not list((tmp_path / fmt).rglob("part-*"))
+
+
 def test_numeric_only_when_all_parse(spark):
     df = spark.createDataFrame([("1", "1", None), ("2.5", "x", None)], "a string, b string, c string")
     assert dict(rd.coerce_numeric(df).dtypes) == {"a": "double", "b": "string", "c": "double"}
