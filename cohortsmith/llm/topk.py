@@ -8,7 +8,8 @@ block together, so bounds are products of matrices. The best k of every block ar
 
 Queries meet every block once, in chunks: chunks times blocks tasks, each of bounded size, whose number follows the work asked for.
 
-Components become ``floor(scale * x)``. A vector that is null, empty, or holds a null, NaN or infinite component takes no part, and neither does a null id;
+Components become ``floor(scale * x)``. A vector that is null, empty, or holds a null, NaN or infinite component (also after scaling) takes no part, and neither does a null id;
+scores beyond 53 bits are exact too, and one beyond 64 bits shows as the end of the range, in blocks ranked by its true value;
 vectors meet only those of their own length. Equal rows are counted first and at most ``k`` of them go on, as no query can return more. Rows that carry the query's id are not its candidates; of several query rows of one id the least vector asks. Ties go to
 the smaller id. No vectors give no rows.
 """
@@ -39,11 +40,12 @@ def packed(vectors: DataFrame, *, id_col: str, vector_col: str, scale: float) ->
             for i, v in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 if i is None or not v or None in v:
                     continue
-                x = np.array(v, np.float64)
+                with np.errstate(over="ignore"):
+                    x = np.floor(scale * np.array(v, np.float64))
                 if np.isfinite(x).all():
                     ids.append(i)
                     dims.append(len(x))
-                    data.append(np.floor(scale * x).tobytes())
+                    data.append((x + 0.0).tobytes())  # no negative zero
             yield to_batch({"vec_id": ids, "dim": dims, "packed": data}, fields)
 
     return vectors.select(F.col(id_col).cast("long"), F.col(vector_col)).mapInArrow(run, PACKED)
@@ -67,7 +69,7 @@ def best_of_block(query_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, x: np.n
     out: dict[str, list] = {"query_id": [], "vec_id": [], "score": []}
     most = float(np.abs(q).max(initial=0)) * float(np.abs(x).max(initial=0)) * x.shape[1]
     if most >= 2**53:
-        raise ValueError("scores are too large to be exact")
+        return best_of_large(query_ids, q, ids, x, k)
     kind = np.float32 if most < 2**24 else np.float64  # both exact in their range
     q, x = q.astype(kind), x.astype(kind)
     n, want = len(x), min(k, len(x))
@@ -101,6 +103,33 @@ def best_of_block(query_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, x: np.n
     return out
 
 
+def best_of_large(query_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, x: np.ndarray, k: int) -> dict[str, list]:
+    """The same where scores do not fit a double: rounded scores with their error give the bounds, and those who can qualify are resolved in whole numbers of any size."""
+    out: dict[str, list] = {"query_id": [], "vec_id": [], "score": []}
+    shrunk = [np.ldexp(m, -np.frexp(np.abs(m).max())[1]) for m in (q, x)]  # largest below 1: products cannot overflow
+    score = shrunk[0] @ shrunk[1].T
+    error = (np.abs(shrunk[0]) @ np.abs(shrunk[1]).T) * (4 * x.shape[1] * 2.0**-52) + 1e-300
+    whole_q, whole_x = {}, {}
+    for row in range(len(q)):
+        other = np.flatnonzero(ids != query_ids[row])
+        if not len(other):
+            continue
+        want = min(k, len(other))
+        low = (score[row] - error[row])[other]
+        near = other[(score[row] + error[row])[other] >= np.partition(low, len(low) - want)[len(low) - want]]
+        asked = whole_q.setdefault(row, [int(v) for v in q[row].tolist()])
+        exact = []
+        for i in near.tolist():
+            if i not in whole_x:
+                whole_x[i] = [int(v) for v in x[i].tolist()]
+            exact.append((-sum(a * b for a, b in zip(asked, whole_x[i])), int(ids[i])))
+        for value, i in sorted(exact)[:k]:
+            out["query_id"].append(int(query_ids[row]))
+            out["vec_id"].append(i)
+            out["score"].append(max(-(2**63), min(2**63 - 1, -value)))
+    return out
+
+
 def top_k(vectors: DataFrame, is_query: Column, *, k: int = 20, scale: float = 64.0, id_col: str = "vec_id", vector_col: str = "embedding", block: int = 8192, chunk: int = 1024) -> DataFrame:
     """query_id, rank (from 1), vec_id and score of the ``k`` best candidates of each query; ``is_query`` is a condition on the column vec_id."""
     n = rows_of(vectors)

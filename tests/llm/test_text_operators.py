@@ -145,6 +145,33 @@ def test_topk_with_a_repeated_query_id(spark, block):
     assert sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in got.collect()) == want
 
 
+def test_topk_of_large_components(spark):
+    """Components whose products leave a double, an integer of 64 bits, or both: exact ranks, and scores at the end of the range."""
+    draw = np.random.default_rng(9)
+    rows = [(i, [float(v) for v in draw.normal(size=4) * 10.0 ** draw.integers(-2, 17)]) for i in range(60)] + [(100, [1e15, 0.5, 0.0, 0.0]), (101, [1e15, 0.484375, 0.0, 0.0]), (102, [1e300, 1.0, 0.0, 0.0]), (103, [1e308, 0.0, 0.0, 0.0])]
+    got = topk.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") % 20 == 0, k=5).collect()
+    whole = {i: [int(np.floor(64 * x)) for x in v] for i, v in rows if i != 103}
+    want = []
+    for q in [i for i in whole if i % 20 == 0]:
+        best = sorted((-sum(a * b for a, b in zip(whole[q], w)), i) for i, w in whole.items() if i != q)[:5]
+        want += [(q, n, i, max(-(2**63), min(2**63 - 1, -s))) for n, (s, i) in enumerate(best, 1)]
+    assert sorted((r.query_id, r["rank"], r.vec_id) for r in got if abs(r.score) < 2**63 - 1) == sorted(w[:3] for w in want if -(2**63) < w[3] < 2**63 - 1)
+    assert sorted(r.score for r in got) == sorted(w[3] for w in want) and {r.query_id for r in got} == {w[0] for w in want}
+
+
+def test_string_kernel_of_very_long_words():
+    """A word of a million letters and many of 4,000: windows of bounded size that cover all of it, an insult inside included."""
+    word = "".join(np.random.default_rng(1).choice(list("abcdefghijklmnopqrstuvwxyz0123456789"), 1_000_000))
+    got = toxicity.terms("x " + word + "idiot")
+    assert max(map(len, got)) <= toxicity.LONG and got[0].startswith(toxicity.START + word[:50])
+    at = 0
+    for w in [t for t in got if not t.startswith(toxicity.START)][:500]:
+        at = (toxicity.START + word).index(w, at)
+    near = toxicity.Landmarks([toxicity.START + "idiot" + toxicity.END])
+    near.sentences([word, "an idiot " + word[:4000], *[word[k * 4000 : k * 4000 + 4000] for k in range(100)]])
+    assert near.known[toxicity.START + "idiot" + toxicity.END][0] == pytest.approx(1)
+
+
 def test_string_kernel_tolerates_insertions():
     mark = lambda t: toxicity.START + t + toxicity.END
     near = toxicity.Landmarks([mark("scoundrel")])
@@ -310,6 +337,18 @@ def test_pieces_against_the_library():
         assert c.encode(text) == ids and c.decode(ids) == c.library.decode(ids)
 
 
+def test_pieces_of_unspaced_text():
+    """Long chunks are exact and never kept; what is kept is bounded in characters, too."""
+    c = pieces.PieceCodec(pieces.default_model(), memory=2000)
+    draw = np.random.default_rng(2)
+    for k in range(60):
+        text = "".join(draw.choice(list("abcdefgh日本語é"), 4000 if k < 59 else 300_000)) + f" word{k} " + " ".join(f"{'x' * 150}{k}{j}" for j in range(10))
+        assert c.encode(text) == c.library.encode(text)
+        assert sum(len(x) for x in c.numbers if len(x) <= pieces.LONG) <= pieces.MEAN * 2000 and len(c.passing) <= 1
+    c.encode("short text")
+    assert all(len(x) <= pieces.LONG for x in c.numbers) and not c.passing
+
+
 def test_pieces_odd_rows(odd, nothing):
     got = pieces.encode_texts(odd, ["doc_id"], pieces.default_model(), ids=True)
     assert got.count() == 12 and got.where("doc_id in (3, 4)").agg(F.sum("n_tokens")).first()[0] == 0
