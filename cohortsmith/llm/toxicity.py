@@ -7,6 +7,8 @@ the inverse root of the landmarks' kernel matrix; a squared-hinge SVM is fitted
 that are closest to the landmarks, or an empty one, with the document's label). A document's score is a logistic function, fitted on the same documents, of the margins of its worst three
 sentences and of its nearness to each landmark, at most and in all, so that one sure term counts more than several doubtful ones.
 
+A term of more than ``LONG`` characters is taken as overlapping windows of that size, so a word of any length takes bounded memory, and all of it is read.
+
 Two shortcuts belong to the feature, not to the data: a kernel value below ``FLOOR`` counts as 0, and a term is compared with a landmark only if it
 holds at least half of the landmark's letter pairs, in order, with at most two characters between.
 
@@ -37,7 +39,7 @@ MEMORY = 500_000
 
 
 def terms(sentence: str) -> list[str]:
-    """Lower-cased words without marks of punctuation at their ends; a word with other characters within is joined by its letters alone as one more term, as are runs of single characters."""
+    """Lower-cased words without marks of punctuation at their ends; a word with other characters within is joined by its letters alone as one more term, as are runs of single characters; a long term is all of its windows."""
     out, run = [], []
     for w in sentence.lower().encode().split():
         t = w.decode().strip(_EDGE)
@@ -55,9 +57,21 @@ def terms(sentence: str) -> list[str]:
                     out.append(START + letters + END)
     if len(run) > 2:
         out.append(START + "".join(run) + END)
+    if any(len(t) > LONG for t in out):
+        out = [w for t in out for w in _windows(t)]
     return out
 
 
+#: A longer term is seen through windows of this many characters, each half over the one before: encoded data and the like.
+LONG = 64
+
+
+def _windows(term: str) -> list[str]:
+    if len(term) <= LONG:
+        return [term]
+    return [term[a : a + LONG] for a in range(0, len(term) - LONG // 2, LONG // 2)]
+
+
 def _codes(strings: list[str]) -> np.ndarray:
     """Code points, one row per string, padded with 0."""
     width = max([1, *map(len, strings)])
