@@ -24,7 +24,8 @@ from pyspark.sql import DataFrame, SparkSession
 from .common import documents, schema_of, sha256, to_table, with_text
 
 SPACE = "▁"
-MEMORY = 450_000
+#: Chunks a worker keeps, with so many characters each on average at most; longer ones are encoded whenever they occur.
+MEMORY, MEAN, LONG = 450_000, 16, 200
 
 
 class PieceCodec:
@@ -52,6 +53,8 @@ class PieceCodec:
         self.names = [str(i) for i in ids]
         self.numbers: dict[str, str] = {}  # of known chunks: the ids as text
         self.odd: dict[str, str] = {}  # and what they decode to, where that is not the chunk itself with plain spaces
+        self.size = 0  # characters of the chunks kept
+        self.passing: list[str] = []  # long chunks of the texts at hand, forgotten with the next ones
 
     def _number_pairs(self) -> None:
         """Joins as sorted numbers (left * size + right) with their rank and piece, and the piece of each character."""
@@ -167,13 +170,22 @@ class PieceCodec:
 
     def learn(self, chunks: set[str]) -> None:
         """Encode chunks not yet known by the agenda and decode them again; both are checked against the library, all chunks in one call."""
+        for c in self.passing:
+            self.numbers.pop(c, None)
+            self.odd.pop(c, None)
+        self.passing = []
         new = chunks.difference(self.numbers)
         if not new:
             return
-        if len(self.numbers) + len(new) > self.memory:
+        size = sum(len(c) for c in new if len(c) <= LONG)
+        if len(self.numbers) + len(new) > self.memory or self.size + size > MEAN * self.memory:
             self.numbers.clear()
             self.odd.clear()
+            self.size = 0
             new = chunks
+            size = sum(len(c) for c in new if len(c) <= LONG)
+        self.size += size
+        self.passing = [c for c in new if len(c) > LONG]
         new = list(new)
         found = self.merge_all(new)
         read = [b"".join([self.parts[i] for i in ids]).decode("utf-8", "replace") for ids in found]
@@ -243,7 +255,7 @@ def _step(texts: list[str | None], limit: int = 1 << 20) -> Iterator[tuple[int,
 def encode_texts(docs: DataFrame, keep: list[str], model_path: str, *, text_col: str = "text", ids: bool = False, memory: int = MEMORY) -> DataFrame:
     """``keep`` columns, n_tokens, ids_sha256 and decoded_sha256 of every row, and the ids themselves on request.
 
-    ``memory``: chunks a worker keeps, about 300 bytes each. Raises in the task if a batch's ids or decoded texts differ from the library's.
+    ``memory``: chunks a worker keeps, about 300 bytes each, of ``MEAN`` characters on average at most; chunks above ``LONG`` characters are never kept. Raises in the task if a batch's ids or decoded texts differ from the library's.
     """
     schema = "n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * ids
     rows, place = with_text(docs, keep, text_col)
