@@ -4,7 +4,7 @@ A text starts as a row of characters. An agenda holds every pair of neighbours w
 equals; the best pair is joined and its new neighbours enter the agenda, until it is empty. Characters without a piece become their UTF-8 bytes.
 No piece of such a vocabulary holds a space mark after another character, so a text falls into independent chunks at its spaces (and at line
 ends, where no piece has one), and the ids of a chunk are kept in a bounded memory. In every Arrow batch the sentencepiece library encodes and decodes all chunks
-that are new and some texts as a whole; the task fails at the first difference.
+that are new and some texts as a whole, and decodes the ids of every text; the task fails at the first difference.
 
 Null and empty texts have no ids. Rows are independent, so repeated rows and ties need no rule.
 """
@@ -269,14 +269,16 @@ def encode_texts(docs: DataFrame, keep: list[str], model_path: str, *, text_col:
                 coded = c.split(part)
                 lists = [",".join(map(c.numbers.__getitem__, row)) for row in coded]
                 decoded = [c.decoded(row) for row in coded]
-                for k in range(1 if c.stop else len(part)):  # texts checked as they are, beside all of their chunks
-                    own = [int(i) for i in lists[k].split(",")] if coded[k] else []
-                    if own != c.library.encode(part[k]) or decoded[k] != c.library.decode(own):
-                        raise ValueError("a text's ids or their decoding differ from the library's")
+                own = [[int(i) for i in x.split(",")] if row else [] for x, row in zip(lists, coded)]
+                if c.library.decode(own) != decoded:
+                    raise ValueError("the decoding of a text's ids differs from the library's")
+                for k in range(1 if c.stop else len(part)):  # texts encoded as they are, beside all of their chunks
+                    if own[k] != c.library.encode(part[k]):
+                        raise ValueError("a text's ids differ from the library's")
                 out = {"n_tokens": [x.count(",") + 1 if row else 0 for x, row in zip(lists, coded)], "ids_sha256": [sha256(x.encode()) for x in lists],
                        "decoded_sha256": [sha256(d.encode()) for d in decoded]}
                 if ids:
-                    out["ids"] = [[int(i) for i in x.split(",")] if row else [] for x, row in zip(lists, coded)]
+                    out["ids"] = own
                 new = to_table(out, schema)
                 cols = [batch.column(i).slice(a, b - a) for i in range(len(keep))]
                 yield pa.RecordBatch.from_arrays([*cols, *[new.column(n).combine_chunks() for n in new.schema.names]], names=[*keep, *new.schema.names])
