@@ -51,7 +51,9 @@ class PieceCodec:
         self.prefix = SPACE if lib.encode("a", out_type=str)[0].startswith(SPACE) else ""  # some models put a space before every text
         self._number_pairs()
         self.names = [str(i) for i in ids]
+        self.ints = list(ids)  # one object for each id
         self.numbers: dict[str, str] = {}  # of known chunks: the ids as text
+        self.lists: dict[str, tuple[int, ...]] = {}  # and as they are
         self.odd: dict[str, str] = {}  # and what they decode to, where that is not the chunk itself with plain spaces
         self.size = 0  # characters of the chunks kept
         self.passing: list[str] = []  # long chunks of the texts at hand, forgotten with the next ones
@@ -172,6 +174,7 @@ class PieceCodec:
         """Encode chunks not yet known by the agenda and decode them again; both are checked against the library, all chunks in one call."""
         for c in self.passing:
             self.numbers.pop(c, None)
+            self.lists.pop(c, None)
             self.odd.pop(c, None)
         self.passing = []
         new = chunks.difference(self.numbers)
@@ -180,6 +183,7 @@ class PieceCodec:
         size = sum(len(c) for c in new if len(c) <= LONG)
         if len(self.numbers) + len(new) > self.memory or self.size + size > MEAN * self.memory:
             self.numbers.clear()
+            self.lists.clear()
             self.odd.clear()
             self.size = 0
             new = chunks
@@ -198,6 +202,8 @@ class PieceCodec:
                 raise ValueError("decoded text differs from the library's")
         names = self.names
         self.numbers.update(zip(new, [",".join([names[i] for i in ids]) for ids in found]))
+        same = self.ints.__getitem__
+        self.lists.update((c, tuple(map(same, ids))) for c, ids in zip(new, found))
         self.odd.update((c, r) for c, r in zip(new, read) if r != c.replace(SPACE, " "))
 
     def split(self, texts: list[str]) -> list[list[str]]:
@@ -216,7 +222,7 @@ class PieceCodec:
 
     def encode(self, text: str | None) -> list[int]:
         chunks = self.split([text or ""])[0]
-        return [int(i) for i in ",".join([self.numbers[c] for c in chunks]).split(",")] if chunks else []
+        return list(chain.from_iterable([self.lists[c] for c in chunks]))
 
     def decode(self, ids: list[int]) -> str:
         return self.without_prefix(b"".join([self.parts[i] for i in ids]).decode("utf-8", "replace"))
@@ -269,7 +275,7 @@ def encode_texts(docs: DataFrame, keep: list[str], model_path: str, *, text_col:
                 coded = c.split(part)
                 lists = [",".join(map(c.numbers.__getitem__, row)) for row in coded]
                 decoded = [c.decoded(row) for row in coded]
-                own = [[int(i) for i in x.split(",")] if row else [] for x, row in zip(lists, coded)]
+                own = [list(chain.from_iterable(map(c.lists.__getitem__, row))) for row in coded]
                 if c.library.decode(own) != decoded:
                     raise ValueError("the decoding of a text's ids differs from the library's")
                 for k in range(1 if c.stop else len(part)):  # texts encoded as they are, beside all of their chunks
