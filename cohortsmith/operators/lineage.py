@@ -113,8 +113,8 @@ def build_edges(objectives: DataFrame, endpoints: DataFrame, tlfs: DataFrame, ad
     return reduce(DataFrame.unionByName, parts).distinct()
 
 
-#: Hops taken in one plan before the first look at what is left: the tiers of a trace graph lie no further apart.
-_HOPS = 4
+#: Rounds of two hops each before paths are doubled: the tiers of a trace graph lie no further apart.
+_ROUNDS = 3
 
 
 def _hop(frontier: DataFrame, step: DataFrame) -> DataFrame:
@@ -126,8 +126,8 @@ def _hop(frontier: DataFrame, step: DataFrame) -> DataFrame:
 def _reach(edges: DataFrame, roots: DataFrame, directions: Sequence[str]) -> DataFrame:
     """(study_id, root, direction, node) for all nodes on directed paths from the roots, all directions in one walk.
 
-    A few hops make one plan. If the walk is not at its end then, paths are doubled: every round joins the nodes found with all
-    paths of up to 2, 4, 8, ... edges, so the rounds grow with the logarithm of the longest path; a cycle brings nothing new and ends.
+    Two hops make one plan, and the next ones start from the second's nodes. If the walk is not at its end after some rounds, paths are doubled: every round joins
+    the nodes found with all paths of up to 2, 4, 8, ... edges, so the rounds grow with the logarithm of the longest path; a cycle brings nothing new and ends.
     """
     ends = {"descendant": ("source", "target"), "ancestor": ("target", "source")}
     e = edges.select("study_id", "source", "target").distinct()
@@ -135,11 +135,17 @@ def _reach(edges: DataFrame, roots: DataFrame, directions: Sequence[str]) -> Dat
         e.select("study_id", F.lit(d).alias("direction"), F.col(ends[d][0]).alias("node"), F.col(ends[d][1]).alias("__next")) for d in directions]))
     start = roots.select("study_id", F.col("id").alias("root"), F.col("id").alias("node")).distinct().withColumn(
         "direction", F.explode(F.array(*[F.lit(d) for d in directions])))
-    levels = [start]
-    for _ in range(_HOPS):
-        levels.append(_hop(levels[-1], step))
-    found = checkpointed(reduce(DataFrame.unionByName, levels[1:]).distinct())
-    key, jump = ["study_id", "root", "direction", "node"], step
+    key, found, frontier = ["study_id", "root", "direction", "node"], None, start
+    for _ in range(_ROUNDS):
+        first = _hop(frontier, step)
+        both = first.withColumn("__last", F.lit(0)).unionByName(_hop(first, step).withColumn("__last", F.lit(1)))
+        new = both.groupBy(*key).agg(F.min("__last").alias("__last"))  # a node of the first hop has its next one in this plan
+        new = checkpointed(new if found is None else new.join(found, key, "left_anti"))
+        found = new.drop("__last") if found is None else found.unionByName(new.drop("__last"))
+        frontier = new.filter("__last = 1").drop("__last")
+        if frontier.isEmpty():
+            return found
+    jump = step
     while True:
         new = checkpointed(_hop(found, jump).join(found, key, "left_anti"))
         if new.isEmpty():
