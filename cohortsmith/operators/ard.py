@@ -7,7 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .groups import exact_quantiles, keyed_join, quantiles_of_counts, value_counts
+from .groups import exact_quantiles, in_ranges, keyed_join, quantiles_of_counts
 
 ARD_COLUMNS = ["study_id", "analysis_id", "group1", "group1_level", "variable", "variable_level", "context",
                "stat_name", "stat", "stat_chr"]
@@ -31,19 +31,25 @@ def to_ard(df: DataFrame, arm: str | None, context: str, stats: Sequence[str], v
 
 def continuous_wide(df: DataFrame, by: Sequence[str], variables: Sequence[str],
                     quantiles: dict[str, float] | None = None) -> DataFrame:
-    """N, mean, sd, min, max and exact quantiles per group and variable, one row each."""
+    """N, mean, sd, min, max and exact quantiles per group and variable, one row each; N = 0 and nulls where a group has no value."""
     quantiles = QUANTILES if quantiles is None else quantiles
     long = df.select(*by, *[F.col(v).cast("double").alias(v) for v in variables]).unpivot(
         list(by), list(variables), "variable", "value")
     key = [*by, "variable"]
-    # everything comes from one materialised table of value counts
-    counts = value_counts(long, key, "value")
-    n, v = F.col("__n"), F.col("value")
-    moments = counts.groupBy(*key).agg(F.sum(n).alias("N"), (F.sum(n * v) / F.sum(n)).alias("mean"), F.min(v).alias("min"), F.max(v).alias("max"))
+    # everything comes from one materialised table of value counts; nulls stay in it, so that a group without any value keeps its row
+    counts = in_ranges(long.groupBy(*key, "value").agg(F.count(F.lit(1)).alias("__n")), key, "value")
+    return continuous_of_counts(counts, key, quantiles)
+
+
+def continuous_of_counts(counts: DataFrame, key: Sequence[str], quantiles: dict[str, float]) -> DataFrame:
+    """The same from counts of values per ``key`` (value, __n) out of ``in_ranges``; a group of nulls alone has N = 0."""
+    n, v = F.when(F.col("value").isNotNull(), F.col("__n")), F.col("value")
+    moments = counts.groupBy(*key).agg(F.coalesce(F.sum(n), F.lit(0)).alias("N"), F.try_divide(F.sum(n * v), F.sum(n)).alias("mean"),
+                                       F.min(v).alias("min"), F.max(v).alias("max"))
     around = keyed_join(counts, moments.select(*key, "N", "mean"), key).groupBy(*key).agg(
         F.sqrt(F.try_divide(F.sum(n * F.pow(v - F.col("mean"), 2)), F.max("N") - 1)).alias("sd"))
     moments = keyed_join(moments, around, key).select(*key, "N", "mean", "sd", "min", "max")
-    return keyed_join(moments, quantiles_of_counts(counts, key, "value", quantiles), key) if quantiles else moments
+    return keyed_join(moments, quantiles_of_counts(counts.filter(v.isNotNull()), key, "value", quantiles), key) if quantiles else moments
 
 
 def ard_continuous(df: DataFrame, by: Sequence[str], variables: Sequence[str],

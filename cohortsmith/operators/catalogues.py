@@ -172,3 +172,22 @@ POPULATIONS = {
 
 # imputation, record flag condition
 IMPUTATION_FLAGS = {"LOCF": "ANL01FL = 'Y'", "OC": "ANL02FL = 'Y'", "none": "DTYPE IS NULL"}
+
+# fixed values: population and imputation as (flag, value); "All Subjects" has no flag
+POPULATION_FLAGS = {"Efficacy": ("EFFFL", "Y"), "Safety": ("SAFFL", "Y"), "Intent-to-Treat": ("ITTFL", "Y"), "Completers": ("COMPLFL", "Y")}
+RECORD_FLAGS = {"LOCF": ("ANL01FL", "Y"), "OC": ("ANL02FL", "Y")}
+
+# fixed values: planner method and its analysis methods; what a comparison adds; operations of a method
+METHOD_TYPES = {
+    "Descriptive": ["Descriptive"], "Incidence": ["Incidence"], "ShiftTable": ["ShiftTable"], "ANOVA": ["Descriptive", "ANOVA"],
+    "ANCOVA": ["Descriptive", "ANCOVA"], "CMH": ["CMH"], "Fisher": ["Fisher"], "ChiSquare": ["ChiSquare"], "KaplanMeier": ["KaplanMeier"],
+    "LogRank": ["LogRank"], "Cox": ["Cox"], "MMRM": ["MMRM", "Descriptive"], "none": [],
+}
+METHOD_ADDITIONS = [("ShiftTable", "cmh", "CMH"), ("ANCOVA", "dose-response", "DoseResponse"), ("KaplanMeier", "log-rank", "LogRank")]
+METHOD_OPERATIONS = {
+    "Descriptive": ["N", "mean", "sd", "median", "min", "max"], "Incidence": ["n", "events", "N", "p"], "ShiftTable": ["n", "N", "p"],
+    "ANOVA": ["statistic", "p.value"], "ANCOVA": ["lsmean", "lsmean_se", "diff", "diff_se", "conf.low", "conf.high", "p.value"], "CMH": ["p.value"],
+    "Fisher": ["p.value"], "ChiSquare": ["statistic", "p.value"], "KaplanMeier": ["n.risk", "n.event", "estimate", "median"],
+    "LogRank": ["statistic", "p.value"], "Cox": ["estimate", "conf.low", "conf.high", "p.value"],
+    "MMRM": ["lsmean", "lsmean_se", "diff", "diff_se", "conf.low", "conf.high", "p.value"], "DoseResponse": ["p.value"],
+}

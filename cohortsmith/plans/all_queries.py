@@ -1,3 +1,3 @@
 """Importing this module registers every query."""
 
-from . import q_meta, q_models, q_records, q_scalars, q_stats  # noqa: F401
+from . import q_meta, q_models, q_recipes, q_records, q_scalars, q_stats  # noqa: F401

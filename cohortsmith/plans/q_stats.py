@@ -21,7 +21,7 @@ def _desc_long(names, group, source, var="'AVAL'", x="AVAL"):
     stats = [("N", f"CAST(count({x}) AS DOUBLE)"), ("mean", f"avg({x})"), ("sd", f"stddev_samp({x})"), ("median", f"median({x})"),
              ("min", f"min({x})"), ("max", f"max({x})")]
     return "\nUNION ALL ".join(
-        f"SELECT {names}, {var} AS variable, '{n}' AS stat_name, r6({e}) AS stat FROM {source} WHERE {x} IS NOT NULL GROUP BY {group}"
+        f"SELECT {names}, {var} AS variable, '{n}' AS stat_name, r6({e}) AS stat FROM {source} GROUP BY {group}"
         for n, e in stats)
 
 
@@ -163,7 +163,7 @@ def _(spark, sf):
 
 @query("mean_over_time", with_views("analysis", "\nUNION ALL ".join(f"""
   SELECT PARAMCD, ARM, AVISITN, '{x}' AS variable, count({x}) AS N, r6(avg({x})) AS mean, r6(stddev_samp({x})) AS sd, min({x}) AS min, max({x}) AS max,
-    r6(stddev_samp({x}) / sqrt(count({x}))) AS se FROM (SELECT PARAMCD, ARM, AVISITN, AVAL, r6(CHG) AS CHG FROM analysis) WHERE {x} IS NOT NULL GROUP BY ALL""" for x in ("AVAL", "CHG"))))
+    r6(stddev_samp({x}) / sqrt(count({x}))) AS se FROM (SELECT PARAMCD, ARM, AVISITN, AVAL, r6(CHG) AS CHG FROM analysis) GROUP BY ALL""" for x in ("AVAL", "CHG"))))
 def _(spark, sf):
     df = analysis(spark, sf).withColumn("CHG", s.display_round("CHG", 6))
     return ard.mean_over_time(df)
