@@ -268,6 +268,33 @@ def ada_status(df: DataFrame, by: Sequence[str] = ("USUBJID",), titre_fold: floa
         F.col("max_titre").alias("MAXTITRE"))
 
 
+def ada_summary(status: DataFrame, by: Sequence[str] = ("ARM",)) -> DataFrame:
+    """Tested subjects and those of each anti-drug antibody status per group, with percent of the tested."""
+    flags = {"baseline_positive": "BASEPOS", "treatment_emergent": "TEADA", "persistent": "PERSIST", "transient": "TRANSIENT"}
+    wide = status.groupBy(*by).agg(F.count(F.lit(1)).alias("N"), *[F.count_if(F.col(f) == "Y").alias(n) for n, f in flags.items()])
+    long = wide.unpivot([*by, "N"], list(flags), "status", "hits")
+    return long.withColumn("pct", F.try_divide(100.0 * F.col("hits"), F.col("N")))
+
+
+def ada_titres(status: DataFrame, by: Sequence[str] = ("ARM",)) -> DataFrame:
+    """Greatest titre after baseline among subjects with emergent antibodies: N, geometric mean, CV, median and range per group."""
+    return ard_geometric(status.filter("TEADA = 'Y'"), by, "MAXTITRE")
+
+
+def nab_incidence(status: DataFrame, results: DataFrame, by: Sequence[str] = ("ARM",), subject: str = "USUBJID") -> DataFrame:
+    """Neutralising antibodies among ADA-positive subjects (at baseline or emergent): positive at any time after baseline.
+
+    ``results`` has ADT, TRTSDT and NABRES (POSITIVE, NEGATIVE or null); a positive subject without a result counts as not tested.
+    """
+    after = F.col("ADT") > F.col("TRTSDT")
+    per_subject = results.groupBy(subject).agg(
+        F.coalesce(F.bool_or(after & (F.col("NABRES") == "POSITIVE")), F.lit(False)).alias("__pos"),
+        F.coalesce(F.bool_or(after & F.col("NABRES").isNotNull()), F.lit(False)).alias("__tested"))
+    positive = keyed_join(status.filter("BASEPOS = 'Y' OR TEADA = 'Y'"), per_subject, [subject])
+    out = positive.groupBy(*by).agg(F.count(F.lit(1)).alias("ada_positive"), F.count_if("__tested").alias("tested"), F.count_if("__pos").alias("nab_positive"))
+    return out.withColumn("pct", F.try_divide(100.0 * F.col("nab_positive"), F.col("ada_positive")))
+
+
 def responder_flag(df: DataFrame, threshold: float, direction: str = "decrease") -> DataFrame:
     """RESPFL from change against a meaningful-change threshold."""
     hit = F.col("CHG") <= -threshold if direction == "decrease" else F.col("CHG") >= threshold

@@ -130,6 +130,11 @@ FLAG_KEYWORDS = {
     "needs_tte_safety_figure": "(?i)time to (dermatologic|application|injection|skin)|dermatologic event",
     "onc_words": "(?i)\\borr\\b|objective response|\\bdor\\b|\\bpfs\\b|\\bos\\b|recist|tumor response|best overall response",
     "has_ecg": "(?i)\\becg\\b|electrocardiogram",
+    "region_words": "(?i)multi-?national|multi-?region|by (geographic )?region|stratified by (region|geograph)",
+    "sex_words": "(?i)\\b(by|sub-?groups? of) sex\\b|\\bsex sub-?group|sub-?groups?:? sex\\b",
+    "reports_ae_discontinuation": "(?i)(lead|led|leading) to (study )?(drug )?(discontinu|withdraw)|discontinu\\w* due to",
+    "reports_deaths": "(?i)\\bdeaths?\\b|mortality|fatal",
+    "reports_ae_severity": "(?i)severity|\\bsevere\\b|ctcae|toxicity grade",
     "crossover_words": "(?i)crossover|washout|period 1",
 }
 

@@ -46,13 +46,15 @@ def _sources(column: str) -> Column:
 
 
 def profile_studies(studies: DataFrame, endpoints: DataFrame, arms: DataFrame, overrides: DataFrame | None = None,
-                    objectives: DataFrame | None = None, inventory: DataFrame | None = None) -> DataFrame:
+                    objectives: DataFrame | None = None, inventory: DataFrame | None = None, estimands: DataFrame | None = None,
+                    regions: DataFrame | None = None) -> DataFrame:
     """Flags per study from keyword rules over endpoint, title and arm text.
 
     ``studies`` has phase and title, ``endpoints`` has text and domain_hint, ``arms``
     has name and type. Any text of a study may set a flag, objectives' text included
     where given, so one aggregate per table decides. An ``inventory`` of raw domains
-    opens the gates of medical history (MH) and deviations (DV).
+    opens the gates of medical history (MH), deviations (DV) and deaths (DD). ``estimands`` (name, population_summary) and ``regions``
+    (study_id, region of each site or subject) set the subgroup flags where the texts do not.
     """
     def any_match(column: str, words: str) -> Column:
         return F.coalesce(F.bool_or(F.col(column).rlike(words)), F.lit(False))
@@ -65,9 +67,12 @@ def profile_studies(studies: DataFrame, endpoints: DataFrame, arms: DataFrame, o
         studies.select("study_id", F.col("title").alias("text"), F.lit(None).cast("string").alias("domain_hint")))
     if objectives is not None:
         text = text.unionByName(objectives.select("study_id", "text", F.lit(None).cast("string").alias("domain_hint")))
+    if estimands is not None:
+        text = text.unionByName(estimands.select("study_id", F.concat_ws(" ", "name", "population_summary").alias("text"), F.lit(None).cast("string").alias("domain_hint")))
     by_text = text.groupBy("study_id").agg(
         *[any_match("text", w).alias(n) for n, w in {**words, **blind}.items()],
-        F.coalesce(F.bool_or(F.col("domain_hint") == "pk"), F.lit(False)).alias("pk_hint"))
+        F.coalesce(F.bool_or(F.col("domain_hint") == "pk"), F.lit(False)).alias("pk_hint"),
+        F.coalesce(F.bool_or(F.col("domain_hint") == "safety-ae"), F.lit(False)).alias("ae_hint"))
     dose_level = F.col("name").rlike(r"(?i)^cohort \d|^\d+ ?mg$")
     by_arm = arms.groupBy("study_id").agg(
         F.count(F.lit(1)).alias("arm_count"), F.coalesce(F.bool_or(F.col("type").rlike("(?i)placebo")), F.lit(False)).alias("placebo"),
@@ -87,15 +92,21 @@ def profile_studies(studies: DataFrame, endpoints: DataFrame, arms: DataFrame, o
         pick(1).alias("indication"), area.alias("therapeutic_area"), confirmatory.alias("multi_site"),
         (F.col("needs_pk") | F.col("pk_hint")).alias("needs_pk"), "needs_pd", "needs_immunogenicity",
         (F.col("onc_words") & (area == "Oncology")).alias("needs_oncology_response"), "needs_pro_hrqol", "needs_tte_safety_figure", "has_ecg",
-        F.coalesce(F.col("phase").rlike(r"(?i)phase (iii|3)\b"), F.lit(False)).alias("needs_subgroup_by_sex"),
-        F.lit(False).alias("needs_subgroup_by_region"),
-        *[F.lit(False).alias(f) for f in ("medical_history_available", "deviations_tracked", "not_covered_by_safety",
-                                          "reports_ae_discontinuation", "reports_deaths", "reports_ae_severity")])
+        (F.coalesce(F.col("phase").rlike(r"(?i)phase (iii|3)\b"), F.lit(False)) | F.coalesce("sex_words", F.lit(False))).alias("needs_subgroup_by_sex"),
+        F.coalesce("region_words", F.lit(False)).alias("needs_subgroup_by_region"),
+        *[F.coalesce(f, F.lit(False)).alias(f) for f in ("reports_ae_discontinuation", "reports_deaths", "reports_ae_severity")],
+        (~F.coalesce("ae_hint", F.lit(False))).alias("not_covered_by_safety"),
+        *[F.lit(False).alias(f) for f in ("medical_history_available", "deviations_tracked")])
     if inventory is not None:
         have = lambda d: F.bool_or(F.upper("domain") == d)
-        found = inventory.groupBy("study_id").agg(have("MH").alias("__mh"), have("DV").alias("__dv"))
+        found = inventory.groupBy("study_id").agg(have("MH").alias("__mh"), have("DV").alias("__dv"), have("DD").alias("__dd"))
         out = out.join(found, "study_id", "left").withColumns({
-            "medical_history_available": F.coalesce("__mh", F.lit(False)), "deviations_tracked": F.coalesce("__dv", F.lit(False))}).drop("__mh", "__dv")
+            "medical_history_available": F.coalesce("__mh", F.lit(False)), "deviations_tracked": F.coalesce("__dv", F.lit(False)),
+            "reports_deaths": F.col("reports_deaths") | F.coalesce("__dd", F.lit(False))}).drop("__mh", "__dv", "__dd")
+    if regions is not None:
+        several = regions.groupBy("study_id").agg((F.min("region") != F.max("region")).alias("__several"))
+        out = keyed_join(out, several, STUDY).withColumn(
+            "needs_subgroup_by_region", F.col("needs_subgroup_by_region") | F.coalesce("__several", F.lit(False))).drop("__several")
     if overrides is None:
         return out
     given = [c for c in overrides.columns if c != "study_id"]
@@ -194,12 +205,12 @@ def special(profiles: DataFrame) -> DataFrame:
     return candidates(rows)
 
 
-def expand_variants(cands: DataFrame, profiles: DataFrame, regions: Sequence[str] = ()) -> DataFrame:
+def expand_variants(cands: DataFrame, profiles: DataFrame, regions: Sequence[str] | DataFrame = ()) -> DataFrame:
     """Seeds fanned out by imputation, subgroup and timepoint; every other candidate passes through.
 
     Primary continuous analyses (ANCOVA) give a LOCF and an observed-cases variant,
     and by flag the two sexes and the given regions on LOCF. Candidates that list
-    several timepoints give one each. Ids get the changed tokens in fixed order.
+    several timepoints give one each. ``regions`` is a list for every study or a table (study_id, region). Ids get the changed tokens in fixed order.
     """
     flagged = keyed_join(cands, _flags(profiles, ["needs_subgroup_by_sex", "needs_subgroup_by_region"]), STUDY)
     has = lambda f: F.coalesce(F.array_contains("__set", F.lit(f)), F.lit(False))
@@ -216,9 +227,16 @@ def expand_variants(cands: DataFrame, profiles: DataFrame, regions: Sequence[str
            variant("oc", "OC", None, "Completers", "supportive", "Completers, Observed Cases, Windowed")]
     for s in ("Male", "Female"):
         fan.append(variant(f"locf-{s.lower()}", "LOCF", f"Sex={s}", None, "supportive", f"{s} subjects", has("needs_subgroup_by_sex")))
-    for r in regions:
+    table = regions if isinstance(regions, DataFrame) else None
+    for r in () if table is not None else regions:
         fan.append(variant(f"locf-{r.lower()}", "LOCF", f"Region={r}", None, "supportive", f"{r} subjects", has("needs_subgroup_by_region")))
     rows = flagged.withColumn("__v", F.explode_outer(F.when(seed, F.array_compact(F.array(*fan))).otherwise(F.array(plain))))
+    if table is not None:
+        name = F.col("__region")
+        own = F.struct(F.concat(F.lit("locf-"), F.lower(name)).alias("token"), F.lit("LOCF").alias("imp"), F.concat(F.lit("Region="), name).alias("sub"),
+                       F.lit(None).cast("string").alias("pop"), F.lit("supportive").alias("pri"), F.concat(name, F.lit(" subjects")).alias("suffix"))
+        named = table.filter(F.col("region").isNotNull()).select("study_id", F.col("region").alias("__region")).distinct()
+        rows = rows.unionByName(keyed_join(flagged.filter(seed & has("needs_subgroup_by_region")), named, STUDY, "inner").withColumn("__v", own).drop("__region"))
     rows = rows.withColumn("__times", F.when(F.col("timepoint").contains(" & "), F.split("timepoint", " & ")).otherwise(F.array("timepoint")))
     rows = rows.withColumn("__split", F.size("__times") > 1).withColumn("__t", F.explode_outer("__times"))
     note = F.when(F.col("__v.token").isNotNull() | F.col("__split"), F.array(F.lit("variant assumed")))
@@ -306,6 +324,14 @@ def dedup_candidates(cands: DataFrame) -> tuple[DataFrame, DataFrame]:
     return survivors.select(*CANDIDATE, "n_merged"), merges
 
 
+def merged_notes(cands: DataFrame, merges: DataFrame) -> DataFrame:
+    """Notes of survivors and of what was merged into them, one row per distinct note (study_id, candidate_id, note)."""
+    into = merges.select("study_id", F.col("merged_id").alias("candidate_id"), "survivor_id")
+    notes = cands.select("study_id", "candidate_id", F.explode("notes").alias("note"))
+    return keyed_join(notes, into, ["study_id", "candidate_id"]).select(
+        "study_id", F.coalesce("survivor_id", "candidate_id").alias("candidate_id"), "note").distinct()
+
+
 def row_numbers(df: DataFrame, by: Sequence[str], order: Sequence[Column], name: str) -> DataFrame:
     """``row_number`` per group in a total order, whatever the size of a group.
 
@@ -317,7 +343,7 @@ def row_numbers(df: DataFrame, by: Sequence[str], order: Sequence[Column], name:
     sizes = placed.groupBy("__part").agg(F.count(F.lit(1)).alias("__n"))
     run = W.orderBy("__part").rowsBetween(W.unboundedPreceding, -1)  # one row per sorted partition
     offsets = sizes.withColumn("__off", F.coalesce(F.sum("__n").over(run), F.lit(0))).drop("__n")
-    positioned = placed.join(F.broadcast(offsets), "__part").withColumn("__at", F.col("__off") + F.col("__in"))
+    positioned = placed.join(offsets, "__part").withColumn("__at", F.col("__off") + F.col("__in"))
     starts = positioned.groupBy(*by).agg(F.min("__at").alias("__start"))
     return keyed_join(positioned, starts, by).withColumn(name, (F.col("__at") - F.col("__start") + 1).cast("int")).drop(
         "__pos", "__part", "__in", "__off", "__at", "__start")

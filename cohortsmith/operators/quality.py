@@ -81,14 +81,17 @@ def assert_unique(df: DataFrame, key: Sequence[str], not_null: Sequence[str] = (
         reduce(lambda a, b: a & b, [F.col("repeated_keys") == 0, *[F.col(f"null_{c}") == 0 for c in not_null]]), "OK").otherwise("FAILED"))
 
 
-def check_variables(spark, schemas: Mapping[str, Mapping[str, str]], spec: DataFrame) -> DataFrame:
+def check_variables(spark, schemas: Mapping[str, Mapping[str, str]] | DataFrame, spec: DataFrame) -> DataFrame:
     """Specified variables absent from the data or of another type, as findings.
 
-    ``schemas`` maps a data set to its column types, ``spec`` has dataset, variable,
-    type (integer, float, text or date).
+    ``schemas`` maps a data set to its column types, or is a table of what is there (dataset, variable, have) for many data
+    sets. ``spec`` has dataset, variable, type (integer, float, text or date).
     """
-    rows = [(d, v, _kind(t)) for d, cols in schemas.items() for v, t in cols.items()]
-    data = spark.createDataFrame(rows, "dataset string, variable string, have string")
+    if isinstance(schemas, DataFrame):
+        data = schemas.select("dataset", "variable", "have")
+    else:
+        rows = [(d, v, _kind(t)) for d, cols in schemas.items() for v, t in cols.items()]
+        data = spark.createDataFrame(rows, "dataset string, variable string, have string")
     joined = spec.join(data, ["dataset", "variable"], "left")
     bad = joined.filter(F.col("have").isNull() | (F.col("have") != F.col("type")))
     text = F.when(F.col("have").isNull(), F.lit("required variable is absent")).otherwise(
@@ -96,6 +99,23 @@ def check_variables(spark, schemas: Mapping[str, Mapping[str, str]], spec: DataF
     return findings(bad, "variables", "error", text, F.concat_ws(".", "dataset", "variable"))
 
 
+def undeclared_qualifiers(supp: DataFrame, qnams: Mapping[str | None, Sequence[str]]) -> DataFrame:
+    """Supplemental qualifiers that ``combine_supp`` would leave out, one finding per identifying variable and name."""
+    spark = supp.sparkSession
+    known = spark.createDataFrame([(v or "", q) for v, names in qnams.items() for q in names], "idvar string, qnam string")
+    have = supp.groupBy(F.coalesce("IDVAR", F.lit("")).alias("idvar"), F.col("QNAM").alias("qnam")).agg(F.count(F.lit(1)).alias("n"))
+    left = have.join(known, ["idvar", "qnam"], "left_anti")
+    return findings(left, "supplemental", "warning", F.format_string("%d records of an undeclared qualifier", "n"), F.concat_ws(".", F.nullif("idvar", F.lit("")), "qnam"))
+
+
+def column_differences(left: DataFrame, right: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Names that one of two tables (``by``, variable) has and the other has not, with the side that has them."""
+    key = [*by, "variable"]
+    side = lambda df, n: df.select(*key, F.lit(n).alias("side"))
+    seen = side(left, 1).unionByName(side(right, 2)).groupBy(*key).agg(F.min("side").alias("lo"), F.max("side").alias("hi"))
+    return seen.filter("lo = hi").select(*key, F.when(F.col("lo") == 1, "left").otherwise("right").alias("only_in"))
+
+
 def _kind(spark_type: str) -> str:
     if spark_type in ("int", "bigint", "smallint", "tinyint"):
         return "integer"

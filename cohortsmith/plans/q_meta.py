@@ -152,9 +152,9 @@ _TEXTS = """SELECT study_id, text FROM m_end UNION ALL SELECT study_id, name FRO
 _PROFILE = f"""SELECT st.study_id, phase, coalesce(n, 0) AS arm_count, CASE WHEN plc THEN 'placebo' WHEN n >= 2 THEN 'active' WHEN n = 1 THEN 'none' ELSE 'unknown' END AS control_type,
   CASE WHEN n = 1 THEN 'single-arm' WHEN n >= 2 THEN 'parallel' ELSE 'unknown' END AS design,
   CASE WHEN title LIKE '%double-blind%' THEN 'double-blind' WHEN title LIKE '%open-label%' THEN 'open-label' WHEN plc AND phase <> 'Phase I Trial' THEN 'double-blind' WHEN plc THEN 'single-blind' ELSE 'unknown' END AS blinding,
-  phase <> 'Phase I Trial' AS multi_site, phase = 'Phase III Trial' AS needs_subgroup_by_sex, coalesce(pk, false) AS needs_pk, coalesce(derm, false) AS needs_tte_safety_figure
+  phase <> 'Phase I Trial' AS multi_site, phase = 'Phase III Trial' AS needs_subgroup_by_sex, coalesce(pk, false) AS needs_pk, coalesce(derm, false) AS needs_tte_safety_figure, NOT coalesce(ae, false) AS not_covered_by_safety
   FROM m_study st LEFT JOIN (SELECT study_id, count(*) AS n, bool_or(type LIKE 'Placebo%') AS plc FROM m_arm GROUP BY 1) a USING (study_id)
-  LEFT JOIN (SELECT study_id, bool_or(text LIKE 'Cmax%') AS pk, bool_or(text LIKE 'Time to derm%') AS derm FROM ({_TEXTS}) GROUP BY 1) t USING (study_id)"""
+  LEFT JOIN (SELECT study_id, bool_or(text LIKE 'Cmax%') AS pk, bool_or(text LIKE 'Time to derm%') AS derm, bool_or(text LIKE 'Adverse%') AS ae FROM ({_TEXTS}) GROUP BY 1) t USING (study_id)"""
 
 
 def _profiles(spark, sf):
@@ -172,12 +172,12 @@ def _(spark, sf):
 
 @query("profile_studies", sql("m_study m_end m_arm", "SELECT * FROM prof", prof=_PROFILE))
 def _(spark, sf):
-    return _profiles(spark, sf).select("study_id", "phase", "arm_count", "control_type", "design", "blinding", "multi_site", "needs_subgroup_by_sex", "needs_pk", "needs_tte_safety_figure")
+    return _profiles(spark, sf).select("study_id", "phase", "arm_count", "control_type", "design", "blinding", "multi_site", "needs_subgroup_by_sex", "needs_pk", "needs_tte_safety_figure", "not_covered_by_safety")
 
 
 @query("scaffolding", sql("m_study m_end m_arm", f"""
-  SELECT study_id, c.* FROM prof CROSS JOIN {values([r for r in cat.SCAFFOLDING if r[5] in ('', 'multi_site')], 'c(candidate_id, title, type, category, regulatory_rule, gate, population)')}
-  WHERE gate = '' OR multi_site""", prof=_PROFILE).replace("SELECT study_id, c.* FROM", "SELECT study_id, candidate_id, title, type, category, regulatory_rule, population FROM"))
+  SELECT study_id, c.* FROM prof CROSS JOIN {values([r for r in cat.SCAFFOLDING if r[5] in ('', 'multi_site', 'not_covered_by_safety')], 'c(candidate_id, title, type, category, regulatory_rule, gate, population)')}
+  WHERE gate = '' OR (gate = 'multi_site' AND multi_site) OR (gate = 'not_covered_by_safety' AND not_covered_by_safety)""", prof=_PROFILE).replace("SELECT study_id, c.* FROM", "SELECT study_id, candidate_id, title, type, category, regulatory_rule, population FROM"))
 def _(spark, sf):
     return p.scaffolding(_profiles(spark, sf)).select("study_id", "candidate_id", "title", "type", "category", "regulatory_rule", "population")
 
@@ -204,6 +204,40 @@ def _(spark, sf):
     return p.efficacy(ends, est).filter("method = 'ANCOVA' AND priority = 'primary'").select("study_id", "candidate_id", "imputation")
 
 
+_REGIONS = "SELECT DISTINCT concat('ST', CAST(floor(p_partkey / 12) AS BIGINT)) AS study_id, concat('R', p_size % 3) AS region FROM part WHERE p_partkey % 12 < 3"
+_SAID = "CASE length(text) % 4 WHEN 0 THEN ' and deaths' WHEN 1 THEN ' by severity' WHEN 2 THEN ', events leading to discontinuation' ELSE ' by sex' END"
+
+
+def _rich_profiles(spark, sf):
+    k = F.length("text") % 4
+    said = F.when(k == 0, " and deaths").when(k == 1, " by severity").when(k == 2, ", events leading to discontinuation").otherwise(" by sex")
+    objectives = meta(spark, sf, "m_obj").filter("code = 'C85826'").withColumn("text", F.concat("text", said))
+    return p.profile_studies(meta(spark, sf, "m_study"), _ends(spark, sf), meta(spark, sf, "m_arm"), objectives=objectives, regions=_regions(spark, sf))
+
+
+def _regions(spark, sf):
+    return spark.sql(_REGIONS.replace("FROM part", "FROM {part}"), part=table(spark, sf, "part"))
+
+
+@query("profile_flags_from_data", sql("m_study m_obj", f"""
+  SELECT s.study_id, coalesce(o.k = 0, false) AS reports_deaths, coalesce(o.k = 1, false) AS reports_ae_severity, coalesce(o.k = 2, false) AS reports_ae_discontinuation,
+    phase = 'Phase III Trial' OR coalesce(o.k = 3, false) AS needs_subgroup_by_sex, coalesce(r.n > 1, false) AS needs_subgroup_by_region
+  FROM m_study s LEFT JOIN (SELECT study_id, length(text) % 4 AS k FROM m_obj WHERE code = 'C85826') o ON o.study_id = s.study_id
+  LEFT JOIN (SELECT study_id, count(*) AS n FROM reg GROUP BY 1) r ON r.study_id = s.study_id""", reg=_REGIONS))
+def _(spark, sf):
+    """Flags that objectives and the regions of a study's sites decide."""
+    return _rich_profiles(spark, sf).select("study_id", "reports_deaths", "reports_ae_severity", "reports_ae_discontinuation", "needs_subgroup_by_sex", "needs_subgroup_by_region")
+
+
+@query("expand_regions", sql("m_end", """
+  SELECT e.study_id, candidate_id || '-locf-' || lower(region) || CASE WHEN timepoint LIKE '% & %' THEN '-' || lower(replace(t, ' ', '')) ELSE '' END AS candidate_id, 'Region=' || region AS subgroup, 'LOCF' AS imputation, 'supportive' AS priority
+  FROM (SELECT *, unnest(CASE WHEN timepoint LIKE '% & %' THEN string_split(timepoint, ' & ') ELSE [timepoint] END) AS t FROM eff) e JOIN reg r ON r.study_id = e.study_id WHERE method = 'ANCOVA' AND priority = 'primary' AND e.study_id IN (SELECT study_id FROM reg GROUP BY 1 HAVING count(*) > 1)""", parsed=_PARSED, eff=_EFF, reg=_REGIONS))
+def _(spark, sf):
+    """One variant per region of a study's sites."""
+    out = p.expand_variants(p.efficacy(_ends(spark, sf)), _rich_profiles(spark, sf), _regions(spark, sf))
+    return out.filter("subgroup LIKE 'Region=%'").select("study_id", "candidate_id", "subgroup", "imputation", "priority")
+
+
 @query("safety_outputs", sql("m_end m_study m_arm", f"""
   SELECT study_id, lower(replace(DOMAIN_HINT, 'safety-', '') || '-' || endpoint_id || '-' || slug) AS candidate_id, r.title, r.type, r.method, r.category, nullif(comparison, '') AS comparison
   FROM parsed JOIN prof USING (study_id) JOIN {values(cat.SAFETY, 'r(h, slug, title, type, method, category, gate, comparison)')} ON r.h = DOMAIN_HINT
@@ -286,6 +320,15 @@ def _(spark, sf):
     return p.dedup_candidates(_cands(spark, sf))[1]
 
 
+@query("dedup_notes", sql("m_cand", """
+  SELECT DISTINCT d.study_id, survivor_id AS candidate_id, unnest(['at ' || coalesce(c.timepoint, 'any time'), 'from ' || c.produced_by]) AS note
+  FROM dup d JOIN m_cand c ON c.study_id = d.study_id AND c.candidate_id = d.candidate_id""", dup=_DUP))
+def _(spark, sf):
+    """Notes of merged candidates go on with their survivor."""
+    cands = _cands(spark, sf).withColumn("notes", F.array(F.concat(F.lit("at "), F.coalesce("timepoint", F.lit("any time"))), F.concat(F.lit("from "), "produced_by")))
+    return p.merged_notes(cands, p.dedup_candidates(cands)[1])
+
+
 _COV = """SELECT e.study_id, e.objective_id, e.endpoint_id, RESOLVED, DOMAIN_HINT, coalesce(np, 0) AS n_planned, coalesce(na, 0) AS n_any,
   CASE WHEN NOT RESOLVED THEN 'clarification' WHEN np > 0 THEN 'covered' WHEN na > 0 THEN 'gap (blocked)' ELSE 'gap' END AS coverage
   FROM parsed e LEFT JOIN (SELECT study_id, e, count(*) FILTER (status = 'planned') AS np, count(*) AS na FROM (SELECT study_id, status, unnest(string_split(endpoints, ',')) AS e FROM m_cand WHERE endpoints <> '') GROUP BY 1, 2) u

@@ -35,7 +35,7 @@ _OPS = [(m, i + 1, t, j + 1, o) for m in ("ANCOVA", "MMRM", "CMH", "Descriptive"
 
 
 @query("method_rows", sql("m_cand", f"""
-  SELECT study_id, 'AN-' || substr(final_id, 3) AS analysis_id, mo AS method_order, mt AS method_type, oo AS operation_order, op AS operation
+  SELECT study_id, 'AN-' || substr(final_id, 3) AS analysis_id, mo::BIGINT AS method_order, mt AS method_type, oo::BIGINT AS operation_order, op AS operation
   FROM num JOIN {values(_OPS, 'r(m, mo, mt, oo, op)')} ON r.m = num.method WHERE status = 'planned'""", num=_NUMBERED))
 def _(spark, sf):
     return rc.method_rows(p.number_outputs(_cands(spark, sf))).select("study_id", "analysis_id", "method_order", "method_type", "operation_order", "operation")
@@ -83,12 +83,12 @@ _EVENTS = [(f"I-{k}", "Incidence", ["AESOC", "AEDECOD"], None, json.dumps(_is("S
 
 @query("recipes_on_events", with_views("teae subjects", """
   SELECT id AS analysis_id, 'ARM' AS group1, u.ARM AS group1_level, CAST(NULL AS VARCHAR) AS group2, CAST(NULL AS VARCHAR) AS group2_level, variable, level AS variable_level, 'Incidence' AS context,
-    s AS stat_name, r6(CASE s WHEN 'n' THEN n WHEN 'events' THEN e WHEN 'N' THEN d.N ELSE 100.0 * n / d.N END) AS stat
+    s AS stat_name, r6(CASE s WHEN 'n' THEN n WHEN 'events' THEN e WHEN 'N' THEN total ELSE 100.0 * n / total END) AS stat
   FROM (SELECT id, ARM, variable, level, count(DISTINCT USUBJID) AS n, count(*) AS e FROM (
       SELECT *, unnest(['AESOC', 'AEDECOD']) AS variable, unnest([AESOC, AEDECOD]) AS level FROM (SELECT * FROM teae WHERE TRTEMFL = 'Y' AND ITTFL = 'Y' AND SAFFL = 'Y')
         CROSS JOIN (VALUES ('I-any', 'N', 0), ('I-serious', 'Y', 0), ('I-severe', 'N', 3), ('I-serious-severe', 'Y', 3)) r(id, ser, sev))
       WHERE (ser = 'N' OR AESER = 'Y') AND AESEVN >= sev GROUP BY ALL) u
-  JOIN (SELECT ARM, count(*) AS N FROM subjects WHERE SAFFL = 'Y' GROUP BY ARM) d ON d.ARM = u.ARM CROSS JOIN (VALUES ('n'), ('events'), ('N'), ('p')) x(s)"""))
+  JOIN (SELECT ARM, count(*) AS total FROM subjects WHERE SAFFL = 'Y' GROUP BY ARM) d ON d.ARM = u.ARM CROSS JOIN (VALUES ('n'), ('events'), ('N'), ('p')) x(s)"""))
 def _(spark, sf):
     """Four incidence tables by class and term from one scan of the events, denominators from one of the subjects."""
     events = d.flag_teae(ae(spark, sf)).filter("TRTEMFL = 'Y' AND ITTFL = 'Y' AND SAFFL = 'Y'")

@@ -5,10 +5,11 @@ import uuid
 from pyspark.sql import functions as F
 
 from ..functions import scalars as s
-from ..operators import derive as d, merge as m, windows as w
+from ..operators import derive as d, merge as m, quality as q, windows as w
 from ..session import shared_folder
 from ..sources import readers as rd, writers as wr
 from . import views as v
+from .meta import meta, sql
 from .registry import query
 from .views import ENDPOINT, VISITS, ae, analysis, dosing, disp, locf, obs, subjects, table, with_views
 
@@ -483,6 +484,17 @@ def _(spark, sf):
         F.count(F.lit(1)).alias("n_params"))
 
 
+@query("column_differences", sql("m_adam m_cand", """
+  SELECT dataset, variable, CASE WHEN min(side) = 1 THEN 'left' ELSE 'right' END AS only_in FROM (SELECT study_id || dataset AS dataset, variable, 1 AS side FROM m_adam
+    UNION ALL SELECT study_id || adam, 'V' || (length(title) + 5), 2 FROM m_cand WHERE adam <> '') GROUP BY 1, 2 HAVING min(side) = max(side)"""))
+def _(spark, sf):
+    """Columns that only the specification or only the data of each study's data sets name."""
+    spec = meta(spark, sf, "m_adam").select(F.concat("study_id", "dataset").alias("dataset"), "variable")
+    data = meta(spark, sf, "m_cand").filter(F.size("req_adam") > 0).select(
+        F.concat("study_id", F.element_at("req_adam", 1)).alias("dataset"), F.concat(F.lit("V"), (F.length("title") + 5).cast("string")).alias("variable"))
+    return q.column_differences(spec, data, ["dataset"])
+
+
 # ---- sources and sinks ---------------------------------------------------------
 
 _WRITTEN = """SELECT event_id AS SEQ, user_id AS USUBJID, CAST(CAST(ts AS DATE) AS VARCHAR) AS ASTDT, value AS AVAL, event_type || ' [' || props || '] "' || chr(92) || '"' AS TXT, user_id % 2 = 0 AS EVEN,

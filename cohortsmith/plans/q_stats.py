@@ -9,6 +9,7 @@ from ..operators import ard, derive as d, display as disp_, quality as q, window
 from ..session import shared_folder
 from ..sources import writers as wr
 from . import views as v
+from .meta import meta, sql
 from .registry import ORACLE, query
 from .views import ARM_LEVELS, ENDPOINT, VISITS, ae, analysis, disp, dosing, endpoint, locf, obs, subjects, table, with_views
 
@@ -112,6 +113,53 @@ def _(spark, sf):
     return ard.ard_max_severity(_teae(spark, sf), _safety_n(spark, sf), ARM_LEVELS)
 
 
+_REL = "SELECT *, CASE AESEQ % 3 WHEN 0 THEN 1 WHEN 1 THEN 2 ELSE 3 END::BIGINT AS AERELN, CASE WHEN AESEQ % 11 = 0 THEN 'DRUG WITHDRAWN' ELSE 'DOSE NOT CHANGED' END AS AEACN, CASE WHEN AESEQ % 97 = 0 THEN 'FATAL' ELSE 'RECOVERED' END AS AEOUT FROM teae WHERE TRTEMFL = 'Y' AND ITTFL = 'Y' AND SAFFL = 'Y'"
+
+
+def _related(spark, sf):
+    """Events with relationship (1 to 3), action taken and outcome."""
+    n = F.col("AESEQ")
+    return _teae(spark, sf).withColumns({
+        "AERELN": (n % 3 + 1).cast("bigint"), "AEACN": F.when(n % 11 == 0, "DRUG WITHDRAWN").otherwise("DOSE NOT CHANGED"),
+        "AEOUT": F.when(n % 97 == 0, "FATAL").otherwise("RECOVERED")})
+
+
+@query("incidence_by_relationship", with_views("teae subjects", """
+  SELECT x.ARM, AESOC, AEDECOD, AERELN, count(*) AS subjects, any_value(n.N) AS N, r6(100.0 * count(*) / any_value(n.N)) AS pct
+  FROM (SELECT ARM, AESOC, AEDECOD, USUBJID, max(AERELN) AS AERELN FROM rel GROUP BY ALL) x
+  JOIN (SELECT ARM, count(*) AS N FROM subjects WHERE SAFFL = 'Y' GROUP BY ARM) n ON n.ARM = x.ARM GROUP BY x.ARM, AESOC, AEDECOD, AERELN""", rel=_REL))
+def _(spark, sf):
+    """Subjects per term by their closest relationship to the drug."""
+    return ard.ard_max_severity(_related(spark, sf), _safety_n(spark, sf), ARM_LEVELS, severity="AERELN")
+
+
+@query("incidence_discontinuation", with_views("teae subjects", _HIER, rel=_REL, ev="SELECT * FROM rel WHERE AEACN = 'DRUG WITHDRAWN'"))
+def _(spark, sf):
+    """Events that led to the end of treatment, by class and term."""
+    return ard.ard_hierarchical(_related(spark, sf).filter("AEACN = 'DRUG WITHDRAWN'"), _safety_n(spark, sf), ARM_LEVELS)
+
+
+@query("incidence_deaths", with_views("teae subjects", _HIER, rel=_REL, ev="SELECT * FROM rel WHERE AEOUT = 'FATAL'"))
+def _(spark, sf):
+    """Fatal events by class and term."""
+    return ard.ard_hierarchical(_related(spark, sf).filter("AEOUT = 'FATAL'"), _safety_n(spark, sf), ARM_LEVELS)
+
+
+@query("conmeds_by_class", with_views("subjects", _HIER.replace("AESOC", "CMCLAS").replace("AEDECOD", "CMDECOD"), ev="""
+  SELECT s.ARM, s.USUBJID, 'Class ' || l_suppkey % 5 AS CMCLAS, 'Drug ' || l_suppkey % 5 || l_returnflag || l_linestatus AS CMDECOD FROM lineitem JOIN orders ON o_orderkey = l_orderkey
+  JOIN subjects s ON s.USUBJID = o_custkey WHERE SAFFL = 'Y' AND ARM IS NOT NULL AND CAST(l_shipdate AS DATE) >= TRTSDT - 10000"""))
+def _(spark, sf):
+    """Concomitant medication by class and drug: subjects and records."""
+    from ..operators.groups import keyed_join
+
+    doses = table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"), (F.col("l_suppkey") % 5).cast("string").alias("__c"), "l_returnflag", "l_linestatus", F.to_date("l_shipdate").alias("CMDT"))
+    who = table(spark, sf, "orders").select("o_orderkey", F.col("o_custkey").alias("USUBJID"))
+    adsl = subjects(spark, sf).filter("SAFFL = 'Y' AND ARM IS NOT NULL").select("USUBJID", "ARM", "TRTSDT")
+    taken = keyed_join(keyed_join(doses, who, ["o_orderkey"], "inner"), adsl, ["USUBJID"], "inner").filter(F.col("CMDT") >= F.date_sub("TRTSDT", 10000))
+    taken = taken.select("ARM", "USUBJID", F.concat(F.lit("Class "), "__c").alias("CMCLAS"), F.concat(F.lit("Drug "), "__c", "l_returnflag", "l_linestatus").alias("CMDECOD"))
+    return ard.ard_hierarchical(taken, _safety_n(spark, sf), ARM_LEVELS, levels=("CMCLAS", "CMDECOD"))
+
+
 _SHIFT = """CASE WHEN {} < 10 THEN 'LOW' WHEN {} > 50 THEN 'HIGH' ELSE 'NORMAL' END"""
 
 
@@ -222,6 +270,38 @@ def _(spark, sf):
     return ard.ada_status(df, persist_days=20)
 
 
+def _ada(spark, sf):
+    df = obs(spark, sf).filter("PARAMCD = 'click'").withColumns(
+        {"RESULT": F.when(F.col("AVAL") > 60, "POSITIVE").otherwise("NEGATIVE"), "TITRE": F.col("AVAL"),
+         "NABRES": F.when(F.col("ASEQ") % 3 == 0, "POSITIVE").when(F.col("ASEQ") % 3 == 1, "NEGATIVE")})
+    return ard.ada_status(df, ("USUBJID", "ARM"), persist_days=20), df
+
+
+_ADA = ORACLE["ada_status"][ORACLE["ada_status"].rindex("SELECT USUBJID, CASE WHEN bp"):]
+
+
+@query("ada_summary", with_views("obs subjects", """
+  SELECT ARM, CAST(N AS BIGINT) AS N, status, CAST(hits AS BIGINT) AS hits, r6(100.0 * hits / N) AS pct FROM (SELECT ARM, count(*) AS N, unnest(['baseline_positive', 'treatment_emergent', 'persistent', 'transient']) AS status,
+    unnest([count(*) FILTER (BASEPOS = 'Y'), count(*) FILTER (TEADA = 'Y'), count(*) FILTER (PERSIST = 'Y'), count(*) FILTER (TRANSIENT = 'Y')]) AS hits FROM st JOIN subjects USING (USUBJID) GROUP BY ARM)""", st=_ADA))
+def _(spark, sf):
+    return ard.ada_summary(_ada(spark, sf)[0])
+
+
+@query("ada_titres", with_views("obs subjects", """
+  SELECT ARM, count(*) AS N, r6(exp(avg(ln(MAXTITRE)))) AS gmean, r6(100 * sqrt(exp(var_samp(ln(MAXTITRE))) - 1)) AS gcv, min(MAXTITRE) AS min, max(MAXTITRE) AS max, r6(median(MAXTITRE)) AS median
+  FROM st JOIN subjects USING (USUBJID) WHERE TEADA = 'Y' GROUP BY ARM""", st=_ADA))
+def _(spark, sf):
+    return ard.ada_titres(_ada(spark, sf)[0])
+
+
+@query("nab_incidence", with_views("obs subjects", """
+  SELECT s.ARM, count(*) AS ada_positive, count(*) FILTER (tested) AS tested, count(*) FILTER (pos) AS nab_positive, r6(100.0 * count(*) FILTER (pos) / count(*)) AS pct
+  FROM st JOIN subjects s USING (USUBJID) LEFT JOIN (SELECT USUBJID, coalesce(bool_or(ADT > TRTSDT AND ASEQ % 3 = 0), false) AS pos, coalesce(bool_or(ADT > TRTSDT AND ASEQ % 3 < 2), false) AS tested
+    FROM obs WHERE PARAMCD = 'click' GROUP BY 1) r USING (USUBJID) WHERE BASEPOS = 'Y' OR TEADA = 'Y' GROUP BY s.ARM""", st=_ADA))
+def _(spark, sf):
+    return ard.nab_incidence(*_ada(spark, sf))
+
+
 @query("pro_responders", with_views("endpoint", """
   SELECT ARM, PARAMCD, count(*) FILTER (CHG <= -5) AS hits, count(*) AS N FROM endpoint GROUP BY 1, 2"""))
 def _(spark, sf):
@@ -365,16 +445,26 @@ def _(spark, sf):
     return q.check_labels(df).select("check_id", "severity", "subject_key", "message")
 
 
-@query("check_variables", with_views("", """
-  SELECT 'lineitem.' || n AS subject_key, m AS message FROM (VALUES ('L_MISSING', 'required variable is absent'),
-    ('L_QUANTITY', 'type is float, specified as integer')) t(n, m) WHERE (SELECT count(*) FROM lineitem) > 0"""))
+@query("check_variables", sql("m_adam m_cand", """
+  SELECT a.dataset || '.' || a.variable AS subject_key, CASE WHEN h.have IS NULL THEN 'required variable is absent' ELSE 'type is ' || h.have || ', specified as ' || a.type END AS message
+  FROM (SELECT study_id || dataset AS dataset, variable, min(CASE WHEN role LIKE '%records' THEN 'integer' ELSE 'text' END) AS type FROM m_adam GROUP BY 1, 2) a
+  LEFT JOIN (SELECT study_id || adam AS dataset, 'V' || (length(title) + 5) AS variable, max(CASE WHEN type = 'Table' THEN 'text' ELSE 'date' END) AS have FROM m_cand WHERE adam <> '' GROUP BY 1, 2) h
+    ON h.dataset = a.dataset AND h.variable = a.variable WHERE h.have IS NULL OR h.have <> a.type"""))
 def _(spark, sf):
-    li = table(spark, sf, "lineitem")
-    spec = spark.createDataFrame([("lineitem", "L_MISSING", "text"), ("lineitem", "L_QUANTITY", "integer"),
-                                  ("lineitem", "L_ORDERKEY", "integer")], "dataset string, variable string, type string")
-    out = q.check_variables(spark, {"lineitem": {n.upper(): t for n, t in li.dtypes}}, spec)
-    # the finding list only stands where the table has rows
-    return out.join(li.limit(1).select(F.lit(1).alias("__one")), how="cross").select("subject_key", "message")
+    """Specified variables of every study's data sets against what the data sets hold."""
+    spec = meta(spark, sf, "m_adam").groupBy(F.concat("study_id", "dataset").alias("dataset"), "variable").agg(
+        F.min(F.when(F.col("role").endswith("records"), "integer").otherwise("text")).alias("type"))
+    have = meta(spark, sf, "m_cand").filter(F.size("req_adam") > 0).groupBy(
+        F.concat("study_id", F.element_at("req_adam", 1)).alias("dataset"), F.concat(F.lit("V"), (F.length("title") + 5).cast("string")).alias("variable")).agg(
+        F.max(F.when(F.col("type") == "Table", "text").otherwise("date")).alias("have"))
+    return q.check_variables(spark, have, spec).select("subject_key", "message")
+
+
+@query("undeclared_qualifiers", with_views("", """
+  SELECT 'event_id.' || event_type AS subject_key, count(*) || ' records of an undeclared qualifier' AS message FROM events WHERE event_type NOT IN ('view', 'click') GROUP BY event_type"""))
+def _(spark, sf):
+    supp = table(spark, sf, "events").select(F.lit("event_id").alias("IDVAR"), F.col("event_type").alias("QNAM"))
+    return q.undeclared_qualifiers(supp, {"event_id": ["view", "click"], None: ["error"]}).select("subject_key", "message")
 
 
 @query("sanity_profile", with_views("analysis", """

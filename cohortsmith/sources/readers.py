@@ -6,6 +6,7 @@ import json
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F, types as T
 
 from ..operators.groups import running_sums
@@ -260,29 +261,48 @@ def flatten_usdm(docs: DataFrame, column: str = "doc") -> dict[str, DataFrame]:
     }
 
 
+def _contents(text: str | None) -> list[tuple]:
+    """(list, path, depth, name, analysis_id, output_id) of every item of one document, parents before children; none of a text that is not JSON."""
+    try:
+        root = json.loads(text) if text else None
+    except ValueError:
+        return []
+    as_dict = lambda x: x if isinstance(x, dict) else {}
+    items = lambda x: [i for i in as_dict(x).get("listItems") or [] if isinstance(i, dict)] if isinstance(as_dict(x).get("listItems"), list) else []
+    word = lambda x: x if x is None or isinstance(x, str) else json.dumps(x)
+    main = as_dict(as_dict(root).get("mainListOfContents"))
+    todo = [("main", "listItems", 1, items(main.get("contentsList")) or items(main))]
+    others = as_dict(root).get("otherListsOfContents")
+    for o in others if isinstance(others, list) else []:
+        todo.append((word(as_dict(o).get("name")) or "other", "listItems", 1, items(as_dict(o).get("contentsList"))))
+    out = []
+    while todo:
+        name, trail, depth, found = todo.pop()
+        for i, x in enumerate(found):
+            out.append((name, f"{trail}/{i}", depth, word(x.get("name")), word(x.get("analysisId")), word(x.get("outputId"))))
+            below = items(x.get("sublist"))
+            if below:
+                todo.append((name, f"{trail}/{i}/sublist/listItems", depth + 1, below))
+    return out
+
+
 def flatten_contents(docs: DataFrame, column: str = "doc") -> DataFrame:
     """The nested lists of contents as rows (list, path, depth, name, analysis_id, output_id).
 
-    Reads the main list and the other lists level by level, one explode each, until no item has a list of its own.
+    Documents are parsed once, each to the rows of all its depths, so one scan does whatever the depth. A null document, one that is not JSON
+    and one without lists have no rows.
     """
-    item = "struct<level:int,order:int,name:string,analysisId:string,outputId:string,sublist:string>"
-    nest = f"struct<listItems:array<{item}>>"
-    lists = f"struct<mainListOfContents:struct<name:string,contentsList:{nest},listItems:array<{item}>>,otherListsOfContents:array<struct<name:string,contentsList:{nest}>>>"
-    root = docs.select("study_id", F.from_json(column, lists, {"allowUnquotedFieldNames": "false"}).alias("r"))
-    main = root.select("study_id", F.lit("main").alias("list"), F.coalesce(
-        "r.mainListOfContents.contentsList.listItems", "r.mainListOfContents.listItems").alias("items"))
-    other = root.select("study_id", F.explode("r.otherListsOfContents").alias("o")).select(
-        "study_id", F.coalesce("o.name", F.lit("other")).alias("list"), F.col("o.contentsList.listItems").alias("items"))
-    level = main.unionByName(other).withColumn("trail", F.lit("listItems"))
-    out = []
-    depth = 0
-    while depth == 0 or not level.isEmpty():
-        depth += 1
-        rows = level.select("study_id", "list", "trail", F.posexplode("items").alias("i", "x")).withColumn(
-            "path", F.concat_ws("/", "trail", "i"))
-        rows = rows.withColumn("sub", F.from_json("x.sublist", nest)["listItems"])
-        out.append(rows.select("study_id", "list", "path", F.lit(depth).alias("depth"), F.col("x.name").alias("name"),
-                               F.col("x.analysisId").alias("analysis_id"), F.col("x.outputId").alias("output_id")))
-        level = rows.filter(F.size("sub") > 0).select(
-            "study_id", "list", F.concat_ws("/", "path", F.lit("sublist/listItems")).alias("trail"), F.col("sub").alias("items"))
-    return reduce(DataFrame.unionByName, out)
+    schema = T.StructType([docs.schema["study_id"], *T.StructType.fromDDL("list string, path string, depth int, name string, analysis_id string, output_id string").fields])
+
+    names = schema.names
+
+    def parse(batches):
+        for b in batches:
+            rows = [(s, *r) for s, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()) for r in _contents(text)]
+            for at in range(0, len(rows), 10_000):
+                part = list(zip(*rows[at:at + 10_000]))
+                yield pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(part, [b.schema.field(0).type, pa.string(), pa.string(), pa.int32(), *[pa.string()] * 3])],
+                                                 names=names)
+
+    return docs.select("study_id", F.col(column).cast("string").alias("__doc")).mapInArrow(parse, schema)
+
