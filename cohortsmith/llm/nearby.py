@@ -3,8 +3,11 @@
 A document is its set of word shingles. From the root of each of several independent trees, every set follows a few of its minwise tokens: a node picks each of
 the positions of the minhash signature with a fixed small chance, drawn from the node's own path, and a set goes on to the child named by each picked
 position and its value there. Similar sets share values and so stay together down some path. Nodes two steps below the roots are compared
-exhaustively, first on signatures, which leaves out members far from all others, then on the full sets; a large one in pairs of blocks. No node branches
+exhaustively, first on signatures, which leaves out members far from all others, then on the full sets. No node branches
 on, as every further step would lose pairs, so that the chance of missing a pair does not depend on the size of its nodes.
+A large node is cut into blocks, and first only members of one block meet. Components need no link between members that are already
+connected, so what is left of a large node is its largest component against all others, and those among themselves, each only with sets of a size that can
+be similar enough (``across``): a group of near copies costs a few rows per member, and only a large node of many unlike members of like size meets in pairs of blocks.
 Inside a node the links become a spanning star for each connected part, so a node emits fewer rows than it has members, and connected parts over all
 nodes are found by large-star and small-star steps.
 
@@ -24,9 +27,10 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.groups import keyed_join
 from ..session import checkpointed
 from .common import _arrow_schema, documents, mix64, Rolling, rows_of, small_batches, to_batch, to_table, word_hashes
 
@@ -185,28 +189,56 @@ _SORT = [("path", "ascending"), ("i", "ascending"), ("j", "ascending")]
 
 
 def plausible(members: DataFrame, percent: int, per_bucket: int = 8192) -> DataFrame:
-    """Members of each node that have another with a signature at most two fifths less alike than asked; ``members``: path, i, j, doc_id, signature."""
+    """Members of each node that have another, not yet connected, with a signature at most two fifths less alike than asked; ``members``: path, i, j, doc_id, c, signature.
+
+    ``c`` names what is known to be connected; a member of which nothing is known has its own.
+    """
     bar = 0.6 * percent / 100 * SIGNATURE
 
     def run(table: pa.Table) -> pa.Table:
         table = table.sort_by(_SORT)
         signatures = np.frombuffer(b"".join(table.column("signature").to_pylist()), np.uint32).reshape(-1, SIGNATURE)
+        known = table.column("c").to_numpy()
         keep = np.zeros(table.num_rows, bool)
         for a, b in _each_node(table):
             part = signatures[a:b]
             if b - a == 2:
-                keep[a:b] = (part[0] == part[1]).sum() >= bar
+                keep[a:b] = (part[0] == part[1]).sum() >= bar and known[a] != known[a + 1]
                 continue
             same = np.zeros((b - a, b - a), np.int16)
             for place in range(SIGNATURE):
                 same += part[:, None, place] == part[None, :, place]
-            np.fill_diagonal(same, 0)
+            same[known[a:b, None] == known[None, a:b]] = 0
             keep[a:b] = same.max(1) >= bar
         return table.select(["path", "i", "j", "doc_id"]).filter(pa.array(keep))
 
     return _by_bucket(members, per_bucket).groupBy("_bucket").applyInArrow(run, "path long, i int, j int, doc_id long")
 
 
+def across(large: DataFrame, percent: int, node: int) -> DataFrame:
+    """Who meets whom in large nodes once the links inside blocks are known; ``large``: path, doc_id, n_shingles, c, signature.
+
+    The members of a node are its largest component and the others, in strata of set sizes: sets whose strata are not the same or next to each other differ
+    too much in size to be linked (the strata are a ten-thousandth wider than the similarity asks, so that rounding loses none). Strata are cut into blocks of ``node``
+    members. Pairs of blocks meet unless both are of the largest component; nodes of one component are done.
+    """
+    at = ["path", "_main", "_stratum"]
+    parts = large.groupBy("path", "c").agg(F.count("*").alias("n"))
+    main = parts.groupBy("path").agg(F.max(F.struct("n", "c")).alias("m"), F.count("*").alias("k")).where("k > 1").select("path", F.col("m.c").alias("_c"))
+    width = float(np.log(100 / percent)) * 1.0001 if percent < 100 else 1e-4
+    rows = keyed_join(large, main, ["path"], "inner").withColumn("_main", F.col("c") == F.col("_c"))
+    rows = checkpointed(rows.withColumn("_stratum", F.floor(F.log(F.col("n_shingles").cast("double")) / width)).drop("_c"))
+    cells = rows.groupBy(*at).agg(F.ceil(F.count("*") / node).cast("int").alias("_blocks"))
+    rows = keyed_join(rows, cells, at, "inner").withColumn("_block", F.pmod(F.xxhash64("doc_id"), "_blocks").cast("int"))
+    block = F.struct("_main", "_stratum", "_block")
+    blocks = checkpointed(cells.withColumn("_block", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1))).select("path", block.alias("x")))
+    meet = (F.col("x") <= F.col("y")) & (F.abs(F.col("x._stratum") - F.col("y._stratum")) <= 1) & ~(F.col("x._main") & F.col("y._main"))
+    pairs = blocks.join(blocks.select("path", F.col("x").alias("y")), "path").where(meet).withColumn("_new", F.xxhash64("path", "x", "y"))
+    ends = pairs.select("path", "_new", F.explode(F.array_distinct(F.array("x", "y"))).alias("z")).select("path", "z.*", "_new")
+    met = rows.join(ends, [*at, "_block"])
+    return met.select(F.col("_new").alias("path"), F.lit(0).alias("i"), F.lit(0).alias("j"), "doc_id", "c", "signature")
+
+
 def compare_nodes(members: DataFrame, texts: DataFrame, percent: int, shingle: int, per_bucket: int = 2048) -> DataFrame:
     """Stars (a, b) of the links inside each node or pair of blocks; ``members``: path, i, j, doc_id; ``texts``: doc_id, _text.
 
@@ -268,16 +300,25 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     """One row per row of ``docs``: doc_id, n_shingles, component_id and kept (the smallest id of each component).
 
     ``percent``: a link needs 100 * intersection >= percent * union. ``node``: members up to which a node is compared in one task; ``depth``: steps below
-    the root after which larger nodes are compared in pairs of blocks of that size. A depth above 2 saves comparisons in large nodes and loses pairs in them.
+    the root after which larger nodes are compared in blocks of that size and then across components. A depth above 2 saves comparisons in large nodes and loses pairs in them.
     """
     similarity = percent / 100
     found = checkpointed(sets(docs, id_col=id_col, text_col=text_col, shingle=shingle))
     named = found.where("doc_id is not null and set_id is not null")
-    distinct = named.groupBy("set_id").agg(F.min("doc_id").alias("doc_id"), F.first("signature").alias("signature"))
+    distinct = named.groupBy("set_id").agg(F.min("doc_id").alias("doc_id"), F.first("signature").alias("signature"), F.first("n_shingles").alias("n_shingles"))
+    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("_text")).where("_text is not null and doc_id is not null")
 
     def with_size(paths: DataFrame) -> DataFrame:
         """Members of nodes of two or more, with their number."""
-        return checkpointed(paths.withColumn("n", F.count("*").over(Window.partitionBy("path"))).where("n > 1"))
+        return checkpointed(keyed_join(paths, paths.groupBy("path").agg(F.count("*").alias("n")).where("n > 1"), ["path"], "inner"))
+
+    def compared(spread: DataFrame) -> DataFrame:
+        """Stars of the links in nodes and pairs of blocks."""
+        near = checkpointed(plausible(checkpointed(spread), percent))
+        # nodes of the same members once, as trees of like sets agree
+        prints = near.groupBy("path", "i", "j").agg(F.count("*").alias("n"), F.sum(F.xxhash64("doc_id").cast("decimal(20)")).alias("print"))
+        once = prints.groupBy("n", "print").agg(F.min(F.struct("path", "i", "j")).alias("k")).select("k.*")
+        return compare_nodes(near.join(once, ["path", "i", "j"], "left_semi"), texts, percent, shingle)
 
     members = with_size(first_paths(distinct, similarity, trees))
     done = members.where(F.col("n") <= node)
@@ -290,16 +331,14 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
             break
         members = with_size(next_paths(large.join(distinct.select("set_id", "signature"), "set_id"), similarity))
         done = done.union(members.where(F.col("n") <= node))
-    blocks = F.ceil(F.col("n") / node).cast("int")
-    spread = done.join(distinct, "set_id").withColumn("_b", F.pmod(F.xxhash64("doc_id"), blocks).cast("int")).withColumn("_o", F.explode(F.sequence(F.lit(0), blocks - 1)))
-    spread = checkpointed(spread.select("path", F.least("_b", "_o").alias("i"), F.greatest("_b", "_o").alias("j"), "doc_id", "signature"))
-    near = checkpointed(plausible(spread, percent))
-    # nodes of the same members once, as trees of like sets agree
-    prints = near.groupBy("path", "i", "j").agg(F.count("*").alias("n"), F.sum(F.xxhash64("doc_id").cast("decimal(20)")).alias("print"))
-    once = prints.groupBy("n", "print").agg(F.min(F.struct("path", "i", "j")).alias("k")).select("k.*")
-    near = near.join(once, ["path", "i", "j"], "left_semi")
-    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("_text")).where("_text is not null and doc_id is not null")
-    parts = connected(compare_nodes(near, texts, percent, shingle))
+    in_block = F.pmod(F.xxhash64("doc_id"), F.ceil(F.col("n") / node)).cast("int")
+    first = done.join(distinct, "set_id").select("path", in_block.alias("i"), in_block.alias("j"), "doc_id", F.col("doc_id").alias("c"), "signature")
+    parts = connected(compared(first))
+    large = done.where(F.col("n") > node)
+    if not large.isEmpty():
+        rows = large.select("path", "set_id").join(distinct, "set_id").join(parts, "doc_id", "left")
+        rows = checkpointed(rows.select("path", "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("c"), "signature"))
+        parts = connected(compared(across(rows, percent, node)).union(parts))
     classes = distinct.select("doc_id", "set_id").join(parts, "doc_id", "left").select("set_id", F.coalesce("component_id", "doc_id").alias("_component"))
     out = found.select("doc_id", "n_shingles", "set_id").join(classes, "set_id", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("_component", "doc_id"))

@@ -244,8 +244,44 @@ def test_signature_bar_keeps_unlucky_pairs(spark):
     one = np.arange(64, dtype=np.uint32)
     other = np.where(one < 38, one, one + np.uint32(1000)).astype(np.uint32)
     far = one + np.uint32(5000)
-    members = spark.createDataFrame([(1, 0, 0, k, bytearray(x.tobytes())) for k, x in enumerate((one, other, far))], "path long, i int, j int, doc_id long, signature binary")
-    assert {r.doc_id for r in nearby.plausible(members, 80).collect()} == {0, 1}
+    for known, left in (((0, 1, 2), {0, 1}), ((0, 0, 2), set())):  # members already connected need not meet
+        rows = [(1, 0, 0, k, known[k], bytearray(x.tobytes())) for k, x in enumerate((one, other, far))]
+        members = spark.createDataFrame(rows, "path long, i int, j int, doc_id long, c long, signature binary")
+        assert {r.doc_id for r in nearby.plausible(members, 80).collect()} == left
+
+
+def test_large_nodes_meet_across_components(spark):
+    """All pairs of different components whose sizes allow a link meet; a large component costs rows in proportion to it."""
+    node = 10
+    rows = [(1, k, 100, 0) for k in range(400)] + [(1, 1000 + k, 60 + 7 * k, 1000 + k) for k in range(25)] + [(2, k, 100, 5) for k in range(40)]
+    large = spark.createDataFrame([(*r, bytearray(b"")) for r in rows], "path long, doc_id long, n_shingles long, c long, signature binary")
+    got = nearby.across(large, 80, node).toPandas()
+    met = {(x, y) for _, g in got.groupby("path") for x in g.doc_id for y in g.doc_id if x < y}
+    for _, x, m, c in rows[:425]:
+        for _, y, n, d in rows[:425]:
+            if x < y and c != d and 100 * min(m, n) >= 80 * max(m, n):
+                assert (x, y) in met
+    # at most three strata for a member of the large component, its blocks and a few more for the others, and nothing of the node that is one component
+    assert got.groupby("path").size().max() <= 2 * node and len(got) <= 3 * 400 + 25 * (40 + 5)
+
+
+@pytest.mark.parametrize("node", [5, 800])
+def test_components_through_blocks(spark, node):
+    """Near copies of one text beside texts near only one of them: as brute force says, in blocks of any size."""
+    base, rows = prose(31, 120), []
+    for k in range(40):
+        text = list(base)
+        text[3 * k : 3 * k + (2 if k < 30 else 14)] = prose(400 + k, 2 if k < 30 else 14)
+        rows.append((k, " ".join(text)))
+    sets = {k: {tuple(t.split()[i : i + 3]) for i in range(len(t.split()) - 2)} for k, t in rows}
+    want = {k: k for k in sets}
+    for _ in sets:
+        for x in sets:
+            for y in sets:
+                if 100 * len(sets[x] & sets[y]) >= 85 * len(sets[x] | sets[y]):
+                    want[x] = min(want[x], want[y])
+    got = by_id(nearby.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), shingle=3, percent=85, node=node))
+    assert [int(c) for c in got.component_id] == [want[k] for k in sorted(want)]
 
 
 def test_components_of_a_long_path(spark):
