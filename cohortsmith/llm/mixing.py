@@ -74,7 +74,7 @@ def curriculum(docs: DataFrame, keep: list[str], *, id_col: str = "doc_id", text
     row = row.withColumn("positions", F.array_compact(F.array(*[F.when(s < F.col("target"), position(s / F.col("target"), F.col("drift"))) for s in start])))
     copies = F.size("positions").cast("long")
     if ordered:
-        row = row.orderBy(F.try_element_at("positions", F.lit(1)).asc_nulls_last())
+        row = row.orderBy(F.try_element_at("positions", F.lit(1)).asc_nulls_last(), "_key")
     return row.select(
         "_row.*", F.col("_size").alias("size"), "source_size", "target", copies.alias("copies"), (copies * F.col("_size")).alias("taken"), "positions")
 
