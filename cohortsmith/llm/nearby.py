@@ -67,6 +67,11 @@ def signature(tokens: np.ndarray) -> np.ndarray:
     return (out >> np.uint64(32)).astype(np.uint32)
 
 
+def sketch(found: np.ndarray) -> np.ndarray:
+    """The lowest byte of each value of a signature. Equal values have equal bytes, so no pair agrees in fewer places; unlike ones agree in one place of 256."""
+    return (found & np.uint32(255)).astype(np.uint8)
+
+
 def picked(paths: np.ndarray, similarity: float) -> tuple[np.ndarray, np.ndarray]:
     """The positions that nodes choose, each with a chance of 1 / (similarity * SIGNATURE): index of the path, and position."""
     limit = np.uint64(int((1 << 64) / (similarity * SIGNATURE)))
@@ -79,18 +84,19 @@ def step(paths: np.ndarray, rows: np.ndarray, signatures: np.ndarray, similarity
     return mix64(paths[at] * np.uint64(0x9E3779B97F4A7C15) + mix64(signatures[rows[at], place].astype(np.uint64) + _PLACES[place])), rows[at]
 
 
-SETS = "doc_id long, n_shingles long, set_id binary, signature binary"
+SETS = "doc_id long, n_shingles long, set_id binary, signature binary, sketch binary"
 
 
 def sets(docs: DataFrame, *, id_col: str, text_col: str, shingle: int) -> DataFrame:
-    """doc_id, n_shingles, set_id (null for an empty set) and signature."""
+    """doc_id, n_shingles, set_id (null for an empty set), signature and its sketch."""
     fields = _arrow_schema(SETS)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             found = [shingle_set(t, shingle) for t in b.column(1).to_pylist()]
+            least = [signature(s) if len(s) else None for s in found]
             yield to_batch({"doc_id": b.column(0), "n_shingles": [len(s) for s in found], "set_id": [digest(s) if len(s) else None for s in found],
-                            "signature": [signature(s).tobytes() if len(s) else None for s in found]}, fields)
+                            "signature": [x if x is None else x.tobytes() for x in least], "sketch": [x if x is None else sketch(x).tobytes() for x in least]}, fields)
 
     small_batches(docs.sparkSession)
     return docs.select(F.col(id_col).cast("long"), F.col(text_col)).mapInArrow(run, SETS)
@@ -191,13 +197,14 @@ _SORT = [("path", "ascending"), ("i", "ascending"), ("j", "ascending")]
 def plausible(members: DataFrame, percent: int, per_bucket: int = 8192) -> DataFrame:
     """Members of each node that have another, not yet connected, with a signature at most two fifths less alike than asked; ``members``: path, i, j, doc_id, c, signature.
 
-    ``c`` names what is known to be connected; a member of which nothing is known has its own.
+    ``c`` names what is known to be connected; a member of which nothing is known has its own. A signature may be a whole one or its sketch, as all members are.
     """
     bar = 0.6 * percent / 100 * SIGNATURE
 
     def run(table: pa.Table) -> pa.Table:
         table = table.sort_by(_SORT)
-        signatures = np.frombuffer(b"".join(table.column("signature").to_pylist()), np.uint32).reshape(-1, SIGNATURE)
+        flat = b"".join(table.column("signature").to_pylist())
+        signatures = np.frombuffer(flat, np.uint8 if len(flat) == SIGNATURE * table.num_rows else np.uint32).reshape(-1, SIGNATURE)
         known = table.column("c").to_numpy()
         keep = np.zeros(table.num_rows, bool)
         for a, b in _each_node(table):
@@ -305,7 +312,8 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     similarity = percent / 100
     found = checkpointed(sets(docs, id_col=id_col, text_col=text_col, shingle=shingle))
     named = found.where("doc_id is not null and set_id is not null")
-    distinct = named.groupBy("set_id").agg(F.min("doc_id").alias("doc_id"), F.first("signature").alias("signature"), F.first("n_shingles").alias("n_shingles"))
+    distinct = named.groupBy("set_id").agg(F.min("doc_id").alias("doc_id"), F.first("signature").alias("signature"), F.first("sketch").alias("sketch"),
+                                           F.first("n_shingles").alias("n_shingles"))
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("_text")).where("_text is not null and doc_id is not null")
 
     def with_size(paths: DataFrame) -> DataFrame:
@@ -332,12 +340,12 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
         members = with_size(next_paths(large.join(distinct.select("set_id", "signature"), "set_id"), similarity))
         done = done.union(members.where(F.col("n") <= node))
     in_block = F.pmod(F.xxhash64("doc_id"), F.ceil(F.col("n") / node)).cast("int")
-    first = done.join(distinct, "set_id").select("path", in_block.alias("i"), in_block.alias("j"), "doc_id", F.col("doc_id").alias("c"), "signature")
+    first = done.join(distinct, "set_id").select("path", in_block.alias("i"), in_block.alias("j"), "doc_id", F.col("doc_id").alias("c"), F.col("sketch").alias("signature"))
     parts = connected(compared(first))
     large = done.where(F.col("n") > node)
     if not large.isEmpty():
         rows = large.select("path", "set_id").join(distinct, "set_id").join(parts, "doc_id", "left")
-        rows = checkpointed(rows.select("path", "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("c"), "signature"))
+        rows = checkpointed(rows.select("path", "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("c"), F.col("sketch").alias("signature")))
         parts = connected(compared(across(rows, percent, node)).union(parts))
     classes = distinct.select("doc_id", "set_id").join(parts, "doc_id", "left").select("set_id", F.coalesce("component_id", "doc_id").alias("_component"))
     out = found.select("doc_id", "n_shingles", "set_id").join(classes, "set_id", "left")

@@ -250,6 +250,21 @@ def test_signature_bar_keeps_unlucky_pairs(spark):
         assert {r.doc_id for r in nearby.plausible(members, 80).collect()} == left
 
 
+def test_sketches_keep_what_signatures_keep(spark):
+    """Members travel with a byte of each value of their signature: no pair that agrees in enough places is lost by it."""
+    draw = np.random.default_rng(4)
+    whole = draw.integers(0, 1 << 32, (60, 64), dtype=np.uint64).astype(np.uint32)
+    whole[1::2, :40] = whole[::2, :40]  # pairs alike in 40 of 64 places
+    short = [nearby.sketch(x) for x in whole]
+    assert all(x.nbytes == 64 for x in short)
+    assert all(((short[a] == short[b]) >= (whole[a] == whole[b])).all() for a in range(60) for b in range(60))
+    kept = []
+    for signatures in (whole, short):
+        rows = [(k // 6, 0, 0, k, k, bytearray(x.tobytes())) for k, x in enumerate(signatures)]
+        kept.append({r.doc_id for r in nearby.plausible(spark.createDataFrame(rows, "path long, i int, j int, doc_id long, c long, signature binary"), 85).collect()})
+    assert kept[0] == kept[1] == set(range(60))
+
+
 def test_large_nodes_meet_across_components(spark):
     """All pairs of different components whose sizes allow a link meet; a large component costs rows in proportion to it."""
     node = 10
@@ -366,6 +381,22 @@ def test_mixing_follows_each_source_s_schedule(spark):
         mixing.curriculum(df, ["doc_id"], drifts=(1.0,))
 
 
+def test_mix_moves_texts_twice(spark, capsys):
+    """Once to the running sums of their source and once to their place in training; the join between them meets the rows where they are."""
+    df = spark.createDataFrame([(i, f"a b c {i}", "x" if i % 3 else None) for i in range(40)], "doc_id long, text string, source string")
+    keys = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in keys}
+    try:
+        for k, v in keys.items():
+            spark.conf.set(k, v)
+        mixing.trained(df).explain("formatted")
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    details = [x.split("Input", 1)[1].split("\n", 1)[0] for x in capsys.readouterr().out.split("\n\n") if ") Exchange" in x]
+    assert sum("_row#" in x or "_doc#" in x for x in details) == 2
+
+
 def test_pieces_against_the_library():
     c = pieces.codec(pieces.default_model())
     for text in ["", " ", "  a  b\tc\n\n é ﬁ \x00 x▁y", "\n", "a\nb ", "日本語 テスト 🙂", "▁▁", "a" * 300, "x" * 3000 + " y", "the then there, The THE"]:
