@@ -61,15 +61,18 @@ def curriculum(docs: DataFrame, keep: list[str], *, id_col: str = "doc_id", text
     row = docs.select(F.struct(*keep).alias("_row"), F.col(source_col).alias("_source"), key.alias("_key"), F.hash(F.col(text_col)).alias("_tie"),
                       F.coalesce(F.regexp_count(text_col, F.lit(WORD)), F.lit(0)).cast("long").alias("_size"))
     row = row.withColumn("_bucket", F.floor(F.conv(F.substring("_key", 1, 8), 16, 10).cast("long") * buckets / (1 << 32)))
+    # a source as two columns without nulls: the join below then meets the rows, whole texts among them, where the window has put them
+    row = row.withColumn("_name", F.coalesce(F.col("_source").cast("string"), F.lit(""))).withColumn("_none", F.col("_source").isNull())
+    at = ["_name", "_none", "_bucket"]
     sums = row.groupBy("_source", "_bucket").agg(F.sum("_size").alias("_sum"))
     before = Window.partitionBy("_source").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     sums = sums.select("_source", "_bucket", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_base"))
     sources = targets(row, weights, max_epochs, drifts)
     places = sums.alias("a").join(sources.alias("b"), F.col("a._source").eqNullSafe(F.col("b._source"))).select(
-        F.col("a._source").alias("_s"), F.col("_bucket").alias("_b"), "_base", "source_size", "drift", "target")
-    within = Window.partitionBy("_source", "_bucket").orderBy("_key", "_size", "_tie").rowsBetween(Window.unboundedPreceding, -1)
+        F.coalesce(F.col("a._source").cast("string"), F.lit("")).alias("_name"), F.col("a._source").isNull().alias("_none"), "_bucket", "_base", "source_size", "drift", "target")
+    within = Window.partitionBy(*at).orderBy("_key", "_size", "_tie").rowsBetween(Window.unboundedPreceding, -1)
     row = row.withColumn("_run", F.coalesce(F.sum("_size").over(within), F.lit(0)))
-    row = row.join(places, F.col("_source").eqNullSafe(F.col("_s")) & (F.col("_bucket") == F.col("_b")))
+    row = row.join(places, at)
     start = [F.col("_base") + F.col("_run") + c * F.col("source_size") for c in range(max_epochs)]
     row = row.withColumn("positions", F.array_compact(F.array(*[F.when(s < F.col("target"), position(s / F.col("target"), F.col("drift"))) for s in start])))
     copies = F.size("positions").cast("long")
