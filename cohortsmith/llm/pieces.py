@@ -26,6 +26,8 @@ from .common import documents, schema_of, sha256, to_table, with_text
 SPACE = "▁"
 #: Chunks a worker keeps, with so many characters each on average at most; longer ones are encoded whenever they occur.
 MEMORY, MEAN, LONG = 450_000, 16, 200
+#: The rank of a pair that has no join.
+NEVER = np.iinfo(np.int32).max
 
 
 class PieceCodec:
@@ -68,19 +70,20 @@ class PieceCodec:
                 if left is not None and right is not None:
                     joins.append((left * size + right, self.ranks[piece], at))
         joins.sort()
+        order = {r: i for i, r in enumerate(sorted({r for _, r, _ in joins}))}
         self.join_keys = np.array([k for k, _, _ in joins] + [np.iinfo(np.int64).max], np.int64)
-        self.join_ranks = np.array([r for _, r, _ in joins] + [np.inf])
-        self.join_ids = np.array([i for _, _, i in joins] + [0], np.int64)
-        self.char_ids = np.full(0x110000, -1, np.int64)
+        self.join_ranks = np.array([order[r] for _, r, _ in joins] + [NEVER], np.int32)
+        self.join_ids = np.array([i for _, _, i in joins] + [0], np.int32)
+        self.char_ids = np.full(0x110000, -1, np.int32)
         for piece, at in self.ids.items():
             if len(piece) == 1:
                 self.char_ids[ord(piece)] = at
 
     def _ranks_of(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        key = np.where((left < 0) | (right < 0), -1, left * len(self.parts) + right)
+        key = np.where((left < 0) | (right < 0), -1, left.astype(np.int64) * len(self.parts) + right)
         at = np.searchsorted(self.join_keys, key)
         hit = self.join_keys[at] == key
-        return np.where(hit, self.join_ranks[at], np.inf), self.join_ids[at]
+        return np.where(hit, self.join_ranks[at], NEVER), self.join_ids[at]
 
     def merge_rows(self, ids: np.ndarray) -> list[list[int]]:
         """The agenda of many chunks at once: row by row the pieces of the characters, padded with -1; each step joins every row's best pair."""
@@ -90,9 +93,13 @@ class PieceCodec:
         place = np.arange(width)
         rank, join = self._ranks_of(ids[:, :-1], ids[:, 1:])
         while len(rows):
+            if not rank.shape[1]:  # one piece each
+                for r, row in zip(rows.tolist(), ids.tolist()):
+                    out[r] = row
+                break
             best = np.argmin(rank, axis=1)
             each = np.arange(len(rows))
-            done = np.isinf(rank[each, best])
+            done = rank[each, best] == NEVER
             if done.any():
                 for r, row in zip(rows[done].tolist(), ids[done].tolist()):
                     out[r] = row[: row.index(-1)] if row[-1] < 0 else row
@@ -102,15 +109,13 @@ class PieceCodec:
             if not len(rows):
                 break
             ids[each, best] = join[each, best]
-            # close the gap: everything after the joined pair moves one place left
-            move = np.minimum(place + (place > best[:, None]), width - 1)
-            ids = np.take_along_axis(ids, move, 1)
-            ids[:, -1] = -1
-            move = np.minimum(place[: width - 1] + (place[: width - 1] > best[:, None]), width - 2)
-            rank, join = np.take_along_axis(rank, move, 1), np.take_along_axis(join, move, 1)
-            rank[:, -1] = np.inf
+            # close the gap: every row gives up the right one of its pair and the pair, so all are one place shorter
+            n, width = len(rows), ids.shape[1]
+            ids = ids[place[:width] != best[:, None] + 1].reshape(n, width - 1)
+            others = place[: width - 1] != best[:, None]
+            rank, join = rank[others].reshape(n, width - 2), join[others].reshape(n, width - 2)
             for at in (best - 1, best):  # the joined piece with its new neighbours
-                ok = (at >= 0) & (at < width - 1)
+                ok = (at >= 0) & (at < width - 2)
                 e, a = each[ok], at[ok]
                 rank[e, a], join[e, a] = self._ranks_of(ids[e, a], ids[e, a + 1])
         return out
@@ -195,11 +200,13 @@ class PieceCodec:
         read = [b"".join([self.parts[i] for i in ids]).decode("utf-8", "replace") for ids in found]
         if self.stop:  # a line end keeps the chunk apart from the space put before every text
             lead = self.library.encode(self.stop)
-            lists = [lead + ids for ids in found]
-            if lists != self.library.encode([self.stop + c for c in new], num_threads=1):
-                raise ValueError("ids differ from the library's")
-            if [self.stop + r for r in read] != self.library.decode(lists):
-                raise ValueError("decoded text differs from the library's")
+            end = self.library.encode(2 * self.stop)[len(lead) :]
+            for a in range(0, len(new), 256):  # many chunks a call, each after a line end
+                ids = lead[: -len(end)] + list(chain.from_iterable([end + row for row in found[a : a + 256]]))
+                if ids != self.library.encode(self.stop + self.stop.join(new[a : a + 256])):
+                    raise ValueError("ids differ from the library's")
+                if self.stop + self.stop.join(read[a : a + 256]) != self.library.decode(ids):
+                    raise ValueError("decoded text differs from the library's")
         names = self.names
         self.numbers.update(zip(new, [",".join([names[i] for i in ids]) for ids in found]))
         same = self.ints.__getitem__
@@ -276,7 +283,7 @@ def encode_texts(docs: DataFrame, keep: list[str], model_path: str, *, text_col:
                 lists = [",".join(map(c.numbers.__getitem__, row)) for row in coded]
                 decoded = [c.decoded(row) for row in coded]
                 own = [list(chain.from_iterable(map(c.lists.__getitem__, row))) for row in coded]
-                if c.library.decode(own) != decoded:
+                if c.library.decode(own, num_threads=1) != decoded:
                     raise ValueError("the decoding of a text's ids differs from the library's")
                 for k in range(1 if c.stop else len(part)):  # texts encoded as they are, beside all of their chunks
                     if own[k] != c.library.encode(part[k]):
