@@ -1,11 +1,13 @@
 """Operator 6: a quality classifier from pairwise preferences (Bradley-Terry).
 
 A document's merit is linear in features of its text. The chance that one document is preferred to another is the logistic function of the
-difference of their merits, so the weights come from the logistic loss on feature differences of pairs of one good and one bad labelled document. The cut
+difference of their merits, so the weights come from the logistic loss on feature differences of all pairs of one good and one bad labelled document. The cut
 is the merit's quantile at the labelled share of bad documents; the score is the logistic function of merit minus cut, shifted so that
 the cut scores ``threshold``.
 
-At most ``sample`` labelled documents (by hash of the id) are used for fitting, and only their features reach the driver. Null and
+All labelled documents are used. A Newton step takes one pass over their features: documents of one label whose merits lie within a sixteenth of a unit share a
+cell, and sums over cells, whose number is bounded, give the loss of all pairs, each document standing at the mean merit of its cell. Only those sums reach the
+driver. The ends to which features are cut and the cut itself are exact quantiles over all labelled documents. Null and
 empty texts have features of an empty text and are scored. A label without a document, or a null label, is left out; of several labels of one id the
 smallest counts. Without labels of both kinds every document scores 0.5.
 """
@@ -14,14 +16,16 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterable, Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import documents, schema_of, to_table, with_text
+from ..operators.groups import exact_quantiles
+from ..session import checkpointed
+from .common import documents, schema_of, small_batches, to_table, with_text
 from .page import Page
 
 FEATURES = ["length", "symbols", "capitals", "marks", "stops", "repeated lines", "repeated words", "stutter", "word length", "distinct", "digits", "line length"]
@@ -58,49 +62,110 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(self.merit(x) - self.cut + shift, -30, 30)))
 
 
-def fit(x: np.ndarray, good: np.ndarray, *, threshold: float, pairs: int = 40_000, ridge: float = 1e-3, seed: int = 7) -> Model:
-    """Newton steps on the logistic loss over pairs drawn with a fixed seed."""
+#: Cells of merit to a unit, and the merit beyond which all share one cell.
+CELLS, FAR = 16, 40
+_UPPER = np.triu_indices(len(FEATURES))
+
+
+def _standard(column: pa.Array, model: Model) -> np.ndarray:
+    x = np.array(column.to_pylist()).reshape(-1, len(FEATURES))
+    return (np.clip(x, model.low, model.high) - model.centre) / model.scale
+
+
+def cell_sums(rows: DataFrame, model: Model) -> DataFrame:
+    """Per label and cell of merit: documents, and sums of their standard features and of the products of those; ``rows``: x, good.
+
+    A task adds up its rows first, so it gives no more rows than there are cells, and so does the whole.
+    """
+    names = ["n", *[f"z{i}" for i in range(len(FEATURES))], *[f"q{i}" for i in range(len(_UPPER[0]))]]
+    edge = CELLS * FAR
+    schema = "good boolean, cell int, " + ", ".join(f"{c} double" for c in names)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = np.zeros((2 * (2 * edge + 1), len(names)))
+        for b in batches:
+            z = _standard(b.column(0), model)
+            cell = np.clip(np.floor(z @ model.weights * CELLS), -edge, edge).astype(int) + edge
+            key = 2 * cell + np.array(b.column(1).to_pylist(), int)
+            values = np.concatenate((np.ones((len(z), 1)), z, z[:, _UPPER[0]] * z[:, _UPPER[1]]), axis=1)
+            order = np.argsort(key, kind="stable")
+            if len(order):
+                found, start = np.unique(key[order], return_index=True)
+                sums[found] += np.add.reduceat(values[order], start, axis=0)
+        at = np.flatnonzero(sums[:, 0])
+        if len(at):
+            columns = [pa.array(at % 2 == 1), pa.array(at // 2 - edge, pa.int32()), *[pa.array(sums[at, i]) for i in range(len(names))]]
+            yield pa.RecordBatch.from_arrays(columns, names=["good", "cell", *names])
+
+    return rows.mapInArrow(run, schema).groupBy("good", "cell").agg(*[F.sum(c).alias(c) for c in names])
+
+
+def newton_step(good: np.ndarray, bad: np.ndarray, weights: np.ndarray, ridge: float) -> np.ndarray:
+    """The step on the logistic loss over all pairs of a good and a bad document, from the sums of their cells (see ``cell_sums``)."""
     k = len(FEATURES)
-    if not good.any() or good.all():
+
+    def parts(sums: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        square = np.zeros((len(sums), k, k))
+        square[:, _UPPER[0], _UPPER[1]] = square[:, _UPPER[1], _UPPER[0]] = sums[:, 1 + k :]
+        n, z = sums[:, 0], sums[:, 1 : 1 + k]
+        return n, z, square, z @ weights / n
+
+    (n, z, square, merit), (m, y, other, below) = parts(good), parts(bad)
+    pairs = n.sum() * m.sum()
+    wrong = 1 / (1 + np.exp(np.clip(merit[:, None] - below[None, :], -30, 30)))  # chance of the wrong order
+    gradient = (z.T @ (wrong @ m) - y.T @ (wrong.T @ n)) / pairs - ridge * weights
+    curve = wrong * (1 - wrong)
+    mixed = z.T @ curve @ y
+    hessian = np.tensordot(curve @ m, square, 1) + np.tensordot(curve.T @ n, other, 1) - mixed - mixed.T
+    return np.linalg.solve(hessian / pairs + ridge * np.eye(k), gradient)
+
+
+def fit(rows: DataFrame, *, threshold: float, ridge: float = 1e-3, steps: int = 30) -> Model:
+    """Newton steps on the logistic loss over all pairs; ``rows``: x, good of every labelled document."""
+    k = len(FEATURES)
+    count = {r["good"]: r["n"] for r in rows.groupBy("good").agg(F.count(F.lit(1)).alias("n")).collect()}
+    if len(count) < 2:
         return Model(np.zeros(k), np.ones(k), np.zeros(k), np.ones(k), np.zeros(k), 0.0, threshold, False)
-    low, high = np.quantile(x, 0.005, axis=0), np.quantile(x, 0.995, axis=0)
-    clipped = np.clip(x, low, high)
-    centre, scale = clipped.mean(0), clipped.std(0)
-    scale = np.where(scale > 1e-9, scale, 1.0)
-    z = (clipped - centre) / scale
-    draw = np.random.default_rng(seed)
-    d = z[draw.choice(np.flatnonzero(good), pairs)] - z[draw.choice(np.flatnonzero(~good), pairs)]
-    w = np.zeros(k)
-    for _ in range(50):
-        p = 1 / (1 + np.exp(np.clip(d @ w, -30, 30)))  # chance of the wrong order
-        gradient = d.T @ p / pairs - ridge * w
-        step = np.linalg.solve((d * (p * (1 - p))[:, None]).T @ d / pairs + ridge * np.eye(k), gradient)
-        w = w + step
-        if np.abs(step).max() < 1e-8:
+    ends = exact_quantiles(rows.select(F.posexplode("x").alias("f", "v")), ["f"], "v", {"low": 0.005, "high": 0.995}).collect()
+    low, high = (np.array([r[c] for r in sorted(ends, key=lambda r: r["f"])]) for c in ("low", "high"))
+    clipped = [F.least(F.greatest(F.col("x")[i], F.lit(float(low[i]))), F.lit(float(high[i]))) for i in range(k)]
+    facts = rows.agg(*[F.avg(c).alias(f"a{i}") for i, c in enumerate(clipped)], *[F.stddev_pop(c).alias(f"s{i}") for i, c in enumerate(clipped)]).first()
+    centre, scale = (np.array([facts[f"{c}{i}"] for i in range(k)]).round(12) for c in "as")
+    model = Model(low, high, centre, np.where(scale > 1e-9, scale, 1.0), np.zeros(k), 0.0, threshold)
+    for _ in range(steps):
+        sums = cell_sums(rows, model).orderBy("good", "cell").collect()
+        good, bad = (np.array([r[2:] for r in sums if r["good"] == side]) for side in (True, False))
+        step = newton_step(good, bad, model.weights, ridge)
+        model = replace(model, weights=model.weights + step)
+        if np.abs(step).max() < 1e-4:
             break
-    merit = np.sort(z @ w)
-    bad = int((~good).sum())
-    return Model(low, high, centre, scale, w, float(merit[bad - 1] + merit[bad]) / 2, threshold)
+    model = replace(model, weights=model.weights.round(9))  # the order of arrival must not matter
+
+    def merits(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array(np.zeros(b.num_rows, np.int32)), pa.array(_standard(b.column(0), model) @ model.weights)], names=["all", "merit"])
+
+    middle = (count[False] - 0.5) / (count[True] + count[False] - 1)  # between the last of as many as are bad and the next
+    cut = exact_quantiles(rows.select("x").mapInArrow(merits, "all int, merit double"), ["all"], "merit", {"cut": middle}).first()["cut"]
+    return replace(model, cut=float(cut))
 
 
-def labelled_features(docs: DataFrame, labels: DataFrame, use: Column, *, sample: int) -> tuple[np.ndarray, np.ndarray]:
-    """Features and labels of at most ``sample`` labelled documents; ``use`` picks rows of ``labels`` (doc_id, label)."""
+def labelled_features(docs: DataFrame, labels: DataFrame, use: Column) -> DataFrame:
+    """x (features) and good of every labelled document; ``use`` picks rows of ``labels`` (doc_id, label)."""
     chosen = labels.where(use & F.col("label").isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.min("label").alias("label"))
-    chosen = chosen.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
-    rows = docs.join(F.broadcast(chosen), "doc_id").select("text", "label")  # at most `sample` rows
+    rows = docs.join(chosen, "doc_id").select("text", (F.col("label").cast("int") > 0).alias("good"))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            yield from to_table({"x": [features(t) for t in b.column(0).to_pylist()], "y": b.column(1).to_pylist()}, "x array<double>, y int").to_batches()
+            yield from to_table({"x": [features(t) for t in b.column(0).to_pylist()], "good": b.column(1)}, "x array<double>, good boolean").to_batches()
 
-    got = rows.mapInArrow(run, "x array<double>, y int").collect()
-    got = sorted((tuple(r["x"]), r["y"]) for r in got)  # the order of arrival must not matter
-    return np.array([r[0] for r in got]).reshape(-1, len(FEATURES)), np.array([r[1] for r in got], int) > 0
+    small_batches(docs.sparkSession)
+    return checkpointed(rows.mapInArrow(run, "x array<double>, good boolean"))
 
 
-def train(docs: DataFrame, labels: DataFrame, use: Column, *, threshold: float = 0.3, sample: int = 20_000) -> Model:
+def train(docs: DataFrame, labels: DataFrame, use: Column, *, threshold: float = 0.3) -> Model:
     """``docs``: doc_id and text; ``labels``: doc_id and label (1 good)."""
-    return fit(*labelled_features(docs, labels, use, sample=sample), threshold=threshold)
+    return fit(labelled_features(docs, labels, use), threshold=threshold)
 
 
 def score(docs: DataFrame, keep: list[str], model: Model, *, text_col: str = "text") -> DataFrame:

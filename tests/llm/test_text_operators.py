@@ -209,6 +209,38 @@ def test_scores_of_odd_rows(spark, odd, nothing):
     assert toxicity.score(nothing, ["doc_id"], tox).count() == 0
 
 
+def test_preferences_of_all_pairs(spark):
+    """Weights and cut are those of the loss over every pair of a good and a bad document."""
+    draw = np.random.default_rng(11)
+    rows = []
+    for k in range(90):
+        bad = k % 3 == 0
+        words = [w + "#" * int(draw.random() < (0.3 if bad else 0.1)) for w in prose(7000 + k, int(draw.integers(20, 60 if bad else 120)))]
+        rows.append((k, " ".join(w.upper() if draw.random() < 0.1 else w for w in words), int(bad == (k % 15 == 0))))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, label int")
+    got = preference.train(docs.select("doc_id", "text"), docs.select("doc_id", "label"), F.lit(True))
+    x, good = np.array([preference.features(t) for _, t, _ in rows]), np.array([y for *_, y in rows]) > 0
+    low, high = np.quantile(x, 0.005, axis=0), np.quantile(x, 0.995, axis=0)
+    z = np.clip(x, low, high)
+    scale = z.std(0)
+    z = (z - z.mean(0)) / np.where(scale > 1e-9, scale, 1.0)
+    d = (z[good][:, None] - z[~good][None]).reshape(-1, z.shape[1])
+    w = np.zeros(z.shape[1])
+    for _ in range(50):
+        p = 1 / (1 + np.exp(np.clip(d @ w, -30, 30)))
+        w = w + np.linalg.solve((d * (p * (1 - p))[:, None]).T @ d / len(d) + 1e-3 * np.eye(len(w)), d.T @ p / len(d) - 1e-3 * w)
+    assert got.low == pytest.approx(low) and got.high == pytest.approx(high) and got.weights == pytest.approx(w, abs=5e-3)
+    merit = np.sort(z @ got.weights)
+    assert got.cut == pytest.approx((merit[(~good).sum() - 1] + merit[(~good).sum()]) / 2)
+    assert preference.train(docs.orderBy(F.rand(5)).select("doc_id", "text"), docs.select("doc_id", "label"), F.lit(True)).weights == pytest.approx(got.weights)
+
+
+def test_preferences_use_every_labelled_document(spark):
+    docs = spark.range(20_500).selectExpr("id doc_id", "concat('a b ', id) text")
+    found = preference.labelled_features(docs, docs.selectExpr("doc_id", "cast(doc_id % 2 as int) label"), F.lit(True))
+    assert found.count() == 20_500 and found.where("good").count() == 10_250
+
+
 def test_near_duplicates_odd_rows(odd, nothing):
     got = nearby.near_duplicates(clash(odd), shingle=3, percent=85)
     seen = {(r.doc_id, r.component_id, r.kept) for r in got.collect()}
