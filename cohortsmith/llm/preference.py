@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from ..operators.groups import exact_quantiles
 from ..session import checkpointed
-from .common import documents, schema_of, small_batches, to_table, with_text
+from .common import documents, schema_of, with_text
 from .page import Page
 
 FEATURES = ["length", "symbols", "capitals", "marks", "stops", "repeated lines", "repeated words", "stutter", "word length", "distinct", "digits", "line length"]
@@ -67,9 +67,12 @@ CELLS, FAR = 16, 40
 _UPPER = np.triu_indices(len(FEATURES))
 
 
+def _matrix(column: pa.Array) -> np.ndarray:
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, len(FEATURES))
+
+
 def _standard(column: pa.Array, model: Model) -> np.ndarray:
-    x = np.array(column.to_pylist()).reshape(-1, len(FEATURES))
-    return (np.clip(x, model.low, model.high) - model.centre) / model.scale
+    return (np.clip(_matrix(column), model.low, model.high) - model.centre) / model.scale
 
 
 def cell_sums(rows: DataFrame, model: Model) -> DataFrame:
@@ -150,17 +153,28 @@ def fit(rows: DataFrame, *, threshold: float, ridge: float = 1e-3, steps: int =
     return replace(model, cut=float(cut))
 
 
-def labelled_features(docs: DataFrame, labels: DataFrame, use: Column) -> DataFrame:
-    """x (features) and good of every labelled document; ``use`` picks rows of ``labels`` (doc_id, label)."""
-    chosen = labels.where(use & F.col("label").isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.min("label").alias("label"))
-    rows = docs.join(chosen, "doc_id").select("text", (F.col("label").cast("int") > 0).alias("good"))
+def text_features(docs: DataFrame, keep: list[str], *, text_col: str = "text") -> DataFrame:
+    """``keep`` columns and x, the features of every text."""
+    columns = schema_of(docs.select(*keep), "x array<double>")
+    rows, place = with_text(docs, keep, text_col)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            yield from to_table({"x": [features(t) for t in b.column(0).to_pylist()], "good": b.column(1)}, "x array<double>, good boolean").to_batches()
+            x = pa.array([features(t) for t in b.column(place).to_pylist()], pa.list_(pa.float64()))
+            yield pa.RecordBatch.from_arrays([*[b.column(i) for i in range(len(keep))], x], names=[*keep, "x"])
+
+    return rows.mapInArrow(run, columns)
+
+
+def labelled(found: DataFrame, labels: DataFrame, use: Column) -> DataFrame:
+    """x and good of every labelled document; ``found``: doc_id and x, ``use`` picks rows of ``labels`` (doc_id, label)."""
+    chosen = labels.where(use & F.col("label").isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.min("label").alias("label"))
+    return checkpointed(found.join(chosen, "doc_id").select("x", (F.col("label").cast("int") > 0).alias("good")))
+
 
-    small_batches(docs.sparkSession)
-    return checkpointed(rows.mapInArrow(run, "x array<double>, good boolean"))
+def labelled_features(docs: DataFrame, labels: DataFrame, use: Column) -> DataFrame:
+    """The same from ``docs`` (doc_id, text). Features meet the labels, a hundred bytes a document, so no text is moved."""
+    return labelled(text_features(docs, ["doc_id"]), labels, use)
 
 
 def train(docs: DataFrame, labels: DataFrame, use: Column, *, threshold: float = 0.3) -> Model:
@@ -181,14 +195,29 @@ def score(docs: DataFrame, keep: list[str], model: Model, *, text_col: str = "te
     return rows.mapInArrow(run, columns)
 
 
-def op6_model(spark: SparkSession, sf_dir: str) -> Model:
+def score_features(found: DataFrame, keep: list[str], model: Model) -> DataFrame:
+    """``keep`` columns and the score of every row of ``found`` (with x, see ``text_features``)."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([*b.columns[: len(keep)], pa.array(model.score(_matrix(b.column(len(keep)))))], names=[*keep, "score"])
+
+    return found.select(*keep, "x").mapInArrow(run, schema_of(found.select(*keep), "score double"))
+
+
+def op6_labels(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Column]:
+    """Labels of the query, and which of them are learned from."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", F.col("quality").alias("label"))
-    use = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 != 0
-    return train(documents(spark, sf_dir).select("doc_id", "text"), labels, use)
+    return labels, F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 != 0
+
+
+def op6_model(spark: SparkSession, sf_dir: str) -> Model:
+    return train(documents(spark, sf_dir).select("doc_id", "text"), *op6_labels(spark, sf_dir))
 
 
 def op6_preference_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Quality of every document; rows of one residue of the id's checksum are held out of fitting."""
-    scored = score(documents(spark, sf_dir), ["doc_id"], op6_model(spark, sf_dir))
+    """Quality of every document; rows of one residue of the id's checksum are held out of fitting. Features are computed once, for fitting and for scoring."""
+    found = checkpointed(text_features(documents(spark, sf_dir), ["doc_id"]))
+    scored = score_features(found, ["doc_id"], fit(labelled(found, *op6_labels(spark, sf_dir)), threshold=0.3))
     held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0, F.lit(False))
     return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))

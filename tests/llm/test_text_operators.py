@@ -241,6 +241,31 @@ def test_preferences_use_every_labelled_document(spark):
     assert found.count() == 20_500 and found.where("good").count() == 10_250
 
 
+def test_preferences_move_no_text(spark, monkeypatch):
+    """Labels too many to be sent to every task meet features, not texts, so what is shuffled does not grow by whole texts."""
+    seen = []
+    monkeypatch.setattr(preference, "checkpointed", lambda df: seen.append(df) or df)
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        docs = spark.createDataFrame([(k, " ".join(prose(k, 40))) for k in range(30)] + [(3, None), (None, "a b")], "doc_id long, text string")
+        labels = spark.createDataFrame([(k, k % 2) for k in range(20)] + [(4, 1), (50, 1), (None, 0), (21, None)], "doc_id long, label int")
+        rows = preference.labelled_features(docs, labels, F.lit(True))
+        tree = rows._jdf.queryExecution().optimizedPlan().toString()
+        assert tree.index("Join") < tree.index("MapInArrow")  # texts end below the join
+        want = [(preference.features(r.text), r.doc_id % 2 == 1) for r in docs.collect() if r.doc_id is not None and r.doc_id < 20]
+        assert len(seen) == 1 and sorted((r.x, r.good) for r in rows.collect()) == sorted(want)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+
+
+def test_scores_from_features_are_those_from_texts(spark, odd):
+    model = preference.train(odd.select("doc_id", "text"), spark.createDataFrame([(1, 1), (2, 0), (8, 1)], "doc_id long, label int"), F.lit(True))
+    one = preference.score(odd, ["doc_id"], model)
+    two = preference.score_features(preference.text_features(odd, ["doc_id"]), ["doc_id"], model)
+    assert model.fitted and sorted(map(str, one.collect())) == sorted(map(str, two.collect()))
+
+
 def test_near_duplicates_odd_rows(odd, nothing):
     got = nearby.near_duplicates(clash(odd), shingle=3, percent=85)
     seen = {(r.doc_id, r.component_id, r.kept) for r in got.collect()}
