@@ -246,6 +246,25 @@ def across(large: DataFrame, percent: int, node: int) -> DataFrame:
     return met.select(F.col("_new").alias("path"), F.lit(0).alias("i"), F.lit(0).alias("j"), "doc_id", "c", "signature")
 
 
+#: Bits of a row of marks, and the most rows there are: 16 MB, whatever the number of documents.
+MARKS, MOST = 1 << 15, 1 << 12
+
+
+def wanted(texts: DataFrame, members: DataFrame) -> DataFrame:
+    """Rows of ``texts`` with an id of ``members``, and some others, left out where the texts are read, so that a join moves few texts of no use.
+
+    An id marks one bit of eight for each member, found by its hash. The marks are sent to every task; beyond ``MOST`` rows of them ids share bits, and more of the others stay.
+    """
+    rows = min(MOST, 1 + 8 * rows_of(members) // MARKS)
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(rows * MARKS))
+    at = members.select("doc_id", (place % MARKS).alias("_bit"), F.floor(place / MARKS).alias("_row"))
+    marks = at.groupBy("_row").agg(F.bitmap_construct_agg("_bit").alias("_marks"))
+    byte = F.conv(F.hex(F.substring("_marks", (F.floor(F.col("_bit") / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    marked = F.expr("shiftright(_byte, cast(_bit % 8 as int)) & 1") == 1
+    found = texts.withColumns({"_bit": place % MARKS, "_at": F.floor(place / MARKS)}).join(F.broadcast(marks), F.col("_at") == F.col("_row"))
+    return found.withColumn("_byte", byte).where(marked).select(*texts.columns)
+
+
 def compare_nodes(members: DataFrame, texts: DataFrame, percent: int, shingle: int, per_bucket: int = 2048) -> DataFrame:
     """Stars (a, b) of the links inside each node or pair of blocks; ``members``: path, i, j, doc_id; ``texts``: doc_id, _text.
 
@@ -272,7 +291,7 @@ def compare_nodes(members: DataFrame, texts: DataFrame, percent: int, shingle: i
                 out.extend(stars(ids[a:b], links([tokens_of(t) for t in data[a:b].to_pylist()], percent)))
         return to_table({"a": [a for a, _ in out], "b": [b for _, b in out]}, "a long, b long")
 
-    rows = _by_bucket(members, per_bucket).join(texts, "doc_id").select("path", "i", "j", "doc_id", "_bucket", "_text")
+    rows = _by_bucket(members, per_bucket).join(wanted(texts, members), "doc_id").select("path", "i", "j", "doc_id", "_bucket", "_text")
     rows = rows.mapInArrow(to_tokens, "path long, i int, j int, doc_id long, _bucket int, tokens binary")
     return rows.groupBy("_bucket").applyInArrow(run, "a long, b long")
 
@@ -326,7 +345,7 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
         # nodes of the same members once, as trees of like sets agree
         prints = near.groupBy("path", "i", "j").agg(F.count("*").alias("n"), F.sum(F.xxhash64("doc_id").cast("decimal(20)")).alias("print"))
         once = prints.groupBy("n", "print").agg(F.min(F.struct("path", "i", "j")).alias("k")).select("k.*")
-        return compare_nodes(near.join(once, ["path", "i", "j"], "left_semi"), texts, percent, shingle)
+        return compare_nodes(checkpointed(near.join(once, ["path", "i", "j"], "left_semi")), texts, percent, shingle)
 
     members = with_size(first_paths(distinct, similarity, trees))
     done = members.where(F.col("n") <= node)

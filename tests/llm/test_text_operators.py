@@ -266,6 +266,24 @@ def test_scores_from_features_are_those_from_texts(spark, odd):
     assert model.fitted and sorted(map(str, one.collect())) == sorted(map(str, two.collect()))
 
 
+def test_near_duplicates_move_texts_of_members_only(spark, monkeypatch):
+    """Texts of documents that are in no node are left out before the join to the members, and none of a member is."""
+    texts = spark.range(-4000, 40_000).selectExpr("id * 7 doc_id", "concat('w ', id) _text")
+    ids = [7 * k for k in [*range(-3000, 9000, 3), -4000, 39_999]]
+    members = spark.createDataFrame([(d,) for d in [*ids, *ids, 1]], "doc_id long")
+    for most in (nearby.MOST, 1):  # one row of marks is shared by all ids
+        monkeypatch.setattr(nearby, "MOST", most)
+        got = nearby.wanted(texts, members)
+        kept = {r.doc_id for r in got.collect()}
+        assert set(ids) <= kept and len(kept) < (9000 if most > 1 else 15_000) and got.columns == texts.columns
+    assert nearby.wanted(texts, members.limit(0)).count() == 0
+    seen, plain = [], nearby.wanted
+    monkeypatch.setattr(nearby, "wanted", lambda *a: seen.append(plain(*a)) or seen[-1])
+    docs = spark.createDataFrame([(k, " ".join(prose(k % 500 if k < 40 else k, 20))) for k in range(600)] + [(700 + k, " ".join(prose(k, 20) + ["end"])) for k in range(30)], "doc_id long, text string")
+    nearby.near_duplicates(docs, shingle=3, percent=85).collect()
+    assert seen and all(30 <= x.count() < 150 for x in seen)
+
+
 def test_near_duplicates_odd_rows(odd, nothing):
     got = nearby.near_duplicates(clash(odd), shingle=3, percent=85)
     seen = {(r.doc_id, r.component_id, r.kept) for r in got.collect()}
