@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
+from itertools import count
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -40,20 +41,21 @@ def tlf_adam(tlfs: DataFrame, adam_uses: DataFrame, adam: DataFrame) -> DataFram
     listed id may be the final or the candidate id, with or without type prefix.
     """
     names = F.array(normal_id("candidate_id"), normal_id("final_id"))
-    ids = tlfs.select("study_id", "candidate_id", F.explode(names).alias("__id")).filter(F.col("__id").isNotNull()).distinct()
+    ids = tlfs.select("study_id", "candidate_id", F.explode(names).alias("__id")).filter(F.col("__id").isNotNull())
     listed = keyed_join(ids, adam_uses.select("study_id", "dataset", normal_id("table_id").alias("__id")).distinct(), ["study_id", "__id"], "inner").select(
         "study_id", "candidate_id", "dataset").distinct()
-    declared = tlfs.select("study_id", "candidate_id", F.explode("req_adam").alias("dataset")).withColumn("dataset", F.upper("dataset")).distinct()
-    fallback = keyed_join(declared, listed.select("study_id", "candidate_id").distinct(), ["study_id", "candidate_id"], "left_anti")
-    known = keyed_join(fallback, adam.select("study_id", "dataset").distinct(), ["study_id", "dataset"], "left_semi")
+    declared = tlfs.select("study_id", "candidate_id", F.explode("req_adam").alias("dataset")).withColumn("dataset", F.upper("dataset"))
+    # the listed pairs as they are, so that both uses share one exchange
+    fallback = keyed_join(declared, listed.select("study_id", "candidate_id"), ["study_id", "candidate_id"], "left_anti")
+    known = keyed_join(fallback, adam.select("study_id", "dataset").distinct(), ["study_id", "dataset"], "left_semi").distinct()
     return listed.unionByName(known)
 
 
 def unbridged(tlfs: DataFrame, bridge: DataFrame, adam: DataFrame) -> DataFrame:
     """Raw domains an output declares but does not reach through its data sets."""
-    reached = keyed_join(bridge, _domains(adam), ["study_id", "dataset"], "inner").select("study_id", "candidate_id", "domain").distinct()
-    declared = tlfs.select("study_id", "candidate_id", F.explode("req_sdtm").alias("domain")).withColumn("domain", F.upper("domain")).distinct()
-    return keyed_join(declared, reached, ["study_id", "candidate_id", "domain"], "left_anti")
+    reached = keyed_join(bridge, _domains(adam), ["study_id", "dataset"], "inner").select("study_id", "candidate_id", "domain")
+    declared = tlfs.select("study_id", "candidate_id", F.explode("req_sdtm").alias("domain")).withColumn("domain", F.upper("domain"))
+    return keyed_join(declared, reached, ["study_id", "candidate_id", "domain"], "left_anti").distinct()
 
 
 def mark_absent(declared: DataFrame, adam: DataFrame, inventory: DataFrame | None = None) -> DataFrame:
@@ -101,58 +103,89 @@ def build_edges(objectives: DataFrame, endpoints: DataFrame, tlfs: DataFrame, ad
     end_tlf = keyed_join(tlfs.select("study_id", "candidate_id", F.explode("endpoint_ids").alias("endpoint_id")), end_keys, ["study_id", "endpoint_id"], "left_semi")
     obj_tlf = keyed_join(tlfs.filter(F.size("endpoint_ids") == 0).select("study_id", "candidate_id", F.explode("objective_ids").alias("objective_id")),
                          obj_keys, ["study_id", "objective_id"], "left_semi")
-    parts = [
+    repeated = [
         edge(obj_end, p("obj:", "objective_id"), p("end:", "endpoint_id"), "obj-end"),
         edge(end_tlf, p("end:", "endpoint_id"), tlf, "end-tlf"),
         edge(obj_tlf, p("obj:", "objective_id"), tlf, "obj-tlf"),
         edge(tlfs.filter(F.col("regulatory_rule").isNotNull()), F.lit(REG_NODE), tlf, "reg-tlf", rule=F.col("regulatory_rule")),
+    ]
+    once = [  # each a distinct table already
         edge(bridge, tlf, p("adam:", "dataset"), "tlf-adam"),
         edge(_domains(adam), p("adam:", "dataset"), p("sdtm:", "domain"), "adam-sdtm"),
         edge(unbridged(tlfs, bridge, adam), tlf, p("sdtm:", "domain"), "tlf-sdtm", dashed=True),
     ]
-    return reduce(DataFrame.unionByName, parts).distinct()
+    return reduce(DataFrame.unionByName, [reduce(DataFrame.unionByName, repeated).distinct(), *once])
+
+
+#: Hops in one plan before paths are doubled: one more than the tiers of a trace graph lie apart.
+_HOPS = 5
+#: The kinds of node a walk tells apart, by prefix; all others are one more kind.
+_PREFIXES = ("obj:", "end:", "reg:", "tlf:", "adam:", "sdtm:")
+#: The lowest bits of a code: the direction of the walk, and with it the kind.
+_UP, _KIND = 1, 15
+
+
+def _code(node: Column, seed: int) -> Column:
+    """64 bits for a node of a study, the lowest for the direction and three for the kind; a null is a value of its own, which matches itself."""
+    study, kind = F.col("study_id"), F.lit(0)
+    for i, prefix in enumerate(_PREFIXES, 1):
+        kind = F.when(node.startswith(prefix), F.lit(2 * i)).otherwise(kind)
+    return F.xxhash64(F.lit(seed), study.isNull(), study, node.isNull(), node).bitwiseAND(F.lit(~_KIND)).bitwiseOR(kind.cast("long"))
 
 
-#: Rounds of two hops each before paths are doubled: the tiers of a trace graph lie no further apart.
-_ROUNDS = 3
+def _coded_nodes(edges: DataFrame, roots: DataFrame) -> tuple[DataFrame, int]:
+    """(code, study_id, node) for all ends of edges and all roots, and the seed under which no two nodes share a code."""
+    ends = edges.select("study_id", F.explode(F.array("source", "target")).alias("node")).unionByName(roots.select("study_id", F.col("id").alias("node"))).distinct()
+    for seed in count():
+        nodes = checkpointed(ends.select(_code(F.col("node"), seed).alias("code"), "study_id", "node"))
+        if nodes.groupBy("code").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").isEmpty():
+            return nodes, seed
 
 
 def _hop(frontier: DataFrame, step: DataFrame) -> DataFrame:
-    """(study_id, root, direction, node) one step on."""
-    reached = keyed_join(frontier, step, ["study_id", "direction", "node"], "inner")
-    return reached.select("study_id", "root", "direction", F.col("__next").alias("node")).distinct()
+    """(root, node) one step on."""
+    return frontier.join(step.withColumnRenamed("node", "__node"), F.col("node") == F.col("__node")).select("root", F.col("next").alias("node")).distinct()
 
 
 def _reach(edges: DataFrame, roots: DataFrame, directions: Sequence[str]) -> DataFrame:
     """(study_id, root, direction, node) for all nodes on directed paths from the roots, all directions in one walk.
 
-    Two hops make one plan, and the next ones start from the second's nodes. If the walk is not at its end after some rounds, paths are doubled: every round joins
-    the nodes found with all paths of up to 2, 4, 8, ... edges, so the rounds grow with the logarithm of the longest path; a cycle brings nothing new and ends.
+    Nodes travel as codes of 8 bytes, proved to be different, and get their texts back at the end. The first hops make one plan; each reads only the edges
+    that leave a kind of node to which the hops so far can have led, and a node met again on a longer path is dropped after them. If the last of these hops
+    still finds nodes, paths are doubled: every round joins the nodes found with all paths of up to 2, 4, 8, ... edges, so the rounds grow with the logarithm
+    of the longest path; a cycle brings nothing new and ends.
     """
-    ends = {"descendant": ("source", "target"), "ancestor": ("target", "source")}
-    e = edges.select("study_id", "source", "target").distinct()
-    step = checkpointed(reduce(DataFrame.unionByName, [
-        e.select("study_id", F.lit(d).alias("direction"), F.col(ends[d][0]).alias("node"), F.col(ends[d][1]).alias("__next")) for d in directions]))
-    start = roots.select("study_id", F.col("id").alias("root"), F.col("id").alias("node")).distinct().withColumn(
-        "direction", F.explode(F.array(*[F.lit(d) for d in directions])))
-    key, found, frontier = ["study_id", "root", "direction", "node"], None, start
-    for _ in range(_ROUNDS):
-        first = _hop(frontier, step)
-        both = first.withColumn("__last", F.lit(0)).unionByName(_hop(first, step).withColumn("__last", F.lit(1)))
-        new = both.groupBy(*key).agg(F.min("__last").alias("__last"))  # a node of the first hop has its next one in this plan
-        new = checkpointed(new if found is None else new.join(found, key, "left_anti"))
-        found = new.drop("__last") if found is None else found.unionByName(new.drop("__last"))
-        frontier = new.filter("__last = 1").drop("__last")
-        if frontier.isEmpty():
-            return found
-    jump = step
-    while True:
-        new = checkpointed(_hop(found, jump).join(found, key, "left_anti"))
-        if new.isEmpty():
-            return found
-        found = found.unionByName(new)
-        longer = _hop(jump.withColumnRenamed("node", "root").withColumnRenamed("__next", "node"), jump)
-        jump = checkpointed(jump.unionByName(longer.select("study_id", "direction", F.col("root").alias("node"), F.col("node").alias("__next"))).distinct())
+    e = checkpointed(edges.select("study_id", "source", "target"))
+    nodes, seed = _coded_nodes(e, roots)
+    up, kind = lambda c: F.col(c).bitwiseOR(F.lit(_UP)), lambda c: F.col(c).bitwiseAND(F.lit(_KIND)).cast("int")
+    turns = {"descendant": F.struct(F.col("s").alias("node"), F.col("t").alias("next")), "ancestor": F.struct(up("t").alias("node"), up("s").alias("next"))}
+    links = e.select(_code(F.col("source"), seed).alias("s"), _code(F.col("target"), seed).alias("t")).select(F.inline(F.array(*[turns[d] for d in directions])))
+    # the kind is a column of its own: a filter on the node itself would be carried over to the nodes found, which then are not the same for each of their uses
+    step = checkpointed(links.withColumn("kind", kind("node")))
+    names = roots.select(_code(F.col("id"), seed).alias("root"), F.col("id").alias("__name")).distinct()
+    level = names.select("root", F.explode(F.array(*[up("root") if d == "ancestor" else F.col("root") for d in directions])).alias("node"))
+
+    leads = {(r["a"], r["b"]) for r in step.select(F.col("kind").alias("a"), kind("next").alias("b")).distinct().collect()}  # a pair of kinds each, 98 at most
+    here, levels = {r["a"] for r in level.select(kind("node").alias("a")).distinct().collect()}, []
+    while len(levels) < _HOPS and (leaving := sorted({a for a, _ in leads} & here)):
+        level = _hop(level, step.filter(F.col("kind").isin(leaving)))
+        levels.append(level.withColumn("__last", F.lit(len(levels))))
+        here = {b for a, b in leads if a in leaving}
+    if not levels:
+        levels = [level.filter(F.lit(False)).withColumn("__last", F.lit(0))]
+    found = checkpointed(reduce(DataFrame.unionByName, levels).groupBy("root", "node").agg(F.max("__last").alias("__last")))
+    ended = not {a for a, _ in leads} & here or found.filter(F.col("__last") == _HOPS - 1).isEmpty()
+    found = found.drop("__last")
+    jump = step.drop("kind") if ended else checkpointed(step.drop("kind").distinct())
+    while not ended:
+        new = checkpointed(_hop(found, jump).join(found, ["root", "node"], "left_anti"))
+        ended = new.isEmpty()
+        if not ended:
+            found = found.unionByName(new)
+            longer = _hop(jump.select(F.col("node").alias("root"), F.col("next").alias("node")), jump)
+            jump = checkpointed(jump.unionByName(longer.select(F.col("root").alias("node"), F.col("node").alias("next"))).distinct())
+    texts = found.select("root", F.col("node").bitwiseAND(F.lit(~_UP)).alias("code"), F.col("node").bitwiseAND(F.lit(_UP)).alias("__up")).join(nodes, "code").join(names, "root")
+    return texts.select("study_id", F.col("__name").alias("root"), F.when(F.col("__up") == 1, "ancestor").otherwise("descendant").alias("direction"), "node")
 
 
 def lineage(edges: DataFrame, roots: DataFrame) -> DataFrame:

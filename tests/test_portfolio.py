@@ -99,3 +99,21 @@ def test_lineage_of_a_long_chain_and_a_cycle(spark):
     assert got["n0", "descendant"] == {f"n{i}" for i in range(1, 201)} and ("n0", "ancestor") not in got
     assert got["n150", "ancestor"] == {f"n{i}" for i in range(150)} and len(got["n150", "descendant"]) == 50
     assert got["c3", "descendant"] == got["c3", "ancestor"] == {f"c{i}" for i in range(7)} and got["alone", "self"] == {"alone"}
+
+
+def test_lineage_walks_codes_that_are_proved_different(spark, monkeypatch):
+    """The walk moves numbers, not texts; codes that two nodes share are found and replaced; a null id is one node, met once."""
+    edges = spark.createDataFrame([(None, "obj:a", "tlf:b"), (None, "tlf:b", "adam:c"), (None, "adam:c", "sdtm:d"), (None, "obj:a", "sdtm:d"),
+                                   ("S", "obj:a", "tlf:b"), ("S", "tlf:b", None), ("S", None, "sdtm:d"), ("S", None, "sdtm:d"), ("S", "sdtm:d", "x:e"), ("S", "x:e", "tlf:b")],
+                                  "study_id string, source string, target string")
+    roots = spark.createDataFrame([(None, "obj:a"), ("S", "obj:a"), ("S", "x:e"), ("S", "x:e"), ("T", "obj:a")], "study_id string, id string")
+    down = {(None, "obj:a"): ["tlf:b", "adam:c", "sdtm:d"], ("S", "obj:a"): ["tlf:b", None, "sdtm:d", "x:e"], ("S", "x:e"): ["tlf:b", None, "sdtm:d", "x:e"], ("T", "obj:a"): []}
+    up = {("S", "x:e"): ["obj:a", "tlf:b", None, "sdtm:d", "x:e"]}
+    want = sorted([(*k, k[1], "self") for k in down] + [(*k, n, "descendant") for k, v in down.items() for n in v] + [(*k, n, "ancestor") for k, v in up.items() for n in v], key=str)
+    code, keep, kept, seeds = g._code, g.checkpointed, [], []
+    monkeypatch.setattr(g, "checkpointed", lambda df: kept.append(df.dtypes) or keep(df))
+    monkeypatch.setattr(g, "_code", lambda node, seed: seeds.append(seed) or (code(node, seed) if seed else F.lit(16).cast("long")))
+    got = sorted([tuple(r) for r in g.lineage(edges, roots).select("study_id", "root", "id", "direction").collect()], key=str)
+    assert got == want and set(seeds) == {0, 1}
+    texts = [names for names in kept if any(kind == "string" for _, kind in names)]
+    assert len(texts) == 3 and len(kept) > len(texts)  # the edges and, per seed, the nodes; never what a hop finds
